@@ -22,6 +22,7 @@ from hydrolake.llm.common import bounded_rows, whole_text
 
 FOLDS = 5
 N_FEATURES = 24
+BATCH = 2048
 
 
 def fold_of(doc_id: Column) -> Column:
@@ -87,9 +88,11 @@ def _fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, hidd
     d = both.shape[1]
     theta = [rng.normal(0, d**-0.5, (d, hidden)), np.zeros(hidden), rng.normal(0, hidden**-0.5, hidden), np.zeros(1)]
     m1, m2 = [np.zeros_like(t) for t in theta], [np.zeros_like(t) for t in theta]
-    size = 256
+    # large batches: the risk of the few negatives is a difference of two means, and its noise would look like overfit
+    n_p, n_u = min(BATCH, len(p)), min(BATCH, len(u))
     for step in range(1, steps + 1):
-        xp, xu = p[rng.integers(0, len(p), size)], u[rng.integers(0, len(u), size)]
+        xp = p if n_p == len(p) else p[rng.integers(0, len(p), n_p)]
+        xu = u if n_u == len(u) else u[rng.integers(0, len(u), n_u)]
         hp, hu = np.tanh(xp @ theta[0] + theta[1]), np.tanh(xu @ theta[0] + theta[1])
         zp, zu = hp @ theta[2] + theta[3], hu @ theta[2] + theta[3]
         if prior is None:
@@ -101,7 +104,7 @@ def _fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, hidd
             else:  # the risk of negatives went below zero: step back along it
                 gp, gu = prior * _softplus_grad(zp, -1), -_softplus_grad(zu, -1)
         grads = [0.0] * 4
-        for x, h, g in ((xp, hp, gp / size), (xu, hu, gu / size)):
+        for x, h, g in ((xp, hp, gp / n_p), (xu, hu, gu / n_u)):
             back = np.outer(g, theta[2]) * (1 - h * h)
             for i, part in enumerate((x.T @ back, back.sum(0), h.T @ g, g.sum(keepdims=True))):
                 grads[i] = grads[i] + part
@@ -126,7 +129,7 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     return float(np.clip(tail_u[best] / tail_p[best], 0.01, 0.99))
 
 
-def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, hidden: int = 24, steps: int = 3000, seed: int = 3) -> tuple[Network, float]:
+def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, hidden: int = 24, steps: int = 1000, seed: int = 3) -> tuple[Network, float]:
     """The scorer and the prior. Half of each side fits the separator, the other half estimates the prior."""
     half_p, half_u = np.arange(len(positive)) % 2 == 0, np.arange(len(unlabelled)) % 2 == 0
     first = _fit(positive[half_p], unlabelled[half_u], None, hidden, steps // 2, seed)
