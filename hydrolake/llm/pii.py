@@ -212,5 +212,6 @@ def pseudonymise(docs: DataFrame, key: str = "public test key", columns: Sequenc
 
 def pseudonymised_documents(docs: DataFrame, key: str = "public test key") -> DataFrame:
     """The documents themselves with pseudonyms; n_chars follows the new text."""
-    found = pseudonymise(docs, key).select(*docs.columns)
+    rest = F.struct(*[c for c in docs.columns if c != "text"]).alias("_row")
+    found = pseudonymise(docs.select(rest, "text"), key).select("_row.*", "text").select(docs.columns)
     return found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else found
