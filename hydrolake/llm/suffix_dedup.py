@@ -11,6 +11,7 @@ cut at ``size`` bytes. They are parted into suffix buckets, each sorted alone in
             as equal windows have equal places relative to the anchor, this cover meets all of them at the same shift.
             Ranks of the sample's next 40 bytes come from doubling, and a window is sorted by the few bytes before its
             first sample place, that place's rank and the few bytes after. So a task holds one bucket and its ranks.
+   The parts of a bucket are sorted one after another.
 4. answer   the least document of each window goes back to its pack, where the bytes are removed.
 """
 
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +31,9 @@ from pyspark.sql import functions as F
 from hydrolake.llm.common import materialize, whole_text
 
 K = 20  # bytes of an anchor
-PACK_BYTES = 4 << 20
-SEGMENT = 1 << 20  # windows of a document looked at together
+PACK_BYTES = 2 << 20
+SEGMENT = 1 << 19  # windows looked at together
+SORTED_WINDOWS = 1 << 19  # windows of a bucket sorted together, about
 NO_ID = np.iinfo(np.int64).max  # null doc_id: after all others
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -53,10 +56,14 @@ def gram_hashes(b: np.ndarray) -> np.ndarray:
     return h ^ (h >> _u64(32))
 
 
-def window_runs(b: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one anchor: first start, end (exclusive), anchor's place, anchor's hash."""
+def window_runs(b: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows with one anchor: first start, end (exclusive), anchor's place, anchor's hash.
+
+    ``b`` holds texts that end at ``ends``; windows over an end aren't windows.
+    """
     parts = []
     w = size - K + 1
+    left = np.repeat(ends[1:], np.diff(ends)) - np.arange(len(b))  # bytes from here to the text's end
     for s in range(0, len(b) - size + 1, SEGMENT):
         own = b[s : s + SEGMENT + size - 1]
         h = gram_hashes(own)
@@ -68,8 +75,11 @@ def window_runs(b: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.nd
             span *= 2
         least = np.minimum(least[: len(h) - w + 1], least[w - span : len(h) - span + 1])
         at = (least & low).astype(np.int64)
-        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-        end = np.r_[first[1:], len(at)]
+        valid = left[s : s + len(at)] >= size
+        before = np.r_[False, valid[:-1]]
+        first = np.flatnonzero(valid & (~before | np.r_[True, at[1:] != at[:-1]]))
+        stops = np.r_[np.flatnonzero(before & ~valid), len(at)]
+        end = np.minimum(np.r_[first[1:], len(at)], stops[np.searchsorted(stops, first, "right")]) if len(first) else first
         parts.append((first + s, end + s, at[first] + s, h[at[first]]))
     if not parts:
         e = np.empty(0, np.int64)
@@ -77,6 +87,12 @@ def window_runs(b: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
+def one_by_one(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Rows of a batch, only one of them as Python values at a time."""
+    for i in range(batch.num_rows):
+        yield tuple(c[i].as_py() for c in batch.columns)
+
+
 def pack_up(ids: list, raws: list[bytes]) -> bytes:
     head = np.array([len(ids)], "<i8").tobytes() + np.array([NO_ID if i is None else i for i in ids], "<i8").tobytes() + np.array([len(r) for r in raws], "<i8").tobytes()
     return zstandard.compress(head + b"".join(raws), 3)
@@ -91,13 +107,12 @@ def unpack(z: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class PackRuns:
-    """All runs of a pack: document's number, start, end, anchor, hash (places within the document)."""
+    """All runs of a pack: document's number, start, end, anchor, hash (places within the pack)."""
 
     def __init__(self, z: bytes, size: int):
         self.ids, self.ends, self.raw = unpack(z)
-        found = [window_runs(self.raw[a:b], size) for a, b in zip(self.ends[:-1], self.ends[1:], strict=True)]
-        self.doc = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
-        self.start, self.end, self.anchor, self.hash = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 4
+        self.start, self.end, self.anchor, self.hash = window_runs(self.raw, self.ends, size)
+        self.doc = np.searchsorted(self.ends, self.start, "right") - 1
 
     def strings(self, shared: np.ndarray, size: int) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
         """Of runs with a shared anchor: their numbers, then the distinct strings (text, anchor's offset, hash), and each run's string."""
@@ -106,8 +121,7 @@ class PackRuns:
         else:
             at = np.minimum(np.searchsorted(shared, self.hash), len(shared) - 1)
             which = np.flatnonzero(shared[at] == self.hash)
-        base = self.ends[self.doc[which]]
-        first, last, offset = base + self.start[which], base + self.end[which] - 1 + size, self.anchor[which] - self.start[which]
+        first, last, offset = self.start[which], self.end[which] - 1 + size, self.anchor[which] - self.start[which]
         known: dict[tuple[bytes, int], int] = {}
         of = np.empty(len(which), np.int64)
         whole = self.raw.tobytes()
@@ -182,7 +196,7 @@ def least_documents(texts: list[bytes], offsets: np.ndarray, docs: np.ndarray, s
     return string, place, least
 
 
-def remove_repeats(docs: DataFrame, size: int = 50, bucket_bytes: int = 64 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = 50, bucket_bytes: int = 8 << 20) -> DataFrame:
     """RESULT per row: bytes, removed bytes and runs, and the SHA-256 of what is kept, for windows of ``size`` bytes.
 
     48 <= size <= 56 (40 bytes are ranked, up to 16 compared around them). Null text counts as empty. Rows with equal
@@ -213,11 +227,11 @@ def remove_repeats(docs: DataFrame, size: int = 50, bucket_bytes: int = 64 << 20
 
     packs = materialize(docs.select(F.col("doc_id").cast("long"), whole_text()).mapInArrow(make, "pack binary, n long, data binary"), "packs")
     text_bytes = packs.agg(F.sum("n")).first()[0] or 0
-    buckets = max(1, -(-text_bytes // bucket_bytes)) * 4
+    buckets = max(1, -(-text_bytes // bucket_bytes))
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for pack, z in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for pack, z in one_by_one(batch):
                 runs = PackRuns(z, size)
                 # twice within the pack: in two documents, so shared already
                 own, times = np.unique(_distinct_pairs(runs.hash, runs.doc), return_counts=True)
@@ -234,7 +248,7 @@ def remove_repeats(docs: DataFrame, size: int = 50, bucket_bytes: int = 64 << 20
         """One bucket at a time from rows sorted by bucket."""
         now, names, rows = None, [], []
         for batch in batches:
-            for bucket, pack, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for bucket, pack, data in one_by_one(batch):
                 if bucket != now and rows:
                     yield now, names, rows
                     names, rows = [], []
@@ -261,7 +275,7 @@ def remove_repeats(docs: DataFrame, size: int = 50, bucket_bytes: int = 64 << 20
         """Each pack with its text (kind 0), shared anchors (1) and answers (2), from rows sorted by pack."""
         now, own = None, {}
         for batch in batches:
-            for pack, kind, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for pack, kind, data in one_by_one(batch):
                 if pack != now and own:
                     yield now, own
                     own = {}
@@ -304,10 +318,20 @@ def remove_repeats(docs: DataFrame, size: int = 50, bucket_bytes: int = 64 << 20
                 offsets.append(c)
                 pack.append(np.full(n, i))
             pack, number, docs, offsets = (np.concatenate(x) for x in (pack, number, docs, offsets))
-            string, place, least = least_documents(texts, offsets, docs, size)
-            told = least < docs[string]  # else the pack knows it itself
-            out = np.stack([number[string[told]], place[told], least[told]], 1)
-            of = pack[string[told]]
+            # a part of the bucket at a time, parted by the anchors' own bytes
+            parts = 1 + (sum(map(len, texts)) - (size - 1) * len(texts)) // SORTED_WINDOWS
+            part = np.array([zlib.crc32(t[c : c + K]) % parts for t, c in zip(texts, offsets.tolist(), strict=True)])
+            outs, owners = [], []
+            for i in range(parts):
+                mine = np.flatnonzero(part == i)
+                if not len(mine):
+                    continue
+                string, place, least = least_documents([texts[k] for k in mine.tolist()], offsets[mine], docs[mine], size)
+                string = mine[string]
+                told = least < docs[string]  # else the pack knows it itself
+                outs.append(np.stack([number[string[told]], place[told], least[told]], 1))
+                owners.append(pack[string[told]])
+            out, of = np.concatenate(outs), np.concatenate(owners)
             kept = [(names[i], zstandard.compress(np.ascontiguousarray(out[of == i]).astype("<i8").tobytes(), 3)) for i in np.unique(of).tolist()]
             if kept:
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in kept], pa.binary()), pa.array([d for _, d in kept], pa.binary())], names=["pack", "data"])
@@ -326,7 +350,7 @@ def remove_repeats(docs: DataFrame, size: int = 50, bucket_bytes: int = 64 << 20
             run = np.repeat(np.arange(len(which)), n)
             place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
             gone = best[at[of[run]] + place] < runs.ids[runs.doc[which[run]]]
-            start = (runs.ends[runs.doc[which]] + runs.start[which])[run[gone]] + place[gone]
+            start = runs.start[which][run[gone]] + place[gone]
             np.add.at(mark, start, 1)
             np.add.at(mark, start + size, -1)
             removed = np.cumsum(mark[:-1]) > 0
