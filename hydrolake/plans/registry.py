@@ -43,4 +43,4 @@ def _load() -> None:
         importlib.import_module(f"hydrolake.plans.{module}")
 
 
-MODULES: tuple[str, ...] = ()
+MODULES: tuple[str, ...] = ("telemetry", "climate", "demand", "forecast", "pixels", "streams")
