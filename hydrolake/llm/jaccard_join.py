@@ -231,10 +231,14 @@ def jaccard_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     x, y = spans.toDF("token", "c1", "low1", "high1", "rest1"), spans.toDF("token", "c2", "low2", "high2", "rest2")
     met = x.join(y, "token").where("c1 < c2").where(f"100 * high1 >= {percent} * low2 and 100 * high2 >= {percent} * low1").where(
         f"least(rest1, rest2) * {100 + percent} >= {percent} * (low1 + low2)"
-    ).select("token", "c1", "c2")
+    ).select("token", "c1", "c2", "low2", "high2", "rest2")
     r1, r2 = rows.toDF("token", "c1", "g1", "n1", "p1"), rows.toDF("token", "c2", "g2", "n2", "p2")
+    # members of c1 that can reach the other component's sizes and places at all
+    able = met.join(r1, ["token", "c1"]).where(
+        f"100 * n1 >= {percent} * low2 and 100 * high2 >= {percent} * n1 and least(n1 - p1, rest2) * {100 + percent} >= {percent} * (n1 + greatest(low2, {percent} * n1 / 100))"
+    )
     left = (
-        met.join(r1, ["token", "c1"]).join(r2, ["token", "c2"])
+        able.join(r2, ["token", "c2"])
         .where(may_link(F.col("n1"), F.col("n2"), F.col("p1"), F.col("p2"), percent))
         .groupBy("g1", "c1", "g2", "c2").agg(F.min("p1").alias("p1"), F.min("p2").alias("p2"), F.first("n1").alias("n1"), F.first("n2").alias("n2"))
         .where(may_link(F.col("n1"), F.col("n2"), F.col("p1"), F.col("p2"), percent))
