@@ -1,3 +1,63 @@
 """DuckDB SQL of those queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+from __future__ import annotations
+
+from hydrolake.llm.queries import URL_RULES
+
+FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+SPACE_WORD = r"[^\x20\x09-\x0D]+"
+
+# secrets ----------------------------------------------------------------------------------------------------------
+_ASSIGN = "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+_KINDS = (("assign", _ASSIGN, 2, 6), ("access", "AKIA[A-Z0-9]+", 0, 20), ("hex", "[0-9a-f]+", 0, 24), ("pem", "-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 1))
+
+
+def _kind(i: int, kind: str, pattern: str, group: int, least: int) -> str:
+    return f"""SELECT rid, {i} AS o, '{kind}' AS kind, s, s + length(m[i]) AS e FROM (
+  SELECT rid, m, own, i, list_sum(list_transform(parts[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS s FROM (
+    SELECT rid, m, own, parts, unnest(range(1, len(m) + 1)) AS i FROM (
+      SELECT rid, regexp_extract_all(text, '{pattern}') AS m, regexp_extract_all(text, '{pattern}', {group}) AS own, regexp_split_to_array(text, '{pattern}') AS parts FROM d)))
+  WHERE length(own[i]) >= {least}"""
+
+
+_SAID = "concat(kind, ':', CAST(s AS BIGINT), ':', CAST(e AS BIGINT))"
+SECRETS = f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents)
+, f AS ({' UNION ALL '.join(_kind(i, *k) for i, k in enumerate(_KINDS))})
+, a AS (SELECT rid, count(*) FILTER (WHERE o = 0) AS n_assign, count(*) FILTER (WHERE o = 1) AS n_access, count(*) FILTER (WHERE o = 2) AS n_hex,
+  coalesce(string_agg({_SAID}, ',' ORDER BY s, o) FILTER (WHERE o < 3), '') AS base, string_agg({_SAID}, ',' ORDER BY s, o) AS spans FROM f GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN a USING (rid)"""
+
+# near copies ------------------------------------------------------------------------------------------------------
+JACCARD = f"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({FOLD.format("coalesce(text, '')")}, '{SPACE_WORD}') AS w FROM documents)
+, s AS (SELECT DISTINCT rid, array_to_string(w[i:i + 3], ' ') AS k FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0))
+, n AS (SELECT rid, count(*) AS n FROM s GROUP BY 1)
+, e AS (SELECT x.a, x.b FROM (SELECT p.rid AS a, q.rid AS b, count(*) AS same FROM s p JOIN s q ON p.k = q.k AND p.rid < q.rid GROUP BY 1, 2) x JOIN n ON n.rid = x.a JOIN n m ON m.rid = x.b WHERE 100 * same >= 85 * (n.n + m.n - same))
+, g AS (SELECT a, b FROM e UNION SELECT b, a FROM e)
+, r(a, b) AS (SELECT rid, rid FROM d UNION SELECT r.a, g.b FROM r JOIN g ON r.b = g.a)
+, c AS (SELECT r.a AS rid, min(d.doc_id) AS component_id FROM r JOIN d ON d.rid = r.b GROUP BY 1)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id FROM d LEFT JOIN n USING (rid) JOIN c USING (rid)"""
+
+# archives ---------------------------------------------------------------------------------------------------------
+_BASE32 = "array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(h, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS BIGINT), 1)), '')"
+WARC = f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest, CASE WHEN page_id = first OR first IS NULL THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM p"""
+
+# URLs -------------------------------------------------------------------------------------------------------------
+_RULES = ", ".join(f"('{r.host}', '{r.path}', '{r.verdict}')" for r in URL_RULES)
+URLS = f"""WITH r(h, p, v) AS (VALUES {_RULES})
+, u AS (SELECT row_number() OVER () AS rid, page_id, {FOLD.format("coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '')")} AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages)
+, f AS (SELECT rid, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS v FROM u JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY 1)
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM u LEFT JOIN f USING (rid)"""
+
+# benchmark windows --------------------------------------------------------------------------------------------------
+_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WINDOWS = f"""WITH it AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all({FOLD.format('text')}, '{_WORDS}') AS w FROM benchmark WHERE text IS NOT NULL)
+, win AS (SELECT item_id, l, array_to_string(w[i:i + l - 1], ' ') AS k FROM (SELECT item_id, w, l, unnest(range(1, len(w) - l + 2)) AS i FROM (SELECT *, least(len(w), 13) AS l FROM it WHERE len(w) > 0)))
+, d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({FOLD.format("coalesce(text, '')")}, '{_WORDS}') AS w FROM documents)
+, dk AS (SELECT rid, l, i, array_to_string(w[i:i + l - 1], ' ') AS k FROM (SELECT rid, w, l, unnest(range(1, len(w) - l + 2)) AS i FROM d, (SELECT DISTINCT l FROM win) WHERE len(w) >= l))
+, hit AS (SELECT rid, i, l, item_id FROM dk JOIN win USING (l, k))
+, n AS (SELECT rid, count(DISTINCT x) AS n_hit FROM (SELECT rid, unnest(range(i, i + l)) AS x FROM (SELECT DISTINCT rid, i, l FROM hit)) GROUP BY 1)
+, m AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS said FROM (SELECT DISTINCT rid, item_id FROM hit) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(said, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated FROM d LEFT JOIN n USING (rid) LEFT JOIN m USING (rid)"""
+
+ORACLE: dict[str, str] = {"op1_secrets": SECRETS, "op4_jaccard_join": JACCARD, "op5_warc": WARC, "op8_url_filter": URLS, "op9_decontaminate": WINDOWS}

@@ -57,7 +57,7 @@ def gram_hashes(b: np.ndarray) -> np.ndarray:
 
 
 def window_runs(b: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one anchor: first start, end (exclusive), anchor's place, anchor's hash.
+    """Runs of windows with one anchor: first start, end (exclusive), anchor's place, anchor's hash (48 bits).
 
     ``b`` holds texts that end at ``ends``; windows over an end aren't windows.
     """
@@ -80,7 +80,7 @@ def window_runs(b: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray,
         first = np.flatnonzero(valid & (~before | np.r_[True, at[1:] != at[:-1]]))
         stops = np.r_[np.flatnonzero(before & ~valid), len(at)]
         end = np.minimum(np.r_[first[1:], len(at)], stops[np.searchsorted(stops, first, "right")]) if len(first) else first
-        parts.append((first + s, end + s, at[first] + s, h[at[first]]))
+        parts.append((first + s, end + s, at[first] + s, h[at[first]] >> _u64(16)))
     if not parts:
         e = np.empty(0, np.int64)
         return e, e, e, np.empty(0, np.uint64)
@@ -136,7 +136,18 @@ class PackRuns:
 
 
 def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    return ((hashes >> _u64(16)) % _u64(buckets)).astype(np.int64)
+    return (hashes % _u64(buckets)).astype(np.int64)
+
+
+def to_bytes(hashes: np.ndarray) -> bytes:
+    """Six bytes each."""
+    return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def from_bytes(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
 
 
 def least_documents(texts: list[bytes], offsets: np.ndarray, docs: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -241,7 +252,7 @@ def remove_repeats(docs: DataFrame, size: int = 50, bucket_bytes: int = 8 << 20)
                 cuts = np.flatnonzero(np.r_[True, to[1:] != to[:-1]]) if len(to) else np.empty(0, np.int64)
                 if len(cuts):
                     ends = np.r_[cuts[1:], len(to)]
-                    data = [own[a:b].tobytes() + (times[a:b] > 1).astype(np.uint8).tobytes() for a, b in zip(cuts, ends, strict=True)]
+                    data = [to_bytes(own[a:b]) + np.packbits(times[a:b] > 1).tobytes() for a, b in zip(cuts, ends, strict=True)]
                     yield pa.RecordBatch.from_arrays([pa.array(to[cuts], pa.int64()), pa.array([pack] * len(cuts), pa.binary()), pa.array(data, pa.binary())], names=["bucket", "pack", "data"])
 
     def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes], list[bytes]]]:
@@ -260,14 +271,15 @@ def remove_repeats(docs: DataFrame, size: int = 50, bucket_bytes: int = 8 << 20)
 
     def shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, names, rows in by_bucket(batches):
-            hashes = [np.frombuffer(r, "<u8", len(r) // 9) for r in rows]
-            flags = [np.frombuffer(r, np.uint8, offset=len(h) * 8) for r, h in zip(rows, hashes, strict=True)]
+            sizes = [len(r) * 8 // 49 for r in rows]  # six bytes and a bit each
+            hashes = [from_bytes(r[: 6 * n]) for r, n in zip(rows, sizes, strict=True)]
+            flags = [np.unpackbits(np.frombuffer(r, np.uint8, offset=6 * n), count=n) for r, n in zip(rows, sizes, strict=True)]
             every, inverse, times = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
             times[inverse[np.concatenate(flags) > 0]] = 2
             many = times[inverse] > 1
             at, data = 0, []
             for h in hashes:
-                data.append(h[many[at : at + len(h)]].tobytes())
+                data.append(to_bytes(h[many[at : at + len(h)]]))
                 at += len(h)
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(data, pa.binary())], names=["pack", "data"])
 
@@ -286,7 +298,7 @@ def remove_repeats(docs: DataFrame, size: int = 50, bucket_bytes: int = 8 << 20)
 
     def strings_of(own: dict[int, list[bytes]]) -> tuple:
         runs = PackRuns(own[0][0], size)
-        shared = np.sort(np.frombuffer(b"".join(own.get(1, [])), "<u8"))
+        shared = np.sort(from_bytes(b"".join(own.get(1, []))))
         return runs, *runs.strings(shared, size)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
