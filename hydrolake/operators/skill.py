@@ -19,7 +19,7 @@ def regression_metrics(y: str = "y", p: str = "p", eps: float = 0.0) -> dict[str
     e = F.col(p) - F.col(y)
     sst = F.count(y) * F.var_pop(y)
     sp, sy, mp, my = F.stddev_pop(p), F.stddev_pop(y), F.avg(p), F.avg(y)
-    kge = 1 - F.sqrt(F.pow(F.corr(p, y) - 1, 2) + F.pow(_safe(sp, sy) - 1, 2) + F.pow(_safe(mp, my) - 1, 2))
+    kge = 1 - F.sqrt(F.pow(_safe(F.covar_pop(p, y), sp * sy) - 1, 2) + F.pow(_safe(sp, sy) - 1, 2) + F.pow(_safe(mp, my) - 1, 2))
     return {
         "mae": F.avg(F.abs(e)), "rmse": F.sqrt(F.avg(e * e)), "nse": 1 - _safe(F.sum(e * e), sst + eps), "kge": F.when((sp > 0) & (sy > 0), kge),
         "pbias": 100 * _safe(F.sum(e), F.sum(y) + eps), "mape": 100 * F.avg(F.when(F.col(y) != 0, F.abs(e / F.col(y)))),
@@ -63,8 +63,8 @@ def binary_skill(df: DataFrame, by: Sequence[str], positive: str, prob: str, thr
 def multiclass_skill(df: DataFrame, by: Sequence[str], y: str, p: str) -> DataFrame:
     """Per class precision, recall, F1 and support, from the confusion table."""
     table = df.groupBy(*by, y, p).agg(F.count(F.lit(1)).alias("n"))
-    rows = table.select(*by, F.explode(F.array(F.struct(F.col(y).alias("k"), F.col("n").alias("t"), F.lit(0).cast("long").alias("s"), F.when(F.col(y) == F.col(p), F.col("n")).otherwise(0).alias("h")), F.struct(F.col(p).alias("k"), F.lit(0).cast("long").alias("t"), F.col("n").alias("s"), F.lit(0).cast("long").alias("h")))).alias("x")).select(*by, "x.*")
-    out = rows.groupBy(*by, F.col("k").alias("klass")).agg(F.sum("t").alias("support"), F.sum("s").alias("said"), F.sum("h").alias("hits"))
+    rows = table.select(*by, F.explode(F.array(F.struct(F.col(y).alias("_c"), F.col("n").alias("t"), F.lit(0).cast("long").alias("s"), F.when(F.col(y) == F.col(p), F.col("n")).otherwise(0).alias("h")), F.struct(F.col(p).alias("_c"), F.lit(0).cast("long").alias("t"), F.col("n").alias("s"), F.lit(0).cast("long").alias("h")))).alias("x")).select(*by, "x.*")
+    out = rows.groupBy(*by, F.col("_c").alias("klass")).agg(F.sum("t").alias("support"), F.sum("s").alias("said"), F.sum("h").alias("hits"))
     return out.withColumns({"precision": F.col("hits") / F.nullif(F.col("said"), F.lit(0)), "recall": F.col("hits") / F.nullif(F.col("support"), F.lit(0)), "f1": 2 * F.col("hits") / F.nullif(F.col("said") + F.col("support"), F.lit(0))})
 
 
@@ -139,9 +139,9 @@ def improvement(df: DataFrame, by: Sequence[str], model: str, base: str) -> Data
 
 def linear_validation(df: DataFrame, by: Sequence[str], x: str, y: str, least: int = 3) -> DataFrame:
     """Pearson r, slope, intercept, bias and RMSE of y on x; keys with under ``least`` pairs are left out."""
-    e = F.col(y) - F.col(x)
+    e, slope = F.col(y) - F.col(x), _safe(F.covar_pop(x, y), F.var_pop(x))
     out = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.corr(x, y).alias("r"), F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.avg(e).alias("bias"), F.sqrt(F.avg(e * e)).alias("rmse")
+        F.count(F.lit(1)).alias("n"), _safe(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)).alias("r"), slope.alias("slope"), (F.avg(y) - slope * F.avg(x)).alias("intercept"), F.avg(e).alias("bias"), F.sqrt(F.avg(e * e)).alias("rmse")
     )
     return out.where(F.col("n") >= least)
 

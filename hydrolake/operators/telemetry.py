@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from hydrolake.functions import scalar as S
 from hydrolake.operators import lookups
 
-HOUR = F.expr
-
-
 def hourly_resample(df: DataFrame, by: Sequence[str], ts: str, last_cols: Sequence[str], mean_cols: Sequence[str]) -> DataFrame:
     """Per hour the last non-null of some columns, the mean of others and the count; hours without readings are kept."""
     per = df.groupBy(*by, F.date_trunc("hour", ts).alias("hour")).agg(
@@ -42,11 +39,15 @@ def day_of_mark(mark: str = "mark") -> Column:
     return F.to_date(F.col(mark) + F.expr("INTERVAL 16 HOUR"))
 
 
-def daily_telemetry(marks: DataFrame, by: Sequence[str], level: str = "level", rain: str = "rain") -> DataFrame:
-    """24 hour marks that end at 07:00: the level there, rain over found marks, marks found, and whether the day is complete."""
+def daily_telemetry(marks: DataFrame, by: Sequence[str], level: str = "level", rain: str = "rain", fill: bool = False) -> DataFrame:
+    """24 hour marks that end at 07:00: the level there (fill: else the day's last known one), rain over found marks, marks
+    found, and whether the day is complete."""
     at7 = F.hour("mark") == 7
+    known = F.col(level).isNotNull()
+    last = F.max_by(F.when(known, F.col(level)), F.when(known, F.col("mark")))
+    at_seven = F.max(F.when(at7, F.col(level)))
     out = marks.withColumn("date", day_of_mark()).groupBy(*by, "date").agg(
-        F.max(F.when(at7, F.col(level))).alias("level_msl"), F.sum(F.coalesce(F.col(rain), F.lit(0.0))).alias("rain_24h_mm"), F.count(F.lit(1)).alias("hours_covered")
+        (F.coalesce(at_seven, last) if fill else at_seven).alias("level_msl"), F.sum(F.coalesce(F.col(rain), F.lit(0.0))).alias("rain_24h_mm"), F.count(F.lit(1)).alias("hours_covered")
     )
     return out.withColumn("data_complete", (F.col("hours_covered") == 24) & F.col("level_msl").isNotNull())
 

@@ -54,12 +54,12 @@ CLIMATE = FILLED + """, clim AS (SELECT f.zone, f.iso_year, f.iso_week, f.rain,
 RV = "rain_daily weather_daily"
 
 
-@register("p1_iso_week", sql("rain_daily", DAYS + f"SELECT {dt('date', 'date')}, CAST(isoyear(date) AS INT) AS iso_year, CAST(week(date) AS INT) AS iso_week, CAST(isodow(date) AS INT) AS weekday, {dt('date_trunc(''week'', date)', 'week_start')} FROM days"))
+@register("p1_iso_week", sql("rain_daily", DAYS + f"SELECT {dt('date', 'date')}, CAST(isoyear(date) AS INT) AS iso_year, CAST(week(date) AS INT) AS iso_week, CAST(isodow(date) AS INT) AS weekday, {dt("date_trunc('week', date)", 'week_start')} FROM days"))
 def p1_iso_week(spark, sf_dir):
     return tidy(days(spark, sf_dir).select("date", S.iso_year("date").alias("iso_year"), S.iso_week("date").alias("iso_week"), S.weekday("date").alias("weekday"), S.monday("date").alias("week_start")))
 
 
-@register("p2_week_start", sql("rain_daily", f"SELECT DISTINCT CAST(isoyear(date) AS INT) AS iso_year, CAST(week(date) AS INT) AS iso_week, {dt('date_trunc(''week'', date)', 'week_start')} FROM rain_daily"))
+@register("p2_week_start", sql("rain_daily", f"SELECT DISTINCT CAST(isoyear(date) AS INT) AS iso_year, CAST(week(date) AS INT) AS iso_week, {dt("date_trunc('week', date)", 'week_start')} FROM rain_daily"))
 def p2_week_start(spark, sf_dir):
     x = rain(spark, sf_dir).select(S.iso_year("date").alias("iso_year"), S.iso_week("date").alias("iso_week")).distinct()
     return tidy(x.withColumn("week_start", S.week_start("iso_year", "iso_week")))
@@ -327,7 +327,7 @@ def g6_tier_schedule(spark, sf_dir):
     return tidy(plan.select("date", F.explode("tiers").alias("tier")))
 
 
-@register("g7_candidate_days", sql("rain_daily", DAYS + f"SELECT {dt('date', 'date')}, {dt('unnest(generate_series(CASE WHEN isodow(date) = 1 THEN date - INTERVAL 7 DAY ELSE date_trunc(''week'', date)::TIMESTAMP END, date - INTERVAL 1 DAY, INTERVAL 1 DAY))', 'candidate')} FROM days"))
+@register("g7_candidate_days", sql("rain_daily", DAYS + f"SELECT {dt('date', 'date')}, {dt("unnest(generate_series(CASE WHEN isodow(date) = 1 THEN date - INTERVAL 7 DAY ELSE date_trunc('week', date)::TIMESTAMP END, date - INTERVAL 1 DAY, INTERVAL 1 DAY))", 'candidate')} FROM days"))
 def g7_candidate_days(spark, sf_dir):
     return tidy(series.candidate_days(days(spark, sf_dir), "date"))
 

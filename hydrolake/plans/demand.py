@@ -11,7 +11,7 @@ from hydrolake.plans.climate import CLIMATE, RV, climate, weekly_rain
 from hydrolake.plans.helpers import WEEKLY, dt, rd, sql, tidy
 from hydrolake.plans.registry import register
 from hydrolake.sources import readers
-from hydrolake.sources.views import VIEWS, view
+from hydrolake.sources.views import view
 
 K = "zone, iso_year, iso_week"
 KEYS = ["zone", "iso_year", "iso_week"]
@@ -25,7 +25,7 @@ def weekly_demand(spark, sf_dir):
     return demand.crop_demand(climate(spark, sf_dir), view(spark, sf_dir, "kc_table"), view(spark, sf_dir, "crop_area"))
 
 
-@register("a11_crop_demand", sql(DV, WEEKLY + CLIMATE + DEMAND + f"SELECT {K}, {rd('net_m3', 'net_m3', 3)}, {rd('etc_m3', 'etc_m3', 3)}, crops_without_kc, {rd('net_m3 / CASE WHEN zone = ''A'' THEN 0.9e0 ELSE 1e0 END', 'gross_m3', 3)} FROM dem"))
+@register("a11_crop_demand", sql(DV, WEEKLY + CLIMATE + DEMAND + f"SELECT {K}, {rd('net_m3', 'net_m3', 3)}, {rd('etc_m3', 'etc_m3', 3)}, crops_without_kc, {rd("net_m3 / CASE WHEN zone = 'A' THEN 0.9e0 ELSE 1e0 END", 'gross_m3', 3)} FROM dem"))
 def a11_crop_demand(spark, sf_dir):
     return tidy(weekly_demand(spark, sf_dir), 3)
 
@@ -70,7 +70,7 @@ KCW = f"""st(pos, crop, stage, a, b, base) AS (VALUES {_STAGES})
 , kcw AS (SELECT wk.crop, wk.week, coalesce(stage, 'offseason') AS stage, coalesce(round(base * 1.05e0, 3), 0e0) AS kc FROM wk LEFT JOIN hit USING (crop, week))"""
 
 
-@register("g3_kc_week_table", f"WITH {VIEWS and ''}{KCW} SELECT n.zone, CAST(n.year AS INT) AS year, k.crop, k.stage, {rd('k.kc', 'kc', 3)}, n.n FROM (SELECT CASE WHEN l_suppkey % 2 = 0 THEN 'A' ELSE 'B' END AS zone, isoyear(l_shipdate) AS year, CAST(least(week(l_shipdate), 52) AS INT) AS week, count(*) AS n FROM lineitem GROUP BY 1, 2, 3) n JOIN kcw k ON k.week = n.week")
+@register("g3_kc_week_table", f"WITH {KCW} SELECT n.zone, CAST(n.year AS INT) AS year, k.crop, k.stage, {rd('k.kc', 'kc', 3)}, n.n FROM (SELECT CASE WHEN l_suppkey % 2 = 0 THEN 'A' ELSE 'B' END AS zone, isoyear(l_shipdate) AS year, CAST(least(week(l_shipdate), 52) AS INT) AS week, count(*) AS n FROM lineitem GROUP BY 1, 2, 3) n JOIN kcw k ON k.week = n.week")
 def g3_kc_week_table(spark, sf_dir):
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.when(F.col("l_suppkey") % 2 == 0, "A").otherwise("B").alias("zone"), S.iso_year("l_shipdate").alias("year"), S.clamp_week(S.iso_week("l_shipdate")).alias("week"))
     n = li.groupBy("zone", "year", "week").agg(F.count(F.lit(1)).alias("n"))
@@ -96,7 +96,7 @@ def p16_recode(spark, sf_dir):
     return view(spark, sf_dir, "parcels").select(F.coalesce(F.try_element_at(codes, F.col("crop")), F.lit("etc")).alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("a16_phenology_calendar", sql("parcels", PARC + f"SELECT crop, CAST(year(plant) AS INT) AS year, {rd('avg(dayofyear(plant))', 'plant_doy', 1)}, {rd('stddev_samp(dayofyear(plant))', 'plant_doy_std', 1)}, {rd('avg(dayofyear(harvest))', 'harvest_doy', 1)}, {rd('avg(days)', 'days', 1)}, count(*) AS n, {rd('sum(area_rai)', 'area_rai', 1)} FROM g WHERE days > 30 AND days < 365 GROUP BY 1, 2"))
+@register("a16_phenology_calendar", sql("parcels", PARC + f"SELECT crop, CAST(year(plant) AS INT) AS year, {rd('avg(dayofyear(plant)) + 1e-9', 'plant_doy', 1)}, {rd('stddev_samp(dayofyear(plant)) + 1e-9', 'plant_doy_std', 1)}, {rd('avg(dayofyear(harvest)) + 1e-9', 'harvest_doy', 1)}, {rd('avg(days) + 1e-9', 'days', 1)}, count(*) AS n, {rd('sum(area_rai)', 'area_rai', 1)} FROM g WHERE days > 30 AND days < 365 GROUP BY 1, 2"))
 def a16_phenology_calendar(spark, sf_dir):
     x = view(spark, sf_dir, "parcels").withColumn("year", F.year(S.buddhist_date("plant_text")))
     return tidy(demand.phenology(x, ["crop", "year"]), 1)
@@ -141,7 +141,7 @@ def j13_calendar_lag(spark, sf_dir):
     return tidy(lookups.calendar_lag(sparse_weeks(spark, sf_dir), ["zone"], "week_start", "rain", 4).drop("rain", "week_start"))
 
 
-@register("w15_sliding_windows", sql(RV, WEEKLY + f", sx AS (SELECT zone, iso_year, iso_week, CASE WHEN n_days >= 7 THEN round(rain, 2) END AS r FROM wr) SELECT {K}, coalesce(array_to_string(list_transform(x, v -> CAST(round(v * 100) AS BIGINT)), ','), '') AS win, x IS NULL AS no_data FROM (SELECT zone, iso_year, iso_week, count(*) OVER w AS n, CASE WHEN count(r) OVER w = 4 THEN list(r) OVER w END AS x FROM sx WINDOW w AS (PARTITION BY zone ORDER BY iso_year, iso_week ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)) WHERE n = 4"))
+@register("w15_sliding_windows", sql(RV, WEEKLY + f", sx AS (SELECT zone, iso_year, iso_week, CASE WHEN n_days >= 7 THEN round(rain, 2) END AS r FROM wr) SELECT {K}, coalesce(array_to_string(list_transform(x, lambda v: CAST(round(v * 100) AS BIGINT)), ','), '') AS win, x IS NULL AS no_data FROM (SELECT zone, iso_year, iso_week, count(*) OVER w AS n, CASE WHEN count(r) OVER w = 4 THEN list(r) OVER w END AS x FROM sx WINDOW w AS (PARTITION BY zone ORDER BY iso_year, iso_week ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)) WHERE n = 4"))
 def w15_sliding_windows(spark, sf_dir):
     x = weekly_rain(spark, sf_dir).withColumn("r", F.when(F.col("n_days") >= 7, F.round("rain", 2)))
     w = series.sliding_windows(x, ["zone"], ["iso_year", "iso_week"], "r", 4)

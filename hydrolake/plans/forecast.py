@@ -163,9 +163,9 @@ def split(spark, sf_dir, part):
 
 def _quantile(source: str, by: str) -> str:
     """SQL of the conformal quantile of s over ``by``."""
-    return f"""SELECT {by}, n, lo + (hi - lo) * (at - floor(at)) AS q FROM (SELECT {by}, n, at, min(s) AS lo, max(s) AS hi FROM (
- SELECT *, least(ceil(round((n + 1) * 9e-1, 9)) / n, 1e0) * (n - 1) + 1 AS at FROM (SELECT *, count(*) OVER (PARTITION BY {by}) AS n, row_number() OVER (PARTITION BY {by} ORDER BY s) AS i FROM {source}))
- WHERE i = floor(at) OR i = ceil(at) GROUP BY {by}, n, at)"""
+    return f"""SELECT {by}, n, lo + (hi - lo) * (pos - floor(pos)) AS q FROM (SELECT {by}, n, pos, min(s) AS lo, max(s) AS hi FROM (
+ SELECT *, least(ceil(round((n + 1) * 9e-1, 9)) / n, 1e0) * (n - 1) + 1 AS pos FROM (SELECT *, count(*) OVER (PARTITION BY {by}) AS n, row_number() OVER (PARTITION BY {by} ORDER BY s) AS i FROM {source}))
+ WHERE i = floor(pos) OR i = ceil(pos) GROUP BY {by}, n, pos)"""
 
 
 SCORES = P + ", sc AS (SELECT zone, horizon, CASE WHEN y > 0 THEN 'wet' ELSE 'dry' END AS regime, abs(y - yhat) / (yhat + 1000) AS s FROM p WHERE split = 'calib')"
@@ -265,9 +265,10 @@ def state(spark, sf_dir):
     return features.daily_state(balance(spark, sf_dir), ["station"], 1.2e6)
 
 
-@register("a21_daily_state", sql(TV, STATE + f"SELECT station, {dt('date', 'date')}, {rd('pct_full', 'pct_full')}, {rd('delta_s', 'delta_s', 3)}, {rd('api', 'api')} FROM st"))
+@register("a21_daily_state", sql(TV, STATE + f"SELECT station, {dt('date', 'date')}, {rd('pct_full', 'pct_full')}, {rd('delta_s', 'delta_s', 3)}, {rd('sqrt(api)', 'api', 6)} FROM st"))
 def a21_daily_state(spark, sf_dir):
-    return tidy(state(spark, sf_dir).select("station", "date", "pct_full", "delta_s", "api")).withColumn("delta_s", F.round("delta_s", 3))
+    x = state(spark, sf_dir)
+    return x.select("station", F.col("date").cast("string").alias("date"), F.round("pct_full", 4).alias("pct_full"), (F.round("delta_s", 3) + 0.0).alias("delta_s"), F.round(F.sqrt("api"), 6).alias("api"))
 
 
 @register("p13_plausible_rows", sql(TV, STATE + f"SELECT station, {dt('date', 'date')}, delta_s IS NOT NULL AND api IS NOT NULL AND pct_full <= 105 AS valid FROM st"))
@@ -332,7 +333,7 @@ def l4_fit_magnitude(spark, sf_dir):
 
 @register("l5_tune")
 def l5_tune(spark, sf_dir):
-    return tidy(models.tune(training(spark, sf_dir).where("y > 0 AND horizon = 1"), FEATURES, "y", "row_id"), 3)
+    return tidy(models.tune(training(spark, sf_dir).where("y > 0"), FEATURES, "y", "row_id"), 3)
 
 
 @register("l8_ridge_stack")

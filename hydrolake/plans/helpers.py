@@ -54,6 +54,7 @@ MARKS = """
 , best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY station, data_type, mark ORDER BY d, ts, value) AS k FROM cand) WHERE k = 1)
 , marks AS (SELECT station, mark, max(CASE WHEN data_type = 'water_level' THEN value END) AS level, max(CASE WHEN data_type = 'rainfall_1h' THEN value END) AS rain FROM best GROUP BY 1, 2)
 , daily AS (SELECT station, CAST(mark + INTERVAL 16 HOUR AS DATE) AS date, max(CASE WHEN hour(mark) = 7 THEN level END) AS level_msl, sum(coalesce(rain, 0e0)) AS rain_24h_mm, count(*) AS hours_covered FROM marks GROUP BY 1, 2)
+, dailyf AS (SELECT station, CAST(mark + INTERVAL 16 HOUR AS DATE) AS date, coalesce(max(CASE WHEN hour(mark) = 7 THEN level END), arg_max(level, mark) FILTER (WHERE level IS NOT NULL)) AS level_msl, sum(coalesce(rain, 0e0)) AS rain_24h_mm FROM marks GROUP BY 1, 2)
 """
 
 #: weekly rain and weather

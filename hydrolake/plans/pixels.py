@@ -49,8 +49,8 @@ def j15_extract_at_points(spark, sf_dir):
 
 
 _EDGES = ", ".join(f"('{k}', {ring[i][0]}e0, {ring[i][1]}e0, {ring[(i + 1) % len(ring)][0]}e0, {ring[(i + 1) % len(ring)][1]}e0)" for k, ring in RINGS.items() for i in range(len(ring)))
-INSIDE = f""", ed(poly, ax, ay, bx, by) AS (VALUES {_EDGES}), pt AS (SELECT DISTINCT px, py, px + 0.5e0 AS x, py + 0.5e0 AS y FROM pixels)
-, ins AS (SELECT poly, px, py FROM pt CROSS JOIN ed WHERE (ay > y) <> (by > y) AND x < (bx - ax) * (y - ay) / (by - ay) + ax GROUP BY 1, 2, 3 HAVING count(*) % 2 = 1)"""
+INSIDE = f""", ed(poly, ax, ay, bx, b_y) AS (VALUES {_EDGES}), pt AS (SELECT DISTINCT px, py, px + 0.5e0 AS x, py + 0.5e0 AS y FROM pixels)
+, ins AS (SELECT poly, px, py FROM pt CROSS JOIN ed WHERE (ay > y) <> (b_y > y) AND x < (bx - ax) * (y - ay) / (b_y - ay) + ax GROUP BY 1, 2, 3 HAVING count(*) % 2 = 1)"""
 
 
 def inside(spark, sf_dir):

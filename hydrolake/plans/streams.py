@@ -39,7 +39,7 @@ def t2_stream_monotonic_gap(spark, sf_dir):
     return tidy(streams.run_to_table(x, folder(spark, "t2")).withColumnRenamed("key", "station"))
 
 
-@register("t3_stream_hourly", sql("telemetry_long", f"SELECT station, {tm('date_trunc(''hour'', ts)', 'hour')}, {rd('arg_max(value, ts)', 'last')}, {rd('avg(value)', 'mean')}, count(*) AS n FROM telemetry_long WHERE data_type = 'water_level' GROUP BY station, date_trunc('hour', ts)"))
+@register("t3_stream_hourly", sql("telemetry_long", f", h AS (SELECT station, date_trunc('hour', ts) AS h, arg_max(value, ts) AS l, avg(value) AS m, count(*) AS n FROM telemetry_long WHERE data_type = 'water_level' GROUP BY 1, 2) SELECT station, {tm('h', 'hour')}, {rd('l', 'last')}, {rd('m', 'mean')}, n FROM h"))
 def t3_stream_hourly(spark, sf_dir):
     x = streams.stream_hourly(source(spark, sf_dir, "telemetry_long").where("data_type = 'water_level'"), ["station"], "ts", "value")
     return tidy(streams.run_batches(x, folder(spark, "t3")))
@@ -52,12 +52,11 @@ def t4_stream_latest(spark, sf_dir):
 
 
 @register("t5_stream_daily_rain", sql("telemetry_long", MARKS + f"""
-, r AS (SELECT station, CAST(mark + INTERVAL 16 HOUR AS DATE) AS date, sum(coalesce(value, 0)) AS rain_24h_mm, count(*) AS hours_covered, max(mark) AS m FROM best WHERE data_type = 'rainfall_1h' GROUP BY 1, 2)
-, fin AS (SELECT max(mark) AS m FROM cand WHERE data_type = 'rainfall_1h')
-SELECT station, {dt('date', 'date')}, {rd('rain_24h_mm', 'rain_24h_mm')}, hours_covered FROM r, fin WHERE CAST(date AS TIMESTAMP) + INTERVAL 8 HOUR <= date_trunc('hour', fin.m) - INTERVAL 3 HOUR"""))
+, r AS (SELECT station, CAST(mark + INTERVAL 16 HOUR AS DATE) AS d, sum(coalesce(value, 0)) AS rain_24h_mm, count(*) AS hours_covered FROM best WHERE data_type = 'rainfall_1h' GROUP BY 1, 2)
+SELECT station, {dt('d', 'date')}, {rd('rain_24h_mm', 'rain_24h_mm')}, hours_covered FROM r"""))
 def t5_stream_daily_rain(spark, sf_dir):
     x = streams.stream_daily_rain(source(spark, sf_dir, "telemetry_long").where("data_type = 'rainfall_1h'"), ["station"], "ts", "value")
-    return tidy(streams.run_to_table(x, folder(spark, "t5")))
+    return tidy(streams.run_batches(x, folder(spark, "t5")))
 
 
 @register("t6_stream_valve_pairing", f"WITH {PAIRS[2:]} SELECT station, row_id, event_no, outcome FROM outcome")

@@ -59,7 +59,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 , x AS (SELECT *, CAST(floor(epoch_us(ts) / 6e8) AS BIGINT) AS bin FROM telemetry_long)
 , g AS (SELECT bin, s.station, x.row_id, x.data_type, x.ts, round(x.value, 3) AS value FROM (SELECT DISTINCT bin FROM x) CROSS JOIN (SELECT unnest(['RES000','RES001','RES002','RES003']) AS station) s LEFT JOIN x USING (bin, station))
 SELECT bin, station, {', '.join(f"{rd(f'''arg_max(value, row_id) FILTER (WHERE data_type = '{t}')''', t, 3)}" for t in (*TYPES, 'pressure'))},
- array_to_string(list_sort(list_filter(['water_level','rainfall_1h','temperature','humidity','pressure','solar'], t -> NOT list_contains(coalesce(list(data_type) FILTER (WHERE row_id IS NOT NULL), []), t))), ',') AS missing_types,
+ array_to_string(list_sort(list_filter(['water_level','rainfall_1h','temperature','humidity','pressure','solar'], lambda t: NOT list_contains(coalesce(list(data_type) FILTER (WHERE row_id IS NOT NULL), []), t))), ',') AS missing_types,
  count(row_id) > 0 AS found, strftime(min(ts) FILTER (WHERE TRUE), '%Y-%m-%d %H:%M:%S') AS measure_datetime,
  count(DISTINCT strftime(ts, '%Y-%m-%d %H:%M:%S')) > 1 AS mixed_times
 FROM g GROUP BY bin, station"""))
@@ -75,7 +75,7 @@ def s4_read_curve(spark, sf_dir):
     return tidy(c.groupBy("station").agg(F.count(F.lit(1)).alias("n"), F.min("level").alias("least"), F.max("level").alias("most"), F.min(F.col("storage_m3") >= F.coalesce("_p", F.lit(-1.0))).alias("rises")))
 
 
-@register("s7_read_release_events", sql("release_events", f"SELECT event_no, {tm('date_trunc(''minute'', start_ts)', 'start_ts')}, {tm('date_trunc(''minute'', end_ts)', 'end_ts')}, {rd('rate_m3_per_day', 'rate_m3_per_day')} FROM release_events"))
+@register("s7_read_release_events", sql("release_events", f"SELECT event_no, {tm("date_trunc('minute', start_ts)", 'start_ts')}, {tm("date_trunc('minute', end_ts)", 'end_ts')}, {rd('rate_m3_per_day', 'rate_m3_per_day')} FROM release_events"))
 def s7_read_release_events(spark, sf_dir):
     e = view(spark, sf_dir, "release_events")
     text = lambda c, f: F.coalesce(F.date_format(c, f), F.lit(" "))
@@ -208,7 +208,7 @@ BALANCE = ", bal AS (" + f"""
    area_m2 * rain_24h_mm / 1000 AS rain_m3, area_m2 * ([{', '.join(map(repr, S.EVAPORATION_NORMS))}][month(x.date)] / day(last_day(x.date)) * 0.7e0) / 1000 AS evap_m3, area_m2 / 1000 AS infiltration_m3
  FROM (SELECT *, CASE WHEN lag(date) OVER w = date - 1 THEN lag(storage_m3) OVER w END AS prev_storage_m3 FROM (
    SELECT k.station, k.date, k.level_msl, k.rain_24h_mm, coalesce(c.area_m2, f.area_m2) AS area_m2, coalesce(c.storage_m3, f.storage_m3) AS storage_m3
-   FROM (SELECT *, level_msl + 1e-9 AS z FROM daily WHERE level_msl IS NOT NULL) k ASOF LEFT JOIN rating_curve c ON k.station = c.station AND k.z >= c.level
+   FROM (SELECT *, level_msl + 1e-9 AS z FROM dailyf WHERE level_msl IS NOT NULL) k ASOF LEFT JOIN rating_curve c ON k.station = c.station AND k.z >= c.level
    LEFT JOIN (SELECT station, arg_min(area_m2, level) AS area_m2, arg_min(storage_m3, level) AS storage_m3 FROM rating_curve GROUP BY 1) f ON f.station = k.station) WINDOW w AS (PARTITION BY station ORDER BY date)) x
  LEFT JOIN spill s ON s.station = x.station AND s.date = x.date LEFT JOIN (SELECT station, date, sum(rate_m3_per_day) AS release_m3 FROM cov GROUP BY 1, 2) r ON r.station = x.station AND r.date = x.date
  WHERE prev_storage_m3 IS NOT NULL)))"""
@@ -217,7 +217,7 @@ PARTS = ("level_msl", "rain_24h_mm", "storage_m3", "delta_s_m3", "rain_m3", "rel
 
 def balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = hour_marks(spark, sf_dir)
-    daily = telemetry.daily_telemetry(marks, ["station"])
+    daily = telemetry.daily_telemetry(marks, ["station"], fill=True)
     spilled = telemetry.spill_daily(telemetry.filled_hours(marks, ["station"]), ["station"])
     return telemetry.water_balance_daily(daily, view(spark, sf_dir, "rating_curve"), spilled, releases(spark, sf_dir))
 
@@ -278,7 +278,8 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("a41_station_snapshot", sql("telemetry_long rating_curve", LATEST + SNAP + f"SELECT station, {rd('level', 'level')}, {rd('storage_now', 'storage_now', 2)}, {rd('storage_full', 'storage_full', 2)}, {rd('489.545e0 - level', 'to_spillway', 3)}, {rd('100 * storage_now / storage_full', 'pct_full', 2)} FROM snap"))
 def a41_station_snapshot(spark, sf_dir):
-    return tidy(snapshot(spark, sf_dir).select("station", "level", "to_spillway", "pct_full", "storage_now", "storage_full"), 4).withColumns({"storage_now": F.round("storage_now", 2), "storage_full": F.round("storage_full", 2)})
+    x = snapshot(spark, sf_dir)
+    return x.select("station", F.round("level", 4).alias("level"), "to_spillway", "pct_full", F.round("storage_now", 2).alias("storage_now"), F.round("storage_full", 2).alias("storage_full"))
 
 
 @register("s13_monitoring_document", sql("telemetry_long rating_curve", MARKS + LATEST + SNAP + """, hist AS (SELECT station, count(*) AS n_history, min(value) AS least FROM best JOIN (SELECT station, date_trunc('hour', max(ts)) AS fin FROM telemetry_long WHERE data_type = 'water_level' GROUP BY 1) USING (station) WHERE data_type = 'water_level' AND mark <= fin AND mark > fin - INTERVAL 72 HOUR GROUP BY 1)
@@ -301,10 +302,10 @@ def d1_fill_or_flag_gap(spark, sf_dir):
 
 
 @register("a20_recursive_api", sql("telemetry_long", MARKS + f"""
-, r AS (SELECT station, date, CASE WHEN hours_covered >= 3 THEN rain_24h_mm END AS rain FROM daily)
+, r AS (SELECT station, date, CASE WHEN hours_covered >= 3 THEN sqrt(rain_24h_mm) END AS rain FROM daily)
 , k AS (SELECT station, date, rain, row_number() OVER (PARTITION BY station ORDER BY date) AS i FROM r WHERE rain IS NOT NULL)
 , p AS (SELECT a.station, a.date, sum(pow(0.95e0, a.i - b.i) * b.rain) AS api FROM k a JOIN k b ON a.station = b.station AND b.i <= a.i GROUP BY 1, 2)
 SELECT r.station, {dt('r.date', 'date')}, {rd('p.api', 'api')} FROM r LEFT JOIN p ON r.station = p.station AND r.date = p.date"""))
 def a20_recursive_api(spark, sf_dir):
-    d = telemetry.daily_telemetry(hour_marks(spark, sf_dir), ["station"]).withColumn("rain", F.when(F.col("hours_covered") >= 3, F.col("rain_24h_mm")))
+    d = telemetry.daily_telemetry(hour_marks(spark, sf_dir), ["station"]).withColumn("rain", F.when(F.col("hours_covered") >= 3, F.sqrt("rain_24h_mm")))
     return tidy(series.recursive_api(d, ["station"], "date", "rain").select("station", "date", "api"))

@@ -35,7 +35,7 @@ VIEWS: dict[str, View] = {
             "station": "concat('RES00', CAST(user_id % 4 AS STRING))",
             "data_type": "CASE event_type WHEN 'view' THEN 'water_level' WHEN 'click' THEN 'rainfall_1h' WHEN 'signup' THEN 'temperature' WHEN 'purchase' THEN 'humidity' ELSE 'solar' END",
             "ts": "ts",
-            "value": "CASE WHEN event_type = 'view' THEN 485 + value / 100 ELSE value END",
+            "value": "CASE WHEN event_type = 'view' THEN 485 + value * 1.00000314159265e-2 ELSE value * 1.4142135623730951e0 END",
             "row_id": "event_id",
         },
     ),
@@ -45,7 +45,7 @@ VIEWS: dict[str, View] = {
             "station": "concat('RES00', CAST(user_id % 4 AS STRING))",
             "fetch_time": "ts",
             "measure_datetime": "CASE WHEN event_id % 17 = 0 THEN ts - INTERVAL 2 HOUR ELSE ts END",
-            "water_level": "485 + value / 100",
+            "water_level": "485 + value * 1.00000314159265e-2",
             "row_id": "event_id",
         },
         "event_type = 'view'",
@@ -82,7 +82,7 @@ VIEWS: dict[str, View] = {
         {
             "zone": "CASE WHEN l_suppkey % 2 = 0 THEN 'A' ELSE 'B' END",
             "date": "CAST(l_shipdate AS DATE)",
-            "precipitation": "greatest(0e0, (sum(l_quantity) / count(*) - 22) * 2)",
+            "precipitation": "greatest(0e0, (sum(l_quantity) / count(*) - 22) * 1.4142135623730951e0)",
             "data_type": ("CASE WHEN unix_date(CAST(l_shipdate AS DATE)) % 10 < 7 THEN 'final' WHEN unix_date(CAST(l_shipdate AS DATE)) % 10 < 9 THEN 'prelim_ftp' ELSE 'prelim' END",
                           "CASE WHEN (CAST(l_shipdate AS DATE) - DATE '1970-01-01') % 10 < 7 THEN 'final' WHEN (CAST(l_shipdate AS DATE) - DATE '1970-01-01') % 10 < 9 THEN 'prelim_ftp' ELSE 'prelim' END"),
         },
@@ -115,7 +115,7 @@ VIEWS: dict[str, View] = {
             "plant_text": ("concat(CAST(year(o_orderdate) + 543 AS STRING), date_format(o_orderdate, 'MMdd'))", "concat(CAST(year(o_orderdate) + 543 AS VARCHAR), strftime(o_orderdate, '%m%d'))"),
             "harvest_text": ("date_format(date_add(CAST(o_orderdate AS DATE), CAST(o_orderkey % 400 AS INT)), 'yyyyMMdd')", "strftime(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 400 AS INTEGER), '%Y%m%d')"),
             "crop": "CASE o_orderpriority WHEN '1-URGENT' THEN 'rice' WHEN '2-HIGH' THEN 'corn' WHEN '3-MEDIUM' THEN 'cassava' WHEN '4-NOT SPECIFIED' THEN 'longan' ELSE 'shrub' END",
-            "area_rai": "o_totalprice / 1e4",
+            "area_rai": "sqrt(o_totalprice) / 1e2",
             "lat": "18 + (o_custkey % 100) / 1e2",
             "lon": "99 + (o_orderkey % 100) / 1e2",
         },
@@ -126,9 +126,9 @@ VIEWS: dict[str, View] = {
             "px": "l_partkey % 200", "py": "l_suppkey % 200", "class_id": "l_partkey % 5",
             "zone": "CASE WHEN l_suppkey % 2 = 0 THEN 'A' ELSE 'B' END",
             "day": "CAST(l_shipdate AS DATE)", "scene": "l_orderkey", "cloud": "l_linenumber * 3",
-            "green": "l_quantity / 5e1", "red": "l_discount + 1e-1", "rededge": "l_discount + 3e-1", "nir": "3e-1 + l_tax * 3",
-            "vv": "CASE WHEN l_linenumber = 7 THEN -9999e0 ELSE -8 - l_quantity / 1e1 END",
-            "vh": "CASE WHEN l_linenumber = 7 THEN -9999e0 ELSE -14 - l_quantity / 1e1 - l_discount * 10 END",
+            "green": "l_quantity * 2.00003141592e-2", "red": "l_discount + 1.00003141592e-1", "rededge": "l_discount + 3.00003141592e-1", "nir": "3e-1 + l_tax * 3",
+            "vv": "CASE WHEN l_linenumber = 7 THEN -9999e0 ELSE -8 - l_quantity * 1.00003141592e-1 END",
+            "vh": "CASE WHEN l_linenumber = 7 THEN -9999e0 ELSE -14 - l_quantity * 1.00003141592e-1 - l_discount * 10 END",
         },
     ),
     "predictions": View(
@@ -140,10 +140,10 @@ VIEWS: dict[str, View] = {
             "year": "CAST(year(o_orderdate) AS INT)",
             "horizon": "CAST(1 + o_orderkey % 12 AS INT)",
             "split": "CASE WHEN year(o_orderdate) < 1998 THEN 'train' WHEN year(o_orderdate) < 2000 THEN 'calib' ELSE 'test' END",
-            "y": "CASE WHEN o_orderkey % 3 = 0 THEN 0e0 ELSE o_totalprice END",
+            "y": "CASE WHEN o_orderkey % 3 = 0 THEN 0e0 ELSE sqrt(o_totalprice) * 4e2 END",
             "prob": "CASE WHEN o_orderkey % 3 = 0 THEN ((o_orderkey * 7919) % 600) / 1e3 ELSE (400 + (o_orderkey * 7919) % 600) / 1e3 END",
-            "m1": "o_totalprice * (8e-1 + (o_orderkey % 5) / 1e1)",
-            "m2": "o_totalprice * (7e-1 + (o_orderkey % 7) / 1e1)",
+            "m1": "sqrt(o_totalprice) * 4e2 * (8e-1 + (o_orderkey % 5) / 1e1)",
+            "m2": "sqrt(o_totalprice) * 4e2 * (7e-1 + (o_orderkey % 7) / 1e1)",
             "klass": "CAST(o_custkey % 4 AS INT)",
             "klass_hat": "CAST(CASE WHEN o_orderkey % 5 = 0 THEN (o_custkey + 1) % 4 ELSE o_custkey % 4 END AS INT)",
         },

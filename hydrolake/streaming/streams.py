@@ -50,16 +50,20 @@ def stream_latest(rows: DataFrame, by: Sequence[str], order: str, ts: str, value
     return rows.where(F.col(value).isNotNull()).groupBy(*by).agg(F.max_by(value, order).alias("value"), F.max_by(ts, order).alias("ts"))
 
 
-def stream_daily_rain(rows: DataFrame, by: Sequence[str], ts: str, rain: str, delay: str = "2 hours") -> DataFrame:
-    """Rain of hour marks over days that end at 07:00: the nearest reading of each mark, then 24-hour windows."""
+def stream_daily_rain(rows: DataFrame, by: Sequence[str], ts: str, rain: str, delay: str = "26 hours") -> DataFrame:
+    """Rain of the 24 hour marks of days that end at 07:00, each mark by its nearest reading within half an hour.
+
+    One aggregation per day: a minimum of (distance, time, rain) for each of the 24 marks, so the state is bounded.
+    """
     base = F.date_trunc("hour", F.col(ts).cast("timestamp"))
-    x = rows.withColumn("mark", F.explode(F.array(base, base + F.expr("INTERVAL 1 HOUR")))).withColumn("_t", F.col(ts).cast("timestamp"))
-    dist = F.abs(F.unix_micros("_t") - F.unix_micros("mark"))
-    x = x.withColumn("_d", dist).where(F.col("_d") <= 1_800_000_000).withWatermark("mark", delay)
-    best = x.groupBy(*by, F.window("mark", "1 hour")).agg(F.min(F.struct("_d", "_t", F.col(rain).alias("r"))).alias("b"))
-    marks = best.select(*by, F.window_time("window").alias("_w"), "b.r")
-    # a mark's hour window ends just before the next hour; shifted back, 07:00 closes its day
-    return marks.withWatermark("_w", "0 seconds").groupBy(*by, F.window("_w", "24 hours", "24 hours", "8 hours")).agg(F.sum(F.coalesce("r", F.lit(0.0))).alias("rain_24h_mm"), F.count(F.lit(1)).alias("hours_covered")).select(*by, F.to_date(F.col("window.end") - F.expr("INTERVAL 1 HOUR")).alias("date"), "rain_24h_mm", "hours_covered")
+    x = rows.withColumn("_t", F.col(ts).cast("timestamp")).withWatermark("_t", delay).withColumn("mark", F.explode(F.array(base, base + F.expr("INTERVAL 1 HOUR"))))
+    x = x.withColumn("_d", F.abs(F.unix_micros("_t") - F.unix_micros("mark"))).where(F.col("_d") <= 1_800_000_000)
+    reading = F.struct("_d", "_t", F.col(rain).alias("r"))
+    best = [F.min(F.when(F.hour("mark") == h, reading)).alias(f"_m{h}") for h in range(24)]
+    day = x.groupBy(*by, F.to_date(F.col("mark") + F.expr("INTERVAL 16 HOUR")).alias("date")).agg(*best)
+    found = F.array_compact(F.array(*[F.col(f"_m{h}") for h in range(24)]))
+    total = F.aggregate(found, F.lit(0.0), lambda a, m: a + F.coalesce(m["r"], F.lit(0.0)))
+    return day.select(*by, "date", total.alias("rain_24h_mm"), F.size(found).cast("long").alias("hours_covered"))
 
 
 def stream_valve_pairing(forms: DataFrame, key: str, order: str) -> DataFrame:
