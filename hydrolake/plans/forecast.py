@@ -103,7 +103,7 @@ MAE2 = ", w AS (SELECT zone, horizon, avg(abs(m1 - y)) AS mae_a, avg(abs(m2 - y)
 @register("a30_inverse_mae_weights", sql("predictions", MAE2 + f"SELECT zone, horizon, {rd('mae_a', 'mae_a', 3)}, {rd('mae_b', 'mae_b', 3)}, {rd('round(mae_b / (mae_a + mae_b), 4)', 'w_a')}, {rd('round(1 - round(mae_b / (mae_a + mae_b), 4), 4)', 'w_b')} FROM w"))
 def a30_inverse_mae_weights(spark, sf_dir):
     x = skill.inverse_error_weights(view(spark, sf_dir, "predictions").where("split = 'calib'"), ZH, "y", "m1", "m2")
-    return tidy(x).withColumns({"mae_a": F.round("mae_a", 3), "mae_b": F.round("mae_b", 3)})
+    return x.select(*ZH, *[F.round(c, 3).alias(c) for c in ("mae_a", "mae_b")], "w_a", "w_b")
 
 
 VARIANTS = ("yhat", "m1", "m2")
@@ -193,8 +193,8 @@ def l9_conformal_intervals(spark, sf_dir):
 @register("a23_coverage_stats", sql("predictions", CONF + f"""SELECT zone, horizon, {rd('avg(CASE WHEN y BETWEEN low AND high THEN 1e0 ELSE 0e0 END)', 'coverage')}, {rd('avg(CASE WHEN y BETWEEN low AND high THEN 1e0 ELSE 0e0 END) FILTER (WHERE y > 0)', 'wet_coverage')}, {rd('avg(CASE WHEN y BETWEEN low AND high THEN 1e0 ELSE 0e0 END) FILTER (WHERE y <= 0)', 'dry_coverage')},
  {rd('avg(high - low)', 'mean_width', 3)}, {rd('quantile_cont(high - low, 0.5)', 'median_width', 3)}, {rd('avg(high - low) FILTER (WHERE y > 0)', 'wet_width', 3)} FROM iv GROUP BY 1, 2"""))
 def a23_coverage_stats(spark, sf_dir):
-    x = tidy(skill.coverage(intervals(spark, sf_dir), ZH))
-    return x.withColumns({c: F.round(c, 3) for c in ("mean_width", "median_width", "wet_width")})
+    x = skill.coverage(intervals(spark, sf_dir), ZH)
+    return x.select(*ZH, *[F.round(c, 4).alias(c) for c in ("coverage", "wet_coverage", "dry_coverage")], *[F.round(c, 3).alias(c) for c in ("mean_width", "median_width", "wet_width")])
 
 
 @register("l10_baselines", sql("predictions", f"""
