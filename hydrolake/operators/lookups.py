@@ -25,7 +25,7 @@ def curve_intervals(curve: DataFrame, by: Sequence[str], level: str, cell: float
 def _at_level(df: DataFrame, curve: DataFrame, by: Sequence[str], level: str, curve_level: str, cell: float) -> DataFrame:
     """df with the interval its level falls in; levels beyond the curve are clamped to its ends."""
     ends = curve.groupBy(*by).agg(F.min(curve_level).alias("_least"), F.max(curve_level).alias("_most"))
-    x = df.join(ends, list(by), "left").withColumn("_x", F.least(F.greatest(F.col(level) + TOLERANCE, F.col("_least")), F.col("_most")))
+    x = df.join(ends, list(by), "left").withColumn("_x", F.when(F.col(level).isNotNull(), F.least(F.greatest(F.col(level) + TOLERANCE, F.col("_least")), F.col("_most"))))
     x = x.withColumn("_cell", F.floor(F.col("_x") / cell))
     inside = (F.col("_x") >= F.col("i._lo")) & (F.col("i._hi").isNull() | (F.col("_x") < F.col("i._hi")))
     same = [F.col(f"x.{c}") == F.col(f"i.{c}") for c in by] + [F.col("x._cell") == F.col("i._cell")]

@@ -251,12 +251,13 @@ def recursive_api(df: DataFrame, by: Sequence[str], order: str, rain: str, k: fl
     """Antecedent precipitation: API = k * API before + rain; the first is the rain; a missing rain gives a null and leaves
     the state. One ordered array per key is folded in the JVM; a key's series is its own length, not the table's."""
     keys = list(by)
-    rows = df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(order, F.col(rain).alias("r")))).alias("s"))
+    rows = df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(rain).alias("r")))).alias("_series"))
     zero = F.struct(F.lit(None).cast("double").alias("state"), F.array().cast("array<double>").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         new = F.when(x["r"].isNull(), acc["state"]).otherwise(F.coalesce(k * acc["state"], F.lit(0.0)) + x["r"])
         return F.struct(new.alias("state"), F.array_append(acc["out"], F.when(x["r"].isNotNull(), new)).alias("out"))
 
-    folded = rows.withColumn("f", F.aggregate("s", zero, step))
-    return folded.select(*keys, F.explode(F.arrays_zip(F.col("s"), F.col("f.out").alias("api"))).alias("z")).select(*keys, F.col(f"z.s.{order}").alias(order), F.col("z.s.r").alias(rain), F.col("z.api").alias("api"))
+    folded = rows.withColumn("_f", F.aggregate("_series", zero, step))
+    zipped = folded.select(*keys, F.explode(F.arrays_zip(F.col("_series"), F.col("_f.out").alias("api"))).alias("_z"))
+    return zipped.select(*keys, F.col("_z._series.o").alias(order), F.col("_z._series.r").alias(rain), F.col("_z.api").alias("api"))

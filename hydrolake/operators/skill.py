@@ -14,6 +14,22 @@ def _safe(a, b) -> Column:
     return a / F.nullif(b, F.lit(0.0))
 
 
+def prefix_sums(df: DataFrame, by: Sequence[str], order: str, cols: Sequence[str], parts: int = 200) -> DataFrame:
+    """``df`` with <col>_before: the sum of each column over the key's rows with a lesser ``order`` (distinct per key).
+
+    A key's rows are dealt to ranges of ``order`` (cuts from its quantile sketch), summed per range, and ordered within
+    a range only, so a key that holds most of the table is spread over many tasks.
+    """
+    cuts = df.groupBy(*by).agg(F.percentile_approx(order, [i / parts for i in range(1, parts)], F.lit(10 * parts)).alias("_cuts"))
+    x = df.join(cuts, list(by)).withColumn("_part", F.size(F.filter("_cuts", lambda c: c < F.col(order)))).drop("_cuts")
+    per = x.groupBy(*by, "_part").agg(*[F.sum(c).alias(f"_s_{c}") for c in cols])
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per.select(*by, "_part", *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in cols])
+    inside = Window.partitionBy(*by, "_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    out = x.join(offsets, [*by, "_part"])
+    return out.withColumns({f"{c}_before": F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in cols}).drop("_part", *[f"_o_{c}" for c in cols])
+
+
 def regression_metrics(y: str = "y", p: str = "p", eps: float = 0.0) -> dict[str, Column]:
     """MAE, RMSE, NSE, KGE, PBIAS, MAPE (on nonzero y) as aggregates; a zero denominator gives null, or eps is added."""
     e = F.col(p) - F.col(y)
@@ -55,8 +71,8 @@ def binary_skill(df: DataFrame, by: Sequence[str], positive: str, prob: str, thr
         (2 * tp / F.nullif(2 * tp + fp + fn, F.lit(0))).alias("f1"), (tn / F.nullif(tn + fp, F.lit(0))).alias("zero_recall"),
     )
     per = df.groupBy(*by, prob).agg(F.count_if(pos).alias("a"), F.count_if(~pos).alias("b"))
-    below = F.coalesce(F.sum("b").over(Window.partitionBy(*by).orderBy(prob).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    auc = per.withColumn("_u", F.col("a") * (below + F.col("b") / 2)).groupBy(*by).agg((F.sum("_u") / F.nullif(F.sum("a") * F.sum("b"), F.lit(0))).alias("auc"))
+    per = prefix_sums(per.where(F.col(prob).isNotNull()), by, prob, ["b"])
+    auc = per.withColumn("_u", F.col("a") * (F.col("b_before") + F.col("b") / 2)).groupBy(*by).agg((F.sum("_u") / F.nullif(F.sum("a") * F.sum("b"), F.lit(0))).alias("auc"))
     return counts.join(auc, list(by))
 
 
@@ -92,9 +108,10 @@ def best_threshold(df: DataFrame, by: Sequence[str], positive: str, prob: str, g
 def pr_threshold(df: DataFrame, by: Sequence[str], positive: str, prob: str) -> DataFrame:
     """The score with the greatest F1 over all distinct scores (of equals the highest score)."""
     per = df.groupBy(*by, prob).agg(F.count_if(F.col(positive)).alias("a"), F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(*by)
-    top = w.orderBy(F.col(prob).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    f1 = 2 * F.sum("a").over(top) / F.nullif(F.sum("n").over(top) + F.sum("a").over(w), F.lit(0))
+    per = prefix_sums(per.where(F.col(prob).isNotNull()), by, prob, ["a", "n"])
+    per = per.join(per.groupBy(*by).agg(F.sum("a").alias("_a"), F.sum("n").alias("_n")), list(by))
+    hits, said = F.col("_a") - F.col("a_before"), F.col("_n") - F.col("n_before")
+    f1 = 2 * hits / F.nullif(said + F.col("_a"), F.lit(0))
     x = per.withColumn("_f1", F.coalesce(F.round(f1, 12), F.lit(0.0)))
     best = x.groupBy(*by).agg(F.max(F.struct("_f1", prob)).alias("x"))
     return best.select(*by, F.col(f"x.{prob}").alias("threshold"), F.col("x._f1").alias("f1"))
@@ -149,15 +166,16 @@ def linear_validation(df: DataFrame, by: Sequence[str], x: str, y: str, least: i
 def conformal_quantile(scores: DataFrame, by: Sequence[str], score: str, alpha: float = 0.1) -> DataFrame:
     """The linear-interpolated quantile at min(ceil((n+1)(1-alpha))/n, 1); no scores: infinity.
 
-    Ranked by a window over sorted rows, so a key's scores spill rather than gather in one array.
+    The two order statistics are found from counts per distinct score and their running sums.
     """
-    w = Window.partitionBy(*by)
-    x = scores.where(F.col(score).isNotNull()).withColumn("_n", F.count(F.lit(1)).over(w)).withColumn("_i", F.row_number().over(w.orderBy(score)))
-    level = F.least(F.ceil(F.round((F.col("_n") + 1) * (1 - alpha), 9)) / F.col("_n"), F.lit(1.0))
-    at = level * (F.col("_n") - 1) + 1
-    x = x.withColumn("_at", at).where((F.col("_i") == F.floor("_at")) | (F.col("_i") == F.ceil("_at")))
-    lo, hi = F.min(score), F.max(score)
-    return x.groupBy(*by).agg((lo + (hi - lo) * (F.first("_at") - F.floor(F.first("_at")))).alias("q"), F.first("_n").alias("n"))
+    counts = scores.where(F.col(score).isNotNull()).groupBy(*by, F.col(score).alias("_s")).agg(F.count(F.lit(1)).alias("_k"))
+    x = prefix_sums(counts, by, "_s", ["_k"]).join(counts.groupBy(*by).agg(F.sum("_k").alias("n")), list(by))
+    level = F.least(F.ceil(F.round((F.col("n") + 1) * (1 - alpha), 9)) / F.col("n"), F.lit(1.0))
+    x = x.withColumn("_at", level * (F.col("n") - 1) + 1)
+    holds = lambda r: (F.col("_k_before") < r) & (r <= F.col("_k_before") + F.col("_k"))
+    lo, hi = (F.max(F.when(holds(f("_at")), F.col("_s"))) for f in (F.floor, F.ceil))
+    out = x.groupBy(*by).agg(lo.alias("_lo"), hi.alias("_hi"), F.max("_at").alias("_at"), F.max("n").alias("n"))
+    return out.select(*by, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_at") - F.floor("_at"))).alias("q"), "n")
 
 
 def conformal_intervals(calib: DataFrame, test: DataFrame, by: Sequence[str], y: str, p: str, prob: str, threshold: float, variant: str = "D", alpha: float = 0.1, eps: float = 1000.0, least: int = 5) -> DataFrame:
