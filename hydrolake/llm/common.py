@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +15,29 @@ SPACE = "\\x20\\x09-\\x0D"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package as a zip that Spark distributes, once per application.
+
+    So tasks can import it wherever they run, also when the driver's working folder isn't theirs.
+    """
+    sc, root = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if sc.applicationId in _SHIPPED or not root.is_dir():
+        return
+    path = Path(tempfile.mkdtemp(prefix="spark-package-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(path))
+    _SHIPPED.add(sc.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
     known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -30,7 +30,7 @@ class AdaptiveRule:
 
 RULES = (
     AdaptiveRule("symbol_ratio", 0.01),
-    AdaptiveRule("dup_line_ratio", 0.1),
+    AdaptiveRule("dup_line_ratio", 0.15),
     AdaptiveRule("repeat_ratio", 0.1),
     AdaptiveRule("mean_word", 0.5, both=True),
 )
