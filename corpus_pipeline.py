@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hydrolake.llm import decontaminate, jaccard_join, packing, pii, quality_pu
-from hydrolake.llm.common import materialize, table
+from hydrolake.llm.common import materialize, ship, table
 
 
 def whole_rows(docs: DataFrame) -> DataFrame:
@@ -25,6 +25,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles with a similarity of 0.8 or more."""
+    ship(spark)
     return jaccard_join.deduplicate(docs, size=5, percent=80)
 
 
@@ -35,10 +36,12 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return pii.pseudonymised_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return packing.pack_documents(docs, *packing.public_files())
 
 
