@@ -20,13 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _SHIPPED: set[str] = set()
+ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
     """Give the executors this package as a zip that Spark distributes, once per application.
 
-    So tasks can import it wherever they run, also when the driver's working folder isn't theirs.
+    So tasks can import it wherever they run, also when the driver's working folder isn't theirs. Whole texts are long
+    rows: unless the session says otherwise, Python tasks get them in batches of 1000 rows, not 10000.
     """
+    if spark.conf.get(ROWS_PER_BATCH) == "10000":
+        spark.conf.set(ROWS_PER_BATCH, "1000")
     sc, root = spark.sparkContext, Path(__file__).resolve().parents[1]
     if sc.applicationId in _SHIPPED or not root.is_dir():
         return

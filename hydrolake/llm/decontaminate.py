@@ -88,8 +88,9 @@ def item_blocks(benchmark: DataFrame, max_chars: int) -> Iterator[list[tuple[str
     yield block
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, max_chars: int = 4_000_000, keep: list[str] | None = None) -> DataFrame:
-    """One row per document: ``keep`` columns, n_words, n_hit, items (sorted array of item ids found).
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, max_chars: int = 4_000_000, keep: list[str] | None = None, with_text: bool = False) -> DataFrame:
+    """One row per document: ``keep`` columns, n_words, n_hit, items (sorted array of item ids found); with_text: and _whole,
+    the text with null as empty.
 
     Null or empty text: no words. Null items are skipped; equal items are all reported; repeated documents each get
     their row. Each block of items is one pass over the rows, chained without a shuffle: a pass adds the runs of hit
@@ -105,6 +106,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13,
     return state.select(
         *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], F.col("_n").alias("n_words"),
         F.col("_hit").alias("n_hit"), F.col("_items").alias("items"),
+        *[F.col("_text").alias("_whole")] * with_text,
     )
 
 

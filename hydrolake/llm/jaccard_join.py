@@ -27,7 +27,8 @@ from hydrolake.llm.common import materialize, whole_text
 
 SKETCH_BITS = 20  # buckets of the count sketch: a fixed 4 MB broadcast, whatever the corpus
 BLOCK = 4096  # buckets in one row of it
-WORDS_KEPT = 1_000_000  # word hashes remembered in a task
+WORDS_KEPT = 200_000  # word hashes remembered in a task
+TOGETHER = 200  # documents whose shingles are counted together
 
 
 class _WordHashes(dict):
@@ -73,9 +74,9 @@ def count_sketch(docs: DataFrame, size: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for batch in batches:
-            sets = [shingle_set(t, size) for t in batch.column(0).to_pylist()]
-            if sets:
-                total += np.bincount((np.concatenate(sets) & mask).astype(np.int64), minlength=buckets)
+            for at in range(0, batch.num_rows, TOGETHER):
+                sets = [shingle_set(t, size) for t in batch.column(0).slice(at, TOGETHER).to_pylist()]
+                np.add.at(total, (np.concatenate(sets) & mask).astype(np.int64), 1)
         if total.any():
             blocks = total.reshape(-1, BLOCK)
             yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array([b.astype("<u4" if b.max() < 2**32 else "<u8").tobytes() for b in blocks], pa.binary())], names=["block", "counts"])

@@ -169,8 +169,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, n_positive: int, n_unlab
     return x("_good"), x("_any")
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, keep: Sequence[str] | None = None, n_positive: int = 6000, n_unlabelled: int = 12000, threshold: float = 0.3, seed: int = 11) -> DataFrame:
-    """``keep`` columns (doc_id by default), held_out, score, predicted for every row of ``docs``.
+def score_quality(docs: DataFrame, labels: DataFrame, keep: Sequence[str] | None = None, n_positive: int = 6000, n_unlabelled: int = 12000, threshold: float = 0.3, seed: int = 11, with_text: bool = False) -> DataFrame:
+    """``keep`` columns (doc_id by default), held_out, score, predicted for every row of ``docs``; with_text: and _whole,
+    the text with null as empty.
 
     Null or empty text is scored like any text without words. Without 20 positives and 20 unlabelled documents there
     is nothing to learn: every score is 0.5. Null doc_ids are scored, never learnt from, and not held out. Columns named
@@ -188,9 +189,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, keep: Sequence[str] | None
             x = np.array([text_features(t) for t in texts]).reshape(-1, N_FEATURES)
             score = np.full(len(texts), 0.5) if model is None else model.score(x)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:n], pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32), pa.int32())],
-                names=[*keep, "held_out", "score", "predicted"],
+                [*batch.columns[: n + with_text], pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32), pa.int32())],
+                names=[*keep, "held_out", *["_whole"] * with_text, "score", "predicted"],
             )
 
-    schema = T.StructType([*kept.drop("_whole").schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    schema = T.StructType([*(kept if with_text else kept.drop("_whole")).schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     return kept.mapInArrow(run, schema)
