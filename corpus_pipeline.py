@@ -13,14 +13,21 @@ from hydrolake.llm.common import materialize, ship, table
 
 
 def whole_rows(docs: DataFrame) -> DataFrame:
-    """doc_id, text and the whole row as one column, so no column of a stage can clash with the documents'."""
-    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
+    """doc_id, text and all else as one column, so no column of a stage can clash with the documents'."""
+    rest = [c for c in docs.columns if c != "text"]
+    return docs.select("doc_id", "text", F.struct(*rest, F.col("text").isNull().alias("_no_text")).alias("_row"))
+
+
+def documents_of(found: DataFrame, columns: list[str]) -> DataFrame:
+    """The documents again, from _row and _whole."""
+    text = F.when(~F.col("_row._no_text"), F.col("_whole")).alias("text")
+    return found.select(*[text if c == "text" else F.col(f"_row.{c}").alias(c) for c in columns])
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; without anything to learn from, all."""
-    scored = quality_pu.score_quality(whole_rows(docs), table(spark, sf_dir, "labels"), keep=["_row"])
-    return scored.where("predicted = 1").select("_row.*")
+    scored = quality_pu.score_quality(whole_rows(docs), table(spark, sf_dir, "labels"), keep=["_row"], with_text=True)
+    return documents_of(scored.where("predicted = 1"), docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +38,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which benchmark windows hit less than a twentieth of the words."""
-    found = decontaminate.find_contamination(whole_rows(docs), table(spark, sf_dir, "benchmark"), keep=["_row"])
-    return found.where("not (n_hit > 0 and 20 * n_hit >= n_words)").select("_row.*")
+    found = decontaminate.find_contamination(whole_rows(docs), table(spark, sf_dir, "benchmark"), keep=["_row"], with_text=True)
+    return documents_of(found.where("not (n_hit > 0 and 20 * n_hit >= n_words)"), docs.columns)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
