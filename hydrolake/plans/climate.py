@@ -343,9 +343,9 @@ def k2_top_per_group(spark, sf_dir):
     return tidy(x.select("zone", "iso_year", "x.iso_week", "x.rain"))
 
 
-@register("k3_top_k", sql(RV, WEEKLY + f"SELECT {K}, {rd('rain', 'rain')} FROM wr ORDER BY wr.rain DESC, zone, iso_year, iso_week LIMIT 20"))
+@register("k3_top_k", sql(RV, WEEKLY + f"SELECT {K}, {rd('rain', 'rain')} FROM wr ORDER BY round(wr.rain, 6) DESC, zone, iso_year, iso_week LIMIT 20"))
 def k3_top_k(spark, sf_dir):
-    return tidy(weekly_rain(spark, sf_dir).select("zone", "iso_year", "iso_week", "rain").orderBy(F.desc("rain"), "zone", "iso_year", "iso_week").limit(20))
+    return tidy(weekly_rain(spark, sf_dir).select("zone", "iso_year", "iso_week", "rain").orderBy(F.round("rain", 6).desc(), "zone", "iso_year", "iso_week").limit(20))
 
 
 @register("k4_union_all", sql("rain_daily", TIERED + "SELECT zone, data_type, count(*) AS n FROM tiers GROUP BY 1, 2"))
