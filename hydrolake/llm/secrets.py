@@ -8,7 +8,6 @@ run the regex. A rule without mandatory trigrams scans every document.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from re import _constants as op  # the standard library's own regex parser
