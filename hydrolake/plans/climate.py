@@ -130,9 +130,6 @@ def p23_quality_checks(spark, sf_dir):
     return features.quality_checks(x)
 
 
-LINES = """, lines AS (SELECT year, concat(CAST(year AS VARCHAR), ' ', string_agg(CASE WHEN mei IS NULL THEN '-999' ELSE CAST(mei AS VARCHAR) END, ' ' ORDER BY month)) AS value FROM monthly_index GROUP BY year)"""
-
-
 def index_lines(spark, sf_dir):
     x = view(spark, sf_dir, "monthly_index").withColumn("t", F.coalesce(F.col("mei").cast("string"), F.lit("-999")))
     months = F.transform(F.sort_array(F.collect_list(F.struct("month", "t"))), lambda s: s["t"])

@@ -83,9 +83,6 @@ def s7_read_release_events(spark, sf_dir):
     return tidy(readers.read_release_events(raw).select("event_no", "start_ts", "end_ts", "rate_m3_per_day"))
 
 
-FLOOR = """(SELECT max_by({v}, c.level) FROM rating_curve c WHERE c.station = {s}.station AND c.level <= {s}.{l} + 1e-9)"""
-
-
 @register("j1_floor_lookup", sql("telemetry_long rating_curve", LEVELS + f""" SELECT row_id, {rd("coalesce(c.area_m2, f.area_m2)", "area_m2")}, {rd("coalesce(c.storage_m3, f.storage_m3)", "storage_m3")}
  FROM (SELECT *, level + 1e-9 AS x FROM lv) l ASOF LEFT JOIN rating_curve c ON l.station = c.station AND l.x >= c.level
  LEFT JOIN (SELECT station, arg_min(area_m2, level) AS area_m2, arg_min(storage_m3, level) AS storage_m3 FROM rating_curve GROUP BY 1) f ON f.station = l.station"""))
