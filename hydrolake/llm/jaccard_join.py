@@ -7,8 +7,9 @@ position work on pairs of groups; only then are groups expanded and their member
 
 Large families of near copies don't give all pairs: in the first round each group meets only the leader of each of its
 shingles (the one where the shingle stands first, which has the fewest own edits); after the components of these links
-are known, the second round takes every remaining pair of groups from different components. So each link between
-components is found, and pairs inside a known component are never formed.
+are known, the second round takes every remaining pair of groups from different components, also of a group with itself
+where its sets are in several. So each link between components is found, and pairs inside a known component are never
+formed.
 """
 
 from __future__ import annotations
@@ -226,6 +227,10 @@ def jaccard_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     placed = materialize(sets.select("sno", "gno", "n").join(roots.withColumnRenamed("node", "sno"), "sno", "left").withColumn("comp", F.coalesce("root", "sno")).drop("root"), "placed")
     parts = placed.select("gno", "comp").distinct()
     shared = postings.join(leaders.select("token"), "token", "left_semi").join(parts, "gno")
+    # round 1 tried a group's sets with its head only: a group in several components meets itself, from place 0 on
+    split = parts.groupBy("gno").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("gno")
+    own = groups.join(split, "gno").select("gno", "n", F.lit(0).alias("pos"), F.xxhash64("gid").alias("token")).join(parts, "gno")
+    shared = shared.unionByName(own)
     mixed = shared.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("token")
     rows = materialize(shared.join(mixed, "token", "left_semi").select("token", "comp", "gno", "n", "pos"), "mixed")
     spans = materialize(rows.groupBy("token", "comp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("pos")).alias("rest")), "spans")

@@ -122,6 +122,22 @@ def test_jaccard_edges(spark):
     assert sorted((r.doc_id for r in kept.where("doc_id is not null").collect())) == [5]
 
 
+def test_jaccard_links_inside_a_prefix_group(spark):
+    """In a group (five rare words, ten in all) only two sets are alike; whichever is tried first, they must meet.
+
+    In every second group the last rare word also stands in a text outside it.
+    """
+    texts = [" ".join(f"{c}{i}" for c in "abcde" for i in range(9))] * 80
+    for g in range(24):
+        rare = " ".join(f"r{g}x{i}" for i in range(5))
+        texts += [f"{rare} a0 a1 a2 a3 a4", f"{rare} c0 c1 c2 c3 c4", f"{rare} b0 b1 b2 b3 b4", f"{rare} b0 b1 b2 d3 d4"]
+        texts += [f"r{g}x4 a0"] if g % 2 else []
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = sorted((d, *x) for d, x in brute.components(list(enumerate(texts)), 1, 60).items())
+    assert sum(n == 10 and root != d for d, n, root in want) == 24
+    assert sorted(map(tuple, jaccard_join.jaccard_components(docs, 1, 60).collect())) == want
+
+
 def test_suffix_removal(spark):
     rng = random.Random(8)
     text = "".join(rng.choice("abcd \n") for _ in range(4000))
