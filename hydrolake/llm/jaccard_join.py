@@ -187,12 +187,11 @@ def may_link(na, nb, pa_, pb, percent: int):
     return (100 * F.least(na, nb).cast("long") >= percent * F.greatest(na, nb).cast("long")) & (most * (100 + percent) >= percent * (na.cast("long") + nb.cast("long")))
 
 
-def jaccard_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, component_id per row of ``docs``: links where 100 * intersection >= percent * union.
+def placed_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, tk (hash of the text), n_shingles, component_id, first_tk per row of ``docs``.
 
-    component_id is the smallest doc_id reachable. Null or empty text, or one without words: n_shingles 0, linked
-    with nothing, its component its own doc_id. Null doc_ids take part and get the component's smallest id, null if
-    there is none. Repeated rows have equal sets, so they share a component. Extra columns are ignored.
+    component_id and first_tk are those of the component's first row by (doc_id is null, doc_id, tk); first_tk is null
+    for a row without words.
     """
     sigs = materialize(signatures(docs, size, percent, count_sketch(docs, size)), "signatures")
     full = sigs.where("n > 0")
@@ -260,23 +259,43 @@ def jaccard_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
         final = roots if extra.isEmpty() else connected(links.union(extra))
 
     whole = sets.join(final.withColumnRenamed("node", "sno"), "sno", "left").withColumn("root", F.coalesce("root", "sno"))
-    smallest = whole.groupBy("root").agg(F.min("doc").alias("component_id"))
-    of_set = whole.select("sid", "root").join(smallest, "root").select("sid", "component_id")
+    first = F.min(F.struct(F.col("doc").isNull().alias("z"), "doc", "tk")).alias("x")
+    smallest = whole.groupBy("root").agg(first).select("root", F.col("x.doc").alias("component_id"), F.col("x.tk").alias("first_tk"))
+    of_set = whole.select("sid", "root").join(smallest, "root").select("sid", "component_id", "first_tk")
     return (
-        sigs.select("doc_id", "n", "sid").join(of_set, "sid", "left")
-        .select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        sigs.select("doc_id", "tk", "n", "sid").join(of_set, "sid", "left")
+        .select("doc_id", "tk", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "first_tk")
     )
 
 
+def jaccard_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, component_id per row of ``docs``: links where 100 * intersection >= percent * union.
+
+    component_id is the smallest doc_id reachable. Null or empty text, or one without words: n_shingles 0, linked
+    with nothing, its component its own doc_id. Null doc_ids take part and get the component's smallest id, null if
+    there is none. Repeated rows have equal sets, so they share a component. Extra columns are ignored.
+    """
+    return placed_rows(docs, size, percent).select("doc_id", "n_shingles", "component_id")
+
+
 def deduplicate(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each component: that of the smallest doc_id; all columns stay.
+    """``docs`` with one row of each component: the first by (doc_id is null, doc_id, hash of the text); all columns stay.
 
-    Documents without words stay. Of rows that repeat a doc_id with words, one stays. Rows with a null doc_id stay only if
-    nothing with an id is like them.
+    Rows without words stay, all of them. Each row is judged by its own text, whatever other rows have its doc_id. Of
+    rows equal in doc_id and text, one stays.
     """
-    found = materialize(jaccard_components(docs, size, percent), "components")
-    gone = found.where("n_shingles > 0 and component_id < doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    if not found.groupBy("doc_id").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
+    found = materialize(placed_rows(docs, size, percent).where("n_shingles > 0"), "components")
+    first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("tk") == F.col("first_tk"))
+    keys = found.select(F.col("doc_id").alias("_doc"), F.col("tk").alias("_tk"), first.alias("first"))
+    gone = keys.where("not first").select("_doc", "_tk").distinct()
+    again = materialize(keys.where("first").groupBy("_doc", "_tk").count().where("count > 1").select("_doc", "_tk"), "repeated")
+
+    def same(other: DataFrame):
+        return F.col("_own_doc").eqNullSafe(other["_doc"]) & (F.col("_own_tk") == other["_tk"])
+
+    own = docs.withColumns({"_own_doc": F.col("doc_id").cast("long"), "_own_tk": F.xxhash64(whole_text())})
+    kept = own.join(gone, same(gone), "left_anti")
+    if not again.isEmpty():
+        once = kept.join(again, same(again), "left_semi").dropDuplicates(["_own_doc", "_own_tk"])
+        kept = kept.join(again, same(again), "left_anti").unionByName(once)
     return kept.select(docs.columns)

@@ -138,6 +138,21 @@ def test_jaccard_links_inside_a_prefix_group(spark):
     assert sorted(map(tuple, jaccard_join.jaccard_components(docs, 1, 60).collect())) == want
 
 
+def test_one_row_of_each_component_stays(spark):
+    """Null ids and ids with several texts: each row is judged by itself."""
+    near = "k1 k2 k3 k4 k5 k6 k7 k8 k9 k10 k11 k12 k13 k14 k15 k16 k17 k18 k19 k20 k21 k22 k23 k24 k25 k26 k27 k28 k29 k30"
+    alone = [(None, "only null one here so alone"), (None, "another null row that nothing resembles"), (7, "first text of seven stays too"), (7, "second text of seven, quite another")]
+    wordless = [(None, None), (None, ""), (7, " "), (7, " "), (7, None), (1, "")]
+    copies = [(1, near), (4, near), (4, "row of four that is alone in the world"), (None, near + " k31"), (None, near)]
+    nulls = [(None, "copies without any id at all here")] * 3
+    equal = [(9, "nine comes twice with one text only")] * 2
+    docs = spark.createDataFrame(alone + wordless + copies + nulls + equal, "doc_id long, text string").withColumn("first_tk", F.lit("clash"))
+    kept = jaccard_join.deduplicate(docs, 4, 85)
+    assert kept.columns == docs.columns
+    want = alone + wordless + [copies[0], copies[2], nulls[0], equal[0]]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=key) == sorted(want, key=key)
+
+
 def test_suffix_removal(spark):
     rng = random.Random(8)
     text = "".join(rng.choice("abcd \n") for _ in range(4000))
