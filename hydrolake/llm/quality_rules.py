@@ -1,16 +1,19 @@
 """Quality rules with adaptive thresholds (DataFrame functions only).
 
-Every document gets a few ratios. Mergeable quantile sketches (KLL) of each ratio are built per language and source,
-merged per language and over all, and give the fences beyond which a document is unusual for its own group. The
-thresholds are then joined to the documents' ratios.
+Every document gets a few ratios. A mergeable quantile sketch of each ratio is built per language and source, merged per
+language and over all. A sketch counts values in bins whose edges grow by a fixed factor (zero has a bin of its own), so
+its quantiles are right to that factor, merging is adding, and every run gives the same. The fences, beyond which a
+document is unusual for its own group, are quantiles; those of small groups lean on the language's, and these on all
+documents', in proportion to counts. They are joined to the documents' ratios.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hydrolake.llm.common import SPACE, materialize, whole_text
@@ -21,19 +24,15 @@ LOW = (1 << POSITION_BITS) - 1
 
 @dataclass(frozen=True)
 class AdaptiveRule:
-    """A ratio is unusual above q3 + reach * max(q3 - q1, least_spread), or below q1 - the same if ``both``."""
+    """A ratio is unusual above its group's upper quantile or, if ``both``, below the lower one."""
 
     name: str
-    least_spread: float
     both: bool = False
 
 
-RULES = (
-    AdaptiveRule("symbol_ratio", 0.01),
-    AdaptiveRule("dup_line_ratio", 0.15),
-    AdaptiveRule("repeat_ratio", 0.1),
-    AdaptiveRule("mean_word", 0.5, both=True),
-)
+RULES = (AdaptiveRule("symbol_ratio"), AdaptiveRule("dup_line_ratio"), AdaptiveRule("repeat_ratio"), AdaptiveRule("mean_word", both=True))
+GROWTH = 1.02  # of the sketch's bin edges
+ZERO_BIN = -(1 << 30)
 
 
 def _repeat_positions(hashes: Column, ordered: Column, position, same) -> Column:
@@ -109,51 +108,68 @@ def with_ratios(measures: DataFrame) -> DataFrame:
     )
 
 
-def group_sketches(ratios: DataFrame, by: Sequence[str], rules: Sequence[AdaptiveRule], k: int) -> DataFrame:
-    """A KLL sketch of each ratio per group; sketches are partial before the shuffle, so a hot group costs no more."""
-    return ratios.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(r.name, F.lit(k)).alias(r.name) for r in rules])
+def group_sketches(ratios: DataFrame, by: Sequence[str], rules: Sequence[AdaptiveRule]) -> DataFrame:
+    """``by``, rule (its place), bin, n: the sketches as rows; counts are partial before the shuffle, so a hot group costs no more."""
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("rule"), F.col(r.name).alias("x")) for i, r in enumerate(rules)])).alias("r")
+    bin_of = F.when(F.col("r.x") > 0, F.ceil(F.ln("r.x") / math.log(GROWTH)).cast("int")).otherwise(ZERO_BIN)
+    return ratios.select(*by, each).groupBy(*by, F.col("r.rule").alias("rule"), bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def merged_sketches(sketches: DataFrame, by: Sequence[str], rules: Sequence[AdaptiveRule]) -> DataFrame:
-    return sketches.groupBy(*by).agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(r.name).alias(r.name) for r in rules])
+def merged_sketches(sketches: DataFrame, by: Sequence[str]) -> DataFrame:
+    return sketches.groupBy(*by, "rule", "bin").agg(F.sum("n").alias("n"))
 
 
-def fences(sketches: DataFrame, by: Sequence[str], rules: Sequence[AdaptiveRule], reach: float, prefix: str) -> DataFrame:
-    out = []
-    for r in rules:
-        q1, q3 = (F.kll_sketch_get_quantile_double(F.col(r.name), F.lit(q)) for q in (0.25, 0.75))
-        spread = reach * F.greatest(q3 - q1, F.lit(r.least_spread))
-        out.append(F.struct((q1 - spread if r.both else F.lit(None).cast("double")).alias("low"), (q3 + spread).alias("high")).alias(r.name))
-    return sketches.select(*[F.col(c).alias(f"{prefix}{c}") for c in by], F.struct(F.col("n"), *out).alias(prefix))
+def fences(sketches: DataFrame, by: Sequence[str], rules: Sequence[AdaptiveRule], per_mille: int, prefix: str) -> DataFrame:
+    """``by`` with the prefix, and a struct ``prefix`` of n and a (low, high) pair for each rule.
 
-
-def judge_quality(docs: DataFrame, keep: Sequence[str] = ("doc_id",), by: tuple[str, str] = ("lang", "source"), rules: Sequence[AdaptiveRule] = RULES, reach: float = 3.0, least_rows: int = 200, k: int = 400) -> DataFrame:
+    high is the upper edge of the bin in which the upper quantile lies, low the lower edge of the lower quantile's. A
+    sketch has a few thousand bins at most, so no window is large.
+    """
+    key = [*by, "rule"]
+    running = sketches.withColumn("_upto", F.sum("n").over(Window.partitionBy(*key).orderBy("bin"))).withColumn("_all", F.sum("n").over(Window.partitionBy(*key)))
+    reached = lambda share: F.min(F.when(1000 * F.col("_upto") >= share * F.col("_all"), F.col("bin")))
+    found = running.groupBy(*key).agg(reached(1000 - per_mille).alias("_high"), reached(per_mille).alias("_low"), F.first("_all").alias("_n"))
+    edge = lambda b, down: F.when(b > ZERO_BIN, F.pow(F.lit(GROWTH), b - down)).otherwise(0.0)
+    pair = [
+        F.max(F.when(F.col("rule") == i, F.struct(edge(F.col("_low"), 1).alias("low"), edge(F.col("_high"), 0).alias("high")))).alias(r.name)
+        for i, r in enumerate(rules)
+    ]
+    wide = found.groupBy(*by).agg(F.max("_n").alias("n"), *pair)
+    return wide.select(*[F.col(c).alias(f"{prefix}{c}") for c in by], F.struct("n", *[r.name for r in rules]).alias(prefix))
+
+
+def judge_quality(docs: DataFrame, keep: Sequence[str] = ("doc_id",), by: tuple[str, str] = ("lang", "source"), rules: Sequence[AdaptiveRule] = RULES, per_mille: int = 5, prior_rows: int = 100) -> DataFrame:
     """``keep`` columns, the measures, base_failed, kept, failed_rules for every row of ``docs``.
 
-    Thresholds come from all documents that pass the base rules: of their language and source if these are
-    ``least_rows`` or more, else of their language, else of all. Null language or source is a group like others; null
-    text fails the base rule. With no document that passes, only the base rule decides. Extra columns are ignored.
+    Thresholds come from all documents that pass the base rules: the quantiles beyond which ``per_mille`` of a thousand
+    lie, of their language and source, which count for the group's number of documents against ``prior_rows`` for the
+    language's; the language's count alike against those of all documents. Null language or source is a group like
+    others; null text fails the base rule. With no document that passes, only the base rule decides. Extra columns are
+    ignored.
     """
     measures = text_measures(docs, [*keep, *by])
     n_keep = len(keep)
     # measured once: the ratios are read for the sketches and for the verdict
     plain = [f"_c{i}" for i in range(n_keep)] + ["_lang", "_source"]
     measured = materialize(with_ratios(measures.toDF(*plain, *measures.columns[n_keep + 2 :])), "measures").withColumn("base_failed", base_failed())
-    sound = measured.where(~F.col("base_failed"))
-    fine = materialize(group_sketches(sound, ["_lang", "_source"], rules, k), "sketches")
-    middle = merged_sketches(fine, ["_lang"], rules)
-    coarse = merged_sketches(fine.withColumn("_all", F.lit(1)), ["_all"], rules)
-    a, b, c = (fences(s, by_, rules, reach, p) for s, by_, p in ((fine, ["_lang", "_source"], "a"), (middle, ["_lang"], "b"), (coarse, ["_all"], "c")))
-    judged = (
-        measured.withColumn("_all", F.lit(1))
-        .join(a, F.col("_lang").eqNullSafe(F.col("a_lang")) & F.col("_source").eqNullSafe(F.col("a_source")), "left")
-        .join(b, F.col("_lang").eqNullSafe(F.col("b_lang")), "left")
-        .join(c, F.col("_all") == F.col("c_all"), "left")
-    )
-    chosen = lambda r: F.when(F.col("a.n") >= least_rows, F.col(f"a.{r}")).when(F.col("b.n") >= least_rows, F.col(f"b.{r}")).otherwise(F.col(f"c.{r}"))
-    failed = F.array_compact(
-        F.array(*[F.when((F.col(r.name) > chosen(r.name)["high"]) | (F.col(r.name) < chosen(r.name)["low"]), F.lit(r.name)) for r in rules])
-    )
+    fine = materialize(group_sketches(measured.where(~F.col("base_failed")), ["_lang", "_source"], rules), "sketches")
+    middle = merged_sketches(fine, ["_lang"])
+    a, b = fences(fine, ["_lang", "_source"], rules, per_mille, "a"), fences(merged_sketches(fine, ["_lang"]), ["_lang"], rules, per_mille, "b")
+    overall = fences(merged_sketches(fine.withColumn("_one", F.lit(1)), ["_one"]), ["_one"], rules, per_mille, "c").first()  # a row at most
+
+    def leaning(own: str, parent: Column, r: AdaptiveRule, side: str) -> Column:
+        count = F.col(f"{own}.n").cast("double")
+        return (count * F.col(f"{own}.{r.name}.{side}") + prior_rows * parent) / (count + prior_rows)
+
+    def fence(r: AdaptiveRule, side: str) -> Column:
+        root = F.lit(float(overall["c"][r.name][side]) if overall else None)
+        return leaning("a", leaning("b", root, r, side), r, side).alias(f"{side}_{r.name}")
+
+    # a row per group with its final fences, then one join
+    final = a.join(b, F.col("a_lang").eqNullSafe(F.col("b_lang"))).select("a_lang", "a_source", *[fence(r, side) for r in rules for side in ("low", "high")])
+    judged = measured.join(final, F.col("_lang").eqNullSafe(F.col("a_lang")) & F.col("_source").eqNullSafe(F.col("a_source")), "left")
+    beyond = lambda r: (F.col(r.name) > F.col(f"high_{r.name}")) | ((F.col(r.name) < F.col(f"low_{r.name}")) if r.both else F.lit(False))
+    failed = F.array_compact(F.array(*[F.when(beyond(r), F.lit(r.name)) for r in rules]))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     return judged.withColumn("failed_rules", failed).select(
         *[F.col(f"_c{i}").alias(name) for i, name in enumerate(keep)], *names,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -40,6 +41,52 @@ def quality(text: str | None) -> tuple:
     return n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), rep, n < 50 or 100 * rep > 50 * n
 
 
+def ratios(text: str | None) -> tuple:
+    """symbol, repeated-line, repeated-word ratio and mean word length."""
+    n, chars, symbols, dup, rep, _ = quality(text)
+    lines = sum(1 for x in (text or "").split("\n") if WS.search(x))
+    return tuple(a / b if b else 0.0 for a, b in ((symbols, chars), (dup, lines), (rep, n), (chars, n)))
+
+
+def quantile(values: list[float], per_mille: int) -> float:
+    """Exact: the least value that at least ``per_mille`` of a thousand do not exceed."""
+    return sorted(values)[-(-per_mille * len(values) // 1000) - 1]
+
+
+def quality_fences(rows: list[tuple], per_mille: int, prior_rows: int, growth: float = 1.02) -> dict[tuple, list[tuple[float, float]]]:
+    """(lang, source) to (low, high) of each ratio, from rows (lang, source, text), by exact quantiles at the sketch's bin edges."""
+    sound = [(lang, source, ratios(t)) for lang, source, t in rows if not quality(t)[5]]
+
+    def edges(own: list[float]) -> tuple[float, float]:
+        def edge(x: float, down: int) -> float:
+            return growth ** (math.ceil(math.log(x) / math.log(growth)) - down) if x else 0.0
+
+        return edge(quantile(own, per_mille), 1), edge(quantile(own, 1000 - per_mille), 0)
+
+    def lean(own: list, parent: tuple[float, float]) -> tuple[float, float]:
+        return tuple((len(own) * e + prior_rows * p) / (len(own) + prior_rows) for e, p in zip(edges(own), parent, strict=True))
+
+    out = defaultdict(list)
+    for k in range(4):
+        root = edges([r[k] for _, _, r in sound])
+        for lang, source in {x[:2] for x in sound}:
+            of_lang = lean([r[k] for a, _, r in sound if a == lang], root)
+            out[lang, source].append(lean([r[k] for a, b, r in sound if (a, b) == (lang, source)], of_lang))
+    return out
+
+
+def quality_kept(rows: list[tuple], per_mille: int = 5, prior_rows: int = 100) -> list[bool]:
+    fences = quality_fences(rows, per_mille, prior_rows)
+    out = []
+    for lang, source, text in rows:
+        bad = quality(text)[5]
+        if not bad:
+            for k, (x, (low, high)) in enumerate(zip(ratios(text), fences[lang, source], strict=True)):
+                bad |= x > high or (k == 3 and x < low)
+        out.append(not bad)
+    return out
+
+
 def shingles(text: str | None, size: int) -> frozenset:
     words = WS.findall(fold(text or ""))
     if not words:
