@@ -1,22 +1,25 @@
 """Secret scans by a trigram inverted index (DataFrame functions only).
 
 Each rule's regex gives a Boolean query over the trigrams its matches must hold: an AND of factors, each an OR of
-strings, each an AND of that string's trigrams. The index has one posting row (trigram, document) for each trigram of
-the rules that a document holds. Intersecting postings by document leaves the candidates of each rule, and these alone
-run the regex. A rule without mandatory trigrams scans every document.
+strings, each an AND of that string's trigrams. The index, a table in the shared folder, has one posting row (trigram,
+document) for each trigram of the rules that a document holds. Intersecting postings by document leaves the candidates of
+each rule, and these alone run the regex. A rule without mandatory trigrams scans every document. Only the candidates'
+texts are moved: a row tests its own trigrams before it goes to meet the candidates.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 from re import _constants as op  # the standard library's own regex parser
 from re import _parser
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hydrolake.llm.common import whole_text
+from hydrolake.llm.common import materialize, whole_text
 
 MOST_STRINGS = 64
 
@@ -95,35 +98,35 @@ def trigram_query(pattern: str) -> list[list[list[str]]]:
     return factors
 
 
+def text_key() -> Column:
+    """Tells rows with one key (or none) apart, and spreads them."""
+    return F.xxhash64(whole_text()).alias("_tk")
+
+
 def postings(docs: DataFrame, trigrams: Sequence[str], key: str = "doc_id") -> DataFrame:
-    """The inverted index over the given trigrams, folded to lower case: (trigram, key), a row per document that holds it."""
-    folded = F.lower(whole_text())
-    held = F.filter(F.array(*map(F.lit, trigrams)), lambda g: F.contains(F.col("_folded"), g))
-    return docs.select(key, folded.alias("_folded")).select(key, F.explode(held).alias("trigram"))
+    """The inverted index over the given trigrams, folded to lower case: (trigram, _key, _tk), a row per document that holds it."""
+    # the folded text is bound once, not once for each trigram
+    held = F.get(F.transform(F.array(F.lower(whole_text())), lambda f: F.filter(F.array(*map(F.lit, trigrams)), lambda g: F.contains(f, g))), F.lit(0))
+    return docs.select(F.col(key).alias("_key"), text_key(), F.explode(held).alias("trigram"))
 
 
-def candidates(docs: DataFrame, rules: Sequence[SecretRule], key: str = "doc_id") -> tuple[DataFrame | None, list[str]]:
-    """(key, kinds) of the documents whose postings meet a rule's query; the kinds of rules to scan fully."""
-    queries = {r.kind: trigram_query(r.pattern) for r in rules}
-    indexed = {k: q for k, q in queries.items() if q}
-    if not indexed:
-        return None, list(queries)
-    vocabulary = sorted({g for q in indexed.values() for f in q for option in f for g in option})
-    # intersection by document: the set of its trigrams has at most one entry for each trigram of the rules
-    per_doc = postings(docs, vocabulary, key).groupBy(key).agg(F.collect_set("trigram").alias("_held"))
+def meets(query: list[list[list[str]]], holds: Callable[[str], Column]) -> Column:
+    """The Boolean query; ``holds`` tests one trigram."""
+    every = F.lit(True)
+    for factor in query:
+        some = F.lit(False)
+        for option in factor:
+            some = some | reduce(and_, map(holds, option))
+        every = every & some
+    return every
 
-    def meets(query: list[list[list[str]]]) -> Column:
-        every = F.lit(True)
-        for factor in query:
-            some = F.lit(False)
-            for option in factor:
-                some = some | (F.size(F.array_intersect(F.col("_held"), F.array(*map(F.lit, option)))) == len(option))
-            every = every & some
-        return every
 
-    kinds = F.array_compact(F.array(*[F.when(meets(q), F.lit(k)) for k, q in indexed.items()]))
-    found = per_doc.select(F.col(key).alias("_key"), kinds.alias("_kinds")).where(F.size("_kinds") > 0)
-    return found, [k for k, q in queries.items() if not q]
+def candidates(index: DataFrame, queries: dict[str, list]) -> DataFrame:
+    """(_key, _tk, _kinds) of the documents whose postings meet a rule's query."""
+    # intersection by document: the set of its trigrams has at most one entry for each trigram of the rules
+    held = index.groupBy("_key", "_tk").agg(F.collect_set("trigram").alias("_held"))
+    kinds = F.array_compact(F.array(*[F.when(meets(q, lambda g: F.array_contains("_held", g)), F.lit(k)) for k, q in queries.items()]))
+    return held.select("_key", "_tk", kinds.alias("_kinds")).where(F.size("_kinds") > 0)
 
 
 def match_spans(text: Column, rule: SecretRule, order: int) -> Column:
@@ -150,21 +153,28 @@ def match_spans(text: Column, rule: SecretRule, order: int) -> Column:
 def scan_secrets(docs: DataFrame, rules: Sequence[SecretRule] = BASE_RULES + MORE_RULES, key: str = "doc_id", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and found: array of (s, o, e, kind), sorted, for every row of ``docs``.
 
-    Null text counts as empty. Rows with equal or null keys are each scanned (candidates of a key are a superset, and
-    the regex decides). Extra columns are ignored.
+    Null text counts as empty. Rows with equal or null keys are told apart by a hash of their texts; equal rows get
+    equal spans. Extra columns are ignored.
     """
-    found, full = candidates(docs, rules, key)
-    rows = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], F.col(key).alias("_row"), whole_text().alias("_text"))
-    if found is None:
-        rows = rows.withColumn("_kinds", F.array().cast("array<string>"))
-    else:
-        rows = rows.join(found, F.col("_row").eqNullSafe(F.col("_key")), "left")
+    queries = {r.kind: trigram_query(r.pattern) for r in rules}
+    indexed = {k: q for k, q in queries.items() if q}
     none = F.array().cast("array<struct<s:int,o:int,e:int,kind:string>>")
-    spans = [
-        match_spans(F.col("_text"), r, i) if r.kind in full else F.when(F.array_contains("_kinds", r.kind), match_spans(F.col("_text"), r, i)).otherwise(none)
-        for i, r in enumerate(rules)
-    ]
-    return rows.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], F.array_sort(F.concat(*spans)).alias("found"))
+    plain = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], F.col(key).alias("_row"), text_key(), whole_text().alias("_text"))
+    scanned = [match_spans(F.col("_text"), r, i) for i, r in enumerate(rules) if r.kind not in indexed]
+    rows = plain.select(*[f"_k{i}" for i in range(len(keep))], "_row", "_tk", F.concat(none, *scanned).alias("_scanned"))
+    if indexed:
+        vocabulary = sorted({g for q in indexed.values() for f in q for option in f for g in option})
+        found = candidates(materialize(postings(docs, vocabulary, key), "postings"), indexed)
+        # the row's own trigrams: only candidates' texts go to the join
+        likely = F.exists(F.array(F.lower("_text")), lambda f: reduce(or_, [meets(q, lambda g: F.contains(f, F.lit(g))) for q in indexed.values()]))
+        texts = plain.where(likely).select("_row", "_tk", "_text").join(found, F.col("_row").eqNullSafe(F.col("_key")) & (plain["_tk"] == found["_tk"]))
+        spans = [F.when(F.array_contains("_kinds", r.kind), match_spans(F.col("_text"), r, i)).otherwise(none) for i, r in enumerate(rules) if r.kind in indexed]
+        checked = texts.select(F.col("_row").alias("_of"), plain["_tk"].alias("_t"), F.concat(*spans).alias("_checked")).where(F.size("_checked") > 0).dropDuplicates(["_of", "_t"])
+        rows = rows.join(checked, F.col("_row").eqNullSafe(F.col("_of")) & (F.col("_tk") == F.col("_t")), "left")
+    else:
+        rows = rows.withColumn("_checked", none)
+    both = F.concat("_scanned", F.coalesce("_checked", none))
+    return rows.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], F.array_sort(both).alias("found"))
 
 
 def span_text(spans: Column) -> Column:
