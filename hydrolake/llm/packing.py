@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
@@ -23,10 +24,11 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 @lru_cache(maxsize=2)
 def _encoders(tokenizer_json: str, ranks_file: str | None):
+    """The tokenizer as its file has it, its added tokens, and a faster encoder of the same vocabulary."""
     from tokenizers import Tokenizer
 
     exact = Tokenizer.from_file(tokenizer_json)
-    exact.encode_special_tokens = True
+    added = tuple(t.content for t in exact.get_added_tokens_decoder().values())
     fast = None
     if ranks_file:
         import base64
@@ -37,35 +39,40 @@ def _encoders(tokenizer_json: str, ranks_file: str | None):
         with open(ranks_file, "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
         fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return exact, fast
+    return exact, added, fast
 
 
 def encode(text: str, tokenizer_json: str, ranks_file: str | None) -> np.ndarray:
-    """Token ids of a whole text (special tokens' strings are ordinary text)."""
-    exact, fast = _encoders(tokenizer_json, ranks_file)
-    if fast is not None and not PLAIN.search(text):
+    """Token ids of a whole text, as the tokenizer gives them with add_special_tokens=False.
+
+    The faster encoder takes only texts of PLAIN characters without an added token's string, where both are equal.
+    """
+    exact, added, fast = _encoders(tokenizer_json, ranks_file)
+    if fast is not None and not PLAIN.search(text) and not any(t in text for t in added):
         return np.asarray(fast.encode_to_numpy(text, disallowed_special=()), dtype="<u4")
     return np.array(exact.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
 
 def token_pieces(docs: DataFrame, tokenizer_json: str, ranks_file: str | None, seq_len: int = 1024, end_id: int = 0) -> DataFrame:
-    """One row per piece of at most ``seq_len`` ids: PIECES. Null text counts as empty, so each document has a piece.
+    """One row per piece of at most ``seq_len`` ids: PIECES and _salt, a random number of the row that deals it to a group.
 
-    Only lengths and checksums leave the task; ids and texts are never shuffled.
+    Null text counts as empty, so each document has a piece. doc_id must be an integer or null. Only lengths and
+    checksums leave the task; ids and texts are never shuffled.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
+            salt = np.random.default_rng(uuid.uuid4().int)
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = np.append(encode(text, tokenizer_json, ranks_file), np.array([end_id], "<u4")).astype("<u4")
                 for start in range(0, len(ids), seq_len):
                     piece = ids[start : start + seq_len]
-                    out.append((doc_id, start, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
-            cols = list(zip(*out, strict=True)) if out else [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                    out.append((doc_id, start, len(piece), zlib.crc32(piece.tobytes()), len(ids), int(salt.integers(2**62))))
+            cols = list(zip(*out, strict=True)) if out else [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "_salt"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(run, f"{PIECES}, _salt long")
 
 
 def first_fit_decreasing(lengths: Sequence[int], capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -98,23 +105,24 @@ def first_fit_decreasing(lengths: Sequence[int], capacity: int) -> tuple[np.ndar
 def pack(pieces: DataFrame, seq_len: int = 1024, pieces_per_group: int = 4000, n_pieces: int | None = None, seed: int = 7) -> DataFrame:
     """``pieces`` with sequence_id and offset.
 
-    Pieces are dealt by a hash of (doc_id, start) to groups of about ``pieces_per_group``; each group is packed alone,
-    so a lost task is simply run again and gives the same sequences. Full pieces fill a sequence of their own in the
-    same way. A sequence_id is group * 2^32 + the bin's number. Null doc_id, equal rows: packed like others.
+    Pieces are dealt by a hash of their _salt (written with them) to groups of about ``pieces_per_group``, so copies of
+    a row and null doc_ids spread like others; each group is packed alone, so a lost task is simply run again and gives
+    the same sequences. Full pieces fill a sequence of their own in the same way. A sequence_id is group * 2^32 + the
+    bin's number.
     """
     count = pieces.count() if n_pieces is None else n_pieces
     groups = max(1, -(-count // pieces_per_group))
-    rest = [f for f in pieces.schema.names if f not in ("doc_id", "start", "length")]
+    rest = [f for f in pieces.schema.names if f not in ("doc_id", "start", "length", "_salt")]
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "start", "length"], kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(["_salt", "start"], kind="stable").reset_index(drop=True)
         bins, offsets = first_fit_decreasing(pdf["length"].to_numpy(), seq_len)
         pdf["sequence_id"] = int(key[0]) * 2**32 + bins
         pdf["offset"] = offsets
         return pdf[["doc_id", "start", "length", *rest, "sequence_id", "offset"]]
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.select("doc_id", "start", "length", *rest).schema)
-    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "start", F.lit(seed)), F.lit(groups)))
+    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("_salt", F.lit(seed)), F.lit(groups)))
     return dealt.groupBy("_group").applyInPandas(run, f"{schema}, sequence_id long, offset long")
 
 
