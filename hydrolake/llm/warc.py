@@ -136,15 +136,18 @@ def join_ranges(wanted: list[tuple[int, int]], gap: int, most: int) -> list[tupl
     return out
 
 
-def read_records(index: DataFrame, folder: str, gap: int = 64 << 10, most: int = 8 << 20, span: int = 64 << 20) -> DataFrame:
+def read_records(index: DataFrame, folder: str, gap: int = 64 << 10, most: int = 8 << 20, task_bytes: int = 8 << 20) -> DataFrame:
     """RECORDS of the records in ``index`` (any selection of its rows).
 
-    Index rows are dealt by file and 64 MB stretch and sorted by offset, so a task reads a few joined ranges in order.
+    Index rows are dealt by file and stretch of ``most`` bytes and sorted by offset, so a task reads a few joined ranges
+    in order. There is a task for each ``task_bytes`` (gzipped) to read: the index itself is far too small to tell.
     An empty index gives no rows; rows listed twice are read twice.
     """
+    to_read = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-to_read // task_bytes))
     dealt = (
         index.select("file", "offset", "length")
-        .repartition("file", (F.col("offset") / span).cast("long"))
+        .repartition(tasks, "file", (F.col("offset") / most).cast("long"))
         .sortWithinPartitions("file", "offset")
     )
 
