@@ -3,20 +3,22 @@
 Benchmark items become windows of consecutive words. A block is two words. The shift table says how far a window's end
 may move when a block is seen there; most blocks of a document occur in no window, so the search jumps almost a
 whole window at a time. Where the shift is zero, the suffix bucket of that block lists the windows to compare
-directly. The windows are searched in blocks of a bounded number, one pass over the documents per block.
+directly. Benchmark items are searched in blocks of a bounded size, one pass over the documents per block.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hydrolake.llm.common import whole_text
+from hydrolake.llm.common import materialize, whole_text
 
 #: Fixed value: a word, after A-Z are lower-cased, as UTF-8 bytes: digits, letters, and all that isn't ASCII.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -93,16 +95,21 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13,
     the text with null as empty.
 
     Null or empty text: no words. Null items are skipped; equal items are all reported; repeated documents each get
-    their row. Each block of items is one pass over the rows, chained without a shuffle: a pass adds the runs of hit
-    words and the items it finds. Usually one block holds the whole benchmark.
+    their row. Usually one block holds the whole benchmark: one pass over the rows without a shuffle. With more, each
+    block's pass is written before the next begins, so an executor holds one block's tables at a time.
     """
     keep = ["doc_id"] if keep is None else keep
     state = docs.select(
         *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], whole_text().alias("_text"),
         F.array().cast("array<string>").alias("_items"), F.array().cast("array<long>").alias("_runs"), F.lit(0).cast("long").alias("_n"), F.lit(0).cast("long").alias("_hit"),
     )
+    before = None
     for block in item_blocks(benchmark, max_chars):
-        state = _one_pass(state, block, window)
+        if before is not None:
+            state = materialize(state, "decontaminated")
+            before.unpersist()
+        before = state.sparkSession.sparkContext.broadcast(block)
+        state = _one_pass(state, before, window)
     return state.select(
         *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], F.col("_n").alias("n_words"),
         F.col("_hit").alias("n_hit"), F.col("_items").alias("items"),
@@ -110,12 +117,22 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13,
     )
 
 
-def _one_pass(state: DataFrame, items: list[tuple[str, str]], window: int) -> DataFrame:
-    shared = state.sparkSession.sparkContext.broadcast(items)
-    names = state.columns
+_BUILT: dict[str, list[WuManber]] = {}
+
+
+def built_searchers(number: str, items: list[tuple[str, str]], size: int) -> list[WuManber]:
+    """The tables of a block, built once in a worker; those of another block make room."""
+    if number not in _BUILT:
+        _BUILT.clear()
+        _BUILT[number] = searchers(items, size)
+    return _BUILT[number]
+
+
+def _one_pass(state: DataFrame, block: Broadcast, window: int) -> DataFrame:
+    names, number = state.columns, f"{uuid.uuid4().hex}-{window}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = searchers(shared.value, window)
+        found = built_searchers(number, block.value, window)
         for batch in batches:
             texts, before, ran = (batch.column(names.index(c)).to_pylist() for c in ("_text", "_items", "_runs"))
             n_words, n_hit, which, runs = [], [], [], []
