@@ -150,7 +150,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], default: str = "allow",
         return judged.select(*id_cols, "host", "path", none.alias("rule"), F.lit(default).alias("verdict"), F.lit(0).alias("n_keys"))
     with_keys = judged.withColumn("keys", F.when(F.col("host") == "", F.array().cast("array<struct<host:string,path:string>>")).otherwise(candidate_keys(F.col("host"), F.col("path"), lengths)))
     universe = materialize(with_keys.select(F.explode(F.transform("keys", key_text)).alias("key")).distinct(), "urlkeys")
-    as_rows = spark.createDataFrame([(k, r.verdict) for k, r in first.items()], "key string, verdict string")
+    as_rows = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(k).alias("key"), F.lit(r.verdict).alias("verdict")) for k, r in first.items()])))
     listed_levels = build_cascade(as_rows, universe)
     block_levels = build_cascade(as_rows.where("verdict = 'block'"), as_rows)
     fit = F.filter("keys", lambda p: in_cascade(listed_levels, key_text(p)))
