@@ -134,6 +134,7 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, perc
     where = sets.join(wanted, "sno", "left_semi").select("sno", "tk", F.col("doc").alias("_doc"))
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), whole_text().alias("text")).withColumn("_tk", F.xxhash64("text"))
     found = where.join(texts, (F.col("tk") == F.col("_tk")) & F.col("_doc").eqNullSafe(F.col("_id"))).select("sno", "text")
+    found = found.groupBy("sno").agg(F.first("text").alias("text"))  # a row may be there many times
     found = materialize(found, "candidate-texts")
     both = (
         pairs.join(found.toDF("b", "_tb"), "b")
