@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -43,9 +44,15 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``.
+
+    Where that is unset, a local master (tests) gets a temporary folder; a cluster, whose executors don't share the
+    driver's disk, gets an error.
+    """
     known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not known:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         known = "file://" + tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(known)
     return known.rstrip("/")

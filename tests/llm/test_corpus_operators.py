@@ -37,18 +37,19 @@ def test_quality_measures(spark):
     assert quality_rules.judge_quality(docs.limit(0)).count() == 0
 
 
-def test_quality_thresholds(spark):
-    rng = random.Random(1)
-    rows = []
-    for i in range(600):
-        words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 7))) for _ in range(80)]
-        if i % 10 == 0:
-            words = [w + "$$$" for w in words]
-        rows.append((i, " ".join(words), "en" if i % 2 else None, f"s{i % 3}"))
-    judged = quality_rules.judge_quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), least_rows=50)
-    kept = {r.doc_id: r.kept for r in judged.collect()}
-    # groups are smaller than the sketch's k, so its quantiles are exact
-    assert [i for i in range(600) if not kept[i]] == list(range(0, 600, 10))
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_quality_verdicts(spark, sf):
+    """kept against exact quantiles; a hot source, null groups, repeated rows; the same in every run."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text", "lang", "source")
+    odd = docs.where("doc_id % 3 = 0").select("doc_id", "text", F.lit(None).cast("string").alias("lang"), F.when(F.col("doc_id") % 2 == 0, "hot").alias("source"))
+    rows = docs.unionByName(odd).unionByName(docs.where("doc_id < 20")).unionByName(spark.createDataFrame([(None, None, "en", None), (-1, "", None, "x")], docs.schema))
+    own = [tuple(r) for r in rows.select("lang", "source", "text").collect()]
+    for per_mille, prior in ((5, 100), (50, 10)):
+        want = sorted(zip([r.doc_id for r in rows.select("doc_id").collect()], brute.quality_kept(own, per_mille, prior), strict=True), key=key)
+        runs = [sorted(((r.doc_id, r.kept) for r in quality_rules.judge_quality(d, per_mille=per_mille, prior_rows=prior).collect()), key=key) for d in (rows, rows.repartition(7))]
+        assert runs[0] == want and runs[1] == want
+    fences = brute.quality_fences(own, 5, 100)
+    assert all(len({f[k][1] for f in fences.values()}) > len(fences) / 4 for k in range(4))
 
 
 def test_repeats_when_hashes_clash(spark, monkeypatch):
@@ -122,6 +123,14 @@ def test_jaccard_edges(spark):
     assert sorted((r.doc_id for r in kept.where("doc_id is not null").collect())) == [5]
 
 
+def test_jaccard_many_equal_rows(spark):
+    """Pairs are of sets: a row that comes many times is compared once."""
+    near = " ".join(f"k{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, near), (2, near + " k40")], "doc_id long, text string").join(spark.range(300).select(F.lit(1).alias("one")))
+    found = jaccard_join.jaccard_components(docs, 4, 85)
+    assert {tuple(r) for r in found.collect()} == {(1, 37, 1), (2, 38, 1)} and found.count() == 600
+
+
 def test_jaccard_links_inside_a_prefix_group(spark):
     """In a group (five rare words, ten in all) only two sets are alike; whichever is tried first, they must meet.
 
@@ -195,6 +204,7 @@ def test_archives(spark):
     index = warc.write_archives(pages, folder, file_bytes=20_000)
     got = warc.read_records(index, folder, gap=100, most=5000).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
+    assert warc.read_records(index, folder, task_bytes=20_000).rdd.getNumPartitions() > 1
     some = warc.read_records(index.where("url = 'u'"), folder).collect()
     assert sorted(r.page_id for r in some) == [8, 9]
     assert warc.archive_round_trip(spark, pages.limit(0)).count() == 0

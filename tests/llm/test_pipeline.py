@@ -2,6 +2,7 @@
 
 import corpus_pipeline
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from hydrolake.llm import packing, pii, quality_pu
 from hydrolake.llm.common import materialize, table
@@ -37,7 +38,7 @@ def test_stages(spark):
         new = None if r.text is None else own.replace(r.text)[0]
         assert texts[r.doc_id].text == new and texts[r.doc_id].n_chars == (None if new is None else len(new))
 
-    exact, _ = packing._encoders(*packing.public_files())
+    exact = Tokenizer.from_file(packing.public_files()[0])
     rows = corpus_pipeline.run(spark, SF).collect()
     brute.pieces_ok(rows, [(r.doc_id, r.text) for r in texts.values()], lambda t: exact.encode(t, add_special_tokens=False).ids)
 

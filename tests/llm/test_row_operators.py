@@ -1,7 +1,10 @@
 """Secrets, URL filters, decontamination and packing against brute force."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from hydrolake.llm import decontaminate, packing, queries, secrets, url_filter
 from tests.llm import brute
@@ -21,6 +24,10 @@ def test_secrets(spark):
     want = sorted(((d is None, d or 0), *brute.secrets(t)) for d, t in map(tuple, docs.collect()))
     got = sorted(((r.doc_id is None, r.doc_id or 0), r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in secrets.secret_report(docs).collect())
     assert got == want
+    by_word = secrets.scan_secrets(small, [secrets.SecretRule("word", "x", 0, 1)], keep=["doc_id", "_text"])  # no trigrams at all
+    assert by_word.count() == len(TRICKY) and by_word.where("doc_id = 3").select(F.size("found")).first()[0] == 1
+    many = secrets.secret_report(small.where("doc_id is null").join(spark.range(50).select(F.lit(1).alias("one")))).collect()
+    assert len(many) == 50 and {r.n_assign for r in many} == {1}  # repeated rows, null keys
     assert [r.spans for r in secrets.secret_report(small.where("doc_id = 7")).collect()] == ["pem:0:31"]
     assert secrets.secret_report(small.limit(0)).count() == 0
 
@@ -34,7 +41,7 @@ def test_trigram_queries():
 
 
 def test_urls(spark):
-    rows = [(1, None), (2, "no scheme"), (3, "http://COM/x"), (4, "https://www.example.com/en/a?b"), (5, "https://a.example.com/en/"), (6, "x://net/es"), (7, "x://q.net/es/#"), (8, "x://notnet/es/"), (9, "http://"), (None, "http://b.com:80/"), (4, "https://www.example.com/en/a?b")]
+    rows = [(12, "http://" + "a." * 500 + "com/" + "p/" * 20_000), (1, None), (2, "no scheme"), (3, "http://COM/x"), (4, "https://www.example.com/en/a?b"), (5, "https://a.example.com/en/"), (6, "x://net/es"), (7, "x://q.net/es/#"), (8, "x://notnet/es/"), (9, "http://"), (None, "http://b.com:80/"), (4, "https://www.example.com/en/a?b")]
     pages = spark.createDataFrame([(*r, "h") for r in rows], "page_id long, url string, host string")
     big = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", F.lit("h").alias("host"))
     for df in (pages, big):
@@ -42,6 +49,8 @@ def test_urls(spark):
         got = sorted((tuple(r[:4]) + (r.verdict,) for r in url_filter.judge_urls(df, queries.URL_RULES).collect()), key=key)
         want = sorted(((r.page_id, *brute.url(r.url)[:3], brute.url(r.url)[3] or "allow") for r in df.collect()), key=key)
         assert got == want
+    twice = [url_filter.Rule("com", "/", "block"), *queries.URL_RULES[:1] * 2]  # of equal rules the first counts
+    assert {r.verdict for r in url_filter.judge_urls(pages, twice).where("rule = 'com/'").collect()} == {"block"}
     assert url_filter.judge_urls(pages.limit(0), queries.URL_RULES).count() == 0
     assert {r.verdict for r in url_filter.judge_urls(pages, [], "block").collect()} == {"block"}
 
@@ -63,6 +72,8 @@ def test_decontamination(spark):
     docs = docs.unionByName(spark.createDataFrame(more, docs.schema))
     bench = spark.createDataFrame(items, "item_id string, text string")
     want = sorted((d, *brute.contamination(t, items)) for d, t in map(tuple, docs.collect()))
+    docs = docs.unionByName(spark.createDataFrame([(-5, "pad " * 60_000 + items[2][1])], docs.schema))
+    want = sorted([*want, (-5, *brute.contamination("pad " * 60_000 + items[2][1], items))])
     for max_chars in (4_000_000, 20_000):
         found = decontaminate.find_contamination(docs, bench, max_chars=max_chars)
         got = found.select("doc_id", "n_words", "n_hit", F.size("items"), F.sha2(F.array_join("items", ","), 256), (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
@@ -71,21 +82,52 @@ def test_decontamination(spark):
     assert decontaminate.find_contamination(docs, bench.limit(0)).agg(F.sum("n_hit")).first()[0] == 0
 
 
+def plain_ids(text):
+    """The contract's ids: the tokenizer as its file has it."""
+    if not hasattr(plain_ids, "own"):
+        plain_ids.own = Tokenizer.from_file(packing.public_files()[0])
+    return plain_ids.own.encode(text, add_special_tokens=False).ids
+
+
 def test_packing(spark):
     json_file, ranks = packing.public_files()
-    exact, _ = packing._encoders(json_file, ranks)
-    encode = lambda t: exact.encode(t, add_special_tokens=False).ids
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
-    more = [(-1, None), (-2, ""), (-3, "x y " * 5000), (-4, "日本語 text <|endoftext|> 𝄞 \u2003 \u0085 a\u00a0b"), (-5, "éà ñ ß 12 '​s don't")]
+    more = [(-1, None), (-2, ""), (-3, "x y " * 5000), (-4, "日本語 text <|endoftext|> 𝄞 \u2003 \u0085 a\u00a0b"), (-5, "éà ñ ß 12 '\u200bs don't"), (-6, "a <|endoftext|> b")]
     docs = docs.unionByName(spark.createDataFrame(more, docs.schema))
-    rows = packing.pack_documents(docs, json_file, ranks, pieces_per_group=100).collect()
-    brute.pieces_ok(rows, [tuple(r) for r in docs.collect()], encode)
+    rows = packing.pack_documents(docs.withColumn("_salt", F.lit("clash")), json_file, ranks, pieces_per_group=100).collect()
+    brute.pieces_ok(rows, [tuple(r) for r in docs.collect()], plain_ids)
+    assert {r["doc_tokens"] for r in rows if r["doc_id"] == -6} == {len([64, 220, 50256, 275]) + 1}
     one = packing.pack_documents(docs, json_file, ranks).collect()
     total, n_seq = sum(r["length"] for r in one), len({r["sequence_id"] for r in one})
     assert n_seq <= 1.05 * total / 1024 + 1
     assert packing.pack_documents(docs.limit(0), json_file, ranks).count() == 0
 
 
+def test_packing_of_repeated_and_null_ids(spark):
+    """Copies of a row and null ids are dealt to many groups, and no piece is lost."""
+    rows = [(7, "same text " * 3)] * 300 + [(None, "no id " * 2)] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = packing.pack_documents(docs, *packing.public_files(), pieces_per_group=50).collect()
+    assert len(got) == 600 and sum(r["doc_id"] is None for r in got) == 300
+    assert len({r["sequence_id"] >> 32 for r in got if r["doc_id"] is None}) > 5
+    seats = sorted((r["sequence_id"], r["offset"], r["length"]) for r in got)
+    for (s, at, n), (t, after, _) in zip(seats, seats[1:], strict=False):
+        assert after == (at + n if s == t else 0)
+
+
+def test_both_encoders_are_equal(spark):
+    """On every character that the faster encoder takes, in each kind of neighbourhood, and on whole documents."""
+    files = packing.public_files()
+    chars = [chr(c) for c in range(0x2028) if not packing.PLAIN.search(chr(c))] + ["€"]
+    around = ["{}", "a{}b", " {} ", "1{}2", "{0}{0}", "a {}1", "'{}", "{}\n\n {}x", "!{}?", "\t{} \u00a0{}", "Å{}é", "  {}"]
+    texts = ["".join(f.replace("{0}", c).replace("{}", c) for f in around) for c in chars] + [f.replace("{0}", c).replace("{}", c) for c in chars for f in around]
+    rng = random.Random(4)
+    texts += ["".join(rng.choice(chars) for _ in range(rng.randrange(1, 60))) for _ in range(3000)]
+    for sf in ("sf0.001", "sf0.01"):
+        texts += [r.text or "" for r in spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("text").collect()]
+    assert [t for t in texts if packing.encode(t, *files).tolist() != plain_ids(t)] == []
+
+
 @pytest.mark.parametrize("lengths", [[], [1024], [600, 500, 424, 524, 1, 1023], [3] * 1000])
 def test_first_fit_decreasing(lengths):
     bins, offsets = packing.first_fit_decreasing(lengths, 1024)
