@@ -1,17 +1,17 @@
-"""Removal of repeated byte strings by blockwise suffix sorting.
+"""Removal of repeated byte strings by difference-cover blockwise suffix sorting.
 
-A byte goes if a window of ``size`` bytes over it also starts in a document with a smaller id. All windows are suffixes
-cut at ``size`` bytes. They are parted into suffix buckets, each sorted alone in one task:
+A byte goes if a window of ``size`` bytes over it also starts in a document with a smaller id, so what counts is which
+suffixes have a common prefix of ``size`` bytes or more.
 
 1. packs    documents are packed, a few MB of text each, compressed, and written once.
 2. anchors  in each window, the k-gram of the least hash is its anchor; equal windows have equal anchors at equal places.
             Packs send the hashes of their anchors to buckets; those in one place only can't be in a repeat.
-3. sorting  packs send the windows of the anchors that are left, once per pack, as strings around their anchors. A bucket
-            lays all strings out so that anchors fall on multiples of 8. The multiples of 8 are the cover sample:
-            as equal windows have equal places relative to the anchor, this cover meets all of them at the same shift.
-            Ranks of the sample's next 40 bytes come from doubling, and a window is sorted by the few bytes before its
-            first sample place, that place's rank and the few bytes after. So a task holds one bucket and its ranks.
-   The parts of a bucket are sorted one after another.
+3. sorting  packs send the strings around the anchors that are left, once per pack, to the anchors' buckets. A bucket is
+            a text of its own that holds all equal windows of the corpus. Its suffixes are sorted blockwise:
+            ranks of a difference-cover sample are computed once, by doubling; sampled splitters part the suffixes by
+            their leading bytes into blocks; one block at a time is sorted by the bytes of one period, and longer ties
+            are resolved by the ranks of the two sample places that lie at one distance from both suffixes. Neighbours
+            with a common prefix of ``size`` bytes are equal windows.
 4. answer   the least document of each window goes back to its pack, where the bytes are removed.
 """
 
@@ -30,10 +30,12 @@ from pyspark.sql import functions as F
 
 from hydrolake.llm.common import materialize, whole_text
 
-K = 20  # bytes of an anchor
 PACK_BYTES = 2 << 20
 SEGMENT = 1 << 19  # windows looked at together
-SORTED_WINDOWS = 1 << 19  # windows of a bucket sorted together, about
+BLOCK = 1 << 19  # suffixes of a bucket sorted together, about
+TEXT_BYTES = 24 << 20  # a bucket with more text is parted by its anchors
+#: Difference covers by period; any distance is the difference of two members, modulo the period.
+COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16)}
 NO_ID = np.iinfo(np.int64).max  # null doc_id: after all others
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -42,18 +44,23 @@ def _u64(x: int) -> np.uint64:
     return np.uint64(x)
 
 
-def gram_hashes(b: np.ndarray) -> np.ndarray:
-    """64-bit hashes of all K-grams."""
-    two = b[:-1].astype(np.uint64) | b[1:].astype(np.uint64) << _u64(8)
-    four = two[:-2] | two[2:] << _u64(16)
-    eight = four[:-4] | four[4:] << _u64(32)
-    n = len(b) - K + 1
-    h = eight[:n] * _u64(0x9E3779B97F4A7C15)
-    h ^= h >> _u64(32)
-    h = (h ^ eight[8 : 8 + n]) * _u64(0xC2B2AE3D27D4EB4F)
-    h ^= h >> _u64(29)
-    h = (h ^ four[16 : 16 + n]) * _u64(0x165667B19E3779F9)
-    return h ^ (h >> _u64(32))
+def gram_bytes(size: int) -> int:
+    """Bytes of an anchor."""
+    return 20 if size >= 40 else max(1, size // 2)
+
+
+def gram_hashes(b: np.ndarray, k: int) -> np.ndarray:
+    """64-bit hashes of all k-grams, from their words of 8, 4 or 1 bytes (the last one may overlap the one before)."""
+    words, step = b.astype(np.uint64), 1
+    while step < 8 and 2 * step <= k:
+        words = words[:-step] | words[step:] << _u64(8 * step)
+        step *= 2
+    n = max(0, len(b) - k + 1)
+    h = np.zeros(n, np.uint64)
+    for i, at in enumerate([*range(0, k - step, step), k - step]):
+        h = (h ^ words[at : at + n]) * _u64((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)[i % 3])
+        h ^= h >> _u64(32 - i % 3)
+    return h
 
 
 def window_runs(b: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -62,11 +69,12 @@ def window_runs(b: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray,
     ``b`` holds texts that end at ``ends``; windows over an end aren't windows.
     """
     parts = []
-    w = size - K + 1
+    k = gram_bytes(size)
+    w = size - k + 1
     left = np.repeat(ends[1:], np.diff(ends)) - np.arange(len(b))  # bytes from here to the text's end
     for s in range(0, len(b) - size + 1, SEGMENT):
         own = b[s : s + SEGMENT + size - 1]
-        h = gram_hashes(own)
+        h = gram_hashes(own, k)
         low = _u64((1 << 24) - 1)
         least = (h & ~low) | np.arange(len(h), dtype=np.uint64)  # leftmost of equal hashes
         span = 1
@@ -114,25 +122,26 @@ class PackRuns:
         self.start, self.end, self.anchor, self.hash = window_runs(self.raw, self.ends, size)
         self.doc = np.searchsorted(self.ends, self.start, "right") - 1
 
-    def strings(self, shared: np.ndarray, size: int) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-        """Of runs with a shared anchor: their numbers, then the distinct strings (text, anchor's offset, hash), and each run's string."""
+    def strings(self, shared: np.ndarray, size: int) -> tuple[np.ndarray, list[bytes], np.ndarray, tuple[np.ndarray, np.ndarray]]:
+        """Of runs with a shared anchor: their numbers, then the distinct records (two bytes for the anchor's offset, and
+        the text), their anchors' hashes, each run's record and each record's least document."""
         if not len(shared):
             which = np.empty(0, np.int64)
         else:
             at = np.minimum(np.searchsorted(shared, self.hash), len(shared) - 1)
             which = np.flatnonzero(shared[at] == self.hash)
         first, last, offset = self.start[which], self.end[which] - 1 + size, self.anchor[which] - self.start[which]
-        known: dict[tuple[bytes, int], int] = {}
+        known: dict[bytes, int] = {}
         of = np.empty(len(which), np.int64)
         whole = self.raw.tobytes()
+        head = [i.to_bytes(2, "little") for i in range(size)]
         for i, (a, b, c) in enumerate(zip(first.tolist(), last.tolist(), offset.tolist(), strict=True)):
-            of[i] = known.setdefault((whole[a:b], c), len(known))
-        texts = [k[0] for k in known]
+            of[i] = known.setdefault(head[c] + whole[a:b], len(known))
         hashes = np.zeros(len(known), np.uint64)
         hashes[of] = self.hash[which]
         least = np.full(len(known), NO_ID, np.int64)
         np.minimum.at(least, of, self.ids[self.doc[which]])
-        return which, texts, np.array([k[1] for k in known], np.int64), hashes, (of, least)
+        return which, list(known), hashes, (of, least)
 
 
 def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -150,72 +159,152 @@ def from_bytes(raw: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def least_documents(texts: list[bytes], offsets: np.ndarray, docs: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For every window of every string: the string, the window's place in it, the least document with that window."""
-    lens = np.fromiter(map(len, texts), np.int64, len(texts))
-    front = -offsets % 8  # anchors on multiples of 8
-    room = 8 + (front + lens + 7) // 8 * 8 + 64
-    base = np.cumsum(room) - room + 8 + front
-    total = int(room.sum())
-    total += -total % 8
-    buf = np.zeros(total, np.uint8)
-    flat = np.frombuffer(b"".join(texts), np.uint8)
-    string_at = np.cumsum(lens) - lens
-    buf[np.repeat(base - string_at, lens) + np.arange(len(flat))] = flat
-    words = buf.view(">u8").astype(np.uint64)
-
-    def dense(*keys: np.ndarray) -> np.ndarray:
-        order = np.lexsort(keys[::-1])
-        new = np.zeros(len(order), bool)
-        for k in keys:
-            s = k[order]
-            new[1:] |= s[1:] != s[:-1]
-        out = np.empty(len(order), np.uint64)
-        out[order] = np.cumsum(new).astype(np.uint64)
-        return out
-
-    after = lambda x, n: np.r_[x[n:], np.zeros(min(n, len(x)), x.dtype)]
-    r8 = dense(words)
-    r16 = dense(r8, after(r8, 1))
-    r32 = dense(r16, after(r16, 2))
-    r40 = dense(r32, after(r8, 4))
-    n_windows = lens - size + 1
+def period_of(size: int) -> int:
+    """The largest period of a known cover that is at most half of ``size``."""
+    return max(v for v in COVERS if v == 1 or 2 * v <= size)
+
+
+def shift_table(v: int) -> np.ndarray:
+    """For two residues, the least distance that takes both into the cover."""
+    inside = np.isin(np.arange(2 * v) % v, COVERS[v])
+    return np.array([[next(s for s in range(v) if inside[a + s] and inside[b + s]) for b in range(v)] for a in range(v)], np.int64)
+
+
+def dense(keys: np.ndarray) -> np.ndarray:
+    """Ranks from 0; equal keys have equal ranks."""
+    order = np.argsort(keys)
+    s = keys[order]
+    out = np.empty(len(keys), np.uint64)
+    out[order] = np.cumsum(np.r_[False, s[1:] != s[:-1]][: len(s)]).astype(np.uint64)
+    return out
+
+
+class SuffixBlocks:
+    """A text of many strings, each padded with zeros, and the ranks of its difference-cover sample."""
+
+    def __init__(self, texts: list[bytes], size: int):
+        self.size, self.v = size, period_of(size)
+        self.lens = np.fromiter(map(len, texts), np.int64, len(texts))
+        room = self.lens + self.v + 8
+        self.base = np.cumsum(room) - room
+        buf = np.zeros(int(room.sum()) + 8, np.uint8)
+        pad = bytes(self.v + 8)
+        joined = pad.join(texts) + pad
+        buf[: len(joined)] = np.frombuffer(joined, np.uint8)
+        self.words = np.ndarray((len(buf) - 7,), ">u8", buf, 0, (1,))  # the eight bytes from each place on
+        self.shifts = shift_table(self.v)
+        inside = np.zeros(len(buf), bool)
+        inside[: len(joined)] = np.isin(np.arange(self.v), COVERS[self.v])[np.arange(len(joined)) % self.v]
+        sample = np.flatnonzero(inside)
+        of = np.searchsorted(self.base, sample, "right") - 1
+        end = (self.base + self.lens)[of]
+        sample, end = sample[sample < end], end[sample < end]
+        self.rank = np.zeros(len(buf), np.uint32)  # 0: no sample, or past a string's end
+        ranks = dense(self.bytes_at(sample, 0, min(8, self.v)))
+        for at, n in self.after_eight():
+            ranks = dense(ranks << _u64(8 * n) | self.bytes_at(sample, at, n))
+        known, longest = self.v, int(self.lens.max(initial=0))
+        while True:
+            self.rank[sample] = ranks + _u64(1)
+            if known >= longest:
+                break
+            then = np.where(sample + known < end, self.rank[np.minimum(sample + known, len(buf) - 1)], 0)
+            ranks = dense(ranks << _u64(32) | then.astype(np.uint64))
+            known *= 2
+
+    def bytes_at(self, places: np.ndarray, at: int, n: int) -> np.ndarray:
+        return self.words[places + at].astype(np.uint64) >> _u64(64 - 8 * n)
+
+    def after_eight(self) -> list[tuple[int, int]]:
+        """The bytes of a period after the first eight, as many at a time as fit beside a rank."""
+        return [(at, min(4, self.v - at)) for at in range(8, self.v, 4)]
+
+    def sort_block(self, places: np.ndarray, leading: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The order of the suffixes at ``places``, and where in it a group with ``size`` equal bytes begins."""
+        order = np.argsort(leading)
+        s = leading[order]
+        group = np.cumsum(np.r_[False, s[1:] != s[:-1]]).astype(np.uint64)
+        for at, n in self.after_eight():
+            key = group << _u64(8 * n) | self.bytes_at(places[order], at, n)
+            again = np.argsort(key)
+            order, s = order[again], key[again]
+            group = np.cumsum(np.r_[False, s[1:] != s[:-1]]).astype(np.uint64)
+        self._resolve_ties(places, order, group)
+        p = places[order]
+        new = np.r_[True, group[1:] != group[:-1]]
+        for at in range(self.v, self.size, 8):
+            word = self.bytes_at(p, at, min(8, self.size - at))
+            new[1:] |= word[1:] != word[:-1]
+        return order, new
+
+    def _resolve_ties(self, places: np.ndarray, order: np.ndarray, group: np.ndarray) -> None:
+        """Sort, in ``order``, the members of each group of suffixes that are equal over a period.
+
+        All groups at once: each is parted in three by the ranks of a pivot and its members, compared at the distance
+        that takes both into the sample, until nothing is left but suffixes that are equal to their ends.
+        """
+        slots = np.arange(len(order))
+        while True:
+            first = np.r_[True, group[1:] != group[:-1]][: len(group)]
+            starts = np.flatnonzero(first)
+            sizes = np.diff(np.r_[starts, len(group)])
+            if not (sizes > 1).any():
+                return
+            many = np.repeat(sizes > 1, sizes)
+            slots, group = slots[many], group[many]
+            starts, sizes = np.cumsum(sizes[sizes > 1]) - sizes[sizes > 1], sizes[sizes > 1]
+            p = places[order[slots]]
+            pivot = np.repeat(p[starts + sizes // 2], sizes)
+            shift = self.shifts[p % self.v, pivot % self.v]
+            own, other = self.rank[p + shift], self.rank[pivot + shift]
+            side = (own >= other).astype(np.uint64) + (own > other)
+            number = np.repeat(np.arange(len(starts), dtype=np.uint64), sizes)
+            key = number * _u64(3) + side
+            again = np.argsort(key, kind="stable")
+            order[slots] = order[slots][again]
+            key = key[again]
+            left = key % _u64(3) != 1  # equal to the pivot: done
+            slots, group = slots[left], key[left]
+
+
+def least_documents(texts: list[bytes], docs: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every window of every string (in order): the least document with that window; and each string's first window."""
+    blocks = SuffixBlocks(texts, size)
+    n_windows = blocks.lens - size + 1
+    at = np.cumsum(n_windows) - n_windows
     string = np.repeat(np.arange(len(texts)), n_windows)
-    place = np.arange(int(n_windows.sum())) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
-    p = base[string] + place
-    shift = -p % 8
-    j = (p + shift) // 8
-    bits = shift.astype(np.uint64) * _u64(8)
-    head = (words[j - 1] & ((_u64(1) << bits) - _u64(1))) << _u64(3) | shift.astype(np.uint64)
-    tail = size - 40 - shift  # bytes after the ranked ones: 3 to 10 for 50
-    one = np.minimum(tail, 8).astype(np.uint64) * _u64(8)
-    tail1 = words[j + 5] >> (_u64(64) - one)
-    more = np.maximum(tail - 8, 0).astype(np.uint64) * _u64(8)
-    tail2 = np.where(more > 0, words[j + 6] >> np.minimum(_u64(64) - more, _u64(63)), _u64(0))
-    keys = (head, r40[j] << _u64(16) | tail2, tail1)
-    order = np.lexsort(keys[::-1])
-    new = np.zeros(len(order), bool)
-    new[:1] = True
-    for k in keys:
-        s = k[order]
-        new[1:] |= s[1:] != s[:-1]
-    least = np.empty(len(order), np.int64)
-    if len(order):
+    places = blocks.base[string] + np.arange(len(string)) - at[string]
+    leading = blocks.bytes_at(places, 0, min(8, blocks.v))
+    parts = -(-len(places) // BLOCK)
+    if parts > 1:
+        sample = np.sort(leading[:: max(1, len(leading) // (256 * parts))])
+        splitters = np.unique(sample[np.arange(1, parts) * len(sample) // parts])
+        part = np.searchsorted(splitters, leading, "right")
+        by_part = np.argsort(part, kind="stable")
+        members = np.split(by_part, np.searchsorted(part[by_part], np.arange(1, len(splitters) + 1)))
+    else:
+        members = [np.arange(len(places))]
+    least = np.empty(len(places), np.int64)
+    for own in members:
+        if not len(own):
+            continue
+        order, new = blocks.sort_block(places[own], leading[own])
+        own = own[order]
         starts = np.flatnonzero(new)
-        group = np.minimum.reduceat(docs[string[order]], starts)
-        least[order] = np.repeat(group, np.diff(np.r_[starts, len(order)]))
-    return string, place, least
+        least[own] = np.repeat(np.minimum.reduceat(docs[string[own]], starts), np.diff(np.r_[starts, len(own)]))
+    return least, at
 
 
-def remove_repeats(docs: DataFrame, size: int = 50, bucket_bytes: int = 8 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = 50, bucket_bytes: int = 6 << 20) -> DataFrame:
     """RESULT per row: bytes, removed bytes and runs, and the SHA-256 of what is kept, for windows of ``size`` bytes.
 
-    48 <= size <= 56 (40 bytes are ranked, up to 16 compared around them). Null text counts as empty. Rows with equal
-    ids never remove each other's bytes; null ids count as after all others. Extra columns are ignored. A bucket holds
-    about ``bucket_bytes`` of text; a string common to many documents is sent once per pack.
+    1 <= size < 65536. doc_id must be an integer or null. Null text counts as empty. Rows with equal ids never remove
+    each other's bytes; null ids count as after all others. Extra columns are ignored. A bucket holds about
+    ``bucket_bytes`` of the corpus; a string common to many documents is sent once per pack and kept once per bucket.
     """
-    if not 48 <= size <= 56:
-        raise ValueError("size must be 48 to 56")
+    if not 1 <= size < 1 << 16:
+        raise ValueError("size must be 1 to 65535")
+    gram = gram_bytes(size)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list = []
@@ -305,53 +394,60 @@ def remove_repeats(docs: DataFrame, size: int = 50, bucket_bytes: int = 8 << 20)
         for pack, own in by_pack(batches):
             if 1 not in own:
                 continue
-            _, _, texts, offsets, hashes, (_, least) = strings_of(own)
+            _, _, records, hashes, (_, least) = strings_of(own)
             to = bucket_of(hashes, buckets)
             order = np.argsort(to, kind="stable")
             for bucket in np.unique(to).tolist():
                 number = order[np.searchsorted(to[order], bucket) : np.searchsorted(to[order], bucket, "right")]
-                mine = [texts[i] for i in number.tolist()]
+                mine = [records[i] for i in number.tolist()]
                 lens = np.fromiter(map(len, mine), np.int64, len(mine))
-                head = np.array([len(mine)], "<i8").tobytes() + b"".join(x.astype("<i8").tobytes() for x in (number, least[number], offsets[number], lens))
+                head = np.array([len(mine)], "<i8").tobytes() + b"".join(x.astype("<i8").tobytes() for x in (number, least[number], lens))
                 data = zstandard.compress(head + b"".join(mine), 3)
                 yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([pack], pa.binary()), pa.array([data], pa.binary())], names=["bucket", "pack", "data"])
 
     def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, names, rows in by_bucket(batches):
-            pack, number, docs, offsets, texts = [], [], [], [], []
-            for i, z in enumerate(rows):
+            known: dict[bytes, int] = {}  # equal records of several packs are one
+            told = []
+            for z in rows:
                 raw = zstandard.decompress(z)
                 n = int(np.frombuffer(raw, "<i8", 1)[0])
-                a, b, c, lens = np.frombuffer(raw, "<i8", 4 * n, 8).reshape(4, n)
-                ends = np.cumsum(lens) + 8 + 32 * n
-                texts += [raw[e - k : e] for e, k in zip(ends.tolist(), lens.tolist(), strict=True)]
-                number.append(a)
-                docs.append(b)
-                offsets.append(c)
-                pack.append(np.full(n, i))
-            pack, number, docs, offsets = (np.concatenate(x) for x in (pack, number, docs, offsets))
-            # a part of the bucket at a time, parted by the anchors' own bytes
-            parts = 1 + (sum(map(len, texts)) - (size - 1) * len(texts)) // SORTED_WINDOWS
-            part = np.array([zlib.crc32(t[c : c + K]) % parts for t, c in zip(texts, offsets.tolist(), strict=True)])
-            outs, owners = [], []
+                number, least, lens = np.frombuffer(raw, "<i8", 3 * n, 8).reshape(3, n)
+                ends = np.cumsum(lens) + 8 + 24 * n
+                of = np.fromiter((known.setdefault(raw[e - k : e], len(known)) for e, k in zip(ends.tolist(), lens.tolist(), strict=True)), np.int64, n)
+                told.append((number, least, of))
+            records = list(known)
+            del known
+            docs = np.full(len(records), NO_ID, np.int64)
+            for _, least, of in told:
+                np.minimum.at(docs, of, least)
+            n_windows = np.fromiter(map(len, records), np.int64, len(records)) - 2 - size + 1
+            at = np.cumsum(n_windows) - n_windows
+            best = np.empty(int(n_windows.sum()), np.int64)
+            parts = -(-sum(map(len, records)) // TEXT_BYTES)
+            part = np.zeros(len(records), np.int64)
+            if parts > 1:  # equal windows have equal anchors
+                part = np.array([zlib.crc32(r[2 + int.from_bytes(r[:2], "little") :][:gram]) % parts for r in records])
             for i in range(parts):
                 mine = np.flatnonzero(part == i)
-                if not len(mine):
-                    continue
-                string, place, least = least_documents([texts[k] for k in mine.tolist()], offsets[mine], docs[mine], size)
-                string = mine[string]
-                told = least < docs[string]  # else the pack knows it itself
-                outs.append(np.stack([number[string[told]], place[told], least[told]], 1))
-                owners.append(pack[string[told]])
-            out, of = np.concatenate(outs), np.concatenate(owners)
-            kept = [(names[i], zstandard.compress(np.ascontiguousarray(out[of == i]).astype("<i8").tobytes(), 3)) for i in np.unique(of).tolist()]
-            if kept:
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in kept], pa.binary()), pa.array([d for _, d in kept], pa.binary())], names=["pack", "data"])
+                if len(mine):
+                    found, first = least_documents([records[k][2:] for k in mine.tolist()], docs[mine], size)
+                    n = n_windows[mine]
+                    best[np.repeat(at[mine] - first, n) + np.arange(len(found))] = found
+            for name, (number, least, of) in zip(names, told, strict=True):
+                n = n_windows[of]
+                first = np.cumsum(n) - n
+                place = np.arange(int(n.sum())) - np.repeat(first, n)
+                found = best[np.repeat(at[of], n) + place]
+                news = found < np.repeat(least, n)  # else the pack knows it itself
+                if news.any():
+                    out = np.stack([np.repeat(number, n)[news], place[news], found[news]], 1)
+                    yield pa.RecordBatch.from_arrays([pa.array([name], pa.binary()), pa.array([zstandard.compress(np.ascontiguousarray(out.astype("<i8")).tobytes(), 3)], pa.binary())], names=["pack", "data"])
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, own in by_pack(batches):
-            runs, which, texts, _, _, (of, least) = strings_of(own)
-            n_windows = np.fromiter(map(len, texts), np.int64, len(texts)) - size + 1
+            runs, which, records, _, (of, least) = strings_of(own)
+            n_windows = np.fromiter(map(len, records), np.int64, len(records)) - 2 - size + 1
             at = np.cumsum(n_windows) - n_windows
             best = np.repeat(least, n_windows)
             for z in own.get(2, []):

@@ -173,14 +173,59 @@ def test_suffix_removal(spark):
     assert sorted(map(tuple, suffix_dedup.remove_repeats(docs).collect())) == want
 
 
+@pytest.mark.parametrize("size", [7, 30, 90])
+def test_suffix_removal_of_other_sizes(spark, size):
+    docs = documents(spark).where("doc_id % 4 = 0").unionByName(spark.createDataFrame([(3001, "abc" * 50), (3002, "bca" * 60 + "\0"), (3003, "c" * size), (3004, "c" * size)], "doc_id long, text string"))
+    want = sorted((d, *x) for d, x in brute.removed([tuple(r) for r in docs.collect()], size).items())
+    assert any(w[2] for w in want)
+    assert sorted(map(tuple, suffix_dedup.remove_repeats(docs, size).collect())) == want
+
+
 def test_suffix_removal_in_small_parts(spark, monkeypatch):
     docs = documents(spark, [(5000, "lorem ipsum " * 3000), (5001, "lorem ipsum " * 2000)])
     want = sorted((d, *x) for d, x in brute.removed([tuple(r) for r in docs.collect()]).items())
     monkeypatch.setattr(suffix_dedup, "PACK_BYTES", 3000)
-    monkeypatch.setattr(suffix_dedup, "SEGMENT", 700)
+    monkeypatch.setattr(suffix_dedup, "TEXT_BYTES", 5000)
     assert sorted(map(tuple, suffix_dedup.remove_repeats(docs.repartition(3), bucket_bytes=50_000).collect())) == want
 
 
+@pytest.mark.parametrize("v", sorted(suffix_dedup.COVERS))
+def test_difference_covers(v):
+    cover = suffix_dedup.COVERS[v]
+    assert {(a - b) % v for a in cover for b in cover} == set(range(v))
+
+
+@pytest.mark.parametrize("block", [37, 1 << 19])
+def test_suffix_order(monkeypatch, block):
+    """Equal windows of a text of many strings, in one block and in many; zeros at the ends."""
+    monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+    rng = random.Random(6)
+    for size in (1, 2, 5, 20, 39, 50, 63, 120):
+        for letters in ("ab", "abc\0", "abcdefgh \n"):
+            base = "".join(rng.choice(letters) for _ in range(600)).encode()
+            cuts = [(a := rng.randrange(480), base[a : a + size + rng.randrange(60)] + bytes(rng.randrange(2)))[1] for _ in range(40)]
+            texts = [t for t in cuts if len(t) >= size]
+            docs = np.array([rng.randrange(99) for _ in texts], np.int64)
+            first: dict = {}
+            windows = [t[i : i + size] for t in texts for i in range(len(t) - size + 1)]
+            owners = [d for t, d in zip(texts, docs.tolist(), strict=True) for _ in range(len(t) - size + 1)]
+            for w, d in zip(windows, owners, strict=True):
+                first[w] = min(first.get(w, d), d)
+            least, at = suffix_dedup.least_documents(texts, docs, size)
+            assert least.tolist() == [first[w] for w in windows]
+            assert at.tolist() == np.r_[0, np.cumsum([len(t) - size + 1 for t in texts])][:-1].tolist()
+
+
+def test_suffix_ranks_give_the_order_of_suffixes():
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("ab") for _ in range(rng.randrange(60, 90))).encode() for _ in range(30)]
+    blocks = suffix_dedup.SuffixBlocks(texts, 50)
+    places = np.concatenate([blocks.base[i] + np.arange(len(t) - 49) for i, t in enumerate(texts)])
+    suffixes = [t[i:] for t in texts for i in range(len(t) - 49)]
+    order, _ = blocks.sort_block(places, blocks.bytes_at(places, 0, 8))
+    assert [suffixes[i] for i in order] == sorted(suffixes)
+
+
 def test_suffix_edges(spark):
     docs = spark.createDataFrame([(1, "q" * 60), (1, "q" * 60), (None, "q" * 60), (None, None)], "doc_id long, text string")
     got = sorted(((r.doc_id, r.n_bytes, r.n_removed) for r in suffix_dedup.remove_repeats(docs).collect()), key=key)
