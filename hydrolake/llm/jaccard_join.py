@@ -272,7 +272,7 @@ def placed_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
 def jaccard_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, component_id per row of ``docs``: links where 100 * intersection >= percent * union.
 
-    component_id is the smallest doc_id reachable. Null or empty text, or one without words: n_shingles 0, linked
+    doc_id must be an integer or null. component_id is the smallest doc_id reachable. Null or empty text, or one without words: n_shingles 0, linked
     with nothing, its component its own doc_id. Null doc_ids take part and get the component's smallest id, null if
     there is none. Repeated rows have equal sets, so they share a component. Extra columns are ignored.
     """
@@ -299,4 +299,4 @@ def deduplicate(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     if not again.isEmpty():
         once = kept.join(again, same(again), "left_semi").dropDuplicates(["_own_doc", "_own_tk"])
         kept = kept.join(again, same(again), "left_anti").unionByName(once)
-    return kept.select(docs.columns)
+    return kept.select([f"`{c}`" for c in docs.columns])

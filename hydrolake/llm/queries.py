@@ -45,7 +45,7 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(table(spark, sf_dir, "documents"), columns=["doc_id", "text"])
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), pii.session_key(spark), columns=["doc_id", "text"])
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,7 +83,8 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, file_byt
     """Write a record per page to gzipped-by-record archives in ``folder``; return the INDEX table.
 
     Of equal payloads of at least ``least_bytes``, the record of the smallest page_id is response and others revisit it
-    (rows that repeat that page_id are response too; with null page_ids only, all are). Null html counts as empty. Archive names
+    (rows that repeat that page_id are response too; with null page_ids only, all are). Null html counts as empty;
+    page_id must be an integer or null. Archive names
     are unique for each attempt of a task, and the index, written as a table, names those of the attempts that
     count, so lost executors and repeated tasks do no harm. Payloads aren't shuffled unless the table of repeated
     ones is too large for Spark to broadcast.

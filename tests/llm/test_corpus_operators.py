@@ -1,7 +1,9 @@
 """Quality, near copies, repeats, archives and personal data against brute force."""
 
 import base64
+import datetime
 import hashlib
+import ipaddress
 import random
 import re
 
@@ -263,6 +265,7 @@ def test_feistel_is_a_permutation():
     f = pii.Feistel(b"k")
     for n in (1, 2, 3, 10, 97, 1000):
         assert sorted(f.permute(x, n, "t") for x in range(n)) == list(range(n))
+        assert [f.permute(f.permute(x, n, "t"), n, "t", back=True) for x in range(n)] == list(range(n))
     odd = [x for x in range(500) if x % 3]
     assert sorted(f.permute(x, 500, "t", lambda v: v % 3 > 0) for x in odd) == odd
 
@@ -272,7 +275,7 @@ def test_pseudonyms(spark):
     text = f"Mail ann.b-1@mail2.example.com or +1 (989) 555-2485, card {card} not {bad}, ip 70.214.118.188 v1.2.3.4.5, ssn 123-45-6789 not 000-45-6789, born 1984-02-29 = 29/02/1984 not 1985-02-29, iban GB82 WEST 1234 5698 7654 32."
     rows = [(1, text), (2, "again " + text), (3, None), (4, ""), (5, "no data " * 9000), (None, "4539148803436467")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_ip", F.lit("clash"))
-    got = {r.doc_id: r for r in pii.pseudonymise(docs).collect()}
+    got = {r.doc_id: r for r in pii.pseudonymise(docs, "a").collect()}
     one = got[1]
     assert [one[f"n_{k}"] for k in pii.KINDS] == [1, 1, 1, 1, 1, 1, 2]
     for old in ("ann.b-1@", "555-2485", card, "70.214.118.188", "123-45-6789", "1984-02-29", "29/02/1984", "WEST 1234"):
@@ -285,5 +288,58 @@ def test_pseudonyms(spark):
     iso, dotted = re.search(r"born (\d{4})-(\d\d)-(\d\d) = (\d\d)/(\d\d)/(\d{4})", one.text).groups()[:3], re.search(r"= (\d\d)/(\d\d)/(\d{4})", one.text).groups()
     assert iso == dotted[::-1]
     assert pii.iban_rest(re.search(r"iban ([A-Z0-9 ]+)\.", one.text)[1].replace(" ", "")) == 1
-    assert pii.pseudonymise(docs, key="other").where("doc_id = 1").first().text != one.text
-    assert pii.pseudonymise(docs.limit(0)).count() == 0
+    assert pii.pseudonymise(docs, "other").where("doc_id = 1").first().text != one.text
+    assert pii.pseudonymise(docs.limit(0), "a").count() == 0
+
+
+def test_pseudonyms_turn_back(spark):
+    """An exact round trip over whole documents: no value is lost, merged or changed twice."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    back = pii.Pseudonyms(b"a", back=True)
+    hidden = {r.doc_id: r for r in pii.pseudonymise(docs, "a").collect()}
+    changed = 0
+    for r in docs.collect():
+        new = hidden[r.doc_id]
+        changed += new.text != r.text
+        assert (new.text != r.text) == (sum(new[f"n_{k}"] for k in pii.KINDS) > 0)
+        assert (None if r.text is None else back.replace(new.text)[0]) == r.text
+    assert changed > 20
+
+
+def test_every_kind_is_hidden_and_told_apart():
+    """Many values of each kind and spelling: unequal ones get unequal pseudonyms of the same form, and these turn back."""
+    forth, back = pii.Pseudonyms(b"a"), pii.Pseudonyms(b"a", back=True)
+    days = [datetime.date(1999, 1, 1) + datetime.timedelta(i) for i in range(800)] + [datetime.date(y, 2, 28) for y in (1, 33, 1899, 2100, 2150, 9999)]
+    luhn = [f"{x}{pii.luhn_digit(str(x))}" for x in range(453914880343646, 453914880343846)]
+    values = {
+        r"\d{4}-\d\d-\d\d": [d.isoformat() for d in days],
+        r"\d{4}/\d\d/\d\d": [d.isoformat().replace("-", "/") for d in days],
+        r"\d\d/\d\d/\d{4}": [f"{d.day:02d}/{d.month:02d}/{d.year:04d}" for d in days] + [f"{d.month:02d}/{d.day:02d}/{d.year:04d}" for d in days if d.day > 12],
+        r"\d\d [A-Z][a-z]+ \d{4}": [f"{d.day:02d} {pii.MONTHS['en'][d.month - 1].capitalize()} {d.year:04d}" for d in days],
+        r"[A-Z][a-z]+ \d\d, \d{4}": [f"{pii.MONTHS['short'][d.month - 1].capitalize()} {d.day:02d}, {d.year:04d}" for d in days],
+        r"\d\d\. [A-Z][a-zä]+ \d{4}": [f"{d.day:02d}. {pii.MONTHS['de'][d.month - 1].capitalize()} {d.year:04d}" for d in days],
+        r"\d\d de [a-z]+ de \d{4}": [f"{d.day:02d} de {pii.MONTHS['es'][d.month - 1]} de {d.year:04d}" for d in days],
+        r"\d\d [a-zéû]+ \d{4}": [f"{d.day:02d} {pii.MONTHS['fr'][d.month - 1]} {d.year:04d}" for d in days],
+        r"\d{10}": [str(5551234567 + i) for i in range(300)],
+        r"0\d\d \d{7}": [f"030 {1234567 + i}" for i in range(300)],
+        r"0\d \d\d \d\d \d\d \d\d": [f"01 23 45 67 {i:02d}" for i in range(100)],
+        r"\+1 \(\d{3}\) \d{3}-\d{4}": [f"+1 (989) 555-{i:04d}" for i in range(300)],
+        r"\d{16}": luhn,
+        r"\d{3}-\d\d-\d{4}": [f"123-45-{i:04d}" for i in range(1, 300)],
+        r"\d+\.\d+\.\d+\.\d+": [f"10.0.{i}.{j}" for i in range(20) for j in range(20)],
+        r"[0-9a-f:]+": [str(ipaddress.IPv6Address(0x20010DB8 << 96 | i * 77)) for i in range(300)],
+        r"[a-z]\.[a-z]{3}\d\d@x\.org": [f"a.bcd{i:02d}@x.org" for i in range(100)],
+    }
+    for form, own in values.items():
+        new = [forth.replace(f"see {v}, then") for v in own]
+        assert all(sum(n) == 1 and t != f"see {v}, then" for v, (t, n) in zip(own, new, strict=True)), form
+        said = [t[4:-6] for t, _ in new]
+        assert all(re.fullmatch(form, t) for t in said), form
+        assert len(set(said)) == len(set(own)), form
+        short = lambda t: re.sub(r"^([A-Z][a-z]{2})[a-z]*(?= \d\d, )", r"\1", t)  # noqa: E731  (May may be a whole name)
+        assert [short(back.replace(f"see {t}, then")[0][4:-6]) for t in said] == [short(v) for v in own], form
+    iso = {d: forth.replace(d.isoformat())[0] for d in days}
+    for d in days:  # one reading of a date, however it is written
+        assert forth.replace(f"{d.day:02d}.{d.month:02d}.{d.year:04d}")[0] == "{2}.{1}.{0}".format(*iso[d].split("-"))
+    for same in ("::1", "std::vector", "12:30:45", "2020-02-30", "32/13/2020", "31 February 2020", "1234567890", "version 1.2.3.4.5"):
+        assert forth.replace(same)[0] == same
