@@ -14,14 +14,14 @@ from hydrolake.llm.common import materialize, ship, table
 
 def whole_rows(docs: DataFrame) -> DataFrame:
     """doc_id, text and all else as one column, so no column of a stage can clash with the documents'."""
-    rest = [c for c in docs.columns if c != "text"]
-    return docs.select("doc_id", "text", F.struct(*rest, F.col("text").isNull().alias("_no_text")).alias("_row"))
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    return docs.select("doc_id", "text", F.struct(F.col("text").isNull().alias("no_text"), rest.alias("rest")).alias("_row"))
 
 
 def documents_of(found: DataFrame, columns: list[str]) -> DataFrame:
     """The documents again, from _row and _whole."""
-    text = F.when(~F.col("_row._no_text"), F.col("_whole")).alias("text")
-    return found.select(*[text if c == "text" else F.col(f"_row.{c}").alias(c) for c in columns])
+    text = F.when(~F.col("_row.no_text"), F.col("_whole")).alias("text")
+    return found.select(*[text if c == "text" else F.col(f"_row.rest.`{c}`").alias(c) for c in columns])
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,11 +43,16 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with pseudonyms under the session's key (``spark.hydrolake.pseudonym.key``); n_chars follows the text.
+
+    Null text stays null, empty text empty; rows with null or repeated ids are rows like others.
+    """
     ship(spark)
-    return pii.pseudonymised_documents(docs)
+    return pii.pseudonymised_documents(docs, pii.session_key(spark))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per piece of a document in a sequence of at most 1024 tokens. Null text counts as empty: one piece, the end id."""
     ship(spark)
     return packing.pack_documents(docs, *packing.public_files())
 
