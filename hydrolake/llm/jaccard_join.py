@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from hydrolake.llm.common import materialize, whole_text
 
-SKETCH_BITS = 20  # buckets of the count sketch: a fixed 4 MB broadcast, whatever the corpus
+SKETCH_BITS = (20, 24)  # buckets of the count sketch, at least and at most: a broadcast of 4 to 64 MB
 BLOCK = 4096  # buckets in one row of it
 WORDS_KEPT = 200_000  # word hashes remembered in a task
 TOGETHER = 200  # documents whose shingles are counted together
@@ -65,12 +65,19 @@ def shingle_set(text: str, size: int) -> np.ndarray:
     return np.unique(acc)
 
 
+def sketch_bits(docs: DataFrame) -> int:
+    """Four buckets a document, within SKETCH_BITS. Beyond that, shingles of less than a bucket's usual count come in
+    any order, and those far above it still come last, which is what keeps postings short."""
+    return min(SKETCH_BITS[1], max(SKETCH_BITS[0], docs.count().bit_length() + 2))
+
+
 def count_sketch(docs: DataFrame, size: int) -> np.ndarray:
-    """How often each of 2^SKETCH_BITS buckets of shingles occurs, over all documents.
+    """How often each bucket of shingles occurs, over all documents.
 
-    Tasks add up their documents, tasks of a bucket range add up these; only the fixed sketch goes to the driver.
+    Tasks add up their documents, tasks of a bucket range add up these; only the bounded sketch goes to the driver.
     """
-    mask, buckets = np.uint64((1 << SKETCH_BITS) - 1), 1 << SKETCH_BITS
+    buckets = 1 << sketch_bits(docs)
+    mask = np.uint64(buckets - 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
@@ -101,7 +108,7 @@ def count_sketch(docs: DataFrame, size: int) -> np.ndarray:
 def signatures(docs: DataFrame, size: int, percent: int, counts: np.ndarray) -> DataFrame:
     """doc_id, tk (hash of the text), n, sid (set), gid (prefix and size), prefix (hashes, rare first) per document."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
-    mask = np.uint64((1 << SKETCH_BITS) - 1)
+    mask = np.uint64(len(counts) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
