@@ -9,21 +9,38 @@ from pyspark.sql import functions as F
 
 from hydrolake.functions import scalar as S
 
-#: Growth stages (crop, stage, first week, last week; a first week after the last runs over the year's end),
-#: in the order that they are tried.
+#: Growth stages (crop, stage, first week, last week, crop coefficient), in the order that they are tried; a
+#: first week after the last runs over the year's end.
 STAGES = (
-    ("rice", "initial", 27, 30), ("rice", "development", 31, 36), ("rice", "mid", 37, 42), ("rice", "late", 43, 46),
-    ("corn", "initial", 18, 21), ("corn", "development", 22, 26), ("corn", "mid", 27, 32), ("corn", "late", 33, 36),
-    ("cassava", "initial", 10, 17), ("cassava", "development", 18, 26), ("cassava", "mid", 27, 44), ("cassava", "late", 45, 4),
-    ("longan", "flowering", 50, 8), ("longan", "fruit", 9, 30), ("longan", "rest", 31, 49),
+    ("rice", "GS0", 24, 26, 0.00),
+    ("rice", "GS1", 26, 30, 1.15),
+    ("rice", "GS2", 30, 38, 1.20),
+    ("rice", "GS3", 38, 45, 1.05),
+    ("rice", "GS4", 45, 49, 0.00),
+    ("corn", "GS0", 22, 25, 0.00),
+    ("corn", "GS1", 25, 28, 0.30),
+    ("corn", "GS2", 28, 34, 1.20),
+    ("corn", "GS3", 34, 39, 0.35),
+    ("corn", "GS4", 39, 42, 0.00),
+    ("cassava", "GS0", 15, 17, 0.00),
+    ("cassava", "GS1", 17, 23, 0.30),
+    ("cassava", "GS2", 23, 36, 0.80),
+    ("cassava", "GS3", 36, 52, 1.10),
+    ("cassava", "GS4", 1, 7, 1.00),
+    ("longan", "GS1", 9, 16, 0.70),
+    ("longan", "GS2", 16, 42, 0.85),
+    ("longan", "GS2_stress", 44, 50, 0.00),
+    ("longan", "GS3", 50, 52, 0.90),
+    ("longan", "GS4", 1, 8, 0.95),
+    ("rubber", "GS_defoliation", 1, 8, 0.60),
+    ("rubber", "GS_leaf_flush", 9, 16, 0.80),
+    ("rubber", "GS_mature", 16, 52, 1.00),
 )
-#: Crop coefficients by stage.
-STAGE_KC = {"initial": 0.5, "development": 0.8, "mid": 1.1, "late": 0.7, "flowering": 0.75, "fruit": 0.9, "rest": 0.6}
 
 
 def kc_week_table(spark: SparkSession, stages: Sequence[tuple] = STAGES, raise_by: float = 1.05) -> DataFrame:
     """Per crop and week 1-52 the first stage that holds it, else offseason with coefficient 0."""
-    rows = [(i, *s, float(STAGE_KC[s[1]])) for i, s in enumerate(stages)]
+    rows = [(i, *s) for i, s in enumerate(stages)]
     table = spark.createDataFrame(rows, "pos int, crop string, stage string, first int, last int, base double")
     weeks = table.select("crop").distinct().withColumn("week", F.explode(F.sequence(F.lit(1), F.lit(52))))
     inside = F.when(F.col("first") <= F.col("last"), F.col("week").between(F.col("first"), F.col("last"))).otherwise((F.col("week") >= F.col("first")) | (F.col("week") <= F.col("last")))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hydrolake.functions import scalar as S
-from hydrolake.operators import lookups, series
+from hydrolake.operators import lookups, ranges, series
 
 
 def null_columns(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -53,7 +53,10 @@ def scale_min_max(train: DataFrame, rows: DataFrame, cols: Sequence[str]) -> Dat
 
 def impute_sentinel(df: DataFrame, cols: Sequence[str], sentinel: float = -9999.0) -> DataFrame:
     """Sentinel to null to the column's exact median to 0."""
-    middle = df.agg(*[F.percentile(F.nullif(F.col(c), F.lit(sentinel)), F.lit(0.5)).alias(c) for c in cols]).first()
+    middle = {}
+    for c in cols:
+        found = ranges.exact_quantile(df.select(F.nullif(F.col(c), F.lit(sentinel)).alias(c)), [], c, F.lit(0.5)).first()
+        middle[c] = found["q"] if found else None
     return df.withColumns({c: S.impute(c, sentinel, F.lit(middle[c]).cast("double")) for c in cols})
 
 

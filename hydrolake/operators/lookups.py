@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hydrolake.operators import ranges
+
 TOLERANCE = 1e-9
 
 
@@ -134,8 +136,7 @@ def pair_valves(forms: DataFrame, by: Sequence[str], order: str) -> tuple[DataFr
     Returns events and rejected close forms (number unknown at that time, or closed already). ``forms`` has kind (open
     or close), event_no (of close forms) and ``order``, the order of arrival within the keys.
     """
-    w = Window.partitionBy(*by).orderBy(order)
-    opens = forms.where("kind = 'open'").withColumn("event_no", F.row_number().over(w).cast("long")).withColumnRenamed(order, "opened")
+    opens = ranges.numbered(forms.where("kind = 'open'").drop("event_no"), by, order, "event_no").withColumnRenamed(order, "opened")
     closes = forms.where("kind = 'close'").withColumnRenamed(order, "closed")
     known = closes.alias("c").join(opens.select(*by, "event_no", "opened"), [*by, "event_no"]).where("opened < closed")
     first = known.groupBy(*by, "event_no").agg(F.min("closed").alias("closed"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -43,17 +44,19 @@ def fit_magnitude(train: DataFrame, apply: DataFrame, features: Sequence[str], l
     return model.transform(apply).drop("_x")
 
 
-def tune(df: DataFrame, features: Sequence[str], label: str, order: str, folds: int = 3, seed: int = 7) -> DataFrame:
-    """Grid search over expanding time-series folds by RMSE: (maxDepth, rmse) per setting."""
+def tune(df: DataFrame, features: Sequence[str], label: str, order: str, folds: int = 3, seed: int = 7, parallel: int = 3) -> DataFrame:
+    """Grid search over expanding time-series folds by RMSE: (maxDepth, rmse) per setting; ``parallel`` fits at a time."""
     rows = series.ts_folds(df, [], order, folds)
     x = VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="skip").transform(rows).cache()
-    out = []
-    for depth in (2, 4):
-        for fold in range(1, folds + 1):
-            part = x.where(F.col("fold") == fold)
-            model = RandomForestRegressor(featuresCol="_x", labelCol=label, numTrees=8, maxDepth=depth, seed=seed).fit(part.where("role = 'train'"))
-            rmse = RegressionEvaluator(labelCol=label, metricName="rmse").evaluate(model.transform(part.where("role = 'test'")))
-            out.append((depth, fold, float(rmse)))
+
+    def one(setting: tuple[int, int]) -> tuple[int, int, float]:
+        depth, fold = setting
+        part = x.where(F.col("fold") == fold)
+        model = RandomForestRegressor(featuresCol="_x", labelCol=label, numTrees=8, maxDepth=depth, seed=seed).fit(part.where("role = 'train'"))
+        return depth, fold, float(RegressionEvaluator(labelCol=label, metricName="rmse").evaluate(model.transform(part.where("role = 'test'"))))
+
+    with ThreadPoolExecutor(parallel) as pool:
+        out = list(pool.map(one, [(depth, fold) for depth in (2, 4) for fold in range(1, folds + 1)]))
     x.unpersist()
     return df.sparkSession.createDataFrame(out, "max_depth int, fold int, rmse double").groupBy("max_depth").agg(F.avg("rmse").alias("rmse"))
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hydrolake.operators import ranges
+
 
 def weekly_composite(images: DataFrame, by: Sequence[str], day: str, bands: Sequence[str], first_day: str, weeks: int) -> DataFrame:
     """Mean of each band per pixel in 7-day bins from ``first_day``, one column per band and bin; an empty bin is null."""
@@ -69,5 +71,6 @@ def interior_sample(pixels: DataFrame, by: str, x: str, y: str, n: int, erosion:
     near = pixels.select(by, x, y).distinct().withColumn("_dx", F.explode(span)).withColumn("_dy", F.explode(span))
     inside = near.groupBy(by, (F.col(x) + F.col("_dx")).alias(x), (F.col(y) + F.col("_dy")).alias(y)).agg(F.count(F.lit(1)).alias("_k")).where(F.col("_k") == (2 * erosion + 1) ** 2)
     own = inside.select(by, x, y).join(pixels.select(by, x, y).distinct(), [by, x, y], "left_semi")
-    w = Window.partitionBy(by).orderBy(F.xxhash64(x, y, F.lit(seed)), x, y)
-    return own.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    order, whole = ranges.hashed(x, y, seed)
+    ranked = ranges.numbered(own.withColumns({"_o": order, "_h": whole}), [by], "_o", "rank", ["_h", x, y])
+    return ranked.where(F.col("rank") <= n).drop("_o", "_h")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hydrolake.functions import scalar as S
+from hydrolake.operators import ranges
 
 #: Tiers of rain, best first.
 TIERS = ("final", "prelim_ftp", "prelim")
@@ -187,35 +188,34 @@ def sliding_windows(df: DataFrame, by: Sequence[str], order, col: str, n: int) -
 def chrono_split(df: DataFrame, by: Sequence[str], stratum: str, order: str, dry: str) -> DataFrame:
     """train/calib/test by order within strata with half-even rounding: cuts at 0.70n and 0.85n, or in the dry stratum
     0.70n and then another 0.15n rows."""
-    w = Window.partitionBy(*by, stratum)
-    n = F.count(F.lit(1)).over(w)
-    x = df.withColumn("_n", n).withColumn("_i", F.row_number().over(w.orderBy(order)))
+    keys = [*by, stratum]
     first = F.bround(0.70 * F.col("_n"), 0)
     second = F.when(F.col(stratum) == dry, first + F.bround(0.15 * F.col("_n"), 0)).otherwise(F.bround(0.85 * F.col("_n"), 0))
+    x = ranges.with_count(ranges.numbered(df, keys, order, "_i"), keys, "_n")
     return x.withColumn("part", F.when(F.col("_i") <= first, "train").when(F.col("_i") <= second, "calib").otherwise("test")).drop("_n", "_i")
 
 
 def ts_folds(df: DataFrame, by: Sequence[str], order: str, k: int) -> DataFrame:
     """Expanding folds: block = n // (k+1); fold i tests the block from n - (k-i+1) * block and trains on all before."""
-    w = Window.partitionBy(*by)
-    x = df.withColumn("_b", (F.count(F.lit(1)).over(w) / (k + 1)).cast("int")).withColumn("_n", F.count(F.lit(1)).over(w)).withColumn("_i", F.row_number().over(w.orderBy(order)) - 1)
+    x = ranges.with_count(ranges.numbered(df, by, order, "_i"), by, "_n").withColumn("_b", (F.col("_n") / (k + 1)).cast("long"))
     x = x.withColumn("fold", F.explode(F.sequence(F.lit(1), F.lit(k)))).withColumn("_from", F.col("_n") - (k - F.col("fold") + 1) * F.col("_b"))
-    x = x.where(F.col("_i") < F.col("_from") + F.col("_b"))
-    return x.withColumn("role", F.when(F.col("_i") < F.col("_from"), "train").otherwise("test")).drop("_b", "_n", "_i", "_from")
+    x = x.where(F.col("_i") <= F.col("_from") + F.col("_b"))
+    return x.withColumn("role", F.when(F.col("_i") <= F.col("_from"), "train").otherwise("test")).drop("_b", "_n", "_i", "_from")
 
 
 def stratified_folds(df: DataFrame, label: str, key: str, k: int, seed: int = 0) -> DataFrame:
     """Folds balanced per class, dealt in the order of a hash."""
-    w = Window.partitionBy(label).orderBy(F.xxhash64(F.col(key), F.lit(seed)), key)
-    return df.withColumn("fold", (F.row_number().over(w) - 1) % k)
+    order, whole = ranges.hashed(key, seed)
+    x = ranges.numbered(df.withColumns({"_o": order, "_h": whole}), [label], "_o", "_i", ["_h", key])
+    return x.withColumn("fold", (F.col("_i") - 1) % k).drop("_o", "_h", "_i")
 
 
 def match_rate_sample(df: DataFrame, by: Sequence[str], positive: str, key: str, rate: float, seed: int = 0) -> DataFrame:
     """All positives and as many negatives (by hash order) as give the rate."""
-    w = Window.partitionBy(*by)
-    want = F.round(F.sum(F.col(positive).cast("int")).over(w) * (1 - rate) / rate)
-    rank = F.row_number().over(Window.partitionBy(*by, positive).orderBy(F.xxhash64(F.col(key), F.lit(seed)), key))
-    return df.withColumn("_want", want).withColumn("_rank", rank).where(F.col(positive) | (F.col("_rank") <= F.col("_want"))).drop("_want", "_rank")
+    order, whole = ranges.hashed(key, seed)
+    want = df.groupBy(*by).agg(F.round(F.sum(F.col(positive).cast("int")) * (1 - rate) / rate).alias("_want"))
+    x = ranges.numbered(df.withColumns({"_o": order, "_h": whole}), [*by, positive], "_o", "_rank", ["_h", key]).join(want, list(by))
+    return x.where(F.col(positive) | (F.col("_rank") <= F.col("_want"))).drop("_want", "_rank", "_o", "_h")
 
 
 def pentad_to_daily(df: DataFrame, start: str = "start", value: str = "value") -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hydrolake.operators.ranges import exact_quantile, running_before
+
 THRESHOLDS = tuple(round(0.15 + 0.025 * i, 3) for i in range(28))
 
 
@@ -14,20 +16,9 @@ def _safe(a, b) -> Column:
     return a / F.nullif(b, F.lit(0.0))
 
 
-def prefix_sums(df: DataFrame, by: Sequence[str], order: str, cols: Sequence[str], parts: int = 200) -> DataFrame:
-    """``df`` with <col>_before: the sum of each column over the key's rows with a lesser ``order`` (distinct per key).
-
-    A key's rows are dealt to ranges of ``order`` (cuts from its quantile sketch), summed per range, and ordered within
-    a range only, so a key that holds most of the table is spread over many tasks.
-    """
-    cuts = df.groupBy(*by).agg(F.percentile_approx(order, [i / parts for i in range(1, parts)], F.lit(10 * parts)).alias("_cuts"))
-    x = df.join(cuts, list(by)).withColumn("_part", F.size(F.filter("_cuts", lambda c: c < F.col(order)))).drop("_cuts")
-    per = x.groupBy(*by, "_part").agg(*[F.sum(c).alias(f"_s_{c}") for c in cols])
-    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per.select(*by, "_part", *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in cols])
-    inside = Window.partitionBy(*by, "_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    out = x.join(offsets, [*by, "_part"])
-    return out.withColumns({f"{c}_before": F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in cols}).drop("_part", *[f"_o_{c}" for c in cols])
+def prefix_sums(df: DataFrame, by: Sequence[str], order: str, cols: Sequence[str]) -> DataFrame:
+    """``df`` with <col>_before: the sum of each column over the key's rows with a lesser ``order`` (distinct per key)."""
+    return running_before(df, by, order, dict.fromkeys(cols, "sum"))
 
 
 def regression_metrics(y: str = "y", p: str = "p", eps: float = 0.0) -> dict[str, Column]:
@@ -138,14 +129,18 @@ def bootstrap_ci(df: DataFrame, by: Sequence[str], key: str, y: str, p: str, rep
     """Percentile interval of the mean absolute error from ``reps`` resamples.
 
     Each row draws how often it comes in each replicate from a hash (Poisson 1), so a resample needs no join and no row
-    index: rows meet the replicates as an array, and the sums are partial before the shuffle.
+    index: rows meet the replicates as an array, and the sums are partial before the shuffle. The hash squares modulo a
+    prime, in whole numbers, so that any engine gets the same.
     """
-    u = lambda r: F.pmod(F.xxhash64(F.col(key), r, F.lit(seed)), F.lit(1_000_003)) / 1_000_003.0
+    prime = F.lit(2**31 - 1).cast("long")
+    square = lambda x: x * x % prime
+    u = square((square((F.col("_key") * 48271 % prime + F.col("rep") * 7919 + seed) % prime) + 12345) % prime) / (2**31 - 1.0)
     steps = (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563)
-    times = lambda r: sum(F.when(u(r) >= s, 1).otherwise(0) for s in steps)
+    times = sum(F.when(F.col("_u") >= s, 1).otherwise(0) for s in steps)
     err = F.abs(F.col(p) - F.col(y))
-    x = df.select(*by, err.alias("_e"), key).withColumn("_d", F.explode(F.transform(F.sequence(F.lit(1), F.lit(reps)), lambda r: F.struct(r.alias("r"), times(r).alias("k"))))).where("_d.k > 0")
-    per = x.groupBy(*by, F.col("_d.r").alias("rep")).agg((F.sum(F.col("_e") * F.col("_d.k")) / F.sum("_d.k")).alias("stat"))
+    x = df.select(*by, err.alias("_e"), F.col(key).cast("long").alias("_key"), F.explode(F.sequence(F.lit(1), F.lit(reps))).alias("rep"))
+    x = x.withColumn("_u", u).withColumn("_k", times).where("_k > 0")
+    per = x.groupBy(*by, "rep").agg((F.sum(F.col("_e") * F.col("_k")) / F.sum("_k")).alias("stat"))
     ends = per.groupBy(*by).agg(F.percentile("stat", F.lit(alpha / 2)).alias("low"), F.percentile("stat", F.lit(1 - alpha / 2)).alias("high"))
     return ends.join(df.groupBy(*by).agg(F.avg(err).alias("point")), list(by))
 
@@ -164,18 +159,8 @@ def linear_validation(df: DataFrame, by: Sequence[str], x: str, y: str, least: i
 
 
 def conformal_quantile(scores: DataFrame, by: Sequence[str], score: str, alpha: float = 0.1) -> DataFrame:
-    """The linear-interpolated quantile at min(ceil((n+1)(1-alpha))/n, 1); no scores: infinity.
-
-    The two order statistics are found from counts per distinct score and their running sums.
-    """
-    counts = scores.where(F.col(score).isNotNull()).groupBy(*by, F.col(score).alias("_s")).agg(F.count(F.lit(1)).alias("_k"))
-    x = prefix_sums(counts, by, "_s", ["_k"]).join(counts.groupBy(*by).agg(F.sum("_k").alias("n")), list(by))
-    level = F.least(F.ceil(F.round((F.col("n") + 1) * (1 - alpha), 9)) / F.col("n"), F.lit(1.0))
-    x = x.withColumn("_at", level * (F.col("n") - 1) + 1)
-    holds = lambda r: (F.col("_k_before") < r) & (r <= F.col("_k_before") + F.col("_k"))
-    lo, hi = (F.max(F.when(holds(f("_at")), F.col("_s"))) for f in (F.floor, F.ceil))
-    out = x.groupBy(*by).agg(lo.alias("_lo"), hi.alias("_hi"), F.max("_at").alias("_at"), F.max("n").alias("n"))
-    return out.select(*by, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_at") - F.floor("_at"))).alias("q"), "n")
+    """The linear-interpolated quantile at min(ceil((n+1)(1-alpha))/n, 1); no scores: infinity."""
+    return exact_quantile(scores, by, score, F.least(F.ceil(F.round((F.col("n") + 1) * (1 - alpha), 9)) / F.col("n"), F.lit(1.0)))
 
 
 def conformal_intervals(calib: DataFrame, test: DataFrame, by: Sequence[str], y: str, p: str, prob: str, threshold: float, variant: str = "D", alpha: float = 0.1, eps: float = 1000.0, least: int = 5) -> DataFrame:
@@ -201,10 +186,12 @@ def conformal_intervals(calib: DataFrame, test: DataFrame, by: Sequence[str], y:
 def coverage(df: DataFrame, by: Sequence[str], y: str = "y", low: str = "low", high: str = "high") -> DataFrame:
     inside = F.when(F.col(y).between(F.col(low), F.col(high)), 1.0).otherwise(0.0)
     width, wet = F.col(high) - F.col(low), F.col(y) > 0
-    return df.groupBy(*by).agg(
+    means = df.groupBy(*by).agg(
         F.avg(inside).alias("coverage"), F.avg(F.when(wet, inside)).alias("wet_coverage"), F.avg(F.when(~wet, inside)).alias("dry_coverage"),
-        F.avg(width).alias("mean_width"), F.percentile(width, F.lit(0.5)).alias("median_width"), F.avg(F.when(wet, width)).alias("wet_width"),
+        F.avg(width).alias("mean_width"), F.avg(F.when(wet, width)).alias("wet_width"),
     )
+    middle = exact_quantile(df.withColumn("_width", width), by, "_width", F.lit(0.5), "median_width").drop("n")
+    return means.join(middle, list(by), "left")
 
 
 def two_stage(prob, m1, m2, w1, w2) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hydrolake.functions import scalar as S
-from hydrolake.operators import lookups
+from hydrolake.operators import lookups, ranges
 
 def hourly_resample(df: DataFrame, by: Sequence[str], ts: str, last_cols: Sequence[str], mean_cols: Sequence[str]) -> DataFrame:
     """Per hour the last non-null of some columns, the mean of others and the count; hours without readings are kept."""
@@ -27,10 +27,9 @@ def accept_monotonic(df: DataFrame, by: Sequence[str], order: str, ts: str, limi
 
     The greatest time before a row is the last stored one: a rejected reading isn't greater than it.
     """
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.max(ts).over(w)
     hours = (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("_before").cast("timestamp"))) / 3.6e9
-    out = df.withColumn("_before", before).withColumn("stored", F.col("_before").isNull() | (F.col(ts) > F.col("_before")))
+    x = ranges.running_before(df.withColumn("_time", F.col(ts)), by, order, {"_time": "max"}).withColumnRenamed("_time_before", "_before").drop("_time")
+    out = x.withColumn("stored", F.col("_before").isNull() | (F.col(ts) > F.col("_before")))
     return out.withColumn("gap_hours", F.when(F.col("_before").isNotNull(), hours)).withColumn("gap_flag", F.coalesce(F.col("stored") & S.gap_flag("gap_hours", limit_h), F.lit(False))).drop("_before")
 
 

@@ -10,6 +10,7 @@ from hydrolake.operators import features, lookups, series
 from hydrolake.plans.helpers import WEEKLY, dt, rd, sql, tidy
 from hydrolake.plans.registry import register
 from hydrolake.sources import readers
+from hydrolake.sources.shared import fresh_path
 from hydrolake.sources.views import view
 
 K = "zone, iso_year, iso_week"
@@ -132,13 +133,15 @@ def p23_quality_checks(spark, sf_dir):
 
 def index_lines(spark, sf_dir):
     x = view(spark, sf_dir, "monthly_index").withColumn("t", F.coalesce(F.col("mei").cast("string"), F.lit("-999")))
-    months = F.transform(F.sort_array(F.collect_list(F.struct("month", "t"))), lambda s: s["t"])
-    good = x.groupBy("year").agg(months.alias("m")).select(F.concat_ws("  ", F.col("year").cast("string"), F.array_join("m", " ")).alias("value"))
-    bad = spark.range(2).select(F.when(F.col("id") == 0, "YEAR DJ JF FM MA AM MJ JJ JA AS SO ON ND").otherwise("1990 1 2 3").alias("value"))
+    known = F.map_from_entries(F.collect_list(F.struct("month", "t")))
+    months = F.transform(F.sequence(F.lit(1), F.lit(12)), lambda m: F.coalesce(F.try_element_at("_known", m), F.lit("-999")))
+    good = x.groupBy("year").agg(known.alias("_known")).select("year", months.alias("m")).select(F.concat_ws("  ", F.col("year").cast("string"), F.array_join("m", " ")).alias("value"))
+    # a header and a short line beside each year
+    bad = good.select(F.lit("YEAR DJ JF FM MA AM MJ JJ JA AS SO ON ND").alias("value")).union(good.select(F.substring_index("value", " ", 4).alias("value")))
     return good.union(bad)
 
 
-@register("s5_parse_bimonthly_index", sql("monthly_index", f"SELECT year, month, {rd('mei', 'mei')} FROM monthly_index"))
+@register("s5_parse_bimonthly_index", sql("monthly_index", f"SELECT y.year, m.month, {rd('mei', 'mei')} FROM (SELECT DISTINCT year FROM monthly_index) y CROSS JOIN (SELECT CAST(range AS INT) AS month FROM range(1, 13)) m LEFT JOIN monthly_index USING (year, month)"))
 def s5_parse_bimonthly_index(spark, sf_dir):
     return tidy(readers.parse_bimonthly_index(index_lines(spark, sf_dir)))
 
@@ -150,9 +153,9 @@ def s6_parse_season_index(spark, sf_dir):
     return tidy(rows.join(latest.select("line", F.lit(True).alias("latest")), "line", "left").withColumn("latest", F.coalesce("latest", F.lit(False))))
 
 
-@register("s8_read_monthly_daily_table", sql("rain_daily", f"SELECT zone, {dt('date', 'date')}, {rd('max(precipitation)', 'value')} FROM rain_daily WHERE year(date) = 1998 GROUP BY 1, date"))
+@register("s8_read_monthly_daily_table", sql("rain_daily", f"SELECT zone, {dt('date', 'date')}, {rd('max(precipitation)', 'value')} FROM rain_daily GROUP BY 1, date"))
 def s8_read_monthly_daily_table(spark, sf_dir):
-    x = rain(spark, sf_dir).where(F.year("date") == 1998).select("zone", F.year("date").alias("year"), F.month("date").alias("month"), F.concat(F.lit(" "), F.day("date").cast("string")).alias("day"), F.col("precipitation").alias("value"), F.lit(2).alias("line"))
+    x = rain(spark, sf_dir).select("zone", F.year("date").alias("year"), F.month("date").alias("month"), F.concat(F.lit(" "), F.day("date").cast("string")).alias("day"), F.col("precipitation").alias("value"), F.lit(2).alias("line"))
     old = x.withColumn("value", F.lit(-1.0)).withColumn("line", F.lit(1))
     odd = x.withColumn("day", F.lit("31x")).unionByName(x.withColumn("day", F.lit("31")).where("month = 2"))
     return tidy(readers.read_monthly_daily_table(old.unionByName(x).unionByName(odd), "line", ["zone"]).select("zone", "date", "value"))
@@ -160,7 +163,9 @@ def s8_read_monthly_daily_table(spark, sf_dir):
 
 @register("s9_read_year_week_history", sql("rain_daily", "SELECT DISTINCT CAST(isoyear(date) AS INT) AS year, CAST(week(date) AS INT) AS week FROM rain_daily"))
 def s9_read_year_week_history(spark, sf_dir):
-    return rain(spark, sf_dir).select(S.iso_year("date").alias("year"), S.iso_week("date").alias("week")).dropDuplicates(["year", "week"])
+    path = fresh_path(spark, "history")
+    rain(spark, sf_dir).select("zone", S.iso_year("date").alias("year"), S.iso_week("date").alias("week")).write.option("header", True).csv(path)
+    return readers.read_year_week_history(spark, path, ["year", "week"]).select(F.col("year").cast("int"), F.col("week").cast("int"))
 
 
 @register("a5_weekly_rain", sql(RV, WEEKLY + f"SELECT {K}, {rd('rain', 'rain')}, n_days, data_type FROM wr"))
@@ -299,18 +304,18 @@ def w10_rolling_estimate(spark, sf_dir):
 
 
 @register("g1_pentad_to_daily", sql("rain_daily", f"""
-, p AS (SELECT zone, date AS s, precipitation AS v, CASE WHEN day(date) = 26 THEN last_day(date) ELSE date + 4 END AS e FROM rain_daily WHERE day(date) IN (1, 3, 6, 11, 16, 21, 26))
-SELECT zone, {dt('s', 'start')}, {dt('d', 'date')}, {rd('v / (e - s + 1)', 'value')}, day(s) = 3 AS odd_start FROM (SELECT *, unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM p)"""))
+, p AS (SELECT zone, date AS s, precipitation AS v, CASE WHEN day(date) = 26 THEN last_day(date) ELSE date + 4 END AS e FROM rain_daily)
+SELECT zone, {dt('s', 'start')}, {dt('d', 'date')}, {rd('v / (e - s + 1)', 'value')}, day(s) NOT IN (1, 6, 11, 16, 21, 26) AS odd_start FROM (SELECT *, unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM p)"""))
 def g1_pentad_to_daily(spark, sf_dir):
-    x = rain(spark, sf_dir).where(F.day("date").isin(1, 3, 6, 11, 16, 21, 26)).select("zone", F.col("date").alias("start"), F.col("precipitation").alias("value"))
+    x = rain(spark, sf_dir).select("zone", F.col("date").alias("start"), F.col("precipitation").alias("value"))
     return tidy(series.pentad_to_daily(x))
 
 
 @register("g2_week_skeleton", sql("rain_daily", f"""
-, w AS (SELECT DISTINCT unnest(generate_series(date_trunc('week', a) - INTERVAL 56 DAY, date_trunc('week', a)::TIMESTAMP, INTERVAL 7 DAY)) AS m FROM (SELECT DISTINCT date AS a FROM rain_daily WHERE day(date) = 15))
+, w AS (SELECT DISTINCT unnest(generate_series(date_trunc('week', a) - INTERVAL 56 DAY, date_trunc('week', a)::TIMESTAMP, INTERVAL 7 DAY)) AS m FROM (SELECT DISTINCT date AS a FROM rain_daily))
 SELECT {dt('m', 'week_start')}, CAST(isoyear(m) AS INT) AS iso_year, CAST(week(m) AS INT) AS iso_week, CAST(year(m) AS INT) AS year, CAST(month(m) AS INT) AS month FROM w"""))
 def g2_week_skeleton(spark, sf_dir):
-    x = days(spark, sf_dir).where(F.day("date") == 15)
+    x = days(spark, sf_dir)
     return tidy(series.week_skeleton(x, "date", 8).select("week_start", "iso_year", "iso_week", "year", "month").distinct())
 
 

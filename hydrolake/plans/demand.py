@@ -10,6 +10,7 @@ from hydrolake.plans.climate import CLIMATE, RV, climate, weekly_rain
 from hydrolake.plans.helpers import WEEKLY, dt, rd, sql, tidy
 from hydrolake.plans.registry import register
 from hydrolake.sources import readers
+from hydrolake.sources.shared import fresh_path
 from hydrolake.sources.views import view
 
 K = "zone, iso_year, iso_week"
@@ -39,9 +40,9 @@ def shares(spark, sf_dir):
     return demand.demand_share(by_area, KEYS, "net_m3")
 
 
-@register("a12_demand_share", sql(DV, WEEKLY + CLIMATE + DEMAND + SUB + f"SELECT {K}, sub_area, {rd('share', 'share', 5)} FROM sh"))
+@register("a12_demand_share", sql(DV, WEEKLY + CLIMATE + DEMAND + SUB + f"SELECT {K}, sub_area, {rd('share', 'share', 6)} FROM sh"))
 def a12_demand_share(spark, sf_dir):
-    return tidy(shares(spark, sf_dir).select(*KEYS, "sub_area", "share"), 5)
+    return tidy(shares(spark, sf_dir).select(*KEYS, "sub_area", "share"), 6)
 
 
 @register("a13_allocate", sql(DV, WEEKLY + CLIMATE + DEMAND + SUB + f"SELECT {K}, sub_area, {rd('share * rain * 100', 'allocated', 2)} FROM sh JOIN (SELECT zone, iso_year, iso_week, rain FROM clim) USING (zone, iso_year, iso_week)"))
@@ -62,7 +63,7 @@ def a19_pivot_table(spark, sf_dir):
     return tidy(demand.pivot(x, ["zone", "iso_year"], "w", ["w0", "w1", "w2", "w3"], F.sum("rain")))
 
 
-_STAGES = ", ".join(f"({i}, '{c}', '{s}', {a}, {b}, {demand.STAGE_KC[s]}e0)" for i, (c, s, a, b) in enumerate(demand.STAGES))
+_STAGES = ", ".join(f"({i}, '{c}', '{s}', {a}, {b}, {k}e0)" for i, (c, s, a, b, k) in enumerate(demand.STAGES))
 KCW = f"""st(pos, crop, stage, a, b, base) AS (VALUES {_STAGES})
 , wk AS (SELECT crop, CAST(w AS INT) AS week FROM (SELECT DISTINCT crop FROM st) CROSS JOIN range(1, 53) t(w))
 , hit AS (SELECT crop, week, arg_min(stage, pos) AS stage, arg_min(base, pos) AS base FROM wk JOIN st USING (crop) WHERE CASE WHEN a <= b THEN week BETWEEN a AND b ELSE week >= a OR week <= b END GROUP BY 1, 2)
@@ -214,10 +215,10 @@ def l15_readiness_and_source(spark, sf_dir):
     return features.readiness(x, ["et0", "rain", "vpd", "absent"], ["zone"])
 
 
-@register("p14_drop_all_null_columns", sql(RV, WEEKLY + "SELECT zone, CASE WHEN zone = 'B' THEN 'rain' ELSE '' END AS dropped FROM wr GROUP BY 1"))
+@register("p14_drop_all_null_columns", sql(RV, WEEKLY + f"SELECT {K}, {rd("CASE WHEN zone = 'A' THEN rain END", 'rain')}, n_days FROM wr"))
 def p14_drop_all_null_columns(spark, sf_dir):
-    x = weekly_rain(spark, sf_dir).withColumn("rain", F.when(F.col("zone") == "A", F.col("rain")))
-    return features.null_columns(x, ["zone"], ["rain", "n_days"]).select("zone", F.array_join("dropped", ",").alias("dropped"))
+    x = weekly_rain(spark, sf_dir).select(*KEYS, F.when(F.col("zone") == "A", F.col("rain")).alias("rain"), F.when(F.col("zone") == "C", F.col("rain")).alias("never"), "n_days")
+    return tidy(features.drop_all_null_columns(x, ["rain", "never", "n_days"]))
 
 
 @register("p12_align_schema", "WITH x AS (SELECT * FROM orders) SELECT o_orderkey AS line, CAST(o_custkey AS VARCHAR) AS a, o_orderstatus AS b, CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE 'new' END AS c FROM x")
@@ -230,13 +231,21 @@ def p12_align_schema(spark, sf_dir):
 @register("s10_write_idempotent", sql(RV, WEEKLY + f"SELECT {K}, {rd('CASE WHEN iso_year >= 2000 THEN rain * 2 ELSE rain END', 'rain')} FROM wr"))
 def s10_write_idempotent(spark, sf_dir):
     x = weekly_rain(spark, sf_dir).select(*KEYS, "rain")
-    return tidy(readers.upserted(x, x.where("iso_year >= 2000").withColumn("rain", F.col("rain") * 2), KEYS))
+    path = fresh_path(spark, "weekly")
+    readers.write_idempotent(x, path, "iso_year")
+    for _ in range(2):  # the same keys again: replaced, not added
+        readers.write_idempotent(x.where("iso_year >= 2000").withColumn("rain", F.col("rain") * 2), path, "iso_year")
+    return tidy(spark.read.parquet(path).select(*KEYS, "rain"))
 
 
 @register("s11_append_run_log", sql(RV, WEEKLY + f"SELECT {K}, {rd('rain', 'rain')}, extra FROM wr CROSS JOIN (SELECT NULL::VARCHAR AS extra UNION ALL SELECT 'second')"))
 def s11_append_run_log(spark, sf_dir):
     x = weekly_rain(spark, sf_dir).select(*KEYS, "rain")
-    return tidy(features.align_union([x, x.withColumn("extra", F.lit("second"))]))
+    path = fresh_path(spark, "run-log")
+    runs = features.align_union([x, x.withColumn("extra", F.lit("second"))])
+    for run in (runs.where("extra IS NULL"), runs.where("extra IS NOT NULL")):
+        readers.append_run_log(run, path, [*KEYS, "rain", "extra"])
+    return tidy(spark.read.parquet(path).select(*KEYS, "rain", "extra"))
 
 
 @register("l2_split_by_year", sql("predictions", "SELECT split, count(*) AS n, CAST(min(year) AS INT) AS first_year, CAST(max(year) AS INT) AS last_year FROM predictions GROUP BY 1"))

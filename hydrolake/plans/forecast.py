@@ -13,6 +13,7 @@ from hydrolake.plans.registry import register
 from hydrolake.plans.telemetry import balance
 from hydrolake.plans import telemetry as T
 from hydrolake.sources import readers
+from hydrolake.sources.shared import fresh_path
 from hydrolake.sources.views import view
 
 ZH = ["zone", "horizon"]
@@ -142,9 +143,20 @@ def a32_cv_stability(spark, sf_dir):
     return tidy(skill.cv_stability(x, ["horizon"], "mae"))
 
 
-@register("a33_bootstrap_ci")
+_U = "(v * 48271 % 2147483647 + r * 7919 + 5) % 2147483647"
+_BOOT = P + f"""
+, h1 AS (SELECT zone, horizon, abs(yhat - y) AS e, r, {_U.replace('v', 'row_id')} AS h FROM p CROSS JOIN (SELECT range AS r FROM range(1, 201)))
+, h2 AS (SELECT zone, horizon, e, r, h * h % 2147483647 + 12345 AS h FROM h1)
+, h3 AS (SELECT zone, horizon, e, r, (h * h % 2147483647) / 2147483647e0 AS u FROM h2)
+, k AS (SELECT zone, horizon, e, r, {' + '.join(f'CAST(u >= {s}e0 AS INT)' for s in (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563))} AS k FROM h3)
+, s AS (SELECT zone, horizon, r, sum(e * k) / sum(k) AS stat FROM k WHERE k > 0 GROUP BY 1, 2, 3)
+, ci AS (SELECT zone, horizon, quantile_cont(stat, 0.025) AS low, quantile_cont(stat, 0.975) AS high FROM s GROUP BY 1, 2)
+SELECT zone, horizon, {rd('low', 'low', 3)}, {rd('high', 'high', 3)}, {rd('point', 'point', 3)} FROM ci JOIN (SELECT zone, horizon, avg(abs(yhat - y)) AS point FROM p GROUP BY 1, 2) USING (zone, horizon)"""
+
+
+@register("a33_bootstrap_ci", sql("predictions", _BOOT))
 def a33_bootstrap_ci(spark, sf_dir):
-    return tidy(skill.bootstrap_ci(preds(spark, sf_dir), ZH, "row_id", "y", "yhat"))
+    return tidy(skill.bootstrap_ci(preds(spark, sf_dir), ZH, "row_id", "y", "yhat"), 3)
 
 
 @register("a45_benchmark_table", sql("predictions", P + f"""
@@ -230,20 +242,22 @@ def w16_chrono_split(spark, sf_dir):
 
 
 @register("w17_ts_folds", sql("predictions", """
-, n AS (SELECT row_id, zone, count(*) OVER (PARTITION BY zone) AS n, row_number() OVER (PARTITION BY zone ORDER BY row_id) - 1 AS i FROM predictions WHERE horizon = 1)
+, n AS (SELECT row_id, zone, horizon, count(*) OVER (PARTITION BY zone, horizon) AS n, row_number() OVER (PARTITION BY zone, horizon ORDER BY row_id) - 1 AS i FROM predictions)
 , f AS (SELECT *, n // 6 AS b, CAST(unnest([1, 2, 3, 4, 5]) AS INT) AS fold FROM n)
-SELECT row_id, zone, fold, CASE WHEN i < n - (5 - fold + 1) * b THEN 'train' ELSE 'test' END AS role FROM f WHERE i < n - (5 - fold + 1) * b + b"""))
+SELECT row_id, zone, horizon, fold, CASE WHEN i < n - (5 - fold + 1) * b THEN 'train' ELSE 'test' END AS role FROM f WHERE i < n - (5 - fold + 1) * b + b"""))
 def w17_ts_folds(spark, sf_dir):
-    x = view(spark, sf_dir, "predictions").where("horizon = 1").select("row_id", "zone")
-    return series.ts_folds(x, ["zone"], "row_id", 5).select("row_id", "zone", "fold", "role")
+    x = view(spark, sf_dir, "predictions").select("row_id", "zone", "horizon")
+    return series.ts_folds(x, ZH, "row_id", 5).select("row_id", *ZH, "fold", "role")
 
 
-@register("w18_stratified_folds")
+@register("w18_stratified_folds", sql("predictions", "SELECT row_id, klass, (row_number() OVER (PARTITION BY klass ORDER BY md5(concat(row_id, ':0')), row_id) - 1) % 5 AS fold FROM predictions"))
 def w18_stratified_folds(spark, sf_dir):
     return series.stratified_folds(view(spark, sf_dir, "predictions").select("row_id", "klass"), "klass", "row_id", 5)
 
 
-@register("g9_match_rate_sample")
+@register("g9_match_rate_sample", sql("predictions", P + """
+, r AS (SELECT row_id, zone, pos, round(sum(CAST(pos AS INT)) OVER (PARTITION BY zone) * 0.19999999999999996e0 / 0.8e0) AS want, row_number() OVER (PARTITION BY zone, pos ORDER BY md5(concat(row_id, ':0')), row_id) AS k FROM p)
+SELECT row_id, zone, pos FROM r WHERE pos OR k <= want"""))
 def g9_match_rate_sample(spark, sf_dir):
     return series.match_rate_sample(preds(spark, sf_dir).select("row_id", "zone", "pos"), ["zone"], "pos", "row_id", 0.8)
 
@@ -291,21 +305,30 @@ def a43_pipeline_status(spark, sf_dir):
     return skill.pipeline_status(x, ZH)
 
 
-@register("s14_build_forecast_document")
-def s14_build_forecast_document(spark, sf_dir):
+DOCUMENT = sql("predictions", CONF + f"SELECT zone, 'ok' AS status, horizon, {rd('avg(yhat)', 'value', 3)}, {rd('avg(low)', 'low', 3)}, {rd('avg(high)', 'high', 3)} FROM iv GROUP BY 1, 2, 3")
+
+
+def document(spark, sf_dir) -> DataFrame:
     x = intervals(spark, sf_dir).groupBy("zone", "horizon").agg(F.avg("yhat").alias("value"), F.avg("low").alias("low"), F.avg("high").alias("high")).withColumn("status", F.lit("ok"))
-    doc = readers.forecast_document(x, ["zone"])
-    return doc.select("zone", "status", F.to_json("horizons").alias("horizons"))
+    return readers.forecast_document(x, ["zone"])
 
 
-@register("s12_write_document")
-def s12_write_document(spark, sf_dir):
-    import tempfile
+def entries(doc: DataFrame) -> DataFrame:
+    """A document's entries as rows."""
+    return tidy(doc.select("zone", "status", F.explode("horizons").alias("horizon", "x")).select("zone", "status", "horizon", "x.value", "x.low", "x.high"), 3)
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-doc-", dir="/tmp")
-    path = f"{base.rstrip('/')}/document-{spark.sparkContext.applicationId}-{id(sf_dir)}"
-    readers.write_document(s14_build_forecast_document(spark, sf_dir), path)
-    return spark.read.json(path).select("zone", "status", F.length("horizons").alias("n"))
+
+@register("s14_build_forecast_document", DOCUMENT)
+def s14_build_forecast_document(spark, sf_dir):
+    return entries(document(spark, sf_dir))
+
+
+@register("s12_write_document", DOCUMENT)
+def s12_write_document(spark, sf_dir):
+    doc, path = document(spark, sf_dir), fresh_path(spark, "document")
+    readers.write_document(doc, path)
+    kept = "zone string, status string, horizons map<string, struct<value: double, low: double, high: double>>"  # JSON keys are text
+    return entries(spark.read.schema(kept).json(path)).withColumn("horizon", F.col("horizon").cast("int"))
 
 
 # models -----------------------------------------------------------------------------------------------------------
@@ -345,11 +368,11 @@ def l8_ridge_stack(spark, sf_dir):
 
 def pixel_rows(spark, sf_dir) -> DataFrame:
     e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    bands = [F.get("embedding", F.lit(i)).cast("double").alias(f"b{i}") for i in range(12)]
+    bands = [F.get("embedding", F.lit(i)).cast("double").alias(b) for i, b in enumerate(BANDS)]
     return e.select("vec_id", "label", *bands, (F.col("vec_id") % 5 != 0).alias("inside"))
 
 
-BANDS = [f"b{i}" for i in range(12)]
+BANDS = [f"b{i}" for i in range(64)]
 
 
 @register("l12_fit_pixel_classifier")

@@ -41,11 +41,12 @@ def p22_impute_sentinel(spark, sf_dir):
     return tidy(features.impute_sentinel(px(spark, sf_dir), ["vv"]).groupBy("scene").agg(F.count(F.lit(1)).alias("n"), F.avg("vv").alias("vv")))
 
 
-@register("j15_extract_at_points", sql("pixels parcels", f", pt AS (SELECT parcel_id, CAST(floor((lon - 99) * 200 / 1e0) AS BIGINT) AS px, CAST(floor((lat - 18) * 200 / 1e0) AS BIGINT) AS py FROM parcels WHERE parcel_id % 5 = 0) SELECT parcel_id, count(*) AS n, {rd('avg(green)', 'green')} FROM pt JOIN pixels USING (px, py) GROUP BY 1"))
+@register("j15_extract_at_points", sql("pixels parcels", f", pt AS (SELECT parcel_id, CAST(floor((lon - 99) * 200 / 1e0) AS BIGINT) AS px, CAST(floor((lat - 18) * 200 / 1e0) AS BIGINT) AS py FROM parcels) SELECT parcel_id, CAST(n AS BIGINT) AS n, {rd('s / n', 'green')} FROM pt JOIN (SELECT px, py, count(*) AS n, sum(green) AS s FROM pixels GROUP BY 1, 2) USING (px, py)"))
 def j15_extract_at_points(spark, sf_dir):
-    points = view(spark, sf_dir, "parcels").where("parcel_id % 5 = 0").select("parcel_id", ((F.col("lon") - 99) * 200).alias("x"), ((F.col("lat") - 18) * 200).alias("y"))
-    x = lookups.pixel_join(points, px(spark, sf_dir).select("px", "py", "green"), 0, 0, 1.0)
-    return tidy(x.groupBy("parcel_id").agg(F.count(F.lit(1)).alias("n"), F.avg("green").alias("green")))
+    points = view(spark, sf_dir, "parcels").select("parcel_id", ((F.col("lon") - 99) * 200).alias("x"), ((F.col("lat") - 18) * 200).alias("y"))
+    # one row per pixel before the join: each point meets one row
+    bands = px(spark, sf_dir).groupBy("px", "py").agg(F.count(F.lit(1)).alias("n"), F.avg("green").alias("green"))
+    return tidy(lookups.pixel_join(points, bands, 0, 0, 1.0).select("parcel_id", "n", "green"))
 
 
 _EDGES = ", ".join(f"('{k}', {ring[i][0]}e0, {ring[i][1]}e0, {ring[(i + 1) % len(ring)][0]}e0, {ring[(i + 1) % len(ring)][1]}e0)" for k, ring in RINGS.items() for i in range(len(ring)))
@@ -80,11 +81,11 @@ def a15_area_vs_baseline(spark, sf_dir):
 
 
 @register("a36_sar_week_quality", sql("pixels", """
-, w AS (SELECT zone, class_id, CAST(floor((day - DATE '1998-01-01') / 7e0) AS INT) AS week, count(DISTINCT scene) AS k FROM pixels WHERE px < 4 GROUP BY 1, 2, 3)
-, s AS (SELECT DISTINCT zone, class_id FROM pixels WHERE px < 4), f AS (SELECT s.*, t.i AS week, coalesce(k, 0) AS k FROM s CROSS JOIN range(52) t(i) LEFT JOIN w ON w.zone = s.zone AND w.class_id = s.class_id AND w.week = t.i)
+, w AS (SELECT zone, class_id, CAST(floor((day - DATE '1998-01-01') / 7e0) AS INT) AS week, count(DISTINCT scene) AS k FROM pixels GROUP BY 1, 2, 3)
+, s AS (SELECT DISTINCT zone, class_id FROM pixels), f AS (SELECT s.*, t.i AS week, coalesce(k, 0) AS k FROM s CROSS JOIN range(52) t(i) LEFT JOIN w ON w.zone = s.zone AND w.class_id = s.class_id AND w.week = t.i)
 SELECT zone, class_id, count(*) AS weeks, CAST(sum(k) AS BIGINT) AS images, count(*) FILTER (WHERE k = 0) AS empty, count(*) FILTER (WHERE k = 0 AND week IN (3, 9, 27)) AS match, count(*) FILTER (WHERE k = 0 AND week NOT IN (3, 9, 27)) AS diverge, """ + rd("100e0 * count(*) FILTER (WHERE k = 0) / count(*)", "empty_pct", 2) + " FROM f GROUP BY 1, 2"))
 def a36_sar_week_quality(spark, sf_dir):
-    return tidy(pixels.week_quality(px(spark, sf_dir).where("px < 4"), ["zone", "class_id"], "day", "1998-01-01", 52, [3, 9, 27]), 2)
+    return tidy(pixels.week_quality(px(spark, sf_dir), ["zone", "class_id"], "day", "1998-01-01", 52, [3, 9, 27]), 2)
 
 
 @register("a37_weekly_composite", sql("pixels", "SELECT zone, class_id, " + ", ".join(f"{rd(f'avg(vv) FILTER (WHERE b = {i})', f'w{i}_vv')}, {rd(f'avg(vh) FILTER (WHERE b = {i})', f'w{i}_vh')}" for i in range(6)) + " FROM (SELECT *, CAST(floor((day - DATE '1998-01-01') / 7e0) AS INT) AS b FROM pixels WHERE vv > -9999) WHERE b BETWEEN 0 AND 5 GROUP BY 1, 2"))
@@ -142,6 +143,8 @@ def g5_classify_stage(spark, sf_dir):
     return tidy(pixels.classify_stage(rain_windows(spark, sf_dir), templates(spark), ["zone", "iso_year", "iso_week"], "zone").drop("window"))
 
 
-@register("g8_interior_sample")
+@register("g8_interior_sample", sql("pixels", INSIDE + """
+, whole AS (SELECT a.poly, a.px, a.py FROM ins a JOIN (SELECT poly, px + dx AS px, py + dy AS py FROM ins, (VALUES (-1), (0), (1)) x(dx), (VALUES (-1), (0), (1)) y(dy)) b USING (poly, px, py) GROUP BY 1, 2, 3 HAVING count(*) = 9)
+SELECT * FROM (SELECT poly, px, py, row_number() OVER (PARTITION BY poly ORDER BY md5(concat(px, ':', py, ':1')), px, py) AS rank FROM whole) WHERE rank <= 50"""))
 def g8_interior_sample(spark, sf_dir):
     return pixels.interior_sample(inside(spark, sf_dir), "poly", "px", "py", 50)

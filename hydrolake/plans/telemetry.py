@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from hydrolake.operators import lookups, series, telemetry
 from hydrolake.plans.helpers import LEVELS, MARKS, dt, rd, sql, tidy, tm
 from hydrolake.plans.registry import register
 from hydrolake.sources import readers
+from hydrolake.sources.shared import fresh_path
 from hydrolake.sources.views import view
 
 TYPES = ("water_level", "rainfall_1h", "temperature", "humidity", "solar")
@@ -39,7 +42,9 @@ WIDE = """, w AS (SELECT station, data_type, date_trunc('second', ts) AS s, max(
 
 @register("s1_read_wide_log", sql("telemetry_long", f"SELECT {tm('s', 'measure_datetime')}, count(*) AS n FROM (SELECT date_trunc('second', ts) AS s, station, data_type FROM telemetry_long GROUP BY ALL) GROUP BY s"))
 def s1_read_wide_log(spark, sf_dir):
-    log = readers.wide_log(wide_text(spark, sf_dir))
+    wide, path = wide_text(spark, sf_dir), fresh_path(spark, "wide-log")
+    wide.write.option("header", True).csv(path)
+    log = readers.read_wide_log(spark, path, wide.columns)
     return tidy(readers.wide_to_long(log).groupBy("measure_datetime").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -71,7 +76,11 @@ def s3_parse_telemetry_json(spark, sf_dir):
 def s4_read_curve(spark, sf_dir):
     from pyspark.sql import Window
 
-    c = view(spark, sf_dir, "rating_curve").withColumn("_p", F.lag("storage_m3").over(Window.partitionBy("station").orderBy("level")))
+    path = fresh_path(spark, "curves")
+    curve = view(spark, sf_dir, "rating_curve").select("station", F.col("level").alias("msl_height"), "z_factor", F.col("area_m2").alias("surface_area_m2"), "storage_m3")
+    curve.repartition("station").write.partitionBy("station").option("header", True).csv(path)  # a file per station
+    parts = [readers.read_curve(spark, f"{path}/station={s}").withColumn("station", F.lit(s)) for s in STATIONS]
+    c = reduce(DataFrame.unionByName, parts).withColumnRenamed("msl_height", "level").withColumn("_p", F.lag("storage_m3").over(Window.partitionBy("station").orderBy("level")))
     return tidy(c.groupBy("station").agg(F.count(F.lit(1)).alias("n"), F.min("level").alias("least"), F.max("level").alias("most"), F.min(F.col("storage_m3") >= F.coalesce("_p", F.lit(-1.0))).alias("rises")))
 
 

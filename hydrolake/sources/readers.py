@@ -106,7 +106,7 @@ def append_run_log(df: DataFrame, path: str, columns: Sequence[str], by: str = "
 
 def write_document(df: DataFrame, path: str) -> None:
     """Nested rows as JSON lines; the committer's rename makes it appear whole."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    df.write.mode("overwrite").json(path)
 
 
 def align_schema(lines: DataFrame, old: Sequence[str], new: Sequence[str], col: str = "value") -> DataFrame:

@@ -50,15 +50,17 @@ VIEWS: dict[str, View] = {
         },
         "event_type = 'view'",
     ),
-    "rating_curve": View(
-        "range(3084)",
+    "rating_curve": View(  # the centimetres of level that a station has seen; area and storage rise with them
+        "events",
         {
-            "station": "concat('RES00', CAST(id % 4 AS STRING))",
-            "level": "(48280 + CAST(floor(id / 4e0) AS BIGINT) + id % 4) / 1e2",
-            "z_factor": "1e0",
-            "area_m2": "1e5 + 3e2 * CAST(floor(id / 4e0) AS BIGINT)",
-            "storage_m3": "5e5 + 1e3 * CAST(floor(id / 4e0) AS BIGINT) + 1.5e0 * CAST(floor(id / 4e0) AS BIGINT) * CAST(floor(id / 4e0) AS BIGINT)",
+            "station": "concat('RES00', CAST(user_id % 4 AS STRING))",
+            "level": "(48500 + CAST(floor(value) AS BIGINT)) / 1e2",
+            "z_factor": "count(*) * 0e0 + 1e0",
+            "area_m2": "1e5 + sum(0e0) + 3e2 * (220 + max(CAST(floor(value) AS BIGINT)))",
+            "storage_m3": "5e5 + sum(0e0) + 1e3 * (220 + max(CAST(floor(value) AS BIGINT))) + 1.5e0 * (220 + max(CAST(floor(value) AS BIGINT))) * (220 + max(CAST(floor(value) AS BIGINT)))",
         },
+        "event_type = 'view'",
+        group_by=("concat('RES00', CAST(user_id % 4 AS STRING))", "(48500 + CAST(floor(value) AS BIGINT)) / 1e2"),
     ),
     "valve_rates": View(
         "range(22)",
@@ -75,7 +77,7 @@ VIEWS: dict[str, View] = {
             "turns": "1 + event_id % 11",
             "outlet_side": "CASE WHEN event_id % 2 = 0 THEN 'inlet' ELSE 'spillway' END",
         },
-        "event_type = 'purchase' AND event_id % 10 < 3",
+        "event_type = 'purchase'",
     ),
     "rain_daily": View(
         "lineitem",
@@ -105,8 +107,9 @@ VIEWS: dict[str, View] = {
         group_by=("CASE WHEN o_custkey % 2 = 0 THEN 'A' ELSE 'B' END", "CAST(o_orderdate AS DATE)"),
     ),
     "monthly_index": View(
-        "range(84)",
-        {"year": "1995 + CAST(floor(id / 12e0) AS INT)", "month": "CAST(id % 12 + 1 AS INT)", "mei": "CASE WHEN id % 11 = 5 THEN NULL ELSE ((id * 37) % 50 - 25) / 1e1 END"},
+        "orders",
+        {"year": "CAST(year(o_orderdate) AS INT)", "month": "CAST(month(o_orderdate) AS INT)", "mei": "CASE WHEN count(*) % 11 = 5 THEN NULL ELSE ((count(*) * 37) % 50 - 25) / 1e1 END"},
+        group_by=("CAST(year(o_orderdate) AS INT)", "CAST(month(o_orderdate) AS INT)"),
     ),
     "parcels": View(
         "orders",
