@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Monthly pan evaporation norms (mm), January to December.
-EVAPORATION_NORMS = (103.0692307692308, 115.04, 136.92461538461538, 152.96692307692308, 146.68923076923076, 140.09307692307695, 120.02538461538461, 125.63923076923078, 120.25076923076925, 112.23615384615384, 101.06923076923077, 99.02)
+EVAPORATION_NORMS = (103.0692307692308, 115.03999999999999, 136.92461538461538, 152.96692307692308, 146.68923076923076, 140.09307692307695, 120.02538461538461, 125.63923076923078, 120.25076923076925, 112.23615384615384, 101.06923076923077, 99.02)
 #: The weir.
 CREST, WEIR_C, WEIR_LENGTH, GAUGE_OFFSET = 489.545, 1.82, 30.0, 0.155
 SEASON_SCHEMES = ("three", "dry_to_40", "two")
@@ -178,9 +178,34 @@ def impute(value, sentinel: float, middle) -> Column:
     return F.coalesce(F.nullif(_col(value), F.lit(sentinel)), _col(middle), F.lit(0.0))
 
 
+#: FAO-56 at 300 m, as et0_penman_monteith.
+_GAMMA = 0.000665 * (101.3 * ((293 - 0.0065 * 300.0) / 293) ** 5.26)
+_ES, _EA = (f"(0.6108D * exp(17.27D * ({t} - 273.15D) / ({t} - 273.15D + 237.3D)))" for t in ("t2m", "d2m"))
+_SLOPE = f"(4098D * {_ES} / pow(t2m - 273.15D + 237.3D, 2D))"
+_WIND = "(sqrt(u10 * u10 + v10 * v10) * 4.87D / ln(67.8D * 10D - 5.42D))"
+_ET0_SQL = f"(0.408D * {_SLOPE} * (0.77D * ssr / 1e6D + str / 1e6D) + {_GAMMA}D * 900D / (t2m - 273.15D + 273D) * {_WIND} * ({_ES} - {_EA})) / ({_SLOPE} + {_GAMMA}D * (1D + 0.34D * {_WIND}))"
+#: A fold over a keeps the row of least costs; a fold over b builds the next one.
+_DTW_SQL = """element_at(aggregate(sequence(0, size(a) - 1), concat(array(0D), array_repeat(double('infinity'), size(b))),
+    (least_costs, i) -> aggregate(sequence(1, size(b)), array(double('infinity')),
+        (acc, j) -> array_append(acc, abs(a[i] - b[j - 1]) + least(least_costs[j], least_costs[j - 1], acc[j - 1])))), size(b) + 1)"""
+
+
 def register_all(spark) -> list[str]:
     """SQL functions of the scalar expressions, as SQL expressions (no Python at run time)."""
     bodies = {
+        "hl_iso_year(d DATE) RETURNS INT": "CAST(extract(YEAROFWEEK FROM d) AS INT)",
+        "hl_iso_week(d DATE) RETURNS INT": "weekofyear(d)",
+        "hl_season(w INT) RETURNS STRING": "CASE WHEN w BETWEEN 10 AND 18 THEN 'summer' WHEN w BETWEEN 19 AND 44 THEN 'rainy' ELSE 'winter' END",
+        "hl_sine(x DOUBLE, period DOUBLE) RETURNS DOUBLE": "sin(2D * pi() * x / period)",
+        "hl_cosine(x DOUBLE, period DOUBLE) RETURNS DOUBLE": "cos(2D * pi() * x / period)",
+        "hl_saturation_pressure(celsius DOUBLE) RETURNS DOUBLE": "0.6108D * exp(17.27D * celsius / (celsius + 237.3D))",
+        "hl_et0(t2m DOUBLE, d2m DOUBLE, u10 DOUBLE, v10 DOUBLE, ssr DOUBLE, str DOUBLE) RETURNS DOUBLE": _ET0_SQL,
+        "hl_db_ratio(vv DOUBLE, vh DOUBLE) RETURNS DOUBLE": "vh - vv",
+        "hl_linear_ratio(vv DOUBLE, vh DOUBLE) RETURNS DOUBLE": "pow(10D, vh / 10D) / pow(10D, vv / 10D)",
+        "hl_buddhist_date(said STRING) RETURNS DATE": """CASE WHEN trim(said) RLIKE '^[0-9]{8}$' THEN to_date(try_to_timestamp(concat_ws('-',
+            lpad(CAST(CASE WHEN CAST(substring(trim(said), 1, 4) AS INT) > 2500 THEN CAST(substring(trim(said), 1, 4) AS INT) - 543 ELSE CAST(substring(trim(said), 1, 4) AS INT) END AS STRING), 4, '0'),
+            substring(trim(said), 5, 2), substring(trim(said), 7, 2)), 'yyyy-MM-dd')) END""",
+        "hl_dtw(a ARRAY<DOUBLE>, b ARRAY<DOUBLE>) RETURNS DOUBLE": _DTW_SQL,
         "hl_week_start(y INT, w INT) RETURNS DATE": "date_add(CAST(date_trunc('week', make_date(y, 1, 4)) AS DATE), 7 * (w - 1))",
         "hl_season_code(w INT) RETURNS INT": "CASE WHEN w BETWEEN 10 AND 18 THEN 1 WHEN w BETWEEN 19 AND 44 THEN 2 ELSE 0 END",
         "hl_upland_rain(p DOUBLE) RETURNS DOUBLE": "greatest(0D, p - 5) * 0.85D",

@@ -38,15 +38,20 @@ STAGES = (
 )
 
 
+def raised(kc: float, raise_by: float = 1.05) -> float:
+    """A coefficient under local conditions: three decimals of the double's exact value, which SQL's round doesn't give."""
+    return round(kc * raise_by, 3)
+
+
 def kc_week_table(spark: SparkSession, stages: Sequence[tuple] = STAGES, raise_by: float = 1.05) -> DataFrame:
     """Per crop and week 1-52 the first stage that holds it, else offseason with coefficient 0."""
-    rows = [(i, *s) for i, s in enumerate(stages)]
-    table = spark.createDataFrame(rows, "pos int, crop string, stage string, first int, last int, base double")
+    rows = [(i, crop, stage, first, last, raised(kc, raise_by)) for i, (crop, stage, first, last, kc) in enumerate(stages)]
+    table = spark.createDataFrame(rows, "pos int, crop string, stage string, first int, last int, kc double")
     weeks = table.select("crop").distinct().withColumn("week", F.explode(F.sequence(F.lit(1), F.lit(52))))
     inside = F.when(F.col("first") <= F.col("last"), F.col("week").between(F.col("first"), F.col("last"))).otherwise((F.col("week") >= F.col("first")) | (F.col("week") <= F.col("last")))
-    met = weeks.join(table, "crop").where(inside).groupBy("crop", "week").agg(F.min_by(F.struct("stage", "base"), "pos").alias("x"))
+    met = weeks.join(table, "crop").where(inside).groupBy("crop", "week").agg(F.min_by(F.struct("stage", "kc"), "pos").alias("x"))
     out = weeks.join(met, ["crop", "week"], "left")
-    return out.select("crop", "week", F.coalesce("x.stage", F.lit("offseason")).alias("stage"), F.coalesce(F.round(F.col("x.base") * raise_by, 3), F.lit(0.0)).alias("kc"))
+    return out.select("crop", "week", F.coalesce("x.stage", F.lit("offseason")).alias("stage"), F.coalesce("x.kc", F.lit(0.0)).alias("kc"))
 
 
 def stage_summary(kc: DataFrame) -> DataFrame:

@@ -63,11 +63,11 @@ def a19_pivot_table(spark, sf_dir):
     return tidy(demand.pivot(x, ["zone", "iso_year"], "w", ["w0", "w1", "w2", "w3"], F.sum("rain")))
 
 
-_STAGES = ", ".join(f"({i}, '{c}', '{s}', {a}, {b}, {k}e0)" for i, (c, s, a, b, k) in enumerate(demand.STAGES))
+_STAGES = ", ".join(f"({i}, '{c}', '{s}', {a}, {b}, {demand.raised(k)}e0)" for i, (c, s, a, b, k) in enumerate(demand.STAGES))
 KCW = f"""st(pos, crop, stage, a, b, base) AS (VALUES {_STAGES})
 , wk AS (SELECT crop, CAST(w AS INT) AS week FROM (SELECT DISTINCT crop FROM st) CROSS JOIN range(1, 53) t(w))
 , hit AS (SELECT crop, week, arg_min(stage, pos) AS stage, arg_min(base, pos) AS base FROM wk JOIN st USING (crop) WHERE CASE WHEN a <= b THEN week BETWEEN a AND b ELSE week >= a OR week <= b END GROUP BY 1, 2)
-, kcw AS (SELECT wk.crop, wk.week, coalesce(stage, 'offseason') AS stage, coalesce(round(base * 1.05e0, 3), 0e0) AS kc FROM wk LEFT JOIN hit USING (crop, week))"""
+, kcw AS (SELECT wk.crop, wk.week, coalesce(stage, 'offseason') AS stage, coalesce(base, 0e0) AS kc FROM wk LEFT JOIN hit USING (crop, week))"""
 
 
 @register("g3_kc_week_table", f"WITH {KCW} SELECT n.zone, CAST(n.year AS INT) AS year, k.crop, k.stage, {rd('k.kc', 'kc', 3)}, n.n FROM (SELECT CASE WHEN l_suppkey % 2 = 0 THEN 'A' ELSE 'B' END AS zone, isoyear(l_shipdate) AS year, CAST(least(week(l_shipdate), 52) AS INT) AS week, count(*) AS n FROM lineitem GROUP BY 1, 2, 3) n JOIN kcw k ON k.week = n.week")

@@ -2,12 +2,14 @@
 
 import datetime as dt
 import math
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from hydrolake.functions import scalar as S
-from hydrolake.operators import features, lookups, pixels, series, skill, telemetry
+from hydrolake.operators import demand, features, lookups, pixels, ranges, series, skill, telemetry
 from hydrolake.sources import readers
 
 
@@ -152,5 +154,54 @@ def test_strict_spill_needs_24_hours(spark):
 def test_sql_functions(spark):
     names = S.register_all(spark)
     assert "hl_weir_flow" in names
+    day, x = F.to_date(F.lit("2020-12-31")), [F.lit(v) for v in (300.0, 295.0, 1.5, -2.0, 1.5e7, -4e6)]
+    twins = {
+        "hl_iso_year(DATE '2020-12-31')": S.iso_year(day), "hl_iso_week(DATE '2020-12-31')": S.iso_week(day), "hl_season(20)": S.season(F.lit(20)),
+        "hl_sine(5D, 52D)": S.cyclic(F.lit(5.0), 52)[0], "hl_cosine(5D, 52D)": S.cyclic(F.lit(5.0), 52)[1],
+        "hl_et0(300D, 295D, 1.5D, -2D, 1.5e7D, -4e6D)": S.et0_penman_monteith(*x),
+        "hl_db_ratio(-8D, -14D)": S.decibel_ratio(F.lit(-8.0), F.lit(-14.0))[0], "hl_linear_ratio(-8D, -14D)": S.decibel_ratio(F.lit(-8.0), F.lit(-14.0))[1],
+        "hl_buddhist_date('25630229')": S.buddhist_date(F.lit("25630229")), "hl_buddhist_date('25640229')": S.buddhist_date(F.lit("25640229")),
+        "hl_dtw(array(1D, 5D, 2D), array(2D, 8D, 1D, 1D))": pixels.dtw(F.array(*map(F.lit, (1.0, 5.0, 2.0))), F.array(*map(F.lit, (2.0, 8.0, 1.0, 1.0))), 3, 4),
+    }
+    for said, expression in twins.items():
+        got = spark.range(1).select(F.expr(said).alias("a"), expression.alias("b")).first()
+        assert got.a == (pytest.approx(got.b) if isinstance(got.b, float) else got.b), said
     row = spark.sql("SELECT hl_week_start(2024, 1) AS a, hl_season_code(20) AS b, hl_upland_rain(10D) AS c, hl_aridity(5D, 0D) AS d").first()
     assert (str(row.a), row.b, row.c, row.d) == ("2024-01-01", 2, 4.25, 10.0)
+
+
+def test_crop_coefficients_by_week(spark):
+    """The table of all crops and weeks: stage, coefficient, first and last week, number of weeks."""
+    golden = """rice offseason 0.0 1 52 26, rice GS0 0.0 24 26 3, rice GS1 1.208 27 30 4, rice GS2 1.26 31 38 8, rice GS3 1.103 39 45 7, rice GS4 0.0 46 49 4,
+        corn offseason 0.0 1 52 31, corn GS0 0.0 22 25 4, corn GS1 0.315 26 28 3, corn GS2 1.26 29 34 6, corn GS3 0.367 35 39 5, corn GS4 0.0 40 42 3,
+        cassava GS4 1.05 1 7 7, cassava offseason 0.0 8 14 7, cassava GS0 0.0 15 17 3, cassava GS1 0.315 18 23 6, cassava GS2 0.84 24 36 13, cassava GS3 1.155 37 52 16,
+        longan GS4 0.997 1 8 8, longan GS1 0.735 9 16 8, longan GS2 0.892 17 42 26, longan offseason 0.0 43 43 1, longan GS2_stress 0.0 44 50 7, longan GS3 0.945 51 52 2,
+        rubber GS_defoliation 0.63 1 8 8, rubber GS_leaf_flush 0.84 9 16 8, rubber GS_mature 1.05 17 52 36"""
+    want = sorted((c, s, float(k), int(a), int(b), int(n)) for c, s, k, a, b, n in (x.split() for x in golden.split(",")))
+    table = demand.kc_week_table(spark)
+    got = demand.stage_summary(table).select("crop", "stage", "kc", "first_week", "last_week", "n_weeks").collect()
+    assert sorted(map(tuple, got)) == want and table.count() == 260
+
+
+def test_running_values_of_a_hot_key(spark):
+    """Two thirds of the rows have one key; ties in the order; nulls; against plain loops."""
+    rng = random.Random(3)
+    rows = [("hot" if i % 3 else rng.choice("abc"), rng.randrange(400), i, rng.choice([None, rng.random()])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, o long, i long, v double")
+    got = {r.i: r for r in ranges.running_before(df.withColumn("w", F.col("v")), ["k"], "o", {"v": "sum", "w": "max"}, ties=["i"]).collect()}
+    total, most = {}, {}
+    for k, _, i, v in sorted(rows, key=lambda r: (r[1], r[2])):
+        assert got[i].v_before == pytest.approx(total.get(k, 0)) and got[i].w_before == most.get(k)
+        if v is not None:
+            total[k], most[k] = total.get(k, 0) + v, max(most.get(k, v), v)
+    for by in (["k"], []):
+        numbers = ranges.numbered(df, by, "o", "n", ["i"]).collect()
+        for key in {tuple(r[c] for c in by) for r in numbers}:
+            own = sorted((r for r in numbers if tuple(r[c] for c in by) == key), key=lambda r: (r.o, r.i))
+            assert [r.n for r in own] == list(range(1, len(own) + 1))
+    for by in (["k"], []):
+        found = {tuple(r[c] for c in by): (r.q, r.n) for r in ranges.exact_quantile(df, by, "v", F.lit(0.3)).collect()}
+        for key, (q, n) in found.items():
+            own = [r[3] for r in rows if r[3] is not None and (not by or r[0] == key[0])]
+            assert n == len(own) and q == pytest.approx(np.quantile(own, 0.3))
+    assert ranges.numbered(df.limit(0), ["k"], "o", "n").count() == 0
