@@ -58,8 +58,25 @@ def shared_dir(spark: SparkSession) -> str:
     return known.rstrip("/")
 
 
+_WRITTEN: dict[str, list[str]] = {}  # by application
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_written(spark: SparkSession) -> int:
+    """Remove what this application's operators have written to the shared folder; how many paths that were.
+
+    Results that were not saved yet still need it, so call it when all is saved.
+    """
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return len(paths)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from hydrolake.llm import quality_rules
 from hydrolake.llm.queries import URL_RULES
 
 FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -27,6 +30,39 @@ SECRETS = f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(te
   coalesce(string_agg({_SAID}, ',' ORDER BY s, o) FILTER (WHERE o < 3), '') AS base, string_agg({_SAID}, ',' ORDER BY s, o) AS spans FROM f GROUP BY rid)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN a USING (rid)"""
 
+# quality rules ----------------------------------------------------------------------------------------------------
+_GROWTH = f"{math.log(quality_rules.GROWTH)!r}e0"
+_ZERO = f"({quality_rules.ZERO_BIN})"
+_RULE_NAMES = [r.name for r in quality_rules.RULES]
+
+
+def _fences(name: str, by: str) -> str:
+    """Per ``by`` and rule: n, and the edges of the bins where the lower and the upper quantile lie."""
+    edge = "CASE WHEN {0} > " + _ZERO + " THEN pow(" + repr(quality_rules.GROWTH) + "e0, {0} - {1}) ELSE 0e0 END"
+    return f"""{name} AS (SELECT {by}, rule, total AS n, {edge.format('low_bin', 1)} AS low, {edge.format('high_bin', 0)} AS high FROM (
+  SELECT {by}, rule, max(total) AS total, min(bin) FILTER (WHERE 1000 * upto >= 995 * total) AS high_bin, min(bin) FILTER (WHERE 1000 * upto >= 5 * total) AS low_bin FROM (
+    SELECT *, sum(n) OVER (PARTITION BY {by}, rule ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY {by}, rule) AS total FROM (SELECT {by}, rule, bin, sum(n) AS n FROM bins GROUP BY ALL)) GROUP BY {by}, rule))"""
+
+
+def _leaning(side: str) -> str:
+    parent = f"(b.n * b.{side} + 100 * c.{side}) / (b.n + 100e0)"
+    return f"(a.n * a.{side} + 100 * {parent}) / (a.n + 100e0) AS {side}"
+
+
+QUALITY = f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{SPACE_WORD}') AS w FROM documents)
+, win AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, k) AS times FROM (SELECT rid, i, array_to_string(w[i:i + 2], ' ') AS k FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) > 2)))
+, rep AS (SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest(range(i, i + 3)) AS j FROM win WHERE times > 1) GROUP BY 1)
+, m AS (SELECT rid, doc_id, lang, source, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{SPACE_WORD}')) AS lines, coalesce(rep.n, 0) AS n_repeat_words FROM d LEFT JOIN rep USING (rid))
+, r AS (SELECT * EXCLUDE (lines), len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    coalesce(n_symbols / nullif(word_chars, 0), 0e0) AS symbol_ratio, coalesce((len(lines) - len(list_distinct(lines))) / nullif(len(lines), 0), 0e0) AS dup_line_ratio, coalesce(n_repeat_words / nullif(n_words, 0), 0e0) AS repeat_ratio, coalesce(word_chars / nullif(n_words, 0), 0e0) AS mean_word FROM m)
+, long AS ({' UNION ALL '.join(f"SELECT rid, lang, source, base_failed, '{n}' AS rule, {n} AS x FROM r" for n in _RULE_NAMES)})
+, bins AS (SELECT lang, source, 1 AS one, rule, CASE WHEN x > 0 THEN CAST(ceil(ln(x) / {_GROWTH}) AS INT) ELSE {_ZERO} END AS bin, count(*) AS n FROM long WHERE NOT base_failed GROUP BY ALL)
+, {_fences('a', 'lang, source')}, {_fences('b', 'lang')}, {_fences('c', 'one')}
+, f AS (SELECT a.lang, a.source, a.rule, {_leaning('low')}, {_leaning('high')} FROM a JOIN b ON a.lang IS NOT DISTINCT FROM b.lang AND a.rule = b.rule JOIN c ON a.rule = c.rule)
+, bad AS (SELECT DISTINCT rid FROM long l JOIN f ON l.lang IS NOT DISTINCT FROM f.lang AND l.source IS NOT DISTINCT FROM f.source AND l.rule = f.rule WHERE x > high OR (l.rule = 'mean_word' AND x < low))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.rid IS NULL AS kept FROM r LEFT JOIN bad USING (rid)"""
+
 # near copies ------------------------------------------------------------------------------------------------------
 JACCARD = f"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({FOLD.format("coalesce(text, '')")}, '{SPACE_WORD}') AS w FROM documents)
 , s AS (SELECT DISTINCT rid, array_to_string(w[i:i + 3], ' ') AS k FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0))
@@ -60,4 +96,4 @@ WINDOWS = f"""WITH it AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_ext
 , m AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS said FROM (SELECT DISTINCT rid, item_id FROM hit) GROUP BY 1)
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(said, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated FROM d LEFT JOIN n USING (rid) LEFT JOIN m USING (rid)"""
 
-ORACLE: dict[str, str] = {"op1_secrets": SECRETS, "op4_jaccard_join": JACCARD, "op5_warc": WARC, "op8_url_filter": URLS, "op9_decontaminate": WINDOWS}
+ORACLE: dict[str, str] = {"op1_secrets": SECRETS, "op2_quality_rules": QUALITY, "op4_jaccard_join": JACCARD, "op5_warc": WARC, "op8_url_filter": URLS, "op9_decontaminate": WINDOWS}

@@ -1,12 +1,14 @@
 """Secrets, URL filters, decontamination and packing against brute force."""
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from hydrolake.llm import decontaminate, packing, queries, secrets, url_filter
+from hydrolake.llm.common import fresh_path, remove_written
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
@@ -136,3 +138,10 @@ def test_first_fit_decreasing(lengths):
         want = next((b for b in sorted(rooms) if rooms[b] >= lengths[i]), len(rooms))
         assert bins[i] == want and offsets[i] == 1024 - rooms.setdefault(want, 1024)
         rooms[want] -= lengths[i]
+
+
+def test_written_tables_are_removed(spark):
+    path = fresh_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert remove_written(spark) >= 1 and remove_written(spark) == 0
+    assert not Path(path.removeprefix("file://")).exists()
