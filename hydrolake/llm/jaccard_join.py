@@ -132,16 +132,18 @@ def signatures(docs: DataFrame, size: int, percent: int, counts: np.ndarray) ->
     return rows.mapInArrow(run, "doc_id long, tk long, n int, sid binary, gid binary, prefix array<long>")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, percent: int, repeats: bool) -> DataFrame:
     """Those of ``pairs`` (a, b: set numbers) whose sets reach the similarity, judged on whole texts.
 
-    Only texts of sets in a pair are moved; a text goes along with each of its pairs.
+    Only texts of sets in a pair are moved; a text goes along with each of its pairs. ``repeats``: whether a row (id and
+    text) may be in ``docs`` many times; then one of them stands for all.
     """
     wanted = pairs.select(F.col("a").alias("sno")).union(pairs.select("b")).distinct()
     where = sets.join(wanted, "sno", "left_semi").select("sno", "tk", F.col("doc").alias("_doc"))
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), whole_text().alias("text")).withColumn("_tk", F.xxhash64("text"))
     found = where.join(texts, (F.col("tk") == F.col("_tk")) & F.col("_doc").eqNullSafe(F.col("_id"))).select("sno", "text")
-    found = found.groupBy("sno").agg(F.first("text").alias("text"))  # a row may be there many times
+    if repeats:
+        found = found.groupBy("sno").agg(F.first("text").alias("text"))
     found = materialize(found, "candidate-texts")
     both = (
         pairs.join(found.toDF("b", "_tb"), "b")
@@ -203,6 +205,7 @@ def placed_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """
     sigs = materialize(signatures(docs, size, percent, count_sketch(docs, size)), "signatures")
     full = sigs.where("n > 0")
+    repeats = not full.groupBy("doc_id", "tk").count().where("count > 1").isEmpty()
     groups = materialize(
         full.select("gid", "n", "prefix").dropDuplicates(["gid"]).withColumn("gno", F.monotonically_increasing_id()), "groups"
     )
@@ -227,7 +230,7 @@ def placed_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
     across = stars.select("lead", "gno").join(heads.toDF("lead", "a"), "lead").join(sets.select("gno", F.col("sno").alias("b")), "gno").select("a", "b")
     within = sets.select("gno", F.col("sno").alias("b")).join(heads.withColumnRenamed("head", "a"), "gno").where("a <> b").select("a", "b")
     tried = materialize(across.union(within).distinct(), "tried")
-    links = verified(tried, sets, docs, size, percent)
+    links = verified(tried, sets, docs, size, percent, repeats)
 
     # round 2: whatever may link two components
     roots = connected(links)
@@ -263,7 +266,7 @@ def placed_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
     if more.isEmpty():
         final = roots
     else:
-        extra = verified(more, sets, docs, size, percent)
+        extra = verified(more, sets, docs, size, percent, repeats)
         final = roots if extra.isEmpty() else connected(links.union(extra))
 
     whole = sets.join(final.withColumnRenamed("node", "sno"), "sno", "left").withColumn("root", F.coalesce("root", "sno"))
