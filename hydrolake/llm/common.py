@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -86,6 +87,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_finished_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of jobs whose results are written.
+
+    It does so when the driver's garbage is collected, which a long job on a large heap may never need for itself, so
+    that its disks fill with files that nobody reads again.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def whole_text(col: str = "text") -> Column:
     """The whole text; null counts as empty."""
     return F.coalesce(F.col(col), F.lit(""))

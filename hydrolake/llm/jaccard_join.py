@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hydrolake.llm.common import materialize, whole_text
+from hydrolake.llm.common import drop_finished_shuffles, materialize, whole_text
 
 SKETCH_BITS = (20, 24)  # buckets of the count sketch, at least and at most: a broadcast of 4 to 64 MB
 BLOCK = 4096  # buckets in one row of it
@@ -162,6 +162,7 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, perc
                 keep.append(same > 0 and 100 * same >= percent * (len(x) + len(y) - same))
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
 
+    drop_finished_shuffles(docs.sparkSession)
     return materialize(both.mapInArrow(run, "a long, b long").distinct(), "links")
 
 
@@ -232,6 +233,8 @@ def placed_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
     tried = materialize(across.union(within).distinct(), "tried")
     links = verified(tried, sets, docs, size, percent, repeats)
 
+    drop_finished_shuffles(docs.sparkSession)
+
     # round 2: whatever may link two components
     roots = connected(links)
     placed = materialize(sets.select("sno", "gno", "n").join(roots.withColumnRenamed("node", "sno"), "sno", "left").withColumn("comp", F.coalesce("root", "sno")).drop("root"), "placed")
@@ -263,6 +266,7 @@ def placed_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
     pairs = left.join(m1, ["g1", "c1"]).join(m2, ["g2", "c2"]).select(F.least("s1", "s2").alias("a"), F.greatest("s1", "s2").alias("b")).distinct()
     known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = materialize(pairs.join(known, ["a", "b"], "left_anti"), "more-pairs")
+    drop_finished_shuffles(docs.sparkSession)
     if more.isEmpty():
         final = roots
     else:
