@@ -59,7 +59,8 @@ def shared_dir(spark: SparkSession) -> str:
     return known.rstrip("/")
 
 
-_WRITTEN: dict[str, list[str]] = {}  # by application
+_WRITTEN: dict[str, list[str]] = {}  # paths by application
+_TABLES: dict[str, list[str]] = {}  # names of bucketed tables by application
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -73,13 +74,29 @@ def remove_written(spark: SparkSession) -> int:
 
     Results that were not saved yet still need it, so call it when all is saved.
     """
-    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    app = spark.sparkContext.applicationId
+    for name in _TABLES.pop(app, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    paths = _WRITTEN.pop(app, [])
     for path in paths:
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        _delete(spark, path)
     return len(paths)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def remove_table(df: DataFrame) -> None:
+    """Remove the files of a table that ``materialize`` wrote and nothing reads any more."""
+    spark = df.sparkSession
+    written = _WRITTEN.get(spark.sparkContext.applicationId, [])
+    for path in [p for p in written if any(p.rsplit("/", 1)[1] in f for f in df.inputFiles()[:1])]:
+        written.remove(path)
+        _delete(spark, path)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it again: cuts the lineage, survives lost executors."""
     path = fresh_path(df.sparkSession, name)
@@ -87,6 +104,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def table_buckets(spark: SparkSession, n_bytes: int, bucket_bytes: int) -> int:
+    """Buckets of a table of ``n_bytes``: at least as many as a shuffle has partitions, or a join would shuffle the table
+    for more parallelism, and at most as many as Spark allows."""
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return min(most, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // bucket_bytes)))
+
+
+def materialize_bucketed(df: DataFrame, name: str, by: str, buckets: int) -> DataFrame:
+    """As ``materialize``, but bucketed by a column: joins with rows partitioned alike don't shuffle this table.
+
+    Give it rows that are read from a written table, so that a repeated task deals the same rows.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    table_name = path.rsplit("/", 1)[1].replace("-", "_")
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(table_name)
+    df.repartition(buckets, by).write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(buckets, by).saveAsTable(table_name)
+    return spark.table(table_name)
+
+
 def drop_finished_shuffles(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of jobs whose results are written.
 

@@ -3,7 +3,8 @@
 A byte goes if a window of ``size`` bytes over it also starts in a document with a smaller id, so what counts is which
 suffixes have a common prefix of ``size`` bytes or more.
 
-1. packs    documents are packed, a few MB of text each, compressed, and written once.
+1. packs    documents are packed, a few MB of text each, compressed, and written as a table bucketed by pack, so that
+            replies are joined to packs where they lie: texts aren't shuffled again.
 2. anchors  in each window, the k-gram of the least hash is its anchor; equal windows have equal anchors at equal places.
             Packs send the hashes of their anchors to buckets; those in one place only can't be in a repeat.
 3. sorting  packs send the strings around the anchors that are left, once per pack, to the anchors' buckets. A bucket is
@@ -28,9 +29,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hydrolake.llm.common import drop_finished_shuffles, materialize, whole_text
+from hydrolake.llm.common import drop_finished_shuffles, materialize, materialize_bucketed, remove_table, table_buckets, whole_text
 
 PACK_BYTES = 2 << 20
+PART_BYTES = 16 << 20  # text in one bucket of the table of packs, about
 SEGMENT = 1 << 19  # windows looked at together
 BLOCK = 1 << 19  # suffixes of a bucket sorted together, about
 TEXT_BYTES = 24 << 20  # a bucket with more text is parted by its anchors
@@ -325,9 +327,13 @@ def remove_repeats(docs: DataFrame, size: int = 50, bucket_bytes: int = 6 << 20)
         if ids:
             yield done()
 
-    packs = materialize(docs.select(F.col("doc_id").cast("long"), whole_text()).mapInArrow(make, "pack binary, n long, data binary"), "packs")
-    text_bytes = packs.agg(F.sum("n")).first()[0] or 0
+    made = materialize(docs.select(F.col("doc_id").cast("long"), whole_text()).mapInArrow(make, "pack binary, n long, data binary"), "made-packs")
+    text_bytes = made.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-text_bytes // bucket_bytes))
+    parts = table_buckets(docs.sparkSession, text_bytes, PART_BYTES)
+    packs = materialize_bucketed(made.select("pack", "data"), "packs", "pack", parts)
+    remove_table(made)
+    drop_finished_shuffles(docs.sparkSession)
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -372,29 +378,14 @@ def remove_repeats(docs: DataFrame, size: int = 50, bucket_bytes: int = 6 << 20)
                 at += len(h)
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(data, pa.binary())], names=["pack", "data"])
 
-    def by_pack(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, dict[int, list[bytes]]]]:
-        """Each pack with its text (kind 0), shared anchors (1) and answers (2), from rows sorted by pack."""
-        now, own = None, {}
-        for batch in batches:
-            for pack, kind, data in one_by_one(batch):
-                if pack != now and own:
-                    yield now, own
-                    own = {}
-                now = pack
-                own.setdefault(kind, []).append(data)
-        if own:
-            yield now, own
-
-    def strings_of(own: dict[int, list[bytes]]) -> tuple:
-        runs = PackRuns(own[0][0], size)
-        shared = np.sort(from_bytes(b"".join(own.get(1, []))))
+    def strings_of(data: bytes, known: list[bytes] | None) -> tuple:
+        runs = PackRuns(data, size)
+        shared = np.sort(from_bytes(b"".join(known or [])))
         return runs, *runs.strings(shared, size)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for pack, own in by_pack(batches):
-            if 1 not in own:
-                continue
-            _, _, records, hashes, (_, least) = strings_of(own)
+        for pack, text, known in (row for batch in batches for row in one_by_one(batch)):
+            _, _, records, hashes, (_, least) = strings_of(text, known)
             to = bucket_of(hashes, buckets)
             order = np.argsort(to, kind="stable")
             for bucket in np.unique(to).tolist():
@@ -445,12 +436,12 @@ def remove_repeats(docs: DataFrame, size: int = 50, bucket_bytes: int = 6 << 20)
                     yield pa.RecordBatch.from_arrays([pa.array([name], pa.binary()), pa.array([zstandard.compress(np.ascontiguousarray(out.astype("<i8")).tobytes(), 3)], pa.binary())], names=["pack", "data"])
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, own in by_pack(batches):
-            runs, which, records, _, (of, least) = strings_of(own)
+        for text, known, told in (row for batch in batches for row in one_by_one(batch)):
+            runs, which, records, _, (of, least) = strings_of(text, known)
             n_windows = np.fromiter(map(len, records), np.int64, len(records)) - 2 - size + 1
             at = np.cumsum(n_windows) - n_windows
             best = np.repeat(least, n_windows)
-            for z in own.get(2, []):
+            for z in told or []:
                 number, place, doc = np.frombuffer(zstandard.decompress(z), "<i8").reshape(-1, 3).T
                 best[at[number] + place] = np.minimum(best[at[number] + place], doc)
             mark = np.zeros(len(runs.raw) + 1, np.int64)
@@ -474,15 +465,18 @@ def remove_repeats(docs: DataFrame, size: int = 50, bucket_bytes: int = 6 << 20)
     def dealt(rows: DataFrame, *by: str) -> DataFrame:
         return rows.repartition(by[0]).sortWithinPartitions(*by)
 
+    def replies(rows: DataFrame, name: str) -> DataFrame:
+        """All replies to a pack in one row, partitioned as the packs are."""
+        return rows.repartition(parts, "pack").groupBy("pack").agg(F.collect_list("data").alias(name)).hint("shuffle_hash")
+
     hashes = packs.select("pack", "data").mapInArrow(anchors, "bucket long, pack binary, data binary")
-    reply = materialize(dealt(hashes, "bucket").mapInArrow(shared_anchors, "pack binary, data binary"), "shared-anchors")
+    known = materialize(dealt(hashes, "bucket").mapInArrow(shared_anchors, "pack binary, data binary"), "shared-anchors")
     drop_finished_shuffles(docs.sparkSession)
-    texts = packs.select("pack", F.lit(0).alias("kind"), "data")
-    known = reply.select("pack", F.lit(1).alias("kind"), "data")
-    strings = dealt(texts.union(known), "pack", "kind").mapInArrow(windows, "bucket long, pack binary, data binary")
+    asked = packs.join(replies(known, "known"), "pack").select("pack", "data", "known")
+    strings = asked.mapInArrow(windows, "bucket long, pack binary, data binary")
     told = materialize(dealt(strings, "bucket").mapInArrow(answers, "pack binary, data binary"), "answers")
     drop_finished_shuffles(docs.sparkSession)
-    return dealt(texts.union(known).union(told.select("pack", F.lit(2).alias("kind"), "data")), "pack", "kind").mapInArrow(finish, RESULT)
+    return packs.join(replies(known, "known"), "pack", "left").join(replies(told, "told"), "pack", "left").select("data", "known", "told").mapInArrow(finish, RESULT)
 
 
 def _distinct_pairs(hashes: np.ndarray, docs: np.ndarray) -> np.ndarray:
