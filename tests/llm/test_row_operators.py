@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from hydrolake.llm import decontaminate, packing, queries, secrets, url_filter
-from hydrolake.llm.common import fresh_path, remove_written
+from hydrolake.llm.common import fresh_path, materialize, materialize_bucketed, remove_table, remove_written, table_buckets
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
@@ -145,3 +145,22 @@ def test_written_tables_are_removed(spark):
     spark.range(3).write.parquet(path)
     assert remove_written(spark) >= 1 and remove_written(spark) == 0
     assert not Path(path.removeprefix("file://")).exists()
+
+
+def test_bucketed_tables_are_joined_where_they_lie(spark):
+    made = materialize(spark.range(100).select(F.md5(F.col("id").cast("string")).alias("pack"), "id"), "made")
+    buckets = table_buckets(spark, 0, 1 << 20)
+    assert buckets == int(spark.conf.get("spark.sql.shuffle.partitions")) and table_buckets(spark, 1000 << 20, 1 << 20) == 1000
+    assert table_buckets(spark, 1 << 60, 1) == int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    packs = materialize_bucketed(made, "packs", "pack", buckets)
+    remove_table(made)
+    assert not Path(made.inputFiles()[0].removeprefix("file://")).exists()
+    replies = spark.createDataFrame(packs.select("pack").collect()).repartition(buckets, "pack").hint("shuffle_hash")
+    both = packs.join(replies, "pack")
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    assert both.count() == packs.count() == 100
+    name = [t.name for t in spark.catalog.listTables() if t.name.startswith("packs_")]
+    assert name
+    remove_written(spark)
+    assert not [t.name for t in spark.catalog.listTables() if t.name in name]
