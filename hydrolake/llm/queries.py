@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydrolake.llm import decontaminate, jaccard_join, packing, periodic_runs, pii, quality_pu, quality_rules, secrets, suffix_dedup, url_filter, warc
+from hydrolake.llm import decontaminate, jaccard_join, packing, periodic_runs, pii, quality_pu, quality_rules, secrets, simhash, spelling, suffix_dedup, url_filter, warc
 from hydrolake.llm.common import table
 
 #: The rules that the URL query judges by.
@@ -69,6 +69,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_report(periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), prepare=periodic_runs.plant_repeats))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"), prepare=spelling.plant_typos)
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
