@@ -90,6 +90,54 @@ def point_in_interval(days: DataFrame, events: DataFrame, by: Sequence[str], at:
     return first.unionByName(still)
 
 
+def covering_days(days: DataFrame, events: DataFrame, by: Sequence[str], at: str = "ref_ts", start: str = "start_ts", end: str = "end_ts") -> DataFrame:
+    """``events`` with first_at and after_at: the first of the key's moments that they cover, and the first one after that
+    they don't (null: none). Events that cover no moment are left out.
+
+    Moments and both ends of the events are swept once, from the latest on, for the nearest moment that is still to come.
+    """
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    e = events.withColumn("_event", F.monotonically_increasing_id() if "_event" not in events.columns else F.col("_event"))
+    none = F.lit(None).cast("long")
+    points = (
+        days.select(*by, micros(at).alias("_t"), F.lit(1).alias("_kind"), none.alias("_event"))
+        .unionByName(e.where(F.col(end).isNotNull()).select(*by, micros(end).alias("_t"), F.lit(0).alias("_kind"), "_event"))  # an end is inside, so a moment at it isn't after it
+        .unionByName(e.select(*by, micros(start).alias("_t"), F.lit(2).alias("_kind"), "_event"))
+        .withColumns({"_back": -F.col("_t"), "_moment": F.when(F.col("_kind") == 1, -F.col("_t"))})
+    )
+    swept = ranges.running_before(points, by, "_back", {"_moment": "max"}, ties=["_kind", "_event"]).where("_kind <> 1")
+    found = swept.groupBy("_event").agg(F.max(F.when(F.col("_kind") == 2, -F.col("_moment_before"))).alias("_first"), F.max(F.when(F.col("_kind") == 0, -F.col("_moment_before"))).alias("_after"))
+    found = found.where("_first IS NOT NULL AND (_after IS NULL OR _first < _after)")
+    time = lambda c: F.timestamp_micros(c).cast(days.schema[at].dataType)
+    return e.join(found, "_event").withColumns({"first_at": time("_first"), "after_at": time("_after")}).drop("_event", "_first", "_after")
+
+
+def sweep_intervals(days: DataFrame, events: DataFrame, by: Sequence[str], value: str, number: str, at: str = "ref_ts", start: str = "start_ts", end: str = "end_ts") -> DataFrame:
+    """``days`` (a row per key and moment) with total (of ``value`` over the events that cover the moment, both ends
+    included; an open end still runs), n_open, and what changed since the key's moment before: opened and closed, the
+    sorted numbers of the events that began and ceased to cover.
+
+    An event adds its value at the first moment it covers and takes it away at the first after; the rest is a running sum
+    over ranges of time. So work and result grow with moments plus events, however long events stay open; the
+    events that cover a moment are those opened up to it without those closed.
+    """
+    e = events.select(*by, start, end, F.col(value).alias("_v"), F.col(number).alias("_n"), F.monotonically_increasing_id().alias("_event"))
+    c = covering_days(days.select(*by, at), e, by, at, start, end)
+    ends = c.select(*by, F.explode(F.array(F.struct(F.col("first_at").alias("t"), F.lit(1).alias("d")), F.struct(F.col("after_at").alias("t"), F.lit(-1).alias("d")))).alias("p"), "_v", "_n").where("p.t IS NOT NULL")
+    opens = F.col("p.d") == 1
+    change = ends.groupBy(*by, F.col("p.t").alias(at)).agg(
+        F.sum(F.col("p.d") * F.col("_v")).alias("_dv"), F.sum("p.d").cast("long").alias("_dn"),
+        F.array_sort(F.collect_list(F.when(opens, F.col("_n")))).alias("opened"), F.array_sort(F.collect_list(F.when(~opens, F.col("_n")))).alias("closed"),
+    )
+    none = F.array().cast(change.schema["opened"].dataType)
+    x = days.join(change, [*by, at], "left").withColumns({"_dv": F.coalesce("_dv", F.lit(0.0)), "_dn": F.coalesce("_dn", F.lit(0).cast("long")), "opened": F.coalesce("opened", none), "closed": F.coalesce("closed", none)})
+    x = x.withColumn("_at", F.unix_micros(F.col(at).cast("timestamp")))
+    x = ranges.running_before(x, by, "_at", {"_dv": "sum", "_dn": "sum"})
+    n = F.col("_dn_before") + F.col("_dn")
+    total = F.when(n == 0, F.lit(0.0)).otherwise(F.col("_dv_before") + F.col("_dv"))
+    return x.withColumns({"total": total, "n_open": n}).drop("_at", "_dv", "_dn", "_dv_before", "_dn_before")
+
+
 def interval_overlap(events: DataFrame, until: str, start: str = "start_ts", end: str = "end_ts") -> DataFrame:
     """One row per event and day it touches, with the overlap in hours; open events run until ``until`` (a literal time)."""
     e = events.withColumn("_end", F.coalesce(F.col(end), F.lit(until).cast("timestamp_ntz"))).where(F.col("_end") >= F.col(start))

@@ -8,6 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def parted(df: DataFrame, by: Sequence[str], order: str, parts: int = 200) -> DataFrame:
+    """``df`` with _part: which of the key's ranges of ``order`` (a number or a time) a row is in, by cuts from the quantile
+    sketch of the key. Rows with equal keys and order are in one range."""
+    cuts = df.groupBy(*by).agg(F.percentile_approx(order, [i / parts for i in range(1, parts)], F.lit(10 * parts)).alias("_cuts"))
+    return df.join(cuts, list(by)).withColumn("_part", F.size(F.filter("_cuts", lambda c: c < F.col(order)))).drop("_cuts")
+
+
 def running_before(df: DataFrame, by: Sequence[str], order: str, cols: Mapping[str, str], parts: int = 200, ties: Sequence[str] = ()) -> DataFrame:
     """``df`` with <col>_before: the ``sum`` or ``max`` of each column over the key's rows before this one.
 
@@ -16,9 +23,7 @@ def running_before(df: DataFrame, by: Sequence[str], order: str, cols: Mapping[s
     most of the table is spread over many tasks. Without a row before, a sum is 0 and a maximum null.
     """
     keys = list(by) or ["_all_rows"]
-    rows = df if by else df.withColumn("_all_rows", F.lit(0))
-    cuts = rows.groupBy(*keys).agg(F.percentile_approx(order, [i / parts for i in range(1, parts)], F.lit(10 * parts)).alias("_cuts"))
-    x = rows.join(cuts, keys).withColumn("_part", F.size(F.filter("_cuts", lambda c: c < F.col(order)))).drop("_cuts")
+    x = parted(df if by else df.withColumn("_all_rows", F.lit(0)), keys, order, parts)
     call = {"sum": F.sum, "max": F.max}
     per = x.groupBy(*keys, "_part").agg(*[call[f](c).alias(f"_s_{c}") for c, f in cols.items()])
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hydrolake.functions import scalar as S
 from hydrolake.operators import ranges
@@ -249,15 +251,32 @@ def tier_schedule(start: str, end: str, today: str, lag_days: int, spark) -> Dat
 
 def recursive_api(df: DataFrame, by: Sequence[str], order: str, rain: str, k: float = 0.95) -> DataFrame:
     """Antecedent precipitation: API = k * API before + rain; the first is the rain; a missing rain gives a null and leaves
-    the state. One ordered array per key is folded in the JVM; a key's series is its own length, not the table's."""
-    keys = list(by)
-    rows = df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(rain).alias("r")))).alias("_series"))
-    zero = F.struct(F.lit(None).cast("double").alias("state"), F.array().cast("array<double>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        new = F.when(x["r"].isNull(), acc["state"]).otherwise(F.coalesce(k * acc["state"], F.lit(0.0)) + x["r"])
-        return F.struct(new.alias("state"), F.array_append(acc["out"], F.when(x["r"].isNotNull(), new)).alias("out"))
+    the state. Columns: ``by``, ``order`` (distinct per key), ``rain``, api.
 
-    folded = rows.withColumn("_f", F.aggregate("_series", zero, step))
-    zipped = folded.select(*keys, F.explode(F.arrays_zip(F.col("_series"), F.col("_f.out").alias("api"))).alias("_z"))
-    return zipped.select(*keys, F.col("_z._series.o").alias(order), F.col("_z._series.r").alias(rain), F.col("_z.api").alias("api"))
+    A parallel scan: a range of a key's rows turns the state s before it into k^n * s + b (n: its rows with rain, b: its own
+    fold from 0). Ranges are folded by themselves, a key's ranges are composed in order (as many as ``ranges`` cuts), and
+    each row adds what is left of the state before its range.
+    """
+    keys = list(by)
+    x = ranges.parted(df.select(*keys, order, F.col(rain).cast("double").alias("_r")), keys, order)
+
+    def fold(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(order, kind="stable")
+        state, n, states, ns = 0.0, 0, [], []
+        for r in rows["_r"]:
+            if r == r:
+                state, n = k * state + r, n + 1
+            states.append(state)
+            ns.append(n)
+        return rows.assign(_state=states, _n=ns)
+
+    local = x.groupBy(*keys, "_part").applyInPandas(fold, T.StructType([*x.schema, *T.StructType.fromDDL("_state double, _n long")]))
+    per = local.groupBy(*keys, "_part").agg(F.max_by("_state", order).alias("b"), F.max("_n").alias("n"))
+    before = F.array_sort(F.collect_list(F.struct("_part", "b", "n")))
+    power = lambda n: F.pow(F.lit(k), n)
+    steps = per.groupBy(*keys).agg(before.alias("_steps"))
+    start = F.struct(F.lit(0.0).alias("s"), F.array().cast("array<struct<_part:int,s0:double>>").alias("out"))
+    walk = F.aggregate("_steps", start, lambda a, p: F.struct((power(p["n"]) * a["s"] + p["b"]).alias("s"), F.array_append(a["out"], F.struct(p["_part"].alias("_part"), a["s"].alias("s0"))).alias("out")))
+    offsets = steps.select(*keys, F.explode(walk["out"]).alias("_o")).select(*keys, "_o._part", "_o.s0")
+    api = F.when(F.col("_r").isNotNull(), F.col("_state") + power(F.col("_n")) * F.col("s0"))
+    return local.join(offsets, [*keys, "_part"]).select(*keys, order, F.col("_r").alias(rain), api.alias("api"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,8 +77,7 @@ def s4_read_curve(spark, sf_dir):
     path = fresh_path(spark, "curves")
     curve = view(spark, sf_dir, "rating_curve").select("station", F.col("level").alias("msl_height"), "z_factor", F.col("area_m2").alias("surface_area_m2"), "storage_m3")
     curve.repartition("station").write.partitionBy("station").option("header", True).csv(path)  # a file per station
-    parts = [readers.read_curve(spark, f"{path}/station={s}").withColumn("station", F.lit(s)) for s in STATIONS]
-    c = reduce(DataFrame.unionByName, parts).withColumnRenamed("msl_height", "level").withColumn("_p", F.lag("storage_m3").over(Window.partitionBy("station").orderBy("level")))
+    c = readers.read_curve(spark, path, by="station").withColumnRenamed("msl_height", "level").withColumn("_p", F.lag("storage_m3").over(Window.partitionBy("station").orderBy("level")))
     return tidy(c.groupBy("station").agg(F.count(F.lit(1)).alias("n"), F.min("level").alias("least"), F.max("level").alias("most"), F.min(F.col("storage_m3") >= F.coalesce("_p", F.lit(-1.0))).alias("rises")))
 
 
@@ -124,15 +121,21 @@ def days_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def releases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Release per station and day, and the events behind it."""
-    cover = lookups.point_in_interval(days_of(spark, sf_dir), view(spark, sf_dir, "release_events"), ["station"])
-    return cover.groupBy("station", "date").agg(F.sum("rate_m3_per_day").alias("release_m3"), F.concat_ws(",", F.transform(F.array_sort(F.collect_list("event_no")), lambda n: n.cast("string"))).alias("note"))
-
-
-@register("j4_point_in_interval", sql("telemetry_long release_events", COVER + f"SELECT d.station, {dt('d.date', 'date')}, {rd('coalesce(sum(rate_m3_per_day), 0)', 'release_m3')}, coalesce(string_agg(CAST(event_no AS VARCHAR), ',' ORDER BY event_no), '') AS note FROM d LEFT JOIN cov USING (station, date) GROUP BY d.station, d.date"))
+    """Release per station and day, and the events that began or ceased to be behind it."""
+    swept = lookups.sweep_intervals(days_of(spark, sf_dir), view(spark, sf_dir, "release_events"), ["station"], "rate_m3_per_day", "event_no")
+    return swept.select("station", "date", F.col("total").alias("release_m3"), "n_open", "opened", "closed")
+
+
+@register("j4_point_in_interval", sql("telemetry_long release_events", COVER + f"""
+, f AS (SELECT station, event_no, min(date) AS a, max(date) AS b FROM cov GROUP BY 1, 2)
+, nx AS (SELECT station, date, lead(date) OVER (PARTITION BY station ORDER BY date) AS then FROM d)
+, op AS (SELECT station, a AS date, string_agg(CAST(event_no AS VARCHAR), ',' ORDER BY event_no) AS opened FROM f GROUP BY 1, 2)
+, cl AS (SELECT f.station, nx.then AS date, string_agg(CAST(event_no AS VARCHAR), ',' ORDER BY event_no) AS closed FROM f JOIN nx ON f.station = nx.station AND f.b = nx.date GROUP BY 1, 2)
+SELECT d.station, {dt('d.date', 'date')}, {rd('coalesce(sum(rate_m3_per_day), 0)', 'release_m3')}, count(event_no) AS n_open, coalesce(any_value(opened), '') AS opened, coalesce(any_value(closed), '') AS closed
+FROM d LEFT JOIN cov USING (station, date) LEFT JOIN op USING (station, date) LEFT JOIN cl USING (station, date) GROUP BY d.station, d.date"""))
 def j4_point_in_interval(spark, sf_dir):
-    x = days_of(spark, sf_dir).drop("ref_ts").join(releases(spark, sf_dir), ["station", "date"], "left")
-    return tidy(x.withColumns({"release_m3": F.coalesce("release_m3", F.lit(0.0)), "note": F.coalesce("note", F.lit(""))}))
+    listed = lambda c: F.array_join(F.transform(c, lambda n: n.cast("string")), ",").alias(c)
+    return tidy(releases(spark, sf_dir).select("station", "date", "release_m3", "n_open", listed("opened"), listed("closed")))
 
 
 OVERLAP = """, o AS (SELECT e.*, coalesce(end_ts, TIMESTAMP '2024-02-15 00:00:00') AS fin FROM release_events e)
@@ -225,7 +228,7 @@ def balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = hour_marks(spark, sf_dir)
     daily = telemetry.daily_telemetry(marks, ["station"], fill=True)
     spilled = telemetry.spill_daily(telemetry.filled_hours(marks, ["station"]), ["station"])
-    return telemetry.water_balance_daily(daily, view(spark, sf_dir, "rating_curve"), spilled, releases(spark, sf_dir))
+    return telemetry.water_balance_daily(daily, view(spark, sf_dir, "rating_curve"), spilled, releases(spark, sf_dir).select("station", "date", "release_m3"))
 
 
 @register("a4_water_balance_daily", sql("telemetry_long rating_curve release_events", MARKS + SPILL + COVER + BALANCE + f"SELECT station, {dt('date', 'date')}, {', '.join(rd(c, c, 3) for c in PARTS)} FROM bal"))

@@ -51,8 +51,10 @@ def parse_telemetry_json(raw: DataFrame, col: str, stations: Sequence[str], type
     )
 
 
-def read_curve(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True, schema="msl_height DOUBLE, z_factor DOUBLE, surface_area_m2 DOUBLE, storage_m3 DOUBLE").where("msl_height IS NOT NULL")
+def read_curve(spark: SparkSession, path: str, by: str | None = None) -> DataFrame:
+    """Level, area and storage; with ``by``, of all curves in a folder that is partitioned by that column."""
+    schema = "msl_height DOUBLE, z_factor DOUBLE, surface_area_m2 DOUBLE, storage_m3 DOUBLE" + (f", {by} STRING" if by else "")
+    return spark.read.csv(path, header=True, schema=schema).where("msl_height IS NOT NULL")
 
 
 def parse_bimonthly_index(lines: DataFrame, col: str = "value") -> DataFrame:

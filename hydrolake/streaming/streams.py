@@ -44,21 +44,23 @@ def tick(spark: SparkSession, clock: str, at: str = END) -> None:
     spark.range(1).select(F.lit(at).cast("timestamp").alias("_t")).write.mode("append").parquet(clock)
 
 
-def timed(rows: DataFrame, ts: str, clock: str | None) -> DataFrame:
+def timed(rows: DataFrame, by: Sequence[str], ts: str, clock: str | None) -> DataFrame:
     """``rows`` with _t (the time) and _real (1), and the clock's rows, in which all but _t is null.
 
     Filters on keys would be pushed below the watermark and take the clock's rows with them, so that aggregates count
-    _real and leave out groups without any.
+    _real and leave out groups without any. Keys of rows without a time, which no window holds, are null: so keys may
+    be null in every batch's plan, whether it has clock rows or not, and the state's schema stays.
     """
     x = rows.withColumns({"_t": F.col(ts).cast("timestamp"), "_real": F.lit(1)})
     if clock is None:
         return x
+    x = x.withColumns({c: F.when(F.col("_t").isNotNull(), F.col(c)) for c in by})
     return x.unionByName(rows.sparkSession.readStream.schema("_t timestamp").parquet(clock), allowMissingColumns=True)
 
 
 def stream_hourly(rows: DataFrame, by: Sequence[str], ts: str, value: str, delay: str = "1 hour", clock: str | None = None) -> DataFrame:
     """Tumbling hours: last, mean and count. Empty hours are added when the table is read."""
-    x = timed(rows, ts, clock).withWatermark("_t", delay)
+    x = timed(rows, by, ts, clock).withWatermark("_t", delay)
     hours = x.groupBy(*by, F.window("_t", "1 hour")).agg(F.max_by(value, "_t").alias("last"), F.avg(value).alias("mean"), F.count("_real").alias("n"))
     return hours.where("n > 0").select(*by, F.col("window.start").alias("hour"), "last", "mean", "n")
 
@@ -75,7 +77,7 @@ def stream_daily_rain(rows: DataFrame, by: Sequence[str], ts: str, rain: str, de
     Two aggregates in turn: a mark's nearest reading, which leaves the state as the mark closes, and the sum of a day's
     marks. A mark's group ends an hour after it, so days are cut at 08:00.
     """
-    x = timed(rows, ts, clock)
+    x = timed(rows, by, ts, clock)
     base = F.date_trunc("hour", "_t")
     x = x.withColumn("mark", F.explode(F.array(base, base + F.expr("INTERVAL 1 HOUR"))))
     x = x.withColumn("_d", F.abs(F.unix_micros("_t") - F.unix_micros("mark"))).where(F.col("_d") <= 1_800_000_000)
@@ -90,7 +92,7 @@ def stream_daily_rain(rows: DataFrame, by: Sequence[str], ts: str, rain: str, de
 
 def stream_rolling_rain(daily: DataFrame, by: Sequence[str], delay: str = "7 days", clock: str | None = None) -> DataFrame:
     """Sliding 7-day rain, a window per day."""
-    x = timed(daily, "date", clock).withWatermark("_t", delay)
+    x = timed(daily, by, "date", clock).withWatermark("_t", delay)
     weeks = x.groupBy(*by, F.window("_t", "7 days", "1 day")).agg(F.sum("precipitation").alias("rain"), F.count("_real").alias("n_days"))
     return weeks.where("n_days > 0").select(*by, F.date_sub(F.to_date("window.end"), 1).alias("last_day"), "rain", "n_days")
 
