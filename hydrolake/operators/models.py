@@ -6,9 +6,10 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import Evaluator, RegressionEvaluator
 from pyspark.ml.feature import Imputer, MinMaxScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -44,7 +45,7 @@ def fit_magnitude(train: DataFrame, apply: DataFrame, features: Sequence[str], l
     return model.transform(apply).drop("_x")
 
 
-def tune(df: DataFrame, features: Sequence[str], label: str, order: str, folds: int = 3, seed: int = 7, parallel: int = 3) -> DataFrame:
+def tune(df: DataFrame, features: Sequence[str], label: str, order: str, folds: int = 3, depths: Sequence[int] = (2, 4), seed: int = 7, parallel: int = 3) -> DataFrame:
     """Grid search over expanding time-series folds by RMSE: (maxDepth, rmse) per setting; ``parallel`` fits at a time."""
     rows = series.ts_folds(df, [], order, folds)
     x = VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="skip").transform(rows).cache()
@@ -56,7 +57,7 @@ def tune(df: DataFrame, features: Sequence[str], label: str, order: str, folds:
         return depth, fold, float(RegressionEvaluator(labelCol=label, metricName="rmse").evaluate(model.transform(part.where("role = 'test'"))))
 
     with ThreadPoolExecutor(parallel) as pool:
-        out = list(pool.map(one, [(depth, fold) for depth in (2, 4) for fold in range(1, folds + 1)]))
+        out = list(pool.map(one, [(depth, fold) for depth in depths for fold in range(1, folds + 1)]))
     x.unpersist()
     return df.sparkSession.createDataFrame(out, "max_depth int, fold int, rmse double").groupBy("max_depth").agg(F.avg("rmse").alias("rmse"))
 
@@ -71,19 +72,74 @@ def ridge_stack(train: DataFrame, apply: DataFrame, inputs: Sequence[str], label
     return model.transform(to_vector.transform(apply)).drop("_x")
 
 
-def fit_pixel_classifier(train: DataFrame, bands: Sequence[str], label: str, trees: int = 15, seed: int = 7) -> PipelineModel:
-    """Medians, min-max, class-balanced forest."""
-    n = train.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    k, total = n.count(), train.count()
-    weighted = train.join(n, label).withColumn("_w", F.lit(float(total)) / (k * F.col("_n")))
+class MacroF1(Evaluator):
+    """The mean over classes of F1; a class that is in the labels or the predictions counts once, however rare."""
+
+    def __init__(self, label: str, prediction: str) -> None:
+        super().__init__()
+        self.label, self.prediction = label, prediction
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        return macro_f1(dataset, self.label, self.prediction)
+
+    def isLargerBetter(self) -> bool:
+        return True
+
+
+def f1_by_class(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """class, support, f1 from the confusion matrix."""
+    cells = df.groupBy(F.col(label).cast("int").alias("y"), F.col(prediction).cast("int").alias("z")).agg(F.count(F.lit(1)).alias("n"))
+    sides = cells.select(F.explode(F.array(
+        F.struct(F.col("y").alias("class"), F.col("n").alias("support"), F.lit(0).cast("long").alias("found"), F.when(F.col("y") == F.col("z"), F.col("n")).otherwise(0).alias("hit")),
+        F.struct(F.col("z").alias("class"), F.lit(0).cast("long").alias("support"), F.col("n").alias("found"), F.lit(0).cast("long").alias("hit")),
+    )).alias("s")).select("s.*")
+    sums = sides.groupBy("class").agg(*[F.sum(c).alias(c) for c in ("support", "found", "hit")])
+    return sums.select("class", "support", (2 * F.col("hit") / (F.col("support") + F.col("found"))).alias("f1"))
+
+
+def macro_f1(df: DataFrame, label: str, prediction: str) -> float:
+    return float(f1_by_class(df, label, prediction).agg(F.avg("f1")).first()[0] or 0.0)
+
+
+def pixel_pipeline(bands: Sequence[str], label: str, trees: int = 15, seed: int = 7) -> Pipeline:
+    """Medians, min-max, class-balanced forest (weights in _w)."""
     return Pipeline(stages=[
         Imputer(inputCols=list(bands), outputCols=[f"_i_{b}" for b in bands], strategy="median"), VectorAssembler(inputCols=[f"_i_{b}" for b in bands], outputCol="_v"),
         MinMaxScaler(inputCol="_v", outputCol="_x"), RandomForestClassifier(featuresCol="_x", labelCol=label, weightCol="_w", numTrees=trees, seed=seed, predictionCol="klass"),
-    ]).fit(weighted)
+    ])
 
 
-def macro_f1(df: DataFrame, label: str, prediction: str) -> float:
-    return MulticlassClassificationEvaluator(labelCol=label, predictionCol=prediction, metricName="f1").evaluate(df)
+def balanced(train: DataFrame, label: str) -> DataFrame:
+    """``train`` with _w: each class has the same weight in all."""
+    n = train.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    k, total = n.count(), train.count()
+    return train.join(n, label).withColumn("_w", F.lit(float(total)) / (k * F.col("_n"))).drop("_n")
+
+
+def fit_pixel_classifier(train: DataFrame, bands: Sequence[str], label: str, trees: int = 15, seed: int = 7) -> PipelineModel:
+    return pixel_pipeline(bands, label, trees, seed).fit(balanced(train, label))
+
+
+def select_pixel_classifier(
+    rows: DataFrame, bands: Sequence[str], label: str, key: str, depths: Sequence[int] = (3, 6), trees: Sequence[int] = (8, 16), folds: int = 5, seed: int = 7, parallel: int = 3,
+) -> tuple[PipelineModel, dict, DataFrame]:
+    """The classifier with the best macro-F1 in cross-validation, its setting, and F1 per class on rows that it never saw.
+
+    Stratified 80/20: a fifth of each class, by hash order of ``key``, is held out. The rest is dealt to folds per class, and
+    each setting of the grid is fitted on all folds but one and judged on that one.
+    """
+    parts = series.stratified_folds(rows, label, key, 5, seed).withColumnRenamed("fold", "_part")
+    train, held = parts.where("_part <> 0").drop("_part"), parts.where("_part = 0").drop("_part")
+    x = balanced(series.stratified_folds(train, label, key, folds, seed + 1), label).withColumn("fold", F.col("fold").cast("int")).cache()
+    pipeline = pixel_pipeline(bands, label, seed=seed)
+    forest = pipeline.getStages()[-1]
+    grid = ParamGridBuilder().addGrid(forest.maxDepth, list(depths)).addGrid(forest.numTrees, list(trees)).build()
+    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=MacroF1(label, "klass"), numFolds=folds, foldCol="fold", parallelism=parallel)
+    found = cv.fit(x)
+    x.unpersist()
+    best = int(np.argmax(found.avgMetrics))
+    setting = {"max_depth": grid[best][forest.maxDepth], "trees": grid[best][forest.numTrees], "macro_f1": float(found.avgMetrics[best])}
+    return found.bestModel, setting, f1_by_class(found.bestModel.transform(held), label, "klass")
 
 
 def classify_pixels(model: PipelineModel, pixels: DataFrame, bands: Sequence[str], valid: str, nodata: int = 255) -> DataFrame:
