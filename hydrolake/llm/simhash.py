@@ -29,7 +29,7 @@ from hydrolake.llm.jaccard_join import connected
 
 SEED = 42
 FANOUT = 16  # children of a node
-SHARD = 16_384  # fingerprints in a shard, unless that gives more than SHARDS
+SHARD = 65_536  # fingerprints in a shard, unless that gives more than SHARDS; visits grow with the cube of the shards' logarithm
 SHARDS = 1 << 15  # shards at most: a table of 24 bytes each
 TOGETHER = 2048  # fingerprints looked up at a time, after which components are known better
 QUEUE = 16_384  # visitors that a shard gathers before it looks them up
