@@ -39,10 +39,24 @@ _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
 _EMAIL_OR_IBAN = re.compile(f"{_EMAIL.pattern}|{_IBAN.pattern}")
 _IP6 = re.compile(r"(?<![\w:.])(?=[0-9A-Fa-f:]*[0-9])(?:[0-9A-Fa-f]{1,4}:|::)[0-9A-Fa-f:]*(?:::|[0-9A-Fa-f])(?![\w:])")
-_WRITTEN = re.compile(rf"(?<![\w.])(?:(?P<d>\d{{1,2}})(?P<s1>\. | | de )(?P<m>{_NAME})(?P<s2>,? | de )|(?P<m2>{_NAME})(?P<s3>\.? )(?P<d2>\d{{1,2}})(?P<s4>, | ))(?P<y>\d{{4}})(?!\w)", re.IGNORECASE)
+_WRITTEN = re.compile(rf"(?<![\w.])(?:(?P<d>\d{{1,2}})(?P<o>st|nd|rd|th|)(?P<s1>\. | of | | de )(?P<m>{_NAME})(?P<s2>,? | de )|(?P<m2>{_NAME})(?P<s3>\.? )(?P<d2>\d{{1,2}})(?P<o2>st|nd|rd|th|)(?P<s4>, | ))(?P<y>\d{{4}})(?!\w)", re.IGNORECASE)
 _BEFORE_YEAR = re.compile(r" \d{4}(?!\w)")
 
 
+#: Country codes of one and of two digits; all others have three.
+ONE_DIGIT = {"1", "7"}
+TWO_DIGITS = set("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+
+
+def country_code(digits: str) -> str:
+    """The code that international digits begin with; no code is the beginning of another."""
+    return digits[:1] if digits[:1] in ONE_DIGIT else digits[:2] if digits[:2] in TWO_DIGITS else digits[:3]
+
+
+def ordinal(day: int) -> str:
+    return "th" if 10 < day < 14 else {1: "st", 2: "nd", 3: "rd"}.get(day % 10, "th")
+
+
 def _number(*kinds: str) -> re.Pattern:
     return re.compile(rf"(?<![\w.])(?:{'|'.join(kinds)})(?!\w)(?!\.\d)", re.VERBOSE)
 
@@ -50,7 +64,7 @@ def _number(*kinds: str) -> re.Pattern:
 _KINDS_OF_NUMBER = (
     r"""(?P<phone>(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}|\d{3}[.-]\d{3}[.-]\d{4}
       |0\d(?:[ .]\d\d){4}|0\d{1,4}[ /-]\d{5,8}|[2-9]\d{9})""",
-    r"(?P<date>\d{4}(?P<by>[-/.])\d{2}(?P=by)\d{2}|\d{1,2}(?P<sep>[/.])\d{1,2}(?P=sep)\d{4})",
+    r"(?P<date>\d{4}(?P<by>[-/.])\d{2}(?P=by)\d{2}|\d{1,2}(?P<sep>[-/.])\d{1,2}(?P=sep)\d{4})",
     r"(?P<ssn>\d{3}-\d{2}-\d{4})",
     r"(?P<ip>\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})",
     r"(?P<card>\d(?:[ -]?\d){12,18})",
@@ -131,16 +145,19 @@ class Pseudonyms:
         return f"{self._mixed(name, 'email@' + host.lower())}@{host}" if re.search("[A-Za-z0-9]", name) else None
 
     def _phone(self, text: str) -> str | None:
-        """Country code (or a national number's leading 0) stays; a number without either counts as one of +1."""
-        code = re.match(r"\+\d{1,3}(?=[ .(-])|0(?=\d)", text)
-        head = code[0] if code else "" if text.startswith("+") else "+1"
-        rest = text[len(code[0]) :] if code else text
-        digits = re.sub(r"\D", "", rest)
-        if not 6 <= len(digits) <= 15:
+        """Country code (or a national number's leading 0) stays; a number without either counts as one of +1.
+
+        The code is told by its digits alone, so a number has one pseudonym however it is spaced or bracketed.
+        """
+        digits = re.sub(r"\D", "", text)
+        head = country_code(digits) if text.startswith("+") else "0" if digits[0] == "0" else ""
+        own = digits[len(head) :]
+        if not 6 <= len(own) <= 15:
             return None
-        fits = self._ten_digits(digits) if head == "+1" and len(digits) == 10 else lambda _: True
-        fresh = self._permute(int(digits), 10 ** len(digits), f"phone{head}{len(digits)}", fits)
-        return (code[0] if code else "") + self._refill(rest, f"{fresh:0{len(digits)}d}")
+        code = head if text.startswith("+") else head or "1"
+        fits = self._ten_digits(own) if code == "1" and len(own) == 10 else lambda v: (v < 10 ** (len(own) - 1)) == (own[0] == "0")
+        fresh = self._permute(int(own), 10 ** len(own), f"phone{code}:{len(own)}", fits)
+        return self._refill(text, f"{head}{fresh:0{len(own)}d}")
 
     @staticmethod
     def _ten_digits(digits: str) -> Callable[[int], bool]:
@@ -218,12 +235,14 @@ class Pseudonyms:
         name, day = m["m"] or m["m2"], m["d"] or m["d2"]
         first = "es" if m["s1"] == " de " else "de" if m["s1"] == ". " else "en"
         names = next(MONTHS[lang] for lang in (first, "en", "fr", "es", "de", "short") if name.lower() in MONTHS[lang])
-        fresh = self._day(int(m["y"]), names.index(name.lower()) + 1, int(day))
+        suffix = m["o"] or m["o2"] or ""
+        fresh = self._day(int(m["y"]), names.index(name.lower()) + 1, int(day)) if suffix.lower() in ("", ordinal(int(day))) else None
         if fresh is None:
             return None
         said = names[fresh.month - 1]
         said = said.upper() if name.isupper() else said.capitalize() if name[0].isupper() else said
-        at = f"{fresh.day:0{len(day)}d}"
+        after = ordinal(fresh.day) if suffix else ""
+        at = f"{fresh.day:0{len(day)}d}{after.upper() if suffix.isupper() else after}"
         return f"{at}{m['s1']}{said}{m['s2']}{fresh.year:04d}" if m["d"] else f"{said}{m['s3']}{at}{m['s4']}{fresh.year:04d}"
 
     def replace(self, text: str) -> tuple[str, list[int]]:

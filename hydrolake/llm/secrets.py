@@ -3,8 +3,8 @@
 Each rule's regex gives a Boolean query over the trigrams its matches must hold: an AND of factors, each an OR of
 strings, each an AND of that string's trigrams. The index, a table in the shared folder, has one posting row (trigram,
 document) for each trigram of the rules that a document holds. Intersecting postings by document leaves the candidates of
-each rule, and these alone run the regex. A rule without mandatory trigrams scans every document. Only the candidates'
-texts are moved: a row tests its own trigrams before it goes to meet the candidates.
+each rule, and these alone run the regex. A rule without mandatory trigrams scans every document. An index can be kept:
+later scans read its postings and the candidates, and new rules add the postings that they lack.
 """
 
 from __future__ import annotations
@@ -12,16 +12,19 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 from re import _constants as op  # the standard library's own regex parser
 from re import _parser
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydrolake.llm.common import materialize, whole_text
+from hydrolake.llm.common import fresh_path, materialize, whole_text
+from hydrolake.llm.url_filter import build_level
 
 MOST_STRINGS = 64
+CHUNK = 256  # matches summed together
+FILTERED = 8 << 20  # candidates in a Bloom filter of theirs, at most: ten bits each
 
 
 @dataclass(frozen=True)
@@ -132,27 +135,72 @@ def candidates(index: DataFrame, queries: dict[str, list]) -> DataFrame:
 def match_spans(text: Column, rule: SecretRule, order: int) -> Column:
     """Array of (s, o, e, kind): code point offsets of the rule's matches, end exclusive.
 
-    The parts between matches and the matches themselves take turns, so their running lengths are the offsets.
+    The parts between matches and the matches themselves take turns, so their running lengths are the offsets. They are
+    summed in chunks and the chunks moved to their places, as an array that grows match by match is copied each time.
     """
     pattern = F.lit(rule.pattern)
     parts, whole = F.split(text, rule.pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
     tested = whole if rule.group == 0 else F.regexp_extract_all(text, pattern, F.lit(rule.group))
     steps = F.arrays_zip(F.transform(parts, F.length).alias("gap"), F.transform(whole, F.length).alias("len"), F.transform(tested, F.length).alias("own"))
     span = "struct<s:int,o:int,e:int,kind:string>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span}>").alias("out"))
+    span_of = lambda s, e: F.struct(s.alias("s"), F.lit(order).alias("o"), e.alias("e"), F.lit(rule.kind).alias("kind"))
+
+    def start(kind: str) -> Column:
+        return F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         s = acc["at"] + x["gap"]
         e = s + F.coalesce(x["len"], F.lit(0))
-        one = F.struct(s.alias("s"), F.lit(order).alias("o"), e.alias("e"), F.lit(rule.kind).alias("kind"))
-        return F.struct(e.alias("at"), F.when(x["own"] >= rule.min_length, F.array_append(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+        return F.struct(e.alias("at"), F.when(x["own"] >= rule.min_length, F.array_append(acc["out"], span_of(s, e))).otherwise(acc["out"]).alias("out"))
+
+    def move(acc: Column, x: Column) -> Column:
+        moved = F.transform(x["out"], lambda m: span_of(m["s"] + acc["at"], m["e"] + acc["at"]))
+        return F.struct((acc["at"] + x["at"]).alias("at"), F.array_append(acc["out"], moved).alias("out"))
+
+    def summed(every: Column) -> Column:
+        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(every) - 1) / CHUNK).cast("int")), lambda i: F.aggregate(F.slice(every, i * CHUNK + 1, F.lit(CHUNK)), start(span), step))
+        return F.flatten(F.aggregate(chunks, start(f"array<{span}>"), move)["out"])
+
+    found = F.get(F.transform(F.array(steps), summed), F.lit(0))  # the steps are bound once
+    return F.when(F.size(whole) == 0, F.array().cast(f"array<{span}>")).otherwise(found)
+
+
+@dataclass(frozen=True)
+class TrigramIndex:
+    """Postings of some trigrams over a corpus, in a folder that later scans read again."""
+
+    path: str
+    trigrams: tuple[str, ...]
 
-    return F.when(F.size(whole) == 0, F.array().cast(f"array<{span}>")).otherwise(F.aggregate(steps, start, step)["out"])
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.path)
 
 
-def scan_secrets(docs: DataFrame, rules: Sequence[SecretRule] = BASE_RULES + MORE_RULES, key: str = "doc_id", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+def vocabulary(rules: Sequence[SecretRule]) -> list[str]:
+    return sorted({g for r in rules for f in trigram_query(r.pattern) for option in f for g in option})
+
+
+def build_index(docs: DataFrame, rules: Sequence[SecretRule], path: str, key: str = "doc_id") -> TrigramIndex:
+    """Write the postings of the rules' trigrams. Rules whose trigrams are among them can be scanned by it later."""
+    trigrams = vocabulary(rules)
+    postings(docs, trigrams, key).write.option("compression", "zstd").parquet(path)
+    return TrigramIndex(path, tuple(trigrams))
+
+
+def extend_index(docs: DataFrame, index: TrigramIndex, rules: Sequence[SecretRule], key: str = "doc_id") -> TrigramIndex:
+    """Add the postings of new rules' trigrams that the index hasn't; the corpus is read for these alone."""
+    more = [g for g in vocabulary(rules) if g not in index.trigrams]
+    if more:
+        postings(docs, more, key).write.mode("append").option("compression", "zstd").parquet(index.path)
+    return TrigramIndex(index.path, (*index.trigrams, *more))
+
+
+def scan_secrets(docs: DataFrame, rules: Sequence[SecretRule] = BASE_RULES + MORE_RULES, key: str = "doc_id", keep: Sequence[str] = ("doc_id",), index: TrigramIndex | None = None) -> DataFrame:
     """``keep`` columns and found: array of (s, o, e, kind), sorted, for every row of ``docs``.
 
+    The candidates of a rule come from the index: a given one of the same ``docs``, or one that is built for this scan.
+    Texts go to meet the candidates, but for those that a Bloom filter of the candidates (its size is checked) rules out.
+
     Null text counts as empty. Rows with equal or null keys are told apart by a hash of their texts; equal rows get
     equal spans. Extra columns are ignored.
     """
@@ -163,13 +211,18 @@ def scan_secrets(docs: DataFrame, rules: Sequence[SecretRule] = BASE_RULES + MOR
     scanned = [match_spans(F.col("_text"), r, i) for i, r in enumerate(rules) if r.kind not in indexed]
     rows = plain.select(*[f"_k{i}" for i in range(len(keep))], "_row", "_tk", F.concat(none, *scanned).alias("_scanned"))
     if indexed:
-        vocabulary = sorted({g for q in indexed.values() for f in q for option in f for g in option})
-        found = candidates(materialize(postings(docs, vocabulary, key), "postings"), indexed)
-        # the row's own trigrams: only candidates' texts go to the join
-        likely = F.exists(F.array(F.lower("_text")), lambda f: reduce(or_, [meets(q, lambda g: F.contains(f, F.lit(g))) for q in indexed.values()]))
-        texts = plain.where(likely).select("_row", "_tk", "_text").join(found, F.col("_row").eqNullSafe(F.col("_key")) & (plain["_tk"] == found["_tk"]))
+        spark, own = docs.sparkSession, [r for r in rules if r.kind in indexed]
+        index = index or build_index(docs, own, fresh_path(spark, "postings"), key)
+        if unknown := set(vocabulary(own)) - set(index.trigrams):
+            raise ValueError(f"the index has no postings of {sorted(unknown)}; see extend_index")
+        found = materialize(candidates(index.read(spark), indexed), "candidates")
+        n_found = found.count()
+        texts = plain
+        if n_found <= FILTERED:  # beyond it, all texts are moved
+            texts = texts.where(build_level(found.select(F.col("_tk").alias("key")), n_found, 0.01, 0, FILTERED * 2).might_contain(F.col("_tk")))
+        texts = texts.select("_row", F.col("_tk").alias("_t"), "_text").join(found, F.col("_row").eqNullSafe(F.col("_key")) & (F.col("_t") == F.col("_tk")))
         spans = [F.when(F.array_contains("_kinds", r.kind), match_spans(F.col("_text"), r, i)).otherwise(none) for i, r in enumerate(rules) if r.kind in indexed]
-        checked = texts.select(F.col("_row").alias("_of"), plain["_tk"].alias("_t"), F.concat(*spans).alias("_checked")).where(F.size("_checked") > 0).dropDuplicates(["_of", "_t"])
+        checked = texts.select(F.col("_row").alias("_of"), "_t", F.concat(*spans).alias("_checked")).where(F.size("_checked") > 0).dropDuplicates(["_of", "_t"])
         rows = rows.join(checked, F.col("_row").eqNullSafe(F.col("_of")) & (F.col("_tk") == F.col("_t")), "left")
     else:
         rows = rows.withColumn("_checked", none)

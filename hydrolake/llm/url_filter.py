@@ -42,13 +42,13 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def candidate_keys(host: Column, path: Column, path_lengths: Sequence[int]) -> Column:
-    """All host suffixes (whole labels) x path prefixes of the listed lengths, longest host first."""
+def candidate_keys(host: Column, path: Column, path_lengths: Sequence[int], depth: int) -> Column:
+    """Host suffixes (whole labels, ``depth`` at most, which is what the longest listed host has) x path prefixes of the
+    listed lengths, longest host first."""
     labels = F.split(host, r"\.", -1)
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
-    )
+    last = F.slice(labels, F.greatest(F.size(labels) - depth + 1, F.lit(1)), F.lit(depth))
+    each = lambda own: F.transform(F.sequence(F.lit(1), F.size(own)), lambda i: F.array_join(F.slice(own, i, F.size(own)), "."))
+    suffixes = F.get(F.transform(F.array(last), each), F.lit(0))  # the labels are bound once
     prefixes = F.array(*[F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in sorted(path_lengths, reverse=True)])
     pairs = F.transform(suffixes, lambda s: F.transform(F.array_compact(prefixes), lambda p: F.struct(s.alias("host"), p.alias("path"))))
     return F.flatten(pairs)
@@ -144,11 +144,12 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], default: str = "allow",
     for r in rules:
         first.setdefault(r.key, r)
     lengths = sorted({len(r.path) for r in first.values()})
+    depth = max((r.host.count(".") + 1 for r in first.values()), default=1)
     judged = pages.select(*id_cols, url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
     if not first:
         none = F.lit(None).cast("string")
         return judged.select(*id_cols, "host", "path", none.alias("rule"), F.lit(default).alias("verdict"), F.lit(0).alias("n_keys"))
-    with_keys = judged.withColumn("keys", F.when(F.col("host") == "", F.array().cast("array<struct<host:string,path:string>>")).otherwise(candidate_keys(F.col("host"), F.col("path"), lengths)))
+    with_keys = judged.withColumn("keys", F.when(F.col("host") == "", F.array().cast("array<struct<host:string,path:string>>")).otherwise(candidate_keys(F.col("host"), F.col("path"), lengths, depth)))
     universe = materialize(with_keys.select(F.explode(F.transform("keys", key_text)).alias("key")).distinct(), "urlkeys")
     as_rows = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(k).alias("key"), F.lit(r.verdict).alias("verdict")) for k, r in first.items()])))
     listed_levels = build_cascade(as_rows, universe)
