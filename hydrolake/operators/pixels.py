@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,23 +11,37 @@ from pyspark.sql import functions as F
 from hydrolake.operators import ranges
 
 
-def weekly_composite(images: DataFrame, by: Sequence[str], day: str, bands: Sequence[str], first_day: str, weeks: int) -> DataFrame:
-    """Mean of each band per pixel in 7-day bins from ``first_day``, one column per band and bin; an empty bin is null."""
-    bin_ = F.floor(F.datediff(F.col(day), F.lit(first_day).cast("date")) / 7).cast("int")
-    x = images.withColumn("_bin", bin_).where(F.col("_bin").between(0, weeks - 1))
-    return x.groupBy(*by).pivot("_bin", list(range(weeks))).agg(*[F.avg(b).alias(b) for b in bands])
+WEEKS = 53  # bins of seven days in a year
+
+
+def week_of_year(day: str) -> Column:
+    return F.floor((F.dayofyear(day) - 1) / 7).cast("int")
+
+
+def weekly_composite(images: DataFrame, by: Sequence[str], day: str, bands: Sequence[str]) -> DataFrame:
+    """Mean of each band per key and year in 7-day bins from 1 January, one column per band and bin; an empty bin is null.
+
+    53 bins: the last one has the year's 365th and 366th day.
+    """
+    x = images.withColumns({"year": F.year(day), "_bin": week_of_year(day)})
+    return x.groupBy(*by, "year").pivot("_bin", list(range(WEEKS))).agg(*[F.avg(b).alias(b) for b in bands])
 
 
 def median_composite(images: DataFrame, by: Sequence[str], day: str, bands: Sequence[str], cloud: str, most_cloud: float) -> DataFrame:
     """Per-band median over scenes of November to April under a cloud limit."""
     x = images.where(F.month(day).isin(11, 12, 1, 2, 3, 4) & (F.col(cloud) < most_cloud))
-    return x.groupBy(*by).agg(*[F.percentile(b, F.lit(0.5)).alias(b) for b in bands])
-
-
-def week_quality(images: DataFrame, by: Sequence[str], day: str, first_day: str, weeks: int, known_empty: Sequence[int]) -> DataFrame:
-    """Images per week; empty weeks that match those known from training, and those that don't."""
-    n = images.withColumn("week", F.floor(F.datediff(F.col(day), F.lit(first_day).cast("date")) / 7).cast("int")).groupBy(*by, "week").agg(F.count_distinct("scene").alias("n_images"))
-    spine = images.select(*by).distinct().withColumn("week", F.explode(F.sequence(F.lit(0), F.lit(weeks - 1))))
+    kept = [ranges.exact_quantile(x.select(*by, F.col(b)), by, b, F.lit(0.5), b).drop("n") for b in bands]
+    keys = x.select(*by).distinct()
+    return reduce(lambda a, b: a.join(b, list(by), "left"), kept, keys)
+
+
+def week_quality(images: DataFrame, by: Sequence[str], day: str, known_empty: Sequence[int]) -> DataFrame:
+    """Images per week of each year from the key's first to its last; empty weeks that match those known from training,
+    and those that don't."""
+    n = images.withColumns({"year": F.year(day), "week": week_of_year(day)}).groupBy(*by, "year", "week").agg(F.count_distinct("scene").alias("n_images"))
+    years = images.groupBy(*by).agg(F.min(F.year(day)).alias("a"), F.max(F.year(day)).alias("b"))
+    spine = years.select(*by, F.explode(F.sequence("a", "b")).alias("year")).withColumn("week", F.explode(F.sequence(F.lit(0), F.lit(WEEKS - 1))))
+    by = [*by, "year"]
     x = spine.join(n, [*by, "week"], "left").withColumn("n_images", F.coalesce("n_images", F.lit(0).cast("long")))
     empty, known = F.col("n_images") == 0, F.col("week").isin(*known_empty)
     return x.groupBy(*by).agg(

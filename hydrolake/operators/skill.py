@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -125,6 +126,16 @@ def cv_stability(df: DataFrame, by: Sequence[str], metric: str) -> DataFrame:
     return df.groupBy(*by).agg(F.avg(metric).alias("mean"), F.stddev_samp(metric).alias("std"), F.count(metric).alias("folds"))
 
 
+def poisson_steps(values: int) -> list[float]:
+    """The chances of at most 0, 1, 2, ... events at rate 1, as far as a draw out of so many equal values can tell."""
+    out, chance, k = [math.exp(-1)], math.exp(-1), 1
+    while 1 - out[-1] > 1 / values:
+        chance /= k
+        out.append(out[-1] + chance)
+        k += 1
+    return out
+
+
 def bootstrap_ci(df: DataFrame, by: Sequence[str], key: str, y: str, p: str, reps: int = 200, alpha: float = 0.05, seed: int = 5) -> DataFrame:
     """Percentile interval of the mean absolute error from ``reps`` resamples.
 
@@ -135,8 +146,7 @@ def bootstrap_ci(df: DataFrame, by: Sequence[str], key: str, y: str, p: str, rep
     prime = F.lit(2**31 - 1).cast("long")
     square = lambda x: x * x % prime
     u = square((square((F.col("_key") * 48271 % prime + F.col("rep") * 7919 + seed) % prime) + 12345) % prime) / (2**31 - 1.0)
-    steps = (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563)
-    times = sum(F.when(F.col("_u") >= s, 1).otherwise(0) for s in steps)
+    times = sum(F.when(F.col("_u") >= s, 1).otherwise(0) for s in poisson_steps(2**31 - 1))
     err = F.abs(F.col(p) - F.col(y))
     x = df.select(*by, err.alias("_e"), F.col(key).cast("long").alias("_key"), F.explode(F.sequence(F.lit(1), F.lit(reps))).alias("rep"))
     x = x.withColumn("_u", u).withColumn("_k", times).where("_k > 0")

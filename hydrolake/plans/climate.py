@@ -53,6 +53,7 @@ FILLED = MISSING + """, med AS (SELECT zone, iso_week, quantile_cont(rain, 0.5)
 , filled AS (SELECT zone, iso_year, iso_week, rain, 0 AS imputed FROM wr UNION ALL SELECT g.zone, g.iso_year, g.iso_week, coalesce(round(m, 3), 0e0), 1 FROM gone g LEFT JOIN med USING (zone, iso_week))"""
 CLIMATE = FILLED + """, clim AS (SELECT f.zone, f.iso_year, f.iso_week, f.rain, f.imputed, w.et0, w.vpd, w.t_mean, CASE WHEN f.zone = 'A' THEN f.rain * 0.8e0 ELSE greatest(0e0, f.rain - 5) * 0.85e0 END AS p_eff FROM filled f JOIN ww w USING (zone, iso_year, iso_week))"""
 RV = "rain_daily weather_daily"
+RVH, HOLEY = "rain_daily rain_holes weather_daily", WEEKLY.replace("FROM rain_daily", "FROM rain_holes")
 
 
 @register("p1_iso_week", sql("rain_daily", DAYS + f"SELECT {dt('date', 'date')}, CAST(isoyear(date) AS INT) AS iso_year, CAST(week(date) AS INT) AS iso_week, CAST(isodow(date) AS INT) AS weekday, {dt("date_trunc('week', date)", 'week_start')} FROM days"))
@@ -190,9 +191,9 @@ def a8_climatology_median(spark, sf_dir):
     return tidy(series.climatology(weekly_rain(spark, sf_dir), ["zone", "iso_week"], ["rain"]))
 
 
-@register("a9_impute_missing_weeks", sql(RV, WEEKLY + FILLED + f"SELECT {K}, {rd('rain', 'rain', 3)}, imputed FROM filled"))
+@register("a9_impute_missing_weeks", sql(RVH, HOLEY + FILLED + f"SELECT {K}, {rd('rain', 'rain', 3)}, imputed FROM filled"))
 def a9_impute_missing_weeks(spark, sf_dir):
-    return tidy(series.impute_weeks(weekly_rain(spark, sf_dir), ["rain"]), 3)
+    return tidy(series.impute_weeks(series.weekly_rain(view(spark, sf_dir, "rain_holes")), ["rain"]), 3)
 
 
 SPI = """, r4 AS (SELECT zone, iso_year, iso_week, CASE WHEN count(rain) OVER w = 4 THEN sum(rain) OVER w END AS rain4 FROM wr WINDOW w AS (PARTITION BY zone ORDER BY iso_year, iso_week ROWS BETWEEN 3 PRECEDING AND CURRENT ROW))
@@ -246,9 +247,9 @@ def j10_drop_overlap_join(spark, sf_dir):
     return tidy(x)
 
 
-@register("j11_missing_keys", sql(RV, WEEKLY + MISSING + f"SELECT {K} FROM gone"))
+@register("j11_missing_keys", sql(RVH, HOLEY + MISSING + f"SELECT {K} FROM gone"))
 def j11_missing_keys(spark, sf_dir):
-    w = weekly_rain(spark, sf_dir)
+    w = series.weekly_rain(view(spark, sf_dir, "rain_holes"))
     return lookups.missing_keys(series.week_calendar(w, ["zone"]), w, ["zone", "iso_year", "iso_week"])
 
 

@@ -14,15 +14,22 @@ from hydrolake.sources.shared import fresh_path
 from hydrolake.sources.views import view
 
 K = "zone, iso_year, iso_week"
+RVH, HOLEY = "rain_daily rain_holes weather_daily", WEEKLY.replace("FROM rain_daily", "FROM rain_holes")
 KEYS = ["zone", "iso_year", "iso_week"]
-DV = RV + " kc_table crop_area"
-DEMAND = """, kc AS (SELECT crop, week, avg(kc) AS kc FROM kc_table GROUP BY 1, 2)
+DV = RV + " crop_area"
+_STAGES = ", ".join(f"({i}, '{c}', '{s}', {a}, {b}, {demand.raised(k)}e0)" for i, (c, s, a, b, k) in enumerate(demand.STAGES))
+KCW = f"""st(pos, crop, stage, a, b, base) AS (VALUES {_STAGES})
+, wk AS (SELECT crop, CAST(w AS INT) AS week FROM (SELECT DISTINCT crop FROM st) CROSS JOIN range(1, 53) t(w))
+, hit AS (SELECT crop, week, arg_min(stage, pos) AS stage, arg_min(base, pos) AS base FROM wk JOIN st USING (crop) WHERE CASE WHEN a <= b THEN week BETWEEN a AND b ELSE week >= a OR week <= b END GROUP BY 1, 2)
+, kcw AS (SELECT wk.crop, wk.week, coalesce(stage, 'offseason') AS stage, coalesce(base, 0e0) AS kc FROM wk LEFT JOIN hit USING (crop, week))"""
+KC = ", " + KCW + ", kc AS (SELECT crop, week, kc FROM kcw)"
+DEMAND = KC + """
 , dx AS (SELECT c.*, a.crop, a.area_m2, k.kc FROM clim c JOIN (SELECT * FROM crop_area WHERE crop <> 'etc') a USING (zone) LEFT JOIN kc k ON k.crop = a.crop AND k.week = least(c.iso_week, 52))
 , dem AS (SELECT zone, iso_year, iso_week, coalesce(sum(greatest(0e0, kc * et0 - p_eff) * area_m2 / 1000) FILTER (WHERE kc IS NOT NULL), 0e0) AS net_m3, coalesce(sum(kc * et0 * area_m2 / 1000), 0e0) AS etc_m3, count(*) FILTER (WHERE kc IS NULL) AS crops_without_kc FROM dx GROUP BY 1, 2, 3)"""
 
 
 def weekly_demand(spark, sf_dir):
-    return demand.crop_demand(climate(spark, sf_dir), view(spark, sf_dir, "kc_table"), view(spark, sf_dir, "crop_area"))
+    return demand.crop_demand(climate(spark, sf_dir), demand.kc_week_table(spark), view(spark, sf_dir, "crop_area"))
 
 
 @register("a11_crop_demand", sql(DV, WEEKLY + CLIMATE + DEMAND + f"SELECT {K}, {rd('net_m3', 'net_m3', 3)}, {rd('etc_m3', 'etc_m3', 3)}, crops_without_kc, {rd("net_m3 / CASE WHEN zone = 'A' THEN 0.9e0 ELSE 1e0 END", 'gross_m3', 3)} FROM dem"))
@@ -36,7 +43,7 @@ SUB = """, sub AS (SELECT zone, iso_year, iso_week, CASE WHEN crop IN ('rice', '
 
 def shares(spark, sf_dir):
     area = view(spark, sf_dir, "crop_area").withColumn("sub_area", F.when(F.col("crop").isin("rice", "corn"), "north").otherwise("south"))
-    by_area = demand.crop_demand(climate(spark, sf_dir), view(spark, sf_dir, "kc_table"), area, by=("zone", "sub_area"))
+    by_area = demand.crop_demand(climate(spark, sf_dir), demand.kc_week_table(spark), area, by=("zone", "sub_area"))
     return demand.demand_share(by_area, KEYS, "net_m3")
 
 
@@ -51,10 +58,10 @@ def a13_allocate(spark, sf_dir):
     return tidy(demand.allocate(forecast, shares(spark, sf_dir), KEYS, "forecast").select(*KEYS, "sub_area", "allocated"), 2)
 
 
-@register("j7_kc_join", sql(DV, WEEKLY + CLIMATE + f", kc AS (SELECT crop, week, avg(kc) AS kc FROM kc_table GROUP BY 1, 2) SELECT {K}, crop, {rd('coalesce(kc, 0)', 'kc')} FROM (SELECT c.zone, c.iso_year, c.iso_week, a.crop FROM clim c JOIN crop_area a USING (zone)) x LEFT JOIN kc ON kc.crop = x.crop AND kc.week = x.iso_week".replace("SELECT zone, iso_year, iso_week, crop", "SELECT x.zone AS zone, x.iso_year AS iso_year, x.iso_week AS iso_week, x.crop AS crop")))
+@register("j7_kc_join", sql(DV, WEEKLY + CLIMATE + KC + f" SELECT {K}, crop, {rd('coalesce(kc, 0)', 'kc')} FROM (SELECT c.zone, c.iso_year, c.iso_week, a.crop FROM clim c JOIN crop_area a USING (zone)) x LEFT JOIN kc ON kc.crop = x.crop AND kc.week = x.iso_week".replace("SELECT zone, iso_year, iso_week, crop", "SELECT x.zone AS zone, x.iso_year AS iso_year, x.iso_week AS iso_week, x.crop AS crop")))
 def j7_kc_join(spark, sf_dir):
     x = climate(spark, sf_dir).select(*KEYS).join(view(spark, sf_dir, "crop_area").select("zone", "crop"), "zone").withColumn("week", F.col("iso_week"))
-    return tidy(demand.kc_join(x, view(spark, sf_dir, "kc_table")).select(*KEYS, "crop", "kc"))
+    return tidy(demand.kc_join(x, demand.kc_week_table(spark)).select(*KEYS, "crop", "kc"))
 
 
 @register("a19_pivot_table", sql(DV, WEEKLY + f"SELECT zone, iso_year, {', '.join(rd(f'sum(rain) FILTER (WHERE iso_week % 4 = {i})', f'w{i}') for i in range(4))} FROM wr GROUP BY 1, 2"))
@@ -63,13 +70,6 @@ def a19_pivot_table(spark, sf_dir):
     return tidy(demand.pivot(x, ["zone", "iso_year"], "w", ["w0", "w1", "w2", "w3"], F.sum("rain")))
 
 
-_STAGES = ", ".join(f"({i}, '{c}', '{s}', {a}, {b}, {demand.raised(k)}e0)" for i, (c, s, a, b, k) in enumerate(demand.STAGES))
-KCW = f"""st(pos, crop, stage, a, b, base) AS (VALUES {_STAGES})
-, wk AS (SELECT crop, CAST(w AS INT) AS week FROM (SELECT DISTINCT crop FROM st) CROSS JOIN range(1, 53) t(w))
-, hit AS (SELECT crop, week, arg_min(stage, pos) AS stage, arg_min(base, pos) AS base FROM wk JOIN st USING (crop) WHERE CASE WHEN a <= b THEN week BETWEEN a AND b ELSE week >= a OR week <= b END GROUP BY 1, 2)
-, kcw AS (SELECT wk.crop, wk.week, coalesce(stage, 'offseason') AS stage, coalesce(base, 0e0) AS kc FROM wk LEFT JOIN hit USING (crop, week))"""
-
-
 @register("g3_kc_week_table", f"WITH {KCW} SELECT n.zone, CAST(n.year AS INT) AS year, k.crop, k.stage, {rd('k.kc', 'kc', 3)}, n.n FROM (SELECT CASE WHEN l_suppkey % 2 = 0 THEN 'A' ELSE 'B' END AS zone, isoyear(l_shipdate) AS year, CAST(least(week(l_shipdate), 52) AS INT) AS week, count(*) AS n FROM lineitem GROUP BY 1, 2, 3) n JOIN kcw k ON k.week = n.week")
 def g3_kc_week_table(spark, sf_dir):
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.when(F.col("l_suppkey") % 2 == 0, "A").otherwise("B").alias("zone"), S.iso_year("l_shipdate").alias("year"), S.clamp_week(S.iso_week("l_shipdate")).alias("week"))
@@ -113,30 +113,30 @@ SPARSE = ", sw AS (SELECT zone, iso_year, iso_week, rain, CAST(date_trunc('week'
 
 def sparse_weeks(spark, sf_dir):
     """Weeks with some missing, so rows and calendar weeks differ."""
-    return weekly_rain(spark, sf_dir).where("n_days >= 6").select(*KEYS, "rain", S.week_start("iso_year", "iso_week").alias("week_start"))
+    return series.weekly_rain(view(spark, sf_dir, "rain_holes")).where("n_days >= 6").select(*KEYS, "rain", S.week_start("iso_year", "iso_week").alias("week_start"))
 
 
-@register("w1_row_lags", sql(RV, WEEKLY + SPARSE + f"SELECT {K}, {', '.join(rd(f'lag(rain, {k}) OVER w', f'rain_lag{k}') for k in (1, 2, 4, 12))} FROM sw WINDOW w AS (PARTITION BY zone ORDER BY iso_year, iso_week)"))
+@register("w1_row_lags", sql(RVH, HOLEY + SPARSE + f"SELECT {K}, {', '.join(rd(f'lag(rain, {k}) OVER w', f'rain_lag{k}') for k in (1, 2, 4, 12))} FROM sw WINDOW w AS (PARTITION BY zone ORDER BY iso_year, iso_week)"))
 def w1_row_lags(spark, sf_dir):
     return tidy(series.row_lags(sparse_weeks(spark, sf_dir), ["zone"], ["iso_year", "iso_week"], "rain", (1, 2, 4, 12)).drop("rain", "week_start"))
 
 
-@register("w2_rolling_prev", sql(RV, WEEKLY + SPARSE + f"SELECT {K}, " + ", ".join(f"{rd(f'CASE WHEN count(rain) OVER w{n} = {n} THEN avg(rain) OVER w{n} END', f'rain_mean{n}')}, {rd(f'CASE WHEN count(rain) OVER w{n} = {n} THEN stddev_samp(rain) OVER w{n} END', f'rain_std{n}')}" for n in (4, 8)) + " FROM sw WINDOW w4 AS (PARTITION BY zone ORDER BY iso_year, iso_week ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING), w8 AS (PARTITION BY zone ORDER BY iso_year, iso_week ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING)"))
+@register("w2_rolling_prev", sql(RVH, HOLEY + SPARSE + f"SELECT {K}, " + ", ".join(f"{rd(f'CASE WHEN count(rain) OVER w{n} = {n} THEN avg(rain) OVER w{n} END', f'rain_mean{n}')}, {rd(f'CASE WHEN count(rain) OVER w{n} = {n} THEN stddev_samp(rain) OVER w{n} END', f'rain_std{n}')}" for n in (4, 8)) + " FROM sw WINDOW w4 AS (PARTITION BY zone ORDER BY iso_year, iso_week ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING), w8 AS (PARTITION BY zone ORDER BY iso_year, iso_week ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING)"))
 def w2_rolling_prev(spark, sf_dir):
     return tidy(series.rolling_prev(sparse_weeks(spark, sf_dir), ["zone"], ["iso_year", "iso_week"], "rain", (4, 8)).drop("rain", "week_start"))
 
 
-@register("w4_calendar_roll", sql(RV, WEEKLY + SPARSE + f"SELECT a.zone, a.iso_year, a.iso_week, {rd('CASE WHEN count(b.rain) = 4 THEN avg(b.rain) END', 'rain_mean4')}, {rd('CASE WHEN count(b.rain) = 4 THEN stddev_samp(b.rain) END', 'rain_std4')} FROM sw a LEFT JOIN sw b ON a.zone = b.zone AND b.week_start < a.week_start AND b.week_start >= a.week_start - 28 GROUP BY 1, 2, 3"))
+@register("w4_calendar_roll", sql(RVH, HOLEY + SPARSE + f"SELECT a.zone, a.iso_year, a.iso_week, {rd('CASE WHEN count(b.rain) = 4 THEN avg(b.rain) END', 'rain_mean4')}, {rd('CASE WHEN count(b.rain) = 4 THEN stddev_samp(b.rain) END', 'rain_std4')} FROM sw a LEFT JOIN sw b ON a.zone = b.zone AND b.week_start < a.week_start AND b.week_start >= a.week_start - 28 GROUP BY 1, 2, 3"))
 def w4_calendar_roll(spark, sf_dir):
     return tidy(series.calendar_roll(sparse_weeks(spark, sf_dir), ["zone"], "week_start", "rain", 4).drop("rain", "week_start"))
 
 
-@register("w5_lead_targets", sql(RV, WEEKLY + SPARSE + f"SELECT {K}, {', '.join(rd(f'y{h}', f'y_h{h}') for h in range(1, 13))} FROM (SELECT *, {', '.join(f'lead(rain, {h}) OVER w AS y{h}' for h in range(1, 13))} FROM sw WINDOW w AS (PARTITION BY zone ORDER BY iso_year, iso_week)) WHERE y1 IS NOT NULL"))
+@register("w5_lead_targets", sql(RVH, HOLEY + SPARSE + f"SELECT {K}, {', '.join(rd(f'y{h}', f'y_h{h}') for h in range(1, 13))} FROM (SELECT *, {', '.join(f'lead(rain, {h}) OVER w AS y{h}' for h in range(1, 13))} FROM sw WINDOW w AS (PARTITION BY zone ORDER BY iso_year, iso_week)) WHERE y1 IS NOT NULL"))
 def w5_lead_targets(spark, sf_dir):
     return tidy(series.lead_targets(sparse_weeks(spark, sf_dir), ["zone"], ["iso_year", "iso_week"], "rain", 12).drop("rain", "week_start"))
 
 
-@register("j13_calendar_lag", sql(RV, WEEKLY + SPARSE + f"SELECT a.zone, a.iso_year, a.iso_week, {rd('b.rain', 'rain_lag4')} FROM sw a LEFT JOIN sw b ON a.zone = b.zone AND b.week_start = a.week_start - 28"))
+@register("j13_calendar_lag", sql(RVH, HOLEY + SPARSE + f"SELECT a.zone, a.iso_year, a.iso_week, {rd('b.rain', 'rain_lag4')} FROM sw a LEFT JOIN sw b ON a.zone = b.zone AND b.week_start = a.week_start - 28"))
 def j13_calendar_lag(spark, sf_dir):
     return tidy(lookups.calendar_lag(sparse_weeks(spark, sf_dir), ["zone"], "week_start", "rain", 4).drop("rain", "week_start"))
 

@@ -148,7 +148,7 @@ _BOOT = P + f"""
 , h1 AS (SELECT zone, horizon, abs(yhat - y) AS e, r, {_U.replace('v', 'row_id')} AS h FROM p CROSS JOIN (SELECT range AS r FROM range(1, 201)))
 , h2 AS (SELECT zone, horizon, e, r, h * h % 2147483647 + 12345 AS h FROM h1)
 , h3 AS (SELECT zone, horizon, e, r, (h * h % 2147483647) / 2147483647e0 AS u FROM h2)
-, k AS (SELECT zone, horizon, e, r, {' + '.join(f'CAST(u >= {s}e0 AS INT)' for s in (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563))} AS k FROM h3)
+, k AS (SELECT zone, horizon, e, r, {' + '.join(f'CAST(u >= {s}e0 AS INT)' for s in skill.poisson_steps(2**31 - 1))} AS k FROM h3)
 , s AS (SELECT zone, horizon, r, sum(e * k) / sum(k) AS stat FROM k WHERE k > 0 GROUP BY 1, 2, 3)
 , ci AS (SELECT zone, horizon, quantile_cont(stat, 0.025) AS low, quantile_cont(stat, 0.975) AS high FROM s GROUP BY 1, 2)
 SELECT zone, horizon, {rd('low', 'low', 3)}, {rd('high', 'high', 3)}, {rd('point', 'point', 3)} FROM ci JOIN (SELECT zone, horizon, avg(abs(yhat - y)) AS point FROM p GROUP BY 1, 2) USING (zone, horizon)"""

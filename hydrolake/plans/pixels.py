@@ -81,17 +81,18 @@ def a15_area_vs_baseline(spark, sf_dir):
 
 
 @register("a36_sar_week_quality", sql("pixels", """
-, w AS (SELECT zone, class_id, CAST(floor((day - DATE '1998-01-01') / 7e0) AS INT) AS week, count(DISTINCT scene) AS k FROM pixels GROUP BY 1, 2, 3)
-, s AS (SELECT DISTINCT zone, class_id FROM pixels), f AS (SELECT s.*, t.i AS week, coalesce(k, 0) AS k FROM s CROSS JOIN range(52) t(i) LEFT JOIN w ON w.zone = s.zone AND w.class_id = s.class_id AND w.week = t.i)
-SELECT zone, class_id, count(*) AS weeks, CAST(sum(k) AS BIGINT) AS images, count(*) FILTER (WHERE k = 0) AS empty, count(*) FILTER (WHERE k = 0 AND week IN (3, 9, 27)) AS match, count(*) FILTER (WHERE k = 0 AND week NOT IN (3, 9, 27)) AS diverge, """ + rd("100e0 * count(*) FILTER (WHERE k = 0) / count(*)", "empty_pct", 2) + " FROM f GROUP BY 1, 2"))
+, w AS (SELECT zone, class_id, CAST(year(day) AS INT) AS year, CAST((dayofyear(day) - 1) // 7 AS INT) AS week, count(DISTINCT scene) AS k FROM pixels GROUP BY 1, 2, 3, 4)
+, y AS (SELECT zone, class_id, CAST(unnest(generate_series(min(year(day)), max(year(day)))) AS INT) AS year FROM pixels GROUP BY 1, 2)
+, f AS (SELECT y.*, t.i AS week, coalesce(k, 0) AS k FROM y CROSS JOIN range(53) t(i) LEFT JOIN w ON w.zone = y.zone AND w.class_id = y.class_id AND w.year = y.year AND w.week = t.i)
+SELECT zone, class_id, year, count(*) AS weeks, CAST(sum(k) AS BIGINT) AS images, count(*) FILTER (WHERE k = 0) AS empty, count(*) FILTER (WHERE k = 0 AND week IN (3, 9, 27)) AS match, count(*) FILTER (WHERE k = 0 AND week NOT IN (3, 9, 27)) AS diverge, """ + rd("100e0 * count(*) FILTER (WHERE k = 0) / count(*)", "empty_pct", 2) + " FROM f GROUP BY 1, 2, 3"))
 def a36_sar_week_quality(spark, sf_dir):
-    return tidy(pixels.week_quality(px(spark, sf_dir), ["zone", "class_id"], "day", "1998-01-01", 52, [3, 9, 27]), 2)
+    return tidy(pixels.week_quality(px(spark, sf_dir), ["zone", "class_id"], "day", [3, 9, 27]), 2)
 
 
-@register("a37_weekly_composite", sql("pixels", "SELECT zone, class_id, " + ", ".join(f"{rd(f'avg(vv) FILTER (WHERE b = {i})', f'w{i}_vv')}, {rd(f'avg(vh) FILTER (WHERE b = {i})', f'w{i}_vh')}" for i in range(6)) + " FROM (SELECT *, CAST(floor((day - DATE '1998-01-01') / 7e0) AS INT) AS b FROM pixels WHERE vv > -9999) WHERE b BETWEEN 0 AND 5 GROUP BY 1, 2"))
+@register("a37_weekly_composite", sql("pixels", "SELECT zone, class_id, year, " + ", ".join(f"{rd(f'avg(vv) FILTER (WHERE b = {i})', f'w{i}_vv')}, {rd(f'avg(vh) FILTER (WHERE b = {i})', f'w{i}_vh')}" for i in range(pixels.WEEKS)) + " FROM (SELECT *, CAST(year(day) AS INT) AS year, (dayofyear(day) - 1) // 7 AS b FROM pixels WHERE vv > -9999) GROUP BY 1, 2, 3"))
 def a37_weekly_composite(spark, sf_dir):
-    x = pixels.weekly_composite(px(spark, sf_dir).where("vv > -9999"), ["zone", "class_id"], "day", ["vv", "vh"], "1998-01-01", 6)
-    return tidy(x.select("zone", "class_id", *[F.col(f"{i}_{b}").alias(f"w{i}_{b}") for i in range(6) for b in ("vv", "vh")]))
+    x = pixels.weekly_composite(px(spark, sf_dir).where("vv > -9999"), ["zone", "class_id"], "day", ["vv", "vh"])
+    return tidy(x.select("zone", "class_id", "year", *[F.col(f"{i}_{b}").alias(f"w{i}_{b}") for i in range(pixels.WEEKS) for b in ("vv", "vh")]))
 
 
 @register("a38_median_composite", sql("pixels", f"SELECT px, {rd('quantile_cont(green, 0.5)', 'green')}, {rd('quantile_cont(nir, 0.5)', 'nir')} FROM pixels WHERE month(day) IN (11, 12, 1, 2, 3, 4) AND cloud < 10 GROUP BY 1"))
