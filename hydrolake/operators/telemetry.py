@@ -111,14 +111,30 @@ def station_history(readings: DataFrame, by: str, ts: str, fields: Sequence[str]
     return near.join(end, by).where((F.col("mark") <= F.col("_end")) & (F.col("mark") > F.col("_end") - back)).drop("_end")
 
 
-def fill_or_flag_gap(hourly: DataFrame, by: Sequence[str], hour: str, col: str, short: int = 2) -> DataFrame:
-    """Runs of missing hours up to ``short`` between known ones are interpolated; longer ones are flagged."""
-    back = Window.partitionBy(*by).orderBy(hour).rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(*by).orderBy(hour).rowsBetween(0, Window.unboundedFollowing)
-    n = F.row_number().over(Window.partitionBy(*by).orderBy(hour))
-    x = hourly.withColumn("_n", n).withColumn("_k", F.when(F.col(col).isNotNull(), F.col("_n")))
-    x = x.withColumns({"_a": F.last(col, True).over(back), "_i": F.last("_k", True).over(back), "_b": F.first(col, True).over(ahead), "_j": F.first("_k", True).over(ahead)})
-    run = F.col("_j") - F.col("_i") - 1
-    line = F.col("_a") + (F.col("_n") - F.col("_i")) / (F.col("_j") - F.col("_i")) * (F.col("_b") - F.col("_a"))
+def fill_or_flag_gap(hourly: DataFrame, by: Sequence[str], hour: str, col: str, short: int = 2, rain: str | None = None, rain_limit: float = 0.0, day: Column | None = None) -> DataFrame:
+    """``hourly`` (a row per key and hour, gaps as nulls in ``col``) with filled, interpolated, gap_status and data_gap_day.
+
+    A gap of up to ``short`` hours between known ones is interpolated. A longer one, one without a known hour on either
+    side, and one with rain (over ``rain_limit`` in its hours or the known ones next to it, as the level may have moved
+    between) isn't guessed: each day that it touches is left out whole, its hours have no filled value. ``day`` says which
+    day an hour belongs to (default: its date). gap_status: ok, interpolated, or data_gap_day.
+    """
+    keys = list(by)
+    back = Window.partitionBy(*keys).orderBy(hour).rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy(*keys).orderBy(hour).rowsBetween(0, Window.unboundedFollowing)
     missing = F.col(col).isNull()
-    return x.withColumn("filled", F.when(~missing, F.col(col)).when(run <= short, line)).withColumn("gap_status", F.when(~missing, "ok").when(run <= short, "interpolated").otherwise("data_gap_day")).drop("_n", "_k", "_a", "_i", "_b", "_j")
+    wet = F.coalesce(F.col(rain), F.lit(0.0)) if rain else F.lit(0.0)
+    x = hourly.withColumns({"_n": F.row_number().over(Window.partitionBy(*keys).orderBy(hour)), "_rain": wet, "_day": F.to_date(hour) if day is None else day})
+    known = F.when(~missing, F.struct(F.col("_n").alias("n"), F.col(col).alias("v"), F.col("_rain").alias("r")))
+    x = x.withColumns({"_a": F.last(known, True).over(back), "_b": F.first(known, True).over(ahead)})
+    # a gap's hours and the known hour before them share that hour's number
+    most = F.greatest(F.max("_rain").over(Window.partitionBy(*keys, "_a.n")), F.col("_b.r"))
+    fits = (F.col("_b.n") - F.col("_a.n") - 1 <= short) & (most <= rain_limit)
+    x = x.withColumn("_long", missing & ~F.coalesce(fits, F.lit(False)))
+    x = x.withColumn("data_gap_day", F.max("_long").over(Window.partitionBy(*keys, "_day")))
+    line = F.col("_a.v") + (F.col("_n") - F.col("_a.n")) / (F.col("_b.n") - F.col("_a.n")) * (F.col("_b.v") - F.col("_a.v"))
+    out = x.withColumns({
+        "interpolated": missing & ~F.col("data_gap_day"), "filled": F.when(F.col("data_gap_day"), F.lit(None)).when(missing, line).otherwise(F.col(col)),
+        "gap_status": F.when(F.col("data_gap_day"), "data_gap_day").when(missing, "interpolated").otherwise("ok"),
+    })
+    return out.drop("_n", "_rain", "_day", "_a", "_b", "_long")

@@ -302,12 +302,22 @@ def s13_monitoring_document(spark, sf_dir):
 
 
 @register("d1_fill_or_flag_gap", sql("telemetry_long", HOURLY + f"""
-, n AS (SELECT *, row_number() OVER (PARTITION BY station ORDER BY hour) AS k FROM hourly)
-, f AS (SELECT *, last_value(level IGNORE NULLS) OVER b AS a, last_value(CASE WHEN level IS NOT NULL THEN k END IGNORE NULLS) OVER b AS i, first_value(level IGNORE NULLS) OVER c AS z, first_value(CASE WHEN level IS NOT NULL THEN k END IGNORE NULLS) OVER c AS j FROM n
-  WINDOW b AS (PARTITION BY station ORDER BY hour ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), c AS (PARTITION BY station ORDER BY hour ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
-SELECT station, {tm('hour', 'hour')}, {rd('CASE WHEN level IS NOT NULL THEN level WHEN j - i - 1 <= 2 THEN a + (k - i) * 1e0 / (j - i) * (z - a) END', 'filled')}, CASE WHEN level IS NOT NULL THEN 'ok' WHEN j - i - 1 <= 2 THEN 'interpolated' ELSE 'data_gap_day' END AS gap_status FROM f"""))
+, rn AS (SELECT station, date_trunc('hour', ts) AS hour, arg_max(value, ts) AS rain FROM telemetry_long WHERE data_type = 'rainfall_1h' AND value IS NOT NULL GROUP BY 1, 2)
+, n AS (SELECT h.station, h.hour, level, coalesce(rain, 0e0) AS rain, CAST(h.hour + INTERVAL 16 HOUR AS DATE) AS day, row_number() OVER (PARTITION BY h.station ORDER BY h.hour) AS k FROM hourly h LEFT JOIN rn ON rn.station = h.station AND rn.hour = h.hour)
+, kn AS (SELECT * FROM n WHERE level IS NOT NULL)
+, f AS (SELECT n.*, a.level AS la, a.k AS i, b.level AS lb, b.k AS j FROM n LEFT JOIN (SELECT *, lead(k) OVER w AS nk FROM kn WINDOW w AS (PARTITION BY station ORDER BY k)) a ON a.station = n.station AND n.k >= a.k AND n.k < coalesce(a.nk, 1000000000000)
+    LEFT JOIN (SELECT *, lag(k) OVER w AS pk FROM kn WINDOW w AS (PARTITION BY station ORDER BY k)) b ON b.station = n.station AND n.k <= b.k AND n.k > coalesce(b.pk, 0))
+, g AS (SELECT f.*, (SELECT max(rain) FROM n w WHERE w.station = f.station AND w.k BETWEEN f.i AND f.j) AS wet FROM f WHERE level IS NULL)
+, bad AS (SELECT DISTINCT station, day FROM g WHERE NOT coalesce(j - i - 1 <= 2 AND wet <= 100, FALSE))
+SELECT f.station, {tm('f.hour', 'hour')}, {rd('CASE WHEN bad.day IS NOT NULL THEN NULL WHEN level IS NOT NULL THEN level ELSE la + (k - i) * 1e0 / (j - i) * (lb - la) END', 'filled')},
+ level IS NULL AND bad.day IS NULL AS interpolated, bad.day IS NOT NULL AS data_gap_day, CASE WHEN bad.day IS NOT NULL THEN 'data_gap_day' WHEN level IS NULL THEN 'interpolated' ELSE 'ok' END AS gap_status
+FROM f LEFT JOIN bad ON bad.station = f.station AND bad.day = f.day"""))
 def d1_fill_or_flag_gap(spark, sf_dir):
-    return tidy(telemetry.fill_or_flag_gap(hourly(spark, sf_dir), ["station"], "hour", "level").select("station", "hour", "filled", "gap_status"))
+    x = view(spark, sf_dir, "telemetry_long")
+    x = x.withColumns({"level": F.when(F.col("data_type") == "water_level", F.col("value")), "rain": F.when(F.col("data_type") == "rainfall_1h", F.col("value"))})
+    hours = telemetry.hourly_resample(x, ["station"], "ts", ["level", "rain"], [])
+    out = telemetry.fill_or_flag_gap(hours, ["station"], "hour", "level", rain="rain", rain_limit=100.0, day=telemetry.day_of_mark("hour"))
+    return tidy(out.select("station", "hour", "filled", "interpolated", "data_gap_day", "gap_status"))
 
 
 @register("a20_recursive_api", sql("telemetry_long", MARKS + f"""

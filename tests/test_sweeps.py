@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from hydrolake.operators import lookups, series
+from hydrolake.operators import lookups, series, telemetry
 
 START = dt.datetime(2024, 1, 1)
 
@@ -54,3 +54,22 @@ def test_recursive_index_is_a_scan(spark):
             state[s] = 0.9 * state.get(s, 0.0) + r
             assert abs(got[s, d] - state[s]) < 1e-9
     assert len(got) == len(rows) and series.recursive_api(df.limit(0), ["s"], "d", "r").count() == 0
+
+
+def test_gaps_are_filled_or_their_days_left_out(spark):
+    """Rain in a one-hour gap and a three-hour gap leave out their days; a dry hour is interpolated; open ends are long."""
+    level = {h: 10.0 + h for h in range(24 * 6)}
+    rain = {30: 4.0, 77: 9.0}
+    for h in (5, 6, 30, 54, 55, 56, 78, 100, 143):  # dry two hours, wet hour, three hours, hour after rain, dry hour, open end
+        del level[h]
+    rows = [("a", START + dt.timedelta(hours=h), level.get(h), rain.get(h)) for h in range(24 * 6)] + [("b", START, None, None)]
+    df = spark.createDataFrame(rows, "s string, hour timestamp_ntz, level double, rain double")
+    got = {(r.s, r.hour): r for r in telemetry.fill_or_flag_gap(df, ["s"], "hour", "level", rain="rain").collect()}
+    for s, at, v, _ in rows:
+        h = (at - START) // dt.timedelta(hours=1)
+        r = got[s, at]
+        out = s == "b" or h // 24 in (1, 2, 3, 5)
+        assert r.data_gap_day == out and r.gap_status == ("data_gap_day" if out else "ok" if v is not None else "interpolated")
+        assert r.interpolated == (not out and v is None) and (r.filled is None if out else abs(r.filled - (10.0 + h)) < 1e-9)
+    dry = {(r.s, r.hour): r.gap_status for r in telemetry.fill_or_flag_gap(df, ["s"], "hour", "level").collect()}
+    assert dry["a", START + dt.timedelta(hours=30)] == "interpolated" and dry["a", START + dt.timedelta(hours=78)] == "interpolated"
