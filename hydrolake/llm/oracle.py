@@ -36,17 +36,17 @@ _ZERO = f"({quality_rules.ZERO_BIN})"
 _RULE_NAMES = [r.name for r in quality_rules.RULES]
 
 
-def _fences(name: str, by: str) -> str:
-    """Per ``by`` and rule: n, and the edges of the bins where the lower and the upper quantile lie."""
+def _quartiles(name: str, by: str) -> str:
+    """Per ``by`` and rule: n, and the edges of the bins where the quartiles lie."""
     edge = "CASE WHEN {0} > " + _ZERO + " THEN pow(" + repr(quality_rules.GROWTH) + "e0, {0} - {1}) ELSE 0e0 END"
     return f"""{name} AS (SELECT {by}, rule, total AS n, {edge.format('low_bin', 1)} AS low, {edge.format('high_bin', 0)} AS high FROM (
-  SELECT {by}, rule, max(total) AS total, min(bin) FILTER (WHERE 1000 * upto >= 995 * total) AS high_bin, min(bin) FILTER (WHERE 1000 * upto >= 5 * total) AS low_bin FROM (
+  SELECT {by}, rule, max(total) AS total, min(bin) FILTER (WHERE 1000 * upto >= 750 * total) AS high_bin, min(bin) FILTER (WHERE 1000 * upto >= 250 * total) AS low_bin FROM (
     SELECT *, sum(n) OVER (PARTITION BY {by}, rule ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY {by}, rule) AS total FROM (SELECT {by}, rule, bin, sum(n) AS n FROM bins GROUP BY ALL)) GROUP BY {by}, rule))"""
 
 
-def _leaning(side: str) -> str:
-    parent = f"(b.n * b.{side} + 100 * c.{side}) / (b.n + 100e0)"
-    return f"(a.n * a.{side} + 100 * {parent}) / (a.n + 100e0) AS {side}"
+_SPREADS = ", ".join(f"('{r.name}', {r.spread!r}e0)" for r in quality_rules.RULES)
+_WIDTH = f"{quality_rules.REACH!r}e0 * greatest({{0}} - {{1}}, spread)"
+_LEAN = "({0}.n * {0}.{2} + 100 * {1}.{2}) / ({0}.n + 100e0)"
 
 
 QUALITY = f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{SPACE_WORD}') AS w FROM documents)
@@ -58,8 +58,12 @@ QUALITY = f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, sourc
     coalesce(n_symbols / nullif(word_chars, 0), 0e0) AS symbol_ratio, coalesce((len(lines) - len(list_distinct(lines))) / nullif(len(lines), 0), 0e0) AS dup_line_ratio, coalesce(n_repeat_words / nullif(n_words, 0), 0e0) AS repeat_ratio, coalesce(word_chars / nullif(n_words, 0), 0e0) AS mean_word FROM m)
 , long AS ({' UNION ALL '.join(f"SELECT rid, lang, source, base_failed, '{n}' AS rule, {n} AS x FROM r" for n in _RULE_NAMES)})
 , bins AS (SELECT lang, source, 1 AS one, rule, CASE WHEN x > 0 THEN CAST(ceil(ln(x) / {_GROWTH}) AS INT) ELSE {_ZERO} END AS bin, count(*) AS n FROM long WHERE NOT base_failed GROUP BY ALL)
-, {_fences('a', 'lang, source')}, {_fences('b', 'lang')}, {_fences('c', 'one')}
-, f AS (SELECT a.lang, a.source, a.rule, {_leaning('low')}, {_leaning('high')} FROM a JOIN b ON a.lang IS NOT DISTINCT FROM b.lang AND a.rule = b.rule JOIN c ON a.rule = c.rule)
+, {_quartiles('a', 'lang, source')}, {_quartiles('b', 'lang')}, {_quartiles('c0', 'one')}, sp(rule, spread) AS (VALUES {_SPREADS})
+, c AS (SELECT *, low - width AS lo, high + width AS hi FROM (SELECT *, {_WIDTH.format('high', 'low')} AS width FROM c0 JOIN sp USING (rule)))
+, b1 AS (SELECT b.lang, b.rule, spread, {_LEAN.format('b', 'c', 'low')} AS low, {_LEAN.format('b', 'c', 'high')} AS high, c.lo, c.hi, c.width AS before FROM b JOIN c ON b.rule = c.rule)
+, b2 AS (SELECT lang, rule, spread, low, high, width, greatest(low - width, lo - before) AS lo, least(high + width, hi + before) AS hi FROM (SELECT *, {_WIDTH.format('high', 'low')} AS width FROM b1))
+, a1 AS (SELECT a.lang, a.source, a.rule, spread, {_LEAN.format('a', 'b2', 'low')} AS ql, {_LEAN.format('a', 'b2', 'high')} AS qh, b2.lo, b2.hi, b2.width AS before FROM a JOIN b2 ON a.lang IS NOT DISTINCT FROM b2.lang AND a.rule = b2.rule)
+, f AS (SELECT lang, source, rule, greatest(ql - width, lo - before) AS low, least(qh + width, hi + before) AS high FROM (SELECT *, {_WIDTH.format('qh', 'ql')} AS width FROM a1))
 , bad AS (SELECT DISTINCT rid FROM long l JOIN f ON l.lang IS NOT DISTINCT FROM f.lang AND l.source IS NOT DISTINCT FROM f.source AND l.rule = f.rule WHERE x > high OR (l.rule = 'mean_word' AND x < low))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.rid IS NULL AS kept FROM r LEFT JOIN bad USING (rid)"""
 

@@ -2,9 +2,12 @@
 
 Every document gets a few ratios. A mergeable quantile sketch of each ratio is built per language and source, merged per
 language and over all. A sketch counts values in bins whose edges grow by a fixed factor (zero has a bin of its own), so
-its quantiles are right to that factor, merging is adding, and every run gives the same. The fences, beyond which a
-document is unusual for its own group, are quantiles; those of small groups lean on the language's, and these on all
-documents', in proportion to counts. They are joined to the documents' ratios.
+its quantiles are right to that factor, merging is adding, and every run gives the same. The quartiles of small groups
+lean on the language's, and these on all documents', in proportion to counts. A fence lies some spreads (the distance of
+the quartiles) beyond its group's quartile: a clean group loses nothing, one with a share of bad text loses that share.
+A group that is bad throughout has wide quartiles of its own, so a fence may be beyond that of its language (and this
+beyond that of all documents) by as much as the latter lies beyond its quartile, and no more. Fences are joined to the
+documents' ratios.
 """
 
 from __future__ import annotations
@@ -24,13 +27,17 @@ LOW = (1 << POSITION_BITS) - 1
 
 @dataclass(frozen=True)
 class AdaptiveRule:
-    """A ratio is unusual above its group's upper quantile or, if ``both``, below the lower one."""
+    """A ratio is unusual above its group's upper fence or, if ``both``, below the lower one. ``spread``: what the
+    distance of the quartiles counts as at least, for groups of nearly equal values."""
 
     name: str
+    spread: float
     both: bool = False
 
 
-RULES = (AdaptiveRule("symbol_ratio"), AdaptiveRule("dup_line_ratio"), AdaptiveRule("repeat_ratio"), AdaptiveRule("mean_word", both=True))
+RULES = (AdaptiveRule("symbol_ratio", 0.02), AdaptiveRule("dup_line_ratio", 0.1), AdaptiveRule("repeat_ratio", 0.05), AdaptiveRule("mean_word", 0.25, both=True))
+REACH = 3.0  # spreads from a quartile to its fence
+QUARTER = 250  # of a thousand
 GROWTH = 1.02  # of the sketch's bin edges
 ZERO_BIN = -(1 << 30)
 
@@ -119,16 +126,16 @@ def merged_sketches(sketches: DataFrame, by: Sequence[str]) -> DataFrame:
     return sketches.groupBy(*by, "rule", "bin").agg(F.sum("n").alias("n"))
 
 
-def fences(sketches: DataFrame, by: Sequence[str], rules: Sequence[AdaptiveRule], per_mille: int, prefix: str) -> DataFrame:
+def quartiles(sketches: DataFrame, by: Sequence[str], rules: Sequence[AdaptiveRule], prefix: str) -> DataFrame:
     """``by`` with the prefix, and a struct ``prefix`` of n and a (low, high) pair for each rule.
 
-    high is the upper edge of the bin in which the upper quantile lies, low the lower edge of the lower quantile's. A
+    high is the upper edge of the bin in which the upper quartile lies, low the lower edge of the lower quartile's. A
     sketch has a few thousand bins at most, so no window is large.
     """
     key = [*by, "rule"]
     running = sketches.withColumn("_upto", F.sum("n").over(Window.partitionBy(*key).orderBy("bin"))).withColumn("_all", F.sum("n").over(Window.partitionBy(*key)))
     reached = lambda share: F.min(F.when(1000 * F.col("_upto") >= share * F.col("_all"), F.col("bin")))
-    found = running.groupBy(*key).agg(reached(1000 - per_mille).alias("_high"), reached(per_mille).alias("_low"), F.first("_all").alias("_n"))
+    found = running.groupBy(*key).agg(reached(1000 - QUARTER).alias("_high"), reached(QUARTER).alias("_low"), F.first("_all").alias("_n"))
     edge = lambda b, down: F.when(b > ZERO_BIN, F.pow(F.lit(GROWTH), b - down)).otherwise(0.0)
     pair = [
         F.max(F.when(F.col("rule") == i, F.struct(edge(F.col("_low"), 1).alias("low"), edge(F.col("_high"), 0).alias("high")))).alias(r.name)
@@ -138,11 +145,11 @@ def fences(sketches: DataFrame, by: Sequence[str], rules: Sequence[AdaptiveRule]
     return wide.select(*[F.col(c).alias(f"{prefix}{c}") for c in by], F.struct("n", *[r.name for r in rules]).alias(prefix))
 
 
-def judge_quality(docs: DataFrame, keep: Sequence[str] = ("doc_id",), by: tuple[str, str] = ("lang", "source"), rules: Sequence[AdaptiveRule] = RULES, per_mille: int = 5, prior_rows: int = 100) -> DataFrame:
+def judge_quality(docs: DataFrame, keep: Sequence[str] = ("doc_id",), by: tuple[str, str] = ("lang", "source"), rules: Sequence[AdaptiveRule] = RULES, reach: float = REACH, prior_rows: int = 100) -> DataFrame:
     """``keep`` columns, the measures, base_failed, kept, failed_rules for every row of ``docs``.
 
-    Thresholds come from all documents that pass the base rules: the quantiles beyond which ``per_mille`` of a thousand
-    lie, of their language and source, which count for the group's number of documents against ``prior_rows`` for the
+    Thresholds come from all documents that pass the base rules: fences ``reach`` spreads beyond the quartiles of their
+    language and source, whose quartiles count for the group's number of documents against ``prior_rows`` for the
     language's; the language's count alike against those of all documents. Null language or source is a group like
     others; null text fails the base rule. With no document that passes, only the base rule decides. Extra columns are
     ignored.
@@ -154,19 +161,27 @@ def judge_quality(docs: DataFrame, keep: Sequence[str] = ("doc_id",), by: tuple[
     measured = materialize(with_ratios(measures.toDF(*plain, *measures.columns[n_keep + 2 :])), "measures").withColumn("base_failed", base_failed())
     fine = materialize(group_sketches(measured.where(~F.col("base_failed")), ["_lang", "_source"], rules), "sketches")
     middle = merged_sketches(fine, ["_lang"])
-    a, b = fences(fine, ["_lang", "_source"], rules, per_mille, "a"), fences(merged_sketches(fine, ["_lang"]), ["_lang"], rules, per_mille, "b")
-    overall = fences(merged_sketches(fine.withColumn("_one", F.lit(1)), ["_one"]), ["_one"], rules, per_mille, "c").first()  # a row at most
+    a, b = quartiles(fine, ["_lang", "_source"], rules, "a"), quartiles(merged_sketches(fine, ["_lang"]), ["_lang"], rules, "b")
+    overall = quartiles(merged_sketches(fine.withColumn("_one", F.lit(1)), ["_one"]), ["_one"], rules, "c").first()  # a row at most
 
     def leaning(own: str, parent: Column, r: AdaptiveRule, side: str) -> Column:
         count = F.col(f"{own}.n").cast("double")
         return (count * F.col(f"{own}.{r.name}.{side}") + prior_rows * parent) / (count + prior_rows)
 
-    def fence(r: AdaptiveRule, side: str) -> Column:
-        root = F.lit(float(overall["c"][r.name][side]) if overall else None)
-        return leaning("a", leaning("b", root, r, side), r, side).alias(f"{side}_{r.name}")
+    def both_fences(r: AdaptiveRule) -> list[Column]:
+        """The group's fences from the quartiles of all, its language and itself, each leaning on those before."""
+        quarter = {side: F.lit(float(overall["c"][r.name][side]) if overall else None) for side in ("low", "high")}
+        low = high = width = None
+        for own in ("c", "b", "a"):
+            if own != "c":
+                quarter = {side: leaning(own, quarter[side], r, side) for side in quarter}
+            before, width = width, reach * F.greatest(quarter["high"] - quarter["low"], F.lit(r.spread))
+            least, most = quarter["low"] - width, quarter["high"] + width
+            low, high = (least, most) if before is None else (F.greatest(least, low - before), F.least(most, high + before))
+        return [low.alias(f"low_{r.name}"), high.alias(f"high_{r.name}")]
 
     # a row per group with its final fences, then one join
-    final = a.join(b, F.col("a_lang").eqNullSafe(F.col("b_lang"))).select("a_lang", "a_source", *[fence(r, side) for r in rules for side in ("low", "high")])
+    final = a.join(b, F.col("a_lang").eqNullSafe(F.col("b_lang"))).select("a_lang", "a_source", *[f for r in rules for f in both_fences(r)])
     judged = measured.join(final, F.col("_lang").eqNullSafe(F.col("a_lang")) & F.col("_source").eqNullSafe(F.col("a_source")), "left")
     beyond = lambda r: (F.col(r.name) > F.col(f"high_{r.name}")) | ((F.col(r.name) < F.col(f"low_{r.name}")) if r.both else F.lit(False))
     failed = F.array_compact(F.array(*[F.when(beyond(r), F.lit(r.name)) for r in rules]))

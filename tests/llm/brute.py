@@ -53,30 +53,41 @@ def quantile(values: list[float], per_mille: int) -> float:
     return sorted(values)[-(-per_mille * len(values) // 1000) - 1]
 
 
-def quality_fences(rows: list[tuple], per_mille: int, prior_rows: int, growth: float = 1.02) -> dict[tuple, list[tuple[float, float]]]:
-    """(lang, source) to (low, high) of each ratio, from rows (lang, source, text), by exact quantiles at the sketch's bin edges."""
+SPREADS = (0.02, 0.1, 0.05, 0.25)
+
+
+def quality_fences(rows: list[tuple], reach: float, prior_rows: int, growth: float = 1.02) -> dict[tuple, list[tuple[float, float]]]:
+    """(lang, source) to (low, high) of each ratio, from rows (lang, source, text), by exact quartiles at the sketch's bin edges."""
     sound = [(lang, source, ratios(t)) for lang, source, t in rows if not quality(t)[5]]
 
     def edges(own: list[float]) -> tuple[float, float]:
         def edge(x: float, down: int) -> float:
             return growth ** (math.ceil(math.log(x) / math.log(growth)) - down) if x else 0.0
 
-        return edge(quantile(own, per_mille), 1), edge(quantile(own, 1000 - per_mille), 0)
+        return edge(quantile(own, 250), 1), edge(quantile(own, 750), 0)
 
     def lean(own: list, parent: tuple[float, float]) -> tuple[float, float]:
         return tuple((len(own) * e + prior_rows * p) / (len(own) + prior_rows) for e, p in zip(edges(own), parent, strict=True))
 
+    def fence(quarter: tuple, spread: float, parent: tuple | None) -> tuple[float, float, float]:
+        """low, high, and the distance of fence and quartile; the parent's own such distance is how far beyond its fence one may go."""
+        width = reach * max(quarter[1] - quarter[0], spread)
+        low, high = quarter[0] - width, quarter[1] + width
+        return (low, high, width) if parent is None else (max(low, parent[0] - parent[2]), min(high, parent[1] + parent[2]), width)
+
     out = defaultdict(list)
-    for k in range(4):
+    for k, spread in enumerate(SPREADS):
         root = edges([r[k] for _, _, r in sound])
+        widest = fence(root, spread, None)
         for lang, source in {x[:2] for x in sound}:
             of_lang = lean([r[k] for a, _, r in sound if a == lang], root)
-            out[lang, source].append(lean([r[k] for a, b, r in sound if (a, b) == (lang, source)], of_lang))
+            own = lean([r[k] for a, b, r in sound if (a, b) == (lang, source)], of_lang)
+            out[lang, source].append(fence(own, spread, fence(of_lang, spread, widest))[:2])
     return out
 
 
-def quality_kept(rows: list[tuple], per_mille: int = 5, prior_rows: int = 100) -> list[bool]:
-    fences = quality_fences(rows, per_mille, prior_rows)
+def quality_kept(rows: list[tuple], reach: float = 3.0, prior_rows: int = 100) -> list[bool]:
+    fences = quality_fences(rows, reach, prior_rows)
     out = []
     for lang, source, text in rows:
         bad = quality(text)[5]

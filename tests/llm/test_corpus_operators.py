@@ -46,12 +46,31 @@ def test_quality_verdicts(spark, sf):
     odd = docs.where("doc_id % 3 = 0").select("doc_id", "text", F.lit(None).cast("string").alias("lang"), F.when(F.col("doc_id") % 2 == 0, "hot").alias("source"))
     rows = docs.unionByName(odd).unionByName(docs.where("doc_id < 20")).unionByName(spark.createDataFrame([(None, None, "en", None), (-1, "", None, "x")], docs.schema))
     own = [tuple(r) for r in rows.select("lang", "source", "text").collect()]
-    for per_mille, prior in ((5, 100), (50, 10)):
-        want = sorted(zip([r.doc_id for r in rows.select("doc_id").collect()], brute.quality_kept(own, per_mille, prior), strict=True), key=key)
-        runs = [sorted(((r.doc_id, r.kept) for r in quality_rules.judge_quality(d, per_mille=per_mille, prior_rows=prior).collect()), key=key) for d in (rows, rows.repartition(7))]
+    for reach, prior in ((3.0, 100), (0.7, 10)):
+        want = sorted(zip([r.doc_id for r in rows.select("doc_id").collect()], brute.quality_kept(own, reach, prior), strict=True), key=key)
+        runs = [sorted(((r.doc_id, r.kept) for r in quality_rules.judge_quality(d, reach=reach, prior_rows=prior).collect()), key=key) for d in (rows, rows.repartition(7))]
         assert runs[0] == want and runs[1] == want
-    fences = brute.quality_fences(own, 5, 100)
-    assert all(len({f[k][1] for f in fences.values()}) > len(fences) / 4 for k in range(4))
+    fences = brute.quality_fences(own, 3.0, 100)
+    assert len({f[3] for f in fences.values()}) > len(fences) / 2
+
+
+def test_bad_groups_lose_more(spark):
+    """A clean group loses nothing, one with a share of junk that share, and one of junk alone isn't its own measure."""
+    rng = random.Random(12)
+    good = lambda: " ".join("".join(rng.choice("aeiourstln") for _ in range(rng.randrange(3, 8))) for _ in range(200))
+    junk = lambda: " ".join(rng.choice(["##", "$$$", "buy%now", "<b>", "||", "word"]) + str(rng.randrange(10**6)) for _ in range(200))
+    rows = [(0, good(), "en", "clean") for _ in range(300)] + [(1 if k % 6 == 0 else 0, junk() if k % 6 == 0 else good(), "en", "mixed") for k in range(300)] + [(1, junk(), "en", "junk") for _ in range(60)]
+    docs = spark.createDataFrame([(k, bad, text, lang, source) for k, (bad, text, lang, source) in enumerate(rows)], "doc_id long, bad int, text string, lang string, source string")
+    judged = quality_rules.judge_quality(docs, keep=["doc_id", "bad", "source"]).groupBy("source", "bad").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
+    kept = {(r.source, r.bad): r.kept for r in judged}
+    assert kept["clean", 0] > 0.99 and kept["mixed", 0] > 0.98 and kept["mixed", 1] < 0.02 and kept["junk", 1] < 0.02
+
+
+def test_more_bad_text_is_lost_than_good(spark):
+    sf = "/root/testdata/sf0.01"
+    judged = quality_rules.judge_quality(spark.read.parquet(f"{sf}/documents.parquet")).where("NOT base_failed").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    lost = {r.quality: r.lost for r in judged.groupBy("quality").agg(F.avg((~F.col("kept")).cast("int")).alias("lost")).collect()}
+    assert lost[1] < 0.02 and lost[0] > 20 * lost[1] and lost[0] > 0.5
 
 
 def test_repeats_when_hashes_clash(spark, monkeypatch):
