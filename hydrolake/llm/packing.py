@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import uuid
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
@@ -11,6 +10,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,9 +61,9 @@ def token_pieces(docs: DataFrame, tokenizer_json: str, ranks_file: str | None, s
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        salt = np.random.default_rng(TaskContext.get().partitionId())  # a task that is run again gives the same
         for batch in batches:
             out: list[tuple] = []
-            salt = np.random.default_rng(uuid.uuid4().int)
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = np.append(encode(text, tokenizer_json, ranks_file), np.array([end_id], "<u4")).astype("<u4")
                 for start in range(0, len(ids), seq_len):

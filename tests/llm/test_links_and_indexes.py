@@ -114,3 +114,14 @@ def test_hosts_of_many_labels(spark):
         host, path, rule, verdict = brute.url(u)
         assert got[k] == (host, path, rule, verdict or "allow")
     assert url_filter.judge_urls(pages, rules).agg(F.max("n_keys")).first()[0] <= 3 * len({len(r.path) for r in rules})
+
+
+def test_packing_again_gives_the_same(spark):
+    """Sequences are equal in each run over the same files, and copies of a row are spread over the groups."""
+    from hydrolake.llm import packing
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    runs = [sorted(map(tuple, packing.pack_documents(docs, *packing.public_files(), pieces_per_group=40).collect())) for _ in range(2)]
+    assert runs[0] == runs[1]
+    same = spark.range(200).select(F.lit(1).cast("long").alias("doc_id"), F.lit("one text").alias("text"))
+    assert len({r.sequence_id >> 32 for r in packing.pack_documents(same, *packing.public_files(), pieces_per_group=10).collect()}) > 10
