@@ -202,6 +202,22 @@ def l9_conformal_intervals(spark, sf_dir):
     return tidy(intervals(spark, sf_dir).select("row_id", "regime", "low", "high"), 3)
 
 
+def _variant(v: str) -> str:
+    """Common tables of one variant: scores, quantiles over all and by regime, intervals."""
+    score, half = ("abs(y - yhat) / (yhat + 1000)", "q * (yhat + 1000)") if v in "CD" else ("abs(y - yhat)", "q")
+    q = "coalesce(CASE WHEN q1.n >= 5 THEN q1.q END, q0.q)" if v in "BD" else "q0.q"
+    return f""", sc{v} AS (SELECT zone, horizon, CASE WHEN y > 0 THEN 'wet' ELSE 'dry' END AS regime, {score} AS s FROM p WHERE split = 'calib')
+, qa{v} AS ({_quantile(f'sc{v}', 'zone, horizon')}), qb{v} AS ({_quantile(f'sc{v}', 'zone, horizon, regime')})
+, iv{v} AS (SELECT row_id, regime, greatest(0e0, yhat - {half}) AS low, yhat + {half} AS high FROM (SELECT t.*, {q} AS q FROM (SELECT *, CASE WHEN prob >= 0.5 THEN 'wet' ELSE 'dry' END AS regime FROM p WHERE split = 'test') t LEFT JOIN qa{v} q0 USING (zone, horizon) LEFT JOIN qb{v} q1 USING (zone, horizon, regime)))"""
+
+
+@register("l9_conformal_variants", sql("predictions", P + "".join(map(_variant, "ABC")) + " UNION ALL ".join(f" SELECT row_id, '{v}' AS variant, regime, {rd('low', 'low', 3)}, {rd('high', 'high', 3)} FROM iv{v}" for v in "ABC")))
+def l9_conformal_variants(spark, sf_dir):
+    """A: absolute scores over all; B: by regime; C: scores relative to the prediction, over all. D is l9_conformal_intervals."""
+    each = [intervals(spark, sf_dir, v).select("row_id", F.lit(v).alias("variant"), "regime", "low", "high") for v in "ABC"]
+    return tidy(models.union_all(each), 3)
+
+
 @register("a23_coverage_stats", sql("predictions", CONF + f"""SELECT zone, horizon, {rd('avg(CASE WHEN y BETWEEN low AND high THEN 1e0 ELSE 0e0 END)', 'coverage')}, {rd('avg(CASE WHEN y BETWEEN low AND high THEN 1e0 ELSE 0e0 END) FILTER (WHERE y > 0)', 'wet_coverage')}, {rd('avg(CASE WHEN y BETWEEN low AND high THEN 1e0 ELSE 0e0 END) FILTER (WHERE y <= 0)', 'dry_coverage')},
  {rd('avg(high - low)', 'mean_width', 3)}, {rd('quantile_cont(high - low, 0.5)', 'median_width', 3)}, {rd('avg(high - low) FILTER (WHERE y > 0)', 'wet_width', 3)} FROM iv GROUP BY 1, 2"""))
 def a23_coverage_stats(spark, sf_dir):
