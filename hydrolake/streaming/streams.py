@@ -32,6 +32,13 @@ def stream_ingest(spark: SparkSession, path: str, files_per_trigger: int = 1) ->
     return reader.option("pathGlobFilter", name).parquet(folder) if name.endswith(".parquet") else reader.parquet(path)
 
 
+def written(spark: SparkSession, folder: str, schema, inside: str = "") -> DataFrame:
+    """The Parquet rows of a sink's folder (``inside``: a pattern of its own); none if no batch has written it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    there = at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    return spark.read.schema(schema).parquet(folder + inside) if there else spark.createDataFrame([], schema)
+
+
 def clock_folder(spark: SparkSession, folder: str) -> str:
     """An empty clock in a new folder."""
     at = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -273,7 +280,7 @@ def run_to_table(stream: DataFrame, folder: str, keyed: bool = False, clock: str
     """Run all that is there and return what was written to a Parquet folder."""
     spark = stream.sparkSession
     run_through(stream.writeStream.outputMode("append").format("parquet").option("path", f"{folder}/out"), spark, folder, keyed, clock)
-    return spark.read.schema(stream.schema).parquet(f"{folder}/out")
+    return written(spark, f"{folder}/out", stream.schema)
 
 
 def run_split(stream: DataFrame, folder: str, anomaly: str, keyed: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -290,7 +297,7 @@ def run_split(stream: DataFrame, folder: str, anomaly: str, keyed: bool = True)
         kept.unpersist()
 
     run_through(stream.writeStream.outputMode("append").foreachBatch(write), spark, folder, keyed)
-    return tuple(spark.read.schema(stream.schema).parquet(f"{folder}/{name}/*") for name in ("history", "anomalies"))
+    return tuple(written(spark, f"{folder}/{name}", stream.schema, "/*") for name in ("history", "anomalies"))
 
 
 def run_upserts(stream: DataFrame, folder: str, key: Sequence[str], order: str, mode: str = "update", partitions: int = 16) -> DataFrame:

@@ -170,3 +170,16 @@ def test_upserts_write_what_they_touch(spark):
 def test_dedup_of_upserts_keeps_the_schema(spark):
     df = spark.createDataFrame([(1, "a", 1)], "k long, v string, at long")
     assert series.dedup_latest(df, ["k"], "at").columns == ["k", "v", "at"]
+
+
+def test_streams_without_rows(spark):
+    folder = fresh_path(spark, "nothing")
+    spark.createDataFrame([], "station string, row_id long, ts timestamp, value double, kind string, event_no long, date date, precipitation double").write.parquet(folder)
+    rows = lambda: streams.stream_ingest(spark, folder)
+    path = lambda: fresh_path(spark, "empty")
+    clock = streams.clock_folder(spark, path())
+    assert streams.run_to_table(streams.stream_hourly(rows(), ["station"], "ts", "value", clock=clock), path(), clock=clock).count() == 0
+    history, anomalies = streams.run_split(streams.stream_monotonic_gap(rows(), "station", "row_id", "ts"), path(), "NOT stored OR gap_flag")
+    assert history.count() == 0 and anomalies.count() == 0
+    assert streams.run_to_table(streams.stream_valve_pairing(rows(), "station", "row_id"), path(), keyed=True).count() == 0
+    assert streams.run_upserts(streams.stream_latest(rows(), ["station"], "row_id", "ts", "value"), path(), ["station"], "row_id").count() == 0
