@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hydrolake.operators import ranges
+from hydrolake.sources.shared import fresh_path
 
 TOLERANCE = 1e-9
 
@@ -97,7 +98,9 @@ def covering_days(days: DataFrame, events: DataFrame, by: Sequence[str], at: str
     Moments and both ends of the events are swept once, from the latest on, for the nearest moment that is still to come.
     """
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    e = events.withColumn("_event", F.monotonically_increasing_id() if "_event" not in events.columns else F.col("_event"))
+    path = fresh_path(events.sparkSession, "events")  # numbered once: a number must not change when rows are read again
+    events.withColumn("_event", F.monotonically_increasing_id()).write.parquet(path)
+    e = events.sparkSession.read.parquet(path)
     none = F.lit(None).cast("long")
     points = (
         days.select(*by, micros(at).alias("_t"), F.lit(1).alias("_kind"), none.alias("_event"))
@@ -121,7 +124,7 @@ def sweep_intervals(days: DataFrame, events: DataFrame, by: Sequence[str], value
     over ranges of time. So work and result grow with moments plus events, however long events stay open; the
     events that cover a moment are those opened up to it without those closed.
     """
-    e = events.select(*by, start, end, F.col(value).alias("_v"), F.col(number).alias("_n"), F.monotonically_increasing_id().alias("_event"))
+    e = events.select(*by, start, end, F.col(value).alias("_v"), F.col(number).alias("_n"))
     c = covering_days(days.select(*by, at), e, by, at, start, end)
     ends = c.select(*by, F.explode(F.array(F.struct(F.col("first_at").alias("t"), F.lit(1).alias("d")), F.struct(F.col("after_at").alias("t"), F.lit(-1).alias("d")))).alias("p"), "_v", "_n").where("p.t IS NOT NULL")
     opens = F.col("p.d") == 1

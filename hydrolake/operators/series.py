@@ -242,11 +242,12 @@ def candidate_days(days: DataFrame, day: str) -> DataFrame:
     return days.withColumn("candidate", F.explode(F.sequence(first, F.date_sub(day, 1))))
 
 
-def tier_schedule(start: str, end: str, today: str, lag_days: int, spark) -> DataFrame:
-    """Dates from start to end with the tier to fetch: final up to ``lag_days`` before today, then prelim tiers."""
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("date"))
-    final = F.col("date") <= F.date_sub(F.lit(today).cast("date"), lag_days)
-    return days.withColumn("tiers", F.when(final, F.array(F.lit("final"))).otherwise(F.array(F.lit("prelim_ftp"), F.lit("prelim"))))
+def tier_schedule(spans: DataFrame, by: Sequence[str], lag_days: int, start: str = "start", end: str = "end", today: str = "today") -> DataFrame:
+    """``by``, date and the tiers to fetch, for each key's dates from start to end: final up to ``lag_days`` before its today,
+    then prelim tiers."""
+    days = spans.select(*by, F.col(today).alias("_today"), F.explode(F.sequence(F.to_date(start), F.to_date(end))).alias("date"))
+    final = F.col("date") <= F.date_sub("_today", lag_days)
+    return days.withColumn("tiers", F.when(final, F.array(F.lit("final"))).otherwise(F.array(F.lit("prelim_ftp"), F.lit("prelim")))).drop("_today")
 
 
 def recursive_api(df: DataFrame, by: Sequence[str], order: str, rain: str, k: float = 0.95) -> DataFrame:

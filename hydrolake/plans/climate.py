@@ -321,13 +321,16 @@ def g2_week_skeleton(spark, sf_dir):
 
 
 @register("g6_tier_schedule", sql("rain_daily", f"""
-, have AS (SELECT DISTINCT date FROM rain_daily WHERE data_type = 'final' AND zone = 'A')
-, s AS (SELECT CAST(d AS DATE) AS date FROM (SELECT unnest(generate_series(TIMESTAMP '2001-06-01', TIMESTAMP '2001-11-30', INTERVAL 1 DAY)) AS d))
-SELECT {dt('s.date', 'date')}, unnest(CASE WHEN s.date <= DATE '2001-10-12' THEN ['final'] ELSE ['prelim_ftp', 'prelim'] END) AS tier FROM s ANTI JOIN have USING (date)"""))
+, have AS (SELECT DISTINCT zone, date FROM rain_daily WHERE data_type = 'final')
+, s AS (SELECT zone, b, CAST(unnest(generate_series(a::TIMESTAMP, b::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS date FROM (SELECT zone, min(date) AS a, max(date) AS b FROM rain_daily GROUP BY 1))
+SELECT s.zone, {dt('s.date', 'date')}, unnest(CASE WHEN s.date <= b + 1 - 50 THEN ['final'] ELSE ['prelim_ftp', 'prelim'] END) AS tier FROM s ANTI JOIN have USING (zone, date)"""))
 def g6_tier_schedule(spark, sf_dir):
-    have = rain(spark, sf_dir).where("data_type = 'final' AND zone = 'A'").select("date").distinct()
-    plan = series.tier_schedule("2001-06-01", "2001-11-30", "2001-12-01", 50, spark).join(have, "date", "left_anti")
-    return tidy(plan.select("date", F.explode("tiers").alias("tier")))
+    """Each zone's days of rain, as of the day after its last; days that a final value covers need none."""
+    r = rain(spark, sf_dir)
+    spans = r.groupBy("zone").agg(F.min("date").alias("start"), F.max("date").alias("end"), F.date_add(F.max("date"), 1).alias("today"))
+    have = r.where("data_type = 'final'").select("zone", "date").distinct()
+    plan = series.tier_schedule(spans, ["zone"], 50).join(have, ["zone", "date"], "left_anti")
+    return tidy(plan.select("zone", "date", F.explode("tiers").alias("tier")))
 
 
 @register("g7_candidate_days", sql("rain_daily", DAYS + f"SELECT {dt('date', 'date')}, {dt("unnest(generate_series(CASE WHEN isodow(date) = 1 THEN date - INTERVAL 7 DAY ELSE date_trunc('week', date)::TIMESTAMP END, date - INTERVAL 1 DAY, INTERVAL 1 DAY))", 'candidate')} FROM days"))

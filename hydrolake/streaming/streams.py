@@ -207,26 +207,37 @@ class UpsertTable:
     """A table in which rows replace those with their key, the newest by ``order`` wins; ``write`` is a foreachBatch sink.
 
     Keys are dealt to partitions by a hash. A batch rewrites the partitions that it touches, as a new version of each, and
-    then logs the versions; readers take the last logged ones, so that a batch is seen whole or not at all. A batch whose
-    number is in the log is left out, and one that failed before that is written over, so replays change nothing.
+    then logs the versions of all; readers take the last whole log, so that a batch is seen whole or not at all. A batch
+    that is logged is left out when it comes again, and one that failed before that is written over, so replays change
+    nothing. ``vacuum`` removes versions that no kept log names.
     """
 
     def __init__(self, path: str, key: Sequence[str], order: str, partitions: int = 16) -> None:
         self.path, self.key, self.order, self.partitions = path, list(key), order, partitions
 
-    def versions(self, spark: SparkSession) -> dict[int, int]:
-        """Partition to the batch that wrote it last."""
-        at = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/log")
-        if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
-            return {}
-        log = spark.read.schema("part int, batch long").json(f"{self.path}/log/*")
-        return {r["part"]: r["batch"] for r in log.groupBy("part").agg(F.max("batch").alias("batch")).collect()}
+    def _files(self, spark: SparkSession):
+        at = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return at.getFileSystem(spark._jsc.hadoopConfiguration()), spark._jvm.org.apache.hadoop.fs.Path
+
+    def logged(self, spark: SparkSession) -> list[int]:
+        """The numbers of logged batches, oldest first; a log that wasn't finished has no mark of success."""
+        fs, path = self._files(spark)
+        if not fs.exists(path(f"{self.path}/log")):
+            return []
+        numbers = [int(f.getPath().getName()) for f in fs.listStatus(path(f"{self.path}/log")) if f.getPath().getName().isdigit()]
+        return sorted(n for n in numbers if fs.exists(path(f"{self.path}/log/{n}/_SUCCESS")))
+
+    def versions(self, spark: SparkSession, number: int | None = None) -> dict[int, int]:
+        """Partition to the batch that wrote it last, as of a logged batch (default: the last); at most ``partitions`` rows."""
+        known = self.logged(spark) if number is None else [number]
+        rows = spark.read.schema("part int, batch long").json(f"{self.path}/log/{known[-1]}").collect() if known else []
+        return {r["part"]: r["batch"] for r in rows}
 
     def write(self, batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        versions = self.versions(spark)
-        if number in versions.values() or number < max(versions.values(), default=-1):
+        if number <= max(self.logged(spark), default=-1):
             return
+        versions = self.versions(spark)
         part = F.pmod(F.xxhash64(*self.key), F.lit(self.partitions)).cast("int")
         new = series.dedup_latest(batch, self.key, self.order).withColumn("_part", part).persist()
         try:
@@ -239,7 +250,7 @@ class UpsertTable:
                 before = spark.read.schema(batch.schema).parquet(*old).withColumn("_part", part)
                 rows = series.dedup_latest(before.unionByName(new), self.key, self.order)
             rows.repartition("_part").write.partitionBy("_part").mode("overwrite").parquet(f"{self.path}/rows/{number}")
-            log = spark.createDataFrame([(p, number) for p in touched], "part int, batch long")
+            log = spark.createDataFrame(sorted((versions | dict.fromkeys(touched, number)).items()), "part int, batch long")
             log.coalesce(1).write.mode("overwrite").json(f"{self.path}/log/{number}")
         finally:
             new.unpersist()
@@ -248,6 +259,16 @@ class UpsertTable:
         paths = [f"{self.path}/rows/{batch}/_part={part}" for part, batch in self.versions(spark).items()]
         return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
+    def vacuum(self, spark: SparkSession, keep: int = 2) -> None:
+        """Remove what only readers of logs older than the last ``keep`` need."""
+        fs, path = self._files(spark)
+        known = self.logged(spark)
+        kept = {v for n in known[-keep:] for v in self.versions(spark, n).items()}
+        for n in known[:-keep]:
+            for p, b in set(self.versions(spark, n).items()) - kept:
+                fs.delete(path(f"{self.path}/rows/{b}/_part={p}"), True)
+            fs.delete(path(f"{self.path}/log/{n}"), True)
+
 
 @contextmanager
 def state_store(spark: SparkSession, keyed: bool) -> Iterator[None]:

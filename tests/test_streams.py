@@ -165,6 +165,13 @@ def test_upserts_write_what_they_touch(spark):
     assert {r.v for r in table.read(spark, schema).where("k = 1").collect()} == {"whole"}
     table.write(spark.createDataFrame([], schema), 3)
     assert table.read(spark, schema).count() == 20_001
+    before = rows_of(table.read(spark, schema))
+    size = written(spark, f"{table.path}/rows")
+    table.vacuum(spark, keep=1)
+    assert rows_of(table.read(spark, schema)) == before and written(spark, f"{table.path}/rows") < size
+    assert table.logged(spark) == [2]
+    table.write(spark.createDataFrame([(7, "late", 99)], schema), 2)
+    assert rows_of(table.read(spark, schema)) == before
 
 
 def test_dedup_of_upserts_keeps_the_schema(spark):
