@@ -9,7 +9,8 @@ Large families of near copies don't give all pairs: in the first round each grou
 shingles (the one where the shingle stands first, which has the fewest own edits); after the components of these links
 are known, the second round takes every remaining pair of groups from different components, also of a group with itself
 where its sets are in several. So each link between components is found, and pairs inside a known component are never
-formed.
+formed. A shingle that stands in the prefixes of many components would give all their pairs: it is followed by the next
+shingle that two linked sets share, so only components that share both meet.
 """
 
 from __future__ import annotations
@@ -105,31 +106,39 @@ def count_sketch(docs: DataFrame, size: int) -> np.ndarray:
     return np.minimum(out, 2**32 - 1).astype(np.uint32)
 
 
+def prefix_length(n: int, percent: int) -> int:
+    """How many of a set's ``n`` shingles, rare first, hold the first one that it shares with any set it links to."""
+    return n - (percent * n + 99) // 100 + 1
+
+
 def signatures(docs: DataFrame, size: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """doc_id, tk (hash of the text), n, sid (set), gid (prefix and size), prefix (hashes, rare first) per document."""
+    """doc_id, tk (hash of the text), n, sid (set), gid (prefix and size), prefix (hashes, rare first), after (the shingle
+    after the prefix, null if there is none) per document."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
     mask = np.uint64(len(counts) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
-            ns, sids, gids, prefixes = [], [], [], []
+            ns, sids, gids, prefixes, afters = [], [], [], [], []
             for text in batch.column(2).to_pylist():
                 own = shingle_set(text, size)
                 n = len(own)
-                first = np.lexsort((own, counts[(own & mask).astype(np.int64)]))[: n - (percent * n + 99) // 100 + 1] if n else []
-                prefix = own[first].view(np.int64) if n else np.empty(0, np.int64)
+                reach = prefix_length(n, percent) if n else 0
+                first = np.lexsort((own, counts[(own & mask).astype(np.int64)]))[: reach + 1]
+                prefix = own[first[:reach]].view(np.int64)
+                afters.append(int(own[first[reach]].view(np.int64)) if reach < n else None)
                 ns.append(n)
                 sids.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
                 gids.append(hashlib.blake2b(prefix.tobytes() + n.to_bytes(8, "little"), digest_size=16).digest())
                 prefixes.append(prefix)
             offsets = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.empty(0, np.int64)
-            arrays = [pa.array(ns, pa.int32()), pa.array(sids, pa.binary()), pa.array(gids, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], names=["doc_id", "tk", "n", "sid", "gid", "prefix"])
+            arrays = [pa.array(ns, pa.int32()), pa.array(sids, pa.binary()), pa.array(gids, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64())), pa.array(afters, pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], names=["doc_id", "tk", "n", "sid", "gid", "prefix", "after"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole_text()).alias("tk"), whole_text().alias("text"))
-    return rows.mapInArrow(run, "doc_id long, tk long, n int, sid binary, gid binary, prefix array<long>")
+    return rows.mapInArrow(run, "doc_id long, tk long, n int, sid binary, gid binary, prefix array<long>, after long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, percent: int, repeats: bool) -> DataFrame:
@@ -193,11 +202,50 @@ def connected(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
 
 def may_link(na, nb, pa_, pb, percent: int):
-    """Size and position filter: the overlap is at most what is left from the first shared shingle on."""
-    most = F.least(na - pa_, nb - pb).cast("long")
+    """Size and position filter: the overlap of two different sets is at most what is left from the first shared shingle
+    on, and less than their size if that is the same."""
+    most = F.least(na - pa_, nb - pb, F.when(na == nb, na - 1)).cast("long")
     return (100 * F.least(na, nb).cast("long") >= percent * F.greatest(na, nb).cast("long")) & (most * (100 + percent) >= percent * (na.cast("long") + nb.cast("long")))
 
 
+def spans_of(rows: DataFrame, percent: int) -> DataFrame:
+    """Per token and component: the range of sizes, the most that is left, and how many rows ``by_next_shingle`` makes."""
+    later = F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1 - F.col("pos")
+    return rows.groupBy("token", "comp").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("pos")).alias("rest"), F.sum(later).alias("later"), F.max("whole").alias("whole")
+    )
+
+
+def in_many_components(spans: DataFrame) -> DataFrame:
+    """Tokens with more pairs of components than rows when told apart by the next shingle. That of a whole group isn't one:
+    its sets share the next one, too."""
+    per = spans.groupBy("token").agg(F.count(F.lit(1)).cast("double").alias("k"), F.sum("later").alias("later"), F.max("whole").alias("whole"))
+    return per.where("not whole and k * (k - 1) > 2 * later").select("token")
+
+
+def by_next_shingle(rows: DataFrame, groups: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """``rows`` (token, comp, gno, n, pos, whole) with each token followed by each later shingle of the prefix and the one
+    after it; pos is such that n - pos is still the most that two sets can share.
+
+    Exact: if linked sets share two shingles or more, the first is in both prefixes and the second there or right after.
+    Sets so small that one shared shingle can do keep a token without a second.
+    """
+    keep = ["comp", "gno", "n", "whole"]
+    inside = rows.join(groups.select("gno", "prefix"), "gno").select("token", *keep, "pos", F.posexplode("prefix").alias("at", "next")).where("at > pos")
+    nexts = placed.where("after is not null").select("gno", "comp", "after").distinct()
+    length = (F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1).cast("int")
+    beyond = rows.join(nexts, ["gno", "comp"]).select("token", *keep, "pos", length.alias("at"), F.col("after").alias("next"))
+    two = inside.unionByName(beyond).select(F.xxhash64("token", "next").alias("token"), *keep, (F.col("at") - 1).alias("pos"))
+    one = rows.where(f"{percent} * n <= 100").select(F.xxhash64("token").alias("token"), *keep, "pos")
+    return two.unionByName(one)
+
+
+def in_two_components(rows: DataFrame) -> DataFrame:
+    """``rows`` of tokens that stand in more than one component."""
+    mixed = rows.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("token")
+    return rows.join(mixed, "token", "left_semi")
+
+
 def placed_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """doc_id, tk (hash of the text), n_shingles, component_id, first_tk per row of ``docs``.
 
@@ -210,9 +258,9 @@ def placed_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
     groups = materialize(
         full.select("gid", "n", "prefix").dropDuplicates(["gid"]).withColumn("gno", F.monotonically_increasing_id()), "groups"
     )
-    classes = full.groupBy("sid").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("doc"), "tk")).alias("x"), F.first("gid").alias("gid"), F.first("n").alias("n"))
+    classes = full.groupBy("sid").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("doc"), "tk")).alias("x"), F.first("gid").alias("gid"), F.first("n").alias("n"), F.first("after").alias("after"))
     sets = materialize(
-        classes.join(groups.select("gid", "gno"), "gid").select("sid", F.col("x.doc").alias("doc"), F.col("x.tk").alias("tk"), "gno", "n").withColumn("sno", F.monotonically_increasing_id()), "sets"
+        classes.join(groups.select("gid", "gno"), "gid").select("sid", F.col("x.doc").alias("doc"), F.col("x.tk").alias("tk"), "gno", "n", "after").withColumn("sno", F.monotonically_increasing_id()), "sets"
     )
     postings = groups.select("gno", "n", F.posexplode("prefix").alias("pos", "token"))
 
@@ -229,7 +277,8 @@ def placed_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
     stars = stars.join(groups.select(F.col("gno").alias("lead"), F.col("n").alias("ln")), "lead").where(may_link(F.col("n"), F.col("ln"), F.col("pos"), F.col("lpos"), percent))
     heads = sets.groupBy("gno").agg(F.min("sno").alias("head"))
     across = stars.select("lead", "gno").join(heads.toDF("lead", "a"), "lead").join(sets.select("gno", F.col("sno").alias("b")), "gno").select("a", "b")
-    within = sets.select("gno", F.col("sno").alias("b")).join(heads.withColumnRenamed("head", "a"), "gno").where("a <> b").select("a", "b")
+    alike = f"(n - 1L) * {100 + percent} >= n * {2 * percent}L"  # two sets of one size can be different and linked
+    within = sets.where(alike).select("gno", F.col("sno").alias("b")).join(heads.withColumnRenamed("head", "a"), "gno").where("a <> b").select("a", "b")
     tried = materialize(across.union(within).distinct(), "tried")
     links = verified(tried, sets, docs, size, percent, repeats)
 
@@ -237,16 +286,20 @@ def placed_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
     # round 2: whatever may link two components
     roots = connected(links)
-    placed = materialize(sets.select("sno", "gno", "n").join(roots.withColumnRenamed("node", "sno"), "sno", "left").withColumn("comp", F.coalesce("root", "sno")).drop("root"), "placed")
+    placed = materialize(sets.select("sno", "gno", "n", "after").join(roots.withColumnRenamed("node", "sno"), "sno", "left").withColumn("comp", F.coalesce("root", "sno")).drop("root"), "placed")
     parts = placed.select("gno", "comp").distinct()
-    shared = postings.join(leaders.select("token"), "token", "left_semi").join(parts, "gno")
+    shared = postings.join(leaders.select("token"), "token", "left_semi").join(parts, "gno").withColumn("whole", F.lit(False))
     # round 1 tried a group's sets with its head only: a group in several components meets itself, from place 0 on
     split = parts.groupBy("gno").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("gno")
-    own = groups.join(split, "gno").select("gno", "n", F.lit(0).alias("pos"), F.xxhash64("gid").alias("token")).join(parts, "gno")
-    shared = shared.unionByName(own)
-    mixed = shared.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("token")
-    rows = materialize(shared.join(mixed, "token", "left_semi").select("token", "comp", "gno", "n", "pos"), "mixed")
-    spans = materialize(rows.groupBy("token", "comp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("pos")).alias("rest")), "spans")
+    own = groups.where(alike).join(split, "gno").select("gno", "n", F.lit(0).alias("pos"), F.xxhash64("gid").alias("token"), F.lit(True).alias("whole")).join(parts, "gno")
+    rows = materialize(in_two_components(shared.unionByName(own)).select("token", "comp", "gno", "n", "pos", "whole"), "mixed")
+    spans = materialize(spans_of(rows, percent), "spans")
+    many = materialize(in_many_components(spans), "many-components")
+    if not many.isEmpty():
+        told_apart = in_two_components(by_next_shingle(rows.join(many, "token", "left_semi"), groups, placed, percent))
+        rows = materialize(rows.join(many, "token", "left_anti").unionByName(told_apart), "mixed")
+        spans = materialize(spans_of(rows, percent), "spans")
+    rows, spans = rows.select("token", "comp", "gno", "n", "pos"), spans.select("token", "comp", "low", "high", "rest")
     x, y = spans.toDF("token", "c1", "low1", "high1", "rest1"), spans.toDF("token", "c2", "low2", "high2", "rest2")
     met = x.join(y, "token").where("c1 < c2").where(f"100 * high1 >= {percent} * low2 and 100 * high2 >= {percent} * low1").where(
         f"least(rest1, rest2) * {100 + percent} >= {percent} * (low1 + low2)"
