@@ -168,30 +168,14 @@ def test_jaccard_links_inside_a_prefix_group(spark):
     assert sorted(map(tuple, jaccard_join.jaccard_components(docs, 1, 60).collect())) == want
 
 
-@pytest.mark.parametrize("size,percent,words,known", [(1, 80, 14, 34), (1, 70, 9, 34), (1, 50, 3, 34), (2, 60, 7, 10)])
-def test_jaccard_shingles_in_many_components(spark, monkeypatch, size, percent, words, known):
-    """All prefixes are of frequent shingles: they are followed by the next one, and no link is lost."""
+@pytest.mark.parametrize("size,percent,words,known", [(1, 80, 14, 34), (2, 60, 7, 10)])
+def test_jaccard_shingles_in_many_components(spark, size, percent, words, known):
+    """All prefixes are of frequent shingles, which stand in many components: no link is lost."""
     rng = random.Random(words)
     texts = [" ".join(f"w{w}" for w in rng.sample(range(known), rng.randrange(max(1, words - 2), words + 3))) for _ in range(260)]
-    followed, follow = [], jaccard_join.by_next_shingle
-    monkeypatch.setattr(jaccard_join, "by_next_shingle", lambda rows, *a: followed.append(rows.select("token").distinct().count()) or follow(rows, *a))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     want = sorted((d, *x) for d, x in brute.components(list(enumerate(texts)), size, percent).items())
     assert sorted(map(tuple, jaccard_join.jaccard_components(docs, size, percent).collect())) == want
-    assert followed and followed[0] > 10
-
-
-def test_jaccard_one_shingle_in_all_components(spark):
-    """A shingle in all prefixes: the pairs of components that meet grow with the rows, not with their square."""
-    n = 2000
-    rows = spark.range(n).select(F.lit(7).cast("long").alias("token"), F.col("id").alias("comp"), F.col("id").alias("gno"), F.lit(20).alias("n"), F.lit(0).alias("pos"), F.lit(False).alias("whole"))
-    groups = spark.range(n).select(F.col("id").alias("gno"), F.array(F.lit(7).cast("long"), F.col("id") + 100, F.floor(F.col("id") / 2) + 10**6, F.col("id") + 10**7).alias("prefix"))
-    placed = spark.range(n).select(F.col("id").alias("gno"), F.col("id").alias("comp"), (F.floor(F.col("id") / 4) + 10**8).alias("after"))
-    assert [r.token for r in jaccard_join.in_many_components(jaccard_join.spans_of(rows, 85)).collect()] == [7]
-    told_apart = jaccard_join.in_two_components(jaccard_join.by_next_shingle(rows, groups, placed, 85))
-    met = jaccard_join.spans_of(told_apart, 85).groupBy("token").agg(F.count("*").alias("k"))
-    assert met.agg(F.sum(F.col("k") * (F.col("k") - 1) / 2)).first()[0] == n / 2 + n / 4 * 6
-    assert {(r.pos, r.n) for r in told_apart.select("pos", "n").distinct().collect()} == {(1, 20), (3, 20)}
 
 
 def test_one_row_of_each_component_stays(spark):
