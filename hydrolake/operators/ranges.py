@@ -2,20 +2,40 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType
 
 
-def parted(df: DataFrame, by: Sequence[str], order: str, parts: int = 200) -> DataFrame:
-    """``df`` with _part: which of the key's ranges of ``order`` (a number or a time) a row is in, by cuts from the quantile
-    sketch of the key. Rows with equal keys and order are in one range."""
-    cuts = df.groupBy(*by).agg(F.percentile_approx(order, [i / parts for i in range(1, parts)], F.lit(10 * parts)).alias("_cuts"))
-    return df.join(cuts, list(by)).withColumn("_part", F.size(F.filter("_cuts", lambda c: c < F.col(order)))).drop("_cuts")
+def _measure(df: DataFrame, order: str) -> Callable[[Column], Column]:
+    """What turns values of the column into doubles in the same order: a moment without a zone counts by its day."""
+    kind = df.schema[order].dataType
+    if isinstance(kind, (DateType, TimestampNTZType)):
+        return lambda c: F.unix_date(c.cast("date")).cast("double")
+    return lambda c: c.cast("double")
+
 
+def parted(df: DataFrame, by: Sequence[str], order: str, parts: int = 200, rows: int = 1_000_000) -> DataFrame:
+    """``df`` with _part: which of the key's ranges of ``order`` (a number or a time) a row is in, by cuts from the quantile
+    sketch of the key. Rows with equal keys and order are in one range, rows without order in the first.
 
-def running_before(df: DataFrame, by: Sequence[str], order: str, cols: Mapping[str, str], parts: int = 200, ties: Sequence[str] = ()) -> DataFrame:
+    A key of more than ``parts`` * ``rows`` rows has each range divided evenly between its ends, into as many as bring
+    it to about ``rows`` rows, so ranges grow in number with the key and not in size.
+    """
+    of, spread = _measure(df, order), F.percentile_approx(order, [i / parts for i in range(1, parts)], F.lit(10 * parts))
+    cuts = df.groupBy(*by).agg(
+        spread.alias("_cuts"), F.array(F.min(order)).alias("_first"), F.array(F.max(order)).alias("_last"), F.ceil(F.count(F.lit(1)) / (parts * rows)).alias("_finer")
+    ).select(*by, "_cuts", F.concat("_first", "_cuts", "_last").alias("_ends"), "_finer")
+    x = df.join(cuts, list(by)).withColumn("_part", F.size(F.filter("_cuts", lambda c: c < F.col(order))).cast("long"))
+    low, high = (of(F.get("_ends", (F.col("_part") + k).cast("int"))) for k in (0, 1))
+    inside = F.floor((of(F.col(order)) - low) / F.nullif(high - low, F.lit(0.0)) * F.col("_finer"))
+    finer = F.greatest(F.lit(0), F.least(F.coalesce(inside, F.lit(0)), F.col("_finer") - 1))
+    return x.withColumn("_part", F.when(F.col("_finer") > 1, F.col("_part") * F.col("_finer") + finer).otherwise(F.col("_part"))).drop("_cuts", "_ends", "_finer")
+
+
+def running_before(df: DataFrame, by: Sequence[str], order: str, cols: Mapping[str, str], parts: int = 200, ties: Sequence[str] = (), rows: int = 1_000_000) -> DataFrame:
     """``df`` with <col>_before: the ``sum`` or ``max`` of each column over the key's rows before this one.
 
     ``order`` is a number or a time, distinct per key or else told apart by ``ties``. A key's rows are dealt to ranges of
@@ -23,7 +43,7 @@ def running_before(df: DataFrame, by: Sequence[str], order: str, cols: Mapping[s
     most of the table is spread over many tasks. Without a row before, a sum is 0 and a maximum null.
     """
     keys = list(by) or ["_all_rows"]
-    x = parted(df if by else df.withColumn("_all_rows", F.lit(0)), keys, order, parts)
+    x = parted(df if by else df.withColumn("_all_rows", F.lit(0)), keys, order, parts, rows)
     call = {"sum": F.sum, "max": F.max}
     per = x.groupBy(*keys, "_part").agg(*[call[f](c).alias(f"_s_{c}") for c, f in cols.items()])
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

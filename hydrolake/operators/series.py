@@ -276,7 +276,7 @@ def recursive_api(df: DataFrame, by: Sequence[str], order: str, rain: str, k: fl
     before = F.array_sort(F.collect_list(F.struct("_part", "b", "n")))
     power = lambda n: F.pow(F.lit(k), n)
     steps = per.groupBy(*keys).agg(before.alias("_steps"))
-    start = F.struct(F.lit(0.0).alias("s"), F.array().cast("array<struct<_part:int,s0:double>>").alias("out"))
+    start = F.struct(F.lit(0.0).alias("s"), F.array().cast("array<struct<_part:bigint,s0:double>>").alias("out"))
     walk = F.aggregate("_steps", start, lambda a, p: F.struct((power(p["n"]) * a["s"] + p["b"]).alias("s"), F.array_append(a["out"], F.struct(p["_part"].alias("_part"), a["s"].alias("s0"))).alias("out")))
     offsets = steps.select(*keys, F.explode(walk["out"]).alias("_o")).select(*keys, "_o._part", "_o.s0")
     api = F.when(F.col("_r").isNotNull(), F.col("_state") + power(F.col("_n")) * F.col("s0"))

@@ -3,9 +3,11 @@
 import datetime as dt
 import random
 
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from hydrolake.operators import lookups, series, telemetry
+from hydrolake.operators import lookups, ranges, series, telemetry
 
 START = dt.datetime(2024, 1, 1)
 
@@ -73,3 +75,32 @@ def test_gaps_are_filled_or_their_days_left_out(spark):
         assert r.interpolated == (not out and v is None) and (r.filled is None if out else abs(r.filled - (10.0 + h)) < 1e-9)
     dry = {(r.s, r.hour): r.gap_status for r in telemetry.fill_or_flag_gap(df, ["s"], "hour", "level").collect()}
     assert dry["a", START + dt.timedelta(hours=30)] == "interpolated" and dry["a", START + dt.timedelta(hours=78)] == "interpolated"
+
+
+@pytest.mark.parametrize("kind", ["double", "bigint", "timestamp", "date", "timestamp_ntz"])
+def test_ranges_grow_in_number_with_their_key(spark, kind):
+    """Sums and maxima before each row are those of a window, however finely a key is cut; ties and one long tail too."""
+    at = {
+        "double": "pow(id % 997, 3) / 7e0", "bigint": "id % 701 - 300", "timestamp": "timestamp_seconds(id % 997 * 1000)", "date": "date_add(DATE'2020-01-01', CAST(id % 500 AS INT))",
+        "timestamp_ntz": "CAST(timestamp_seconds(id % 997 * 40000) AS timestamp_ntz)",
+    }[kind]
+    rows = spark.range(3000).selectExpr("id", "id % 10 < 9 AS hot", f"{at} AS at", "id * 37 % 101 AS v").cache()
+    coarse, fine = (ranges.parted(rows, ["hot"], "at", 4, n) for n in (1000, 20))
+    assert coarse.groupBy("hot").agg(F.max("_part").alias("p")).agg(F.max("p")).first()[0] == 3
+    sizes = [r["count"] for r in fine.groupBy("hot", "_part").count().collect()]
+    assert len(sizes) > 40 and sum(sizes) == 3000
+    ends = fine.groupBy("hot", "_part").agg(F.min("at").alias("a"), F.max("at").alias("b"))
+    in_order = Window.partitionBy("hot").orderBy("_part")
+    assert ends.withColumn("_next", F.lead("a").over(in_order)).where("_next <= b").isEmpty()
+    before = Window.partitionBy("hot").orderBy("at", "id").rowsBetween(Window.unboundedPreceding, -1)
+    want = {r.id: (r.s, r.m) for r in rows.select("id", F.coalesce(F.sum("v").over(before), F.lit(0)).alias("s"), F.max("v").over(before).alias("m")).collect()}
+    got = ranges.running_before(rows.withColumn("w", F.col("v")), ["hot"], "at", {"v": "sum", "w": "max"}, 4, ["id"], 20)
+    assert {r.id: (r.v_before, r.w_before) for r in got.collect()} == want
+    rows.unpersist()
+
+
+def test_rows_without_order_or_number(spark):
+    rows = spark.sql("SELECT CAST(col1 AS double) AS at, 1L AS v FROM VALUES (NULL), (NULL), ('NaN'), ('NaN'), ('Infinity'), ('-Infinity'), ('1'), ('2'), ('2'), ('3')")
+    got = ranges.running_before(rows.withColumn("k", F.lit(1)), ["k"], "at", {"v": "sum"}, 2, (), 1)
+    assert sorted(r.v_before for r in got.collect()) == list(range(10))
+    assert ranges.running_before(rows.limit(0), [], "at", {"v": "sum"}).count() == 0
