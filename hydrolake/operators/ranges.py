@@ -26,13 +26,14 @@ def parted(df: DataFrame, by: Sequence[str], order: str, parts: int = 200, rows:
     """
     of, spread = _measure(df, order), F.percentile_approx(order, [i / parts for i in range(1, parts)], F.lit(10 * parts))
     cuts = df.groupBy(*by).agg(
-        spread.alias("_cuts"), F.array(F.min(order)).alias("_first"), F.array(F.max(order)).alias("_last"), F.ceil(F.count(F.lit(1)) / (parts * rows)).alias("_finer")
-    ).select(*by, "_cuts", F.concat("_first", "_cuts", "_last").alias("_ends"), "_finer")
-    x = df.join(cuts, list(by)).withColumn("_part", F.size(F.filter("_cuts", lambda c: c < F.col(order))).cast("long"))
+        F.concat(F.array(F.min(order)), spread, F.array(F.max(order))).alias("_ends"), F.ceil(F.count(F.lit(1)) / (parts * rows)).alias("_finer")
+    )
+    below = F.size(F.filter("_ends", lambda c: c < F.col(order)))  # the key's least value is one of the ends
+    x = df.join(cuts, list(by)).withColumn("_part", F.greatest(F.lit(0), below - 1).cast("long"))
     low, high = (of(F.get("_ends", (F.col("_part") + k).cast("int"))) for k in (0, 1))
     inside = F.floor((of(F.col(order)) - low) / F.nullif(high - low, F.lit(0.0)) * F.col("_finer"))
     finer = F.greatest(F.lit(0), F.least(F.coalesce(inside, F.lit(0)), F.col("_finer") - 1))
-    return x.withColumn("_part", F.when(F.col("_finer") > 1, F.col("_part") * F.col("_finer") + finer).otherwise(F.col("_part"))).drop("_cuts", "_ends", "_finer")
+    return x.withColumn("_part", F.when(F.col("_finer") > 1, F.col("_part") * F.col("_finer") + finer).otherwise(F.col("_part"))).drop("_ends", "_finer")
 
 
 def running_before(df: DataFrame, by: Sequence[str], order: str, cols: Mapping[str, str], parts: int = 200, ties: Sequence[str] = (), rows: int = 1_000_000) -> DataFrame:
