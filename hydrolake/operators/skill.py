@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from hydrolake.operators.ranges import exact_quantile, running_before
 
@@ -136,21 +139,77 @@ def poisson_steps(values: int) -> list[float]:
     return out
 
 
+_PRIME = 2**31 - 1
+
+
+def poisson_draws(reps: int, seed: int) -> Callable[[np.ndarray], np.ndarray]:
+    """What gives how often each of some keys comes in each of the replicates, a row per key. Tasks get it as a closure,
+    as they may not have this package."""
+    prime, shifts, least = _PRIME, np.arange(1, reps + 1) * 7919 + seed, []
+    for s in poisson_steps(prime):
+        at = math.floor(s * prime) - 1  # the least number that, divided by the prime as a double, is the step or more
+        while at / prime < s:
+            at += 1
+        least.append(at)
+
+    def square(x: np.ndarray) -> np.ndarray:
+        x = x * x
+        for _ in range(2):  # modulo 2^31 - 1: the bits above the 31st are added to those below
+            x = (x & prime) + (x >> 31)
+        return np.where(x >= prime, x - prime, x)
+
+    def draws(keys: np.ndarray) -> np.ndarray:
+        h = square(square(np.fmod(keys[:, None] + shifts, prime)) + 12345)
+        times = np.zeros(h.shape, np.int8)
+        for at in least:
+            times += h >= at
+        return times
+
+    return draws
+
+
+def _resampled(by: list[str], reps: int, seed: int, rows: int = 1000) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Per batch and key: sums of error times draws, of draws, and of draws with an error, per replicate."""
+    draws = poisson_draws(reps, seed)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            code = np.zeros(batch.num_rows, np.int64)
+            for c in by:
+                one = batch.column(c).dictionary_encode(null_encoding="encode")
+                code = np.unique(code * max(1, len(one.dictionary)) + one.indices.to_numpy(zero_copy_only=False), return_inverse=True)[1]
+            first = np.unique(code, return_index=True)[1]
+            known = batch.column("_e").is_valid().to_numpy(zero_copy_only=False)
+            e, keys = batch.column("_e").fill_null(0.0).to_numpy(), batch.column("_key").to_numpy()
+            s, k, n = (np.zeros((len(first), reps), t) for t in (np.float64, np.int64, np.int64))
+            order = np.argsort(code, kind="stable")
+            for at in np.split(order, range(rows, len(order), rows)):
+                times, (found, starts) = draws(keys[at]), np.unique(code[at], return_index=True)
+                with np.errstate(invalid="ignore"):
+                    s[found] += np.add.reduceat(np.where(times > 0, times * e[at][:, None], 0.0), starts, axis=0)
+                k[found] += np.add.reduceat(times, starts, axis=0, dtype=np.int64)
+                n[found] += np.add.reduceat(times * known[at][:, None], starts, axis=0, dtype=np.int64)
+            lists = [pa.ListArray.from_arrays(pa.array(np.arange(0, m.size + 1, reps, dtype=np.int32)), pa.array(m.ravel())) for m in (s, k, n)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(pa.array(first)) for c in by], *lists], [*by, "_s", "_k", "_n"])
+
+    return run
+
+
 def bootstrap_ci(df: DataFrame, by: Sequence[str], key: str, y: str, p: str, reps: int = 200, alpha: float = 0.05, seed: int = 5) -> DataFrame:
     """Percentile interval of the mean absolute error from ``reps`` resamples.
 
     Each row draws how often it comes in each replicate from a hash (Poisson 1), so a resample needs no join and no row
-    index: rows meet the replicates as an array, and the sums are partial before the shuffle. The hash squares modulo a
-    prime, in whole numbers, so that any engine gets the same.
+    index. The hash squares modulo a prime, in whole numbers, so that any engine gets the same. A batch of rows draws for
+    all replicates at once and gives a row of sums per key; those are added up by key and replicate.
     """
-    prime = F.lit(2**31 - 1).cast("long")
-    square = lambda x: x * x % prime
-    u = square((square((F.col("_key") * 48271 % prime + F.col("rep") * 7919 + seed) % prime) + 12345) % prime) / (2**31 - 1.0)
-    times = sum(F.when(F.col("_u") >= s, 1).otherwise(0) for s in poisson_steps(2**31 - 1))
-    err = F.abs(F.col(p) - F.col(y))
-    x = df.select(*by, err.alias("_e"), F.col(key).cast("long").alias("_key"), F.explode(F.sequence(F.lit(1), F.lit(reps))).alias("rep"))
-    x = x.withColumn("_u", u).withColumn("_k", times).where("_k > 0")
-    per = x.groupBy(*by, "rep").agg((F.sum(F.col("_e") * F.col("_k")) / F.sum("_k")).alias("stat"))
+    err, of = F.abs(F.col(p) - F.col(y)), F.lit(_PRIME).cast("long")
+    rows = df.select(*by, err.alias("_e"), (F.col(key).cast("long") % of * 48271 % of).alias("_key")).where("_key IS NOT NULL")
+    sums = StructType([*rows.select(*by).schema.fields, *[StructField(c, ArrayType(t)) for c, t in (("_s", DoubleType()), ("_k", LongType()), ("_n", LongType()))]])
+    x = rows.mapInArrow(_resampled(list(by), reps, seed), sums)
+    x = x.select(*by, F.posexplode(F.arrays_zip("_s", "_k", "_n")).alias("rep", "x")).groupBy(*by, "rep").agg(*[F.sum(f"x.{c}").alias(c) for c in ("_s", "_k", "_n")])
+    per = x.where("_k > 0").withColumn("stat", F.when(F.col("_n") > 0, F.col("_s") / F.col("_k")))
     ends = per.groupBy(*by).agg(F.percentile("stat", F.lit(alpha / 2)).alias("low"), F.percentile("stat", F.lit(1 - alpha / 2)).alias("high"))
     return ends.join(df.groupBy(*by).agg(F.avg(err).alias("point")), list(by))
 
