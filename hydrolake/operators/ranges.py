@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType
 
+from hydrolake.sources.shared import fresh_path
+
 
 def _measure(df: DataFrame, order: str) -> Callable[[Column], Column]:
     """What turns values of the column into doubles in the same order: a moment without a zone counts by its day."""
@@ -23,11 +25,17 @@ def parted(df: DataFrame, by: Sequence[str], order: str, parts: int = 200, rows:
 
     A key of more than ``parts`` * ``rows`` rows has each range divided evenly between its ends, into as many as bring
     it to about ``rows`` rows, so ranges grow in number with the key and not in size.
+
+    The cuts, a row per key, are written and read back: a sketch depends on the order in which its parts arrive and are
+    merged, so cuts that are computed anew for each use may differ between uses.
     """
     of, spread = _measure(df, order), F.percentile_approx(order, [i / parts for i in range(1, parts)], F.lit(10 * parts))
     cuts = df.groupBy(*by).agg(
         F.concat(F.array(F.min(order)), spread, F.array(F.max(order))).alias("_ends"), F.ceil(F.count(F.lit(1)) / (parts * rows)).alias("_finer")
     )
+    path = fresh_path(df.sparkSession, "cuts")
+    cuts.write.parquet(path)
+    cuts = df.sparkSession.read.schema(cuts.schema).parquet(path)
     below = F.size(F.filter("_ends", lambda c: c < F.col(order)))  # the key's least value is one of the ends
     x = df.join(cuts, list(by)).withColumn("_part", F.greatest(F.lit(0), below - 1).cast("long"))
     low, high = (of(F.get("_ends", (F.col("_part") + k).cast("int"))) for k in (0, 1))
