@@ -131,11 +131,15 @@ def releases(spark: SparkSession, sf_dir: str) -> DataFrame:
 , nx AS (SELECT station, date, lead(date) OVER (PARTITION BY station ORDER BY date) AS then FROM d)
 , op AS (SELECT station, a AS date, string_agg(CAST(event_no AS VARCHAR), ',' ORDER BY event_no) AS opened FROM f GROUP BY 1, 2)
 , cl AS (SELECT f.station, nx.then AS date, string_agg(CAST(event_no AS VARCHAR), ',' ORDER BY event_no) AS closed FROM f JOIN nx ON f.station = nx.station AND f.b = nx.date GROUP BY 1, 2)
-SELECT d.station, {dt('d.date', 'date')}, {rd('coalesce(sum(rate_m3_per_day), 0)', 'release_m3')}, count(event_no) AS n_open, coalesce(any_value(opened), '') AS opened, coalesce(any_value(closed), '') AS closed
+SELECT d.station, {dt('d.date', 'date')}, {rd('coalesce(sum(rate_m3_per_day), 0)', 'release_m3')}, count(event_no) AS n_open, coalesce(any_value(opened), '') AS opened, coalesce(any_value(closed), '') AS closed, coalesce(string_agg(CAST(event_no AS VARCHAR), ',' ORDER BY event_no), '') AS note
 FROM d LEFT JOIN cov USING (station, date) LEFT JOIN op USING (station, date) LEFT JOIN cl USING (station, date) GROUP BY d.station, d.date"""))
 def j4_point_in_interval(spark, sf_dir):
+    """All events that cover a day (note), and those that opened and closed since the day before."""
     listed = lambda c: F.array_join(F.transform(c, lambda n: n.cast("string")), ",").alias(c)
-    return tidy(releases(spark, sf_dir).select("station", "date", "release_m3", "n_open", listed("opened"), listed("closed")))
+    swept = releases(spark, sf_dir).select("station", "date", "release_m3", "n_open", listed("opened"), listed("closed"))
+    cover = lookups.point_in_interval(days_of(spark, sf_dir), view(spark, sf_dir, "release_events").select("event_no", "station", "start_ts", "end_ts"), ["station"])
+    notes = cover.groupBy("station", "date").agg(F.array_sort(F.collect_list("event_no")).alias("note")).select("station", "date", listed("note"))
+    return tidy(swept.join(notes, ["station", "date"], "left").fillna("", ["note"]))
 
 
 OVERLAP = """, o AS (SELECT e.*, coalesce(end_ts, TIMESTAMP '2024-02-15 00:00:00') AS fin FROM release_events e)
