@@ -17,7 +17,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hydrolake.operators import series
+from hydrolake.operators import ranges, series
 
 
 def union_all(tables: Sequence[DataFrame]) -> DataFrame:
@@ -47,14 +47,16 @@ def fit_magnitude(train: DataFrame, apply: DataFrame, features: Sequence[str], l
 
 def tune(df: DataFrame, features: Sequence[str], label: str, order: str, folds: int = 3, depths: Sequence[int] = (2, 4), seed: int = 7, parallel: int = 3) -> DataFrame:
     """Grid search over expanding time-series folds by RMSE: (maxDepth, rmse) per setting; ``parallel`` fits at a time."""
-    rows = series.ts_folds(df, [], order, folds)
-    x = VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="skip").transform(rows).cache()
+    n = df.count()
+    rows = ranges.numbered(df.select(*dict.fromkeys([*features, label, order])), [], order, "_i")  # each row once: folds are cut by its number, as in series.ts_folds
+    x = VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="skip").transform(rows).select("_x", label, "_i").cache()
+    block, at = n // (folds + 1), F.col("_i")
 
     def one(setting: tuple[int, int]) -> tuple[int, int, float]:
         depth, fold = setting
-        part = x.where(F.col("fold") == fold)
-        model = RandomForestRegressor(featuresCol="_x", labelCol=label, numTrees=8, maxDepth=depth, seed=seed).fit(part.where("role = 'train'"))
-        return depth, fold, float(RegressionEvaluator(labelCol=label, metricName="rmse").evaluate(model.transform(part.where("role = 'test'"))))
+        start = n - (folds - fold + 1) * block
+        model = RandomForestRegressor(featuresCol="_x", labelCol=label, numTrees=8, maxDepth=depth, seed=seed).fit(x.where(at <= start))
+        return depth, fold, float(RegressionEvaluator(labelCol=label, metricName="rmse").evaluate(model.transform(x.where((at > start) & (at <= start + block)))))
 
     with ThreadPoolExecutor(parallel) as pool:
         out = list(pool.map(one, [(depth, fold) for depth in depths for fold in range(1, folds + 1)]))
